@@ -33,6 +33,11 @@ BENCHMARK = {
     "test_recall": 0.5806,
     "test_f1_score": 0.4808,
 }
+BENCHMARK_OUTCOMES = {
+    "beats": "neural_baseline_beats_catboost",
+    "rejected": "do_not_promote",
+    "remains": "catboost_remains_benchmark",
+}
 
 
 def _grid(thresholds: Sequence[float]) -> list[float]:
@@ -436,9 +441,9 @@ def compare_to_benchmark(
         candidate,
         F.col("threshold").alias("selected_threshold"),
         beats.alias("beats_benchmark"),
-        F.when(beats, "beats_benchmark")
-        .when(~alert_ok, "do_not_promote")
-        .otherwise("benchmark_remains")
+        F.when(beats, BENCHMARK_OUTCOMES["beats"])
+        .when(~alert_ok, BENCHMARK_OUTCOMES["rejected"])
+        .otherwise(BENCHMARK_OUTCOMES["remains"])
         .alias("recommendation"),
         F.when(beats, F.col(candidate)).otherwise(stored["candidate"]).alias("recommended_candidate"),
     )

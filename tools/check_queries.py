@@ -82,9 +82,13 @@ def main() -> int:
     from ledgerlens.catalog import registry
     from ledgerlens.session import build_session
 
-    spark = build_session(
-        "check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"}
-    )
+    settings = {
+        "spark.sql.shuffle.partitions": "8",
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.driver.memory": "8g",
+    }
+    spark = build_session("check", "local[8]", **settings)
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     bad = 0
