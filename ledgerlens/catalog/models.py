@@ -1 +1,86 @@
-"""Pending."""
+"""Training, comparison and scoring."""
+
+from __future__ import annotations
+
+
+from ledgerlens.catalog import views
+from ledgerlens.catalog.helpers import JOINED, joined
+from ledgerlens.catalog.registry import query
+from ledgerlens.operators.policy import metrics_at_threshold, policy_rows
+from ledgerlens.operators.splits import split_by_time_ratio
+from ledgerlens.plans import training
+
+SMALL = {"maxIter": 8, "maxDepth": 4}
+
+
+def _features(spark, sf_dir):
+    table, state = training.feature_table(split_by_time_ratio(joined(spark, sf_dir)))
+    return table, state, training.model_inputs(table, state)
+
+
+@query("batch_score")
+def _(spark, sf_dir):
+    table, state, inputs = _features(spark, sf_dir)
+    trained = training.train_model(table, inputs, **SMALL)
+    batch = joined(spark, sf_dir).drop("isFraud", "score")
+    return training.batch_score(batch, state, trained).select("TransactionID", "fraud_probability")
+
+
+@query("train_gbt")
+def _(spark, sf_dir):
+    table, _, inputs = _features(spark, sf_dir)
+    trained = training.train_model(table, inputs, weight=3.0, **SMALL)
+    return metrics_at_threshold(training.scored_candidate(table, trained, "gbt"), 0.2, ["split"])
+
+
+@query("weight_search")
+def _(spark, sf_dir):
+    table, _, inputs = _features(spark, sf_dir)
+    return metrics_at_threshold(
+        training.weight_search(table, inputs, [1.0, 3.0, 10.0], **SMALL), 0.2, ["candidate", "split"]
+    )
+
+
+@query("model_family_compare")
+def _(spark, sf_dir):
+    table, _, inputs = _features(spark, sf_dir)
+    candidates = {
+        "gbt_default": ("gbt", SMALL),
+        "forest_default": ("forest", {}),
+        "logistic_default": ("logistic", {}),
+        "other_library": ("other", {}),
+    }
+    scored, statuses = training.model_family_compare(table, inputs, candidates)
+    rows = policy_rows(scored.where("split = 'validation'"), ["candidate"], status="status")
+    return statuses.join(rows, "candidate", "left")
+
+
+@query("train_pipeline")
+def _(spark, sf_dir):
+    result = training.train_pipeline(views.txn(spark, sf_dir), views.ident(spark, sf_dir), **SMALL)
+    return result["metrics"]
+
+
+@query("feature_importance")
+def _(spark, sf_dir):
+    table, _, inputs = _features(spark, sf_dir)
+    return training.feature_importance(training.train_model(table, inputs, **SMALL), table)
+
+
+@query(
+    "pipeline_dry_run",
+    f"""SELECT split, count(*) AS rows, min(TransactionDT) AS min_time, max(TransactionDT) AS max_time,
+          count(*) FILTER (WHERE isFraud = 1) AS fraud_rows, CAST(44 AS BIGINT) AS feature_count,
+          CAST(20 AS BIGINT) AS categorical_feature_count, CAST(0 AS BIGINT) AS contract_violations,
+          false AS would_write_artifacts
+        FROM (SELECT *, CASE WHEN r <= CAST(floor(n * 0.70) AS BIGINT) THEN 'train'
+                WHEN r <= CAST(floor(n * 0.70) AS BIGINT) + CAST(floor(n * 0.15) AS BIGINT) THEN 'validation'
+                ELSE 'test' END AS split
+              FROM (SELECT *, row_number() OVER (ORDER BY TransactionDT, TransactionID) AS r, count(*) OVER () AS n
+                    FROM ({JOINED}) j) a) b GROUP BY split""",
+    ["txn", "ident"],
+)
+def _(spark, sf_dir):
+    return training.pipeline_dry_run(views.txn(spark, sf_dir), views.ident(spark, sf_dir))
+
+

@@ -92,19 +92,22 @@ def threshold_table(
     buckets = placed.groupBy(*group, bucket_of(F.col(score), cuts).alias("_b")).agg(
         F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) == 0).alias("_neg")
     )
-    # One array entry per threshold: a conditional sum over at most len(cuts) + 1 rows per group.
-    sums = [
-        F.struct(
-            F.lit(t).alias("threshold"),
-            F.coalesce(F.sum(F.when(F.col("_b") > cuts.index(t), F.col("_pos"))), F.lit(0)).alias("tp"),
-            F.coalesce(F.sum(F.when(F.col("_b") > cuts.index(t), F.col("_neg"))), F.lit(0)).alias("fp"),
-            F.sum("_pos").alias("positives"),
-            F.sum("_neg").alias("negatives"),
+    # At most len(cuts) + 1 cells per group; each threshold adds up the cells above it.
+    cells = F.collect_list(F.struct("_b", "_pos", "_neg")).alias("_cells")
+    per_group = buckets.groupBy(*group).agg(
+        cells, F.sum("_pos").alias("positives"), F.sum("_neg").alias("negatives")
+    )
+    marks = F.array(*[F.struct(F.lit(t).alias("threshold"), F.lit(cuts.index(t)).alias("_index")) for t in grid])
+
+    def above(name: str) -> Column:
+        return F.aggregate(
+            "_cells",
+            F.lit(0).cast("bigint"),
+            lambda total, cell: total + F.when(cell["_b"] > F.col("_index"), cell[name]).otherwise(0),
         )
-        for t in grid
-    ]
-    per_group = buckets.groupBy(*group).agg(F.array(*sums).alias("_rows"))
-    rows = per_group.select(*group, F.inline("_rows")).where(F.col("positives").isNotNull())
+
+    rows = per_group.where(F.col("positives").isNotNull()).select("*", F.inline(marks))
+    rows = rows.withColumns({"tp": above("_pos"), "fp": above("_neg")})
     tp, fp = F.col("tp"), F.col("fp")
     fn, tn = F.col("positives") - tp, F.col("negatives") - fp
     rates = rate_columns(tp, fp, fn, tn)

@@ -95,7 +95,7 @@ def stream_past_features(
 
     run_each_batch(closed_seconds(stream, key, amount, time, delay), "past-features", handle)
     schema = f"uid string, {time} bigint, past_rows bigint, past_mean double, seconds_since_previous bigint"
-    return spark.read.schema(schema).parquet(f"{path}/features")
+    return spark.read.schema(schema).parquet(f"{path}/features/batch_id=*")
 
 
 def _measures() -> list[str]:

@@ -38,9 +38,8 @@ def request_rate(
     """Requests per second in five-minute windows, by label."""
     keys = LABELS if keys is None else keys
     rows = log if where is None else log.where(where)
-    counted = (
-        rows.withWatermark(time, delay).groupBy(F.window(time, RATE_WINDOW), *keys).agg(F.count(F.lit(1)).alias("requests"))
-    )
+    windows = rows.withWatermark(time, delay).groupBy(F.window(time, RATE_WINDOW), *keys)
+    counted = windows.agg(F.count(F.lit(1)).alias("requests"))
     return _edges(counted, [*keys, "requests", (F.col("requests") / RATE_SECONDS).alias("per_second")])
 
 
@@ -138,7 +137,8 @@ def rolling_alert_rate(
     )
     rate = F.col("alerts") / F.col("requests")
     level = alert_level(rate, warn_above, critical_above, low_below)
-    return _edges(summed, [F.lit(size).alias("size"), "requests", "alerts", rate.alias("alert_rate"), level.alias("level")])
+    measures = ["requests", "alerts", rate.alias("alert_rate"), level.alias("level")]
+    return _edges(summed, [F.lit(size).alias("size"), *measures])
 
 
 def stream_risk_tiers(scored: DataFrame, score: str = "score", path: str | None = None) -> DataFrame:
