@@ -7,22 +7,28 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions.expressions import ratio
 from ledgerlens.operators.ordered import running_totals
-from ledgerlens.session import TASK_ROWS
+from ledgerlens.session import TASK_ROWS, written
 
 
 def score_counts(df: DataFrame, group: list[str], label: str = "y", score: str = "p") -> DataFrame:
-    """(group, score): positives and negatives. Equal scores collapse map-side."""
-    return df.groupBy(*group, F.col(score).alias("threshold")).agg(
+    """(group, score): positives and negatives, written once. Equal scores collapse map-side."""
+    counts = df.groupBy(*group, F.col(score).alias("threshold")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
+    return written(counts, "score-counts")
 
 
 def pr_curve(
     df: DataFrame, group: list[str], label: str = "y", score: str = "p", *, task_rows: int = TASK_ROWS
 ) -> DataFrame:
     """(group, threshold, tp, fp, precision, recall) for every distinct score, decision score >= threshold."""
-    counts = score_counts(df, group, label, score)
-    upto = running_totals(counts, group, "threshold", ["pos", "neg"], descending=True, task_rows=task_rows)
+    return curve_of_counts(score_counts(df, group, label, score), group, task_rows=task_rows)
+
+
+def curve_of_counts(counts: DataFrame, group: list[str], *, task_rows: int = TASK_ROWS) -> DataFrame:
+    upto = running_totals(
+        counts, group, "threshold", ["pos", "neg"], descending=True, stored=True, task_rows=task_rows
+    )
     tp, fp = F.col("pos_upto"), F.col("neg_upto")
     sums = [F.sum("pos").alias("positives"), F.sum("neg").alias("negatives")]
     if group:
@@ -47,7 +53,11 @@ def ranking_metrics(
     df: DataFrame, group: list[str], label: str = "y", score: str = "p", *, task_rows: int = TASK_ROWS
 ) -> DataFrame:
     """ROC-AUC (ties count half) and average precision (step sum) per group, in one pass over the curve."""
-    curve = pr_curve(df, group, label, score, task_rows=task_rows)
+    return ranking_of_counts(score_counts(df, group, label, score), group, task_rows=task_rows)
+
+
+def ranking_of_counts(counts: DataFrame, group: list[str], *, task_rows: int = TASK_ROWS) -> DataFrame:
+    curve = curve_of_counts(counts, group, task_rows=task_rows)
     # Of the pairs (positive, negative): this score's negatives lose to the positives above
     # them and draw with the positives beside them.
     won = (F.col("tp") - F.col("pos") + F.col("pos") / 2.0) * F.col("neg")

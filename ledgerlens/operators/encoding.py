@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions.expressions import MISSING, UNKNOWN, deviation, is_numeric, number, text, uid
 from ledgerlens.operators.enrich import lookup_map
-from ledgerlens.operators.ordered import column_quantiles, group_quantiles, running_totals
+from ledgerlens.operators.ordered import column_quantiles, group_quantiles, largest_group, running_totals
 from ledgerlens.session import TASK_ROWS
 
 
@@ -24,14 +24,16 @@ def frequency_encode(df: DataFrame, state: DataFrame, columns: list[str], suffix
     """Attach ``<column><suffix>`` counts; unseen values get 0."""
     for c in columns:
         fitted = state.where(F.col("column") == c)
-        df = lookup_map(df, F.col(c).cast("string"), fitted, "value", {f"{c}{suffix}": ("freq", F.lit(0))})
+        df = lookup_map(df, F.col(c), fitted, "value", {f"{c}{suffix}": ("freq", F.lit(0))}, rows="freq")
     return df
 
 
-def numeric_median_fit(df: DataFrame, columns: list[str], *, task_rows: int = TASK_ROWS) -> DataFrame:
+def numeric_median_fit(
+    df: DataFrame, columns: list[str], *, rows: int | None = None, task_rows: int = TASK_ROWS
+) -> DataFrame:
     """(column, median) with 0.0 for an all-null column; exact at any size."""
     numbers = df.select(*[number(c).alias(c) for c in columns])
-    found = column_quantiles(numbers, columns, [0.5], task_rows=task_rows)
+    found = column_quantiles(numbers, columns, [0.5], rows=rows, task_rows=task_rows)
     return found.select("column", F.coalesce(F.try_element_at("quantiles", F.lit(1)), F.lit(0.0)).alias("median"))
 
 
@@ -59,15 +61,16 @@ def uid_stats_fit(
     """
     keyed = df.select((uid() if key is None else key).alias("uid"), F.col(amount).alias("_amount"))
     std = F.stddev_samp("_amount")
-    basic = keyed.groupBy("uid").agg(
+    basic = [
         F.count(F.lit(1)).alias("uid_txn_count"),
         F.avg("_amount").alias("uid_amt_mean"),
         (std if single_row_std is None else F.coalesce(std, F.lit(single_row_std))).alias("uid_amt_std"),
-    )
+    ]
+    if largest_group(keyed, ["uid"]) <= task_rows:
+        return keyed.groupBy("uid").agg(*basic, F.percentile("_amount", 0.5).alias("uid_amt_median"))
     medians = group_quantiles(keyed, ["uid"], "_amount", [0.5], task_rows=task_rows)
-    return basic.join(
-        medians.select("uid", F.try_element_at("quantiles", F.lit(1)).alias("uid_amt_median")), "uid", "left"
-    )
+    median = F.try_element_at("quantiles", F.lit(1)).alias("uid_amt_median")
+    return keyed.groupBy("uid").agg(*basic).join(medians.select("uid", median), "uid", "left")
 
 
 def amount_totals(df: DataFrame, amount: str = "TransactionAmt") -> tuple[float, float]:
@@ -76,26 +79,14 @@ def amount_totals(df: DataFrame, amount: str = "TransactionAmt") -> tuple[float,
     return (row[0] if row[0] is not None else 0.0), (row[1] or 1.0)
 
 
-def attach_uid_stats(df: DataFrame, stats: DataFrame, key: Column | None = None) -> DataFrame:
-    """Left join of the entity statistics that no heavy entity can skew.
-
-    Entities with more than TASK_ROWS rows (at most total rows / TASK_ROWS of
-    them, so they fit a broadcast) are looked up by broadcast; their rows carry
-    a spread stand-in key through the shuffled lookup of all the others.
-    """
-    heavy = stats.where(F.col("uid_txn_count") > TASK_ROWS)
-    light = stats.where(F.col("uid_txn_count") <= TASK_ROWS)
-    heavy = heavy.select(F.col("uid").alias("_uid"), *[F.col(n).alias(f"_h_{n}") for n in UID_STATS])
-    light = light.select(F.col("uid").alias("_light"), *[F.col(n).alias(f"_l_{n}") for n in UID_STATS])
-    keyed = df.withColumn("_uid", uid() if key is None else key)
-    spread = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(4096)))
-    joined = (
-        keyed.join(F.broadcast(heavy), "_uid", "left")
-        .withColumn("_light", F.when(F.col("_h_uid_txn_count").isNotNull(), spread).otherwise(F.col("_uid")))
-        .join(light, "_light", "left")
+def attach_uid_stats(
+    df: DataFrame, stats: DataFrame, key: Column | None = None, *, task_rows: int = TASK_ROWS
+) -> DataFrame:
+    """Left join of the entity statistics that no heavy entity can skew."""
+    values = {n: (n, None) for n in UID_STATS}
+    return lookup_map(
+        df, uid() if key is None else key, stats, "uid", values, rows="uid_txn_count", task_rows=task_rows
     )
-    picked = {n: F.coalesce(F.col(f"_h_{n}"), F.col(f"_l_{n}")) for n in UID_STATS}
-    return joined.select(*[F.col(f"`{c}`") for c in df.columns], *[c.alias(n) for n, c in picked.items()])
 
 
 def uid_stats_apply(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.guards import ID_COLUMN, TARGET_COLUMN, SchemaError, require_columns
+from ledgerlens.session import TASK_ROWS
 
 
 def enrich_identity(
@@ -42,21 +43,49 @@ def build_curated(foundation: DataFrame, behavioral: DataFrame, key: str = ID_CO
 
 
 def lookup_map(
-    df: DataFrame, key: Column, table: DataFrame, table_key: str, values: dict[str, tuple[str, Column]]
+    df: DataFrame,
+    key: Column,
+    table: DataFrame,
+    table_key: str,
+    values: dict[str, tuple[str, Column | None]],
+    *,
+    rows: str | None = None,
+    task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """Attach fitted values by key; null keys match null keys.
 
     ``values`` maps the output name to (column of ``table``, value when unseen).
-    The planner picks broadcast from the table's size, AQE splits skewed
-    partitions when it shuffles.
+    The planner broadcasts a table whose size is known to be small. With
+    ``rows``, the column of ``table`` that counts each key's rows, a large table
+    cannot be skewed either: keys of more than ``task_rows`` rows (at most total
+    rows / task_rows of them) are looked up by broadcast, and their rows pass
+    through the shuffled lookup of the others under spread stand-in keys.
     """
-    names = {name: f"_lookup_{i}" for i, name in enumerate(values)}
-    right = table.select(
-        F.col(table_key).alias("_lookup_key"), *[F.col(values[n][0]).alias(names[n]) for n in values]
-    )
-    joined = df.withColumn("_key", key).join(right, F.col("_key").eqNullSafe(F.col("_lookup_key")), "left")
-    return joined.withColumns({n: F.coalesce(F.col(names[n]), values[n][1]) for n in values}).drop(
-        "_key", "_lookup_key", *names.values()
+    inner = {name: f"_lookup_{i}" for i, name in enumerate(values)}
+
+    def side(part: DataFrame, prefix: str) -> DataFrame:
+        return part.select(
+            F.col(table_key).alias(f"{prefix}key"),
+            F.lit(True).alias(f"{prefix}found"),
+            *[F.col(values[n][0]).alias(f"{prefix}{inner[n]}") for n in values],
+        )
+
+    if rows is None:
+        keyed = df.withColumn("_key", key)
+        joined = keyed.join(side(table, "_l"), F.col("_key").eqNullSafe(F.col("_lkey")), "left")
+        found = {n: F.col(f"_l{inner[n]}") for n in values}
+    else:
+        spread = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(4096)))
+        keyed = df.withColumn("_key", key.cast("string"))
+        heavy = side(table.where(F.col(rows) > task_rows), "_h")
+        light = side(table.where(F.col(rows) <= task_rows), "_l")
+        marked = keyed.join(F.broadcast(heavy), F.col("_key").eqNullSafe(F.col("_hkey")), "left")
+        marked = marked.withColumn("_key", F.when(F.col("_hfound"), spread).otherwise(F.col("_key")))
+        joined = marked.join(light, F.col("_key").eqNullSafe(F.col("_lkey")), "left")
+        found = {n: F.coalesce(F.col(f"_h{inner[n]}"), F.col(f"_l{inner[n]}")) for n in values}
+    filled = {n: c if values[n][1] is None else F.coalesce(c, values[n][1]) for n, c in found.items()}
+    return joined.select(
+        *[F.col(f"`{c}`") for c in df.columns if c not in filled], *[c.alias(n) for n, c in filled.items()]
     )
 
 

@@ -19,6 +19,8 @@ from ledgerlens.functions.expressions import bucket_of, is_numeric
 from ledgerlens.session import TASK_ROWS, written
 
 SAMPLES_PER_RANGE = 20
+SKETCH_ACCURACY = 2_000
+BRACKETS_PER_SCAN = 128
 MAX_TEXT_RANGES = 256
 MAX_NUMBER_RANGES = 20_000
 
@@ -62,37 +64,39 @@ def running_totals(
     sums: list[str],
     *,
     descending: bool = False,
+    stored: bool = False,
     task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """Add ``<c>_upto``: the sum of c over this and all earlier values of the group.
 
-    ``counts`` holds one row per (group, value).
+    ``counts`` holds one row per (group, value). It is written once, so that its
+    size, its cut points and its totals do not compute it again; ``stored`` says
+    that it already is a written table.
     """
-    rows = counts.count()
+    table = counts if stored else written(counts, "running-totals")
+    rows = table.count()
     order = F.col(value).desc() if descending else F.col(value).asc()
     keys = [F.col(c) for c in group] or [F.lit(0)]
     if rows <= task_rows:
         window = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-        return counts.withColumns({f"{c}_upto": F.sum(c).over(window) for c in sums})
+        return table.withColumns({f"{c}_upto": F.sum(c).over(window) for c in sums})
 
-    table = written(counts, "running-totals")
     cuts = cut_points(table, value, rows, task_rows)
     ranged = add_range(table, value, cuts)
-    total_names = {c: f"_{c}_total" for c in sums}
-    totals = ranged.groupBy(*group, "_range").agg(*[F.sum(c).alias(n) for c, n in total_names.items()])
-    # One row per group and range: bounded by the number of ranges, not by rows.
+    totals = ranged.groupBy(*group, "_range").agg(*[F.sum(c).alias(f"_{c}_total") for c in sums])
+    # One row per group and range: at most the number of ranges per group, whatever the rows.
     range_order = F.col("_range").desc() if descending else F.col("_range").asc()
     earlier = Window.partitionBy(*keys).orderBy(range_order).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *group,
-        "_range",
-        *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"_{c}_before") for c, n in total_names.items()],
+        *[F.col(c).alias(f"_at_{c}") for c in [*group, "_range"]],
+        *[F.coalesce(F.sum(f"_{c}_total").over(earlier), F.lit(0)).alias(f"_{c}_before") for c in sums],
     )
     within = Window.partitionBy(*keys, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     local = ranged.withColumns({f"_{c}_local": F.sum(c).over(within) for c in sums})
-    joined = local.join(offsets, [*group, "_range"], "left")
+    same = [F.col(c).eqNullSafe(F.col(f"_at_{c}")) for c in [*group, "_range"]]
+    joined = local.join(offsets, same, "left")
     return joined.select(
-        *counts.columns, *[(F.col(f"_{c}_local") + F.col(f"_{c}_before")).alias(f"{c}_upto") for c in sums]
+        *table.columns, *[(F.col(f"_{c}_local") + F.col(f"_{c}_before")).alias(f"{c}_upto") for c in sums]
     )
 
 
@@ -112,10 +116,10 @@ def quantiles_from_counts(
     """Exact linear-interpolated quantiles per group -> (group..., quantiles array).
 
     Position p*(n-1) between the two neighbouring order statistics, the numpy and
-    pandas default. Null values are not counted.
+    pandas default. Null values are not counted; group keys must not be null.
     """
-    known = counts.where(F.col(value).isNotNull())
-    upto = running_totals(known, group, value, [weight], task_rows=task_rows)
+    known = written(counts.where(F.col(value).isNotNull()), "value-counts")
+    upto = running_totals(known, group, value, [weight], stored=True, task_rows=task_rows)
     sizes = known.groupBy(*group).agg(F.sum(weight).alias("_n"))
     ranked = upto.join(sizes, group) if group else upto.withColumn("_n", sizes.scalar())
     before = F.col(f"{weight}_upto") - F.col(weight)
@@ -129,33 +133,122 @@ def quantiles_from_counts(
         *[at(F.floor(p)).alias(f"_low{i}") for i, p in enumerate(position)],
         *[at(F.ceil(p)).alias(f"_high{i}") for i, p in enumerate(position)],
     )
-    values = [
-        F.col(f"_low{i}") + (F.col(f"_high{i}") - F.col(f"_low{i}")) * (p - F.floor(p))
-        for i, p in enumerate(position)
-    ]
+    values = [_between(f"_low{i}", f"_high{i}", p) for i, p in enumerate(position)]
     return found.select(*group, F.array(*values).alias("quantiles"))
 
 
+def _between(low: str, high: str, position: Column) -> Column:
+    return F.col(low) + (F.col(high) - F.col(low)) * (position - F.floor(position))
+
+
 def column_quantiles(
-    df: DataFrame, columns: list[str], probabilities: Sequence[float], *, task_rows: int = TASK_ROWS
+    df: DataFrame,
+    columns: list[str],
+    probabilities: Sequence[float],
+    *,
+    rows: int | None = None,
+    task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """Exact quantiles of many numeric columns -> (column, quantiles); all-null columns give nulls.
 
-    A table whose checked row count fits one task uses the built-in exact
-    aggregate for all columns at once; a larger one goes through value counts.
+    A table whose row count (``rows``, else counted) fits one task uses the
+    built-in exact aggregate for all columns at once. A larger one takes three
+    scans: a sketch brackets every wanted rank, the values below each bracket
+    are counted, and the rank is selected among the few values inside it.
     """
     if not columns:
         return df.sparkSession.createDataFrame([], "column string, quantiles array<double>")
     numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    if numbers.count() <= task_rows:
+    if (numbers.count() if rows is None else rows) <= task_rows:
         points = F.array(*[F.lit(float(p)) for p in probabilities])
         wide = numbers.agg(*[F.percentile(F.col(c), points).alias(c) for c in columns])
         return wide.unpivot([], columns, "column", "quantiles")
-    long = numbers.unpivot([], columns, "column", "value").where(F.col("value").isNotNull())
-    counts = value_counts(long, ["column"], "value")
-    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
-    found = quantiles_from_counts(counts, ["column"], "value", "rows", probabilities, task_rows=task_rows)
-    return names.join(found, "column", "left")
+    per_batch = max(1, BRACKETS_PER_SCAN // len(probabilities))
+    batches = [columns[i : i + per_batch] for i in range(0, len(columns), per_batch)]
+    parts = [_bracketed_quantiles(numbers, batch, probabilities, task_rows) for batch in batches]
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result
+
+
+def _brackets(numbers: DataFrame, columns: list[str], probabilities: Sequence[float]) -> list[tuple]:
+    """(column, probability, count, low, high): values that should enclose the wanted ranks."""
+    slack = 2.0 / SKETCH_ACCURACY
+    measures = []
+    for c in columns:
+        lows = F.array(*[F.lit(max(0.0, p - slack)) for p in probabilities])
+        highs = F.array(*[F.lit(min(1.0, p + slack)) for p in probabilities])
+        measures.append(
+            F.struct(
+                F.count(c).alias("n"),
+                F.min(c).alias("min"),
+                F.max(c).alias("max"),
+                F.percentile_approx(c, lows, SKETCH_ACCURACY).alias("lows"),
+                F.percentile_approx(c, highs, SKETCH_ACCURACY).alias("highs"),
+            ).alias(c)
+        )
+    row = numbers.agg(*measures).first()
+    found = []
+    for c in columns:
+        for i, p in enumerate(probabilities):
+            if row[c]["n"]:
+                low = row[c]["min"] if p <= slack else row[c]["lows"][i]
+                high = row[c]["max"] if p >= 1 - slack else row[c]["highs"][i]
+                found.append((c, i, row[c]["n"], low, high))
+            else:
+                found.append((c, i, 0, None, None))
+    return found
+
+
+def _bracketed_quantiles(
+    numbers: DataFrame, columns: list[str], probabilities: Sequence[float], task_rows: int
+) -> DataFrame:
+    spark = numbers.sparkSession
+    brackets = _brackets(numbers, columns, probabilities)
+    live = [(k, *b) for k, b in enumerate(brackets) if b[2]]
+    below = numbers.agg(*[F.count_if(F.col(c) < low).alias(str(k)) for k, c, _, _, low, _ in live]).first()
+    marks = F.array(
+        *[
+            F.when(F.col(c).between(low, high), F.struct(F.lit(k).alias("k"), F.col(c).alias("x")))
+            for k, c, _, _, low, high in live
+        ]
+    )
+    inside = numbers.select(F.explode(F.filter(marks, lambda m: m.isNotNull())).alias("m")).select("m.k", "m.x")
+    counts = written(inside.groupBy("k", "x").agg(F.count(F.lit(1)).alias("rows")), "brackets")
+    upto = running_totals(counts, ["k"], "x", ["rows"], stored=True, task_rows=task_rows)
+    wanted = spark.createDataFrame(
+        [(k, c, i, float(probabilities[i]) * (n - 1), below[str(k)]) for k, c, i, n, _, _ in live],
+        "k int, column string, i int, position double, below bigint",
+    )
+    end = F.col("below") + F.col("rows_upto")
+    start = end - F.col("rows")
+    low_rank, high_rank = F.floor("position"), F.ceil("position")
+    found = (
+        upto.join(F.broadcast(wanted), "k")
+        .groupBy("column", "i", "position")
+        .agg(
+            F.max(F.when((start <= low_rank) & (low_rank < end), F.col("x"))).alias("low"),
+            F.max(F.when((start <= high_rank) & (high_rank < end), F.col("x"))).alias("high"),
+        )
+        .withColumn("q", _between("low", "high", F.col("position")))
+        .collect()
+    )
+    values = {(r["column"], r["i"]): r["q"] for r in found}
+    missed = {c for c, i, n, _, _ in brackets if n and values.get((c, i)) is None}
+    result = [
+        (c, [values[(c, i)] for i in range(len(probabilities))] if (c, 0) in values else None)
+        for c in columns
+        if c not in missed
+    ]
+    table = spark.createDataFrame(result, "column string, quantiles array<double>")
+    if missed:
+        # A sketch that did not enclose its rank: count all values of those columns instead.
+        long = numbers.unpivot([], sorted(missed), "column", "value").where(F.col("value").isNotNull())
+        counted = value_counts(long, ["column"], "value")
+        exact = quantiles_from_counts(counted, ["column"], "value", "rows", probabilities, task_rows=task_rows)
+        table = table.unionByName(exact)
+    return table
 
 
 def largest_group(df: DataFrame, keys: list[str]) -> int:
@@ -167,58 +260,36 @@ def largest_group(df: DataFrame, keys: list[str]) -> int:
 def group_quantiles(
     df: DataFrame, keys: list[str], value: str, probabilities: Sequence[float], *, task_rows: int = TASK_ROWS
 ) -> DataFrame:
-    """Exact quantiles of ``value`` per key -> (keys..., quantiles).
+    """Exact quantiles of ``value`` per key -> (keys..., quantiles); keys must not be null.
 
     The built-in aggregate keeps all distinct values of a key in one buffer, so
-    it is used only when the largest key was seen to be small enough.
+    it serves the keys of at most ``task_rows`` rows. The others, at most total
+    rows / task_rows of them, are set apart by broadcast and counted by value.
     """
+    points = F.array(*[F.lit(float(p)) for p in probabilities])
+    in_task = F.percentile(F.col(value).cast("double"), points).alias("quantiles")
     if largest_group(df, keys) <= task_rows:
-        points = F.array(*[F.lit(float(p)) for p in probabilities])
-        return df.groupBy(*keys).agg(F.percentile(F.col(value).cast("double"), points).alias("quantiles"))
-    counts = value_counts(df, keys, value)
+        return df.groupBy(*keys).agg(in_task)
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    heavy = written(sizes.where(F.col("_rows") > task_rows).select(*keys), "heavy-keys")
+    light = df.join(F.broadcast(heavy), keys, "left_anti").groupBy(*keys).agg(in_task)
+    counts = value_counts(df.join(F.broadcast(heavy), keys, "left_semi"), keys, value)
     found = quantiles_from_counts(counts, keys, value, "rows", probabilities, task_rows=task_rows)
-    return df.select(*keys).distinct().join(found, keys, "left")
+    return light.unionByName(heavy.join(found, keys, "left"))
 
 
 def values_at_ranks(
-    df: DataFrame, value: str, ranks: Sequence[int], rows: int, *, task_rows: int = TASK_ROWS
+    counts: DataFrame, value: str, ranks: Sequence[int], weight: str = "rows", *, task_rows: int = TASK_ROWS
 ) -> list[tuple]:
     """For each 0-based rank: (value at that rank, rows with a smaller value).
 
-    Cuts by value ranges, counts rows per range, and repeats inside the range
-    that holds the rank until it is small: a few counting scans, no global sort.
+    ``counts`` is a written (value, weight) table; one row per rank is collected.
     """
-    found = []
-    for rank in ranks:
-        part, below, size = df.select(value), 0, rows
-        while True:
-            cuts = cut_points(part, value, size, task_rows)
-            if not cuts:
-                break
-            per_range = add_range(part, value, cuts).groupBy("_range").count().orderBy("_range").collect()
-            for row in per_range:
-                if below + row["count"] > rank:
-                    break
-                below += row["count"]
-            index = int(row["_range"])
-            narrower = part
-            if index > 0:
-                narrower = narrower.where(F.col(value) >= F.lit(cuts[index - 1]))
-            if index < len(cuts):
-                narrower = narrower.where(F.col(value) < F.lit(cuts[index]))
-            part = narrower
-            if row["count"] == size:
-                break
-            size = row["count"]
-        window = Window.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-        here = (
-            part.groupBy(value)
-            .agg(F.count(F.lit(1)).alias("n"))
-            .withColumn("upto", F.sum("n").over(window))
-            .where(F.col("upto") + F.lit(below) > F.lit(rank))
-            .orderBy(value)
-            .select(value, (F.col("upto") - F.col("n") + F.lit(below)).alias("below"))
-            .first()
-        )
-        found.append((here[0], here[1]))
-    return found
+    upto = running_totals(counts, [], value, [weight], stored=True, task_rows=task_rows)
+    end = F.col(f"{weight}_upto")
+    start = end - F.col(weight)
+    holds = F.lit(False)
+    for rank in set(ranks):
+        holds = holds | ((start <= rank) & (F.lit(rank) < end))
+    rows = upto.where(holds).select(F.col(value).alias("v"), start.alias("start"), end.alias("end")).collect()
+    return [next((r["v"], r["start"]) for r in rows if r["start"] <= rank < r["end"]) for rank in ranks]

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.expressions import bucket_of, ratio
-from ledgerlens.operators.curves import ranking_metrics
+from ledgerlens.operators.curves import ranking_of_counts, score_counts
 
 # Grids, cost of each error, limits and the stored benchmark figures.
 DEFAULT_GRID = [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]
@@ -210,19 +210,28 @@ def metrics_at_threshold(
     *,
     ranking: bool = True,
 ) -> DataFrame:
-    """Confusion counts, accuracy, precision, recall, F1, alert rate and (optionally) the two AUCs."""
+    """Confusion counts, accuracy, precision, recall, F1, alert rate and (optionally) the two AUCs.
+
+    With the AUCs, the rows are read once into counts per distinct score and all
+    measures come from those.
+    """
     if not 0 <= threshold <= 1:
         raise ValueError("Threshold must be between 0 and 1.")
     group = group or []
     valid = checked(df.select(*group, label, score), label, score)
-    hit, fraud = F.col(score) >= F.lit(threshold), F.col(label) == 1
+    if ranking:
+        source = score_counts(valid, group, label, score)
+    else:
+        fraud = F.col(label) == 1
+        source = valid.select(
+            *group, F.col(score).alias("threshold"), fraud.cast("int").alias("pos"), (~fraud).cast("int").alias("neg")
+        )
+    hit = F.col("threshold") >= F.lit(threshold)
+    cells = {"tn": (~hit, "neg"), "fp": (hit, "neg"), "fn": (~hit, "pos"), "tp": (hit, "pos")}
     counts = [
-        F.count_if(~hit & ~fraud).alias("tn"),
-        F.count_if(hit & ~fraud).alias("fp"),
-        F.count_if(~hit & fraud).alias("fn"),
-        F.count_if(hit & fraud).alias("tp"),
+        F.coalesce(F.sum(F.when(side, F.col(column))), F.lit(0)).alias(name) for name, (side, column) in cells.items()
     ]
-    table = valid.groupBy(*group).agg(*counts) if group else valid.agg(*counts)
+    table = source.groupBy(*group).agg(*counts) if group else source.agg(*counts)
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
     table = table.withColumns(
         {
@@ -233,7 +242,7 @@ def metrics_at_threshold(
     )
     if not ranking:
         return table
-    ranks = ranking_metrics(valid, group, label, score)
+    ranks = ranking_of_counts(source, group)
     if group:
         return table.join(ranks, group, "left")
     both = ranks.agg(F.first(F.struct("roc_auc", "pr_auc"))).scalar()

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions.expressions import day
 from ledgerlens.operators.guards import ID_COLUMN, TARGET_COLUMN, TIME_COLUMN, require_columns
-from ledgerlens.operators.ordered import values_at_ranks
-from ledgerlens.session import TASK_ROWS
+from ledgerlens.operators.ordered import value_counts, values_at_ranks
+from ledgerlens.session import TASK_ROWS, written
 
 
 def sort_by_time(df: DataFrame, time: str = TIME_COLUMN, row_id: str = ID_COLUMN) -> DataFrame:
@@ -37,33 +37,37 @@ def split_by_time_ratio(
 ) -> DataFrame:
     """Add ``split``: earliest rows train, next validation, latest test.
 
-    Two boundary rows are selected by rank over (time, id) and become literals,
-    so the split itself moves no data.
+    One scan counts rows per second; the two boundary rows are selected by rank
+    over (time, id) and become literals, so the split itself moves no data.
     """
     require_columns(df, [time, target], "split table")
     check_ratios(train, validation, test)
-    rows = df.count()
+    seconds = written(value_counts(df, [], time), "rows-per-second")
+    rows = seconds.agg(F.sum("rows")).first()[0] or 0
     if rows < 3:
         raise ValueError("A time-based split needs at least 3 rows.")
     train_end = int(rows * train)
     validation_end = train_end + int(rows * validation)
     if train_end == 0 or validation_end == train_end or validation_end >= rows:
         raise ValueError("The split ratios produce an empty train, validation or test split.")
-
-    in_train = _before_rank(df, train_end, rows, time, row_id, task_rows)
-    in_validation = _before_rank(df, validation_end, rows, time, row_id, task_rows)
+    ends = [train_end, validation_end]
+    at = values_at_ranks(seconds, time, ends, task_rows=task_rows)
+    in_train, in_validation = (
+        _before_rank(df, end, moment, earlier, time, row_id, task_rows) for end, (moment, earlier) in zip(ends, at)
+    )
     return df.withColumn(
         "split", F.when(in_train, "train").when(in_validation, "validation").otherwise("test")
     )
 
 
-def _before_rank(df: DataFrame, rank: int, rows: int, time: str, row_id: str, task_rows: int) -> Column:
-    """Condition that holds for the first ``rank`` rows by (time, id)."""
-    moment, earlier = values_at_ranks(df, time, [rank], rows, task_rows=task_rows)[0]
+def _before_rank(
+    df: DataFrame, rank: int, moment: int, earlier: int, time: str, row_id: str, task_rows: int
+) -> Column:
+    """Condition that holds for the first ``rank`` rows by (time, id); ``earlier`` rows precede ``moment``."""
     if earlier == rank:
         return F.col(time) < F.lit(moment)
-    tied = df.where(F.col(time) == F.lit(moment))
-    tied_id, _ = values_at_ranks(tied, row_id, [rank - earlier], tied.count(), task_rows=task_rows)[0]
+    tied = written(value_counts(df.where(F.col(time) == F.lit(moment)), [], row_id), "tied-rows")
+    ((tied_id, _),) = values_at_ranks(tied, row_id, [rank - earlier], task_rows=task_rows)
     return (F.col(time) < F.lit(moment)) | ((F.col(time) == F.lit(moment)) & (F.col(row_id) < F.lit(tied_id)))
 
 

@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.expressions import MISSING, UNKNOWN, day, hour, is_numeric, text
+from ledgerlens.functions.expressions import MISSING, UNKNOWN, day, hour, is_numeric
 from ledgerlens.operators.encoding import (
     FLAGGED_COLUMNS,
     categorical_fill,
@@ -22,6 +22,7 @@ from ledgerlens.operators.encoding import (
     numeric_coerce_impute,
     numeric_median_fit,
 )
+from ledgerlens.operators.enrich import lookup_map
 from ledgerlens.operators.guards import (
     ID_CATEGORY_LIMIT,
     ID_COLUMN,
@@ -49,6 +50,9 @@ FREQUENCY_COLUMNS = [
     "ProductCD",
 ]
 FREQUENCY_UNSEEN = 0
+INLINE_VALUES = 1_000  # values of one column that may stand in a plan as a set
+INLINE_COUNTS = 64  # values of one column that may stand in a plan as a map, most frequent first
+BROADCAST_VALUES = 200_000  # fitted values of one column: some 20 MB of text and counts
 INTERACTION_TEXTS = [
     "ProductCD_DeviceType_missing_interaction",
     "ProductCD_DeviceInfo_missing_interaction",
@@ -67,32 +71,31 @@ class FitState:
     categorical: list[str]
     medians: dict[str, float]
     counts: DataFrame  # (column, value, freq), filled texts seen in training
+    sizes: dict[str, int]  # distinct values per column of ``counts``
     features: list[str]
     rows: int
     version: str = VERSION
     extra: dict = field(default_factory=dict)
+    _listed: dict[str, dict[str, int]] | None = None
+
+    def small_values(self) -> dict[str, dict[str, int]]:
+        """Values and counts of the columns with at most INLINE_VALUES values, read once."""
+        if self._listed is None:
+            small = [c for c, n in self.sizes.items() if n <= INLINE_VALUES]
+            self._listed = {c: {} for c in small}
+            for row in self.counts.where(F.col("column").isin(small)).collect():
+                self._listed[row["column"]][row["value"]] = row["freq"]
+        return self._listed
 
 
 def input_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in (ID_COLUMN, TARGET_COLUMN, "uid_time_to_next")]
 
 
-def type_columns(df: DataFrame) -> tuple[list[str], list[str]]:
-    """(numeric, categorical): cards and addresses are categories, ids when they have few values."""
-    columns = input_columns(df)
-    ids = [c for c in columns if c.startswith("id_")]
-    distinct = df.agg(*[F.count_distinct(c).alias(c) for c in ids]).first().asDict() if ids else {}
+def may_be_category(df: DataFrame) -> list[str]:
+    """Cards, addresses, ids and everything that is not a number."""
     types = {f.name: f.dataType for f in df.schema.fields}
-
-    def categorical(c: str) -> bool:
-        if c.startswith(("card", "addr")):
-            return True
-        if c in distinct:
-            return distinct[c] <= ID_CATEGORY_LIMIT
-        return not is_numeric(types[c])
-
-    chosen = [c for c in columns if categorical(c)]
-    return [c for c in columns if c not in chosen], chosen
+    return [c for c in input_columns(df) if c.startswith(("card", "addr", "id_")) or not is_numeric(types[c])]
 
 
 def prepare(df: DataFrame, numeric: dict[str, float], categorical: list[str]) -> DataFrame:
@@ -129,43 +132,98 @@ def derived_names(numeric: list[str]) -> list[str]:
 
 
 def fit(train: DataFrame, *, task_rows: int = TASK_ROWS) -> FitState:
-    """Learn column types, medians and category counts from training rows."""
+    """Learn column types, category counts and medians from training rows.
+
+    One stacked count covers every possible category column and the
+    interactions; an ``id_*`` column that turns out to have too many values is
+    numeric after all. Medians of the numeric columns are a second read.
+    """
     require_columns(train, REQUIRED_COLUMNS, "training table")
-    numeric, categorical = type_columns(train)
-    medians = {
-        r["column"]: float(r["median"]) for r in numeric_median_fit(train, numeric, task_rows=task_rows).collect()
-    }
-    medians = {c: medians[c] for c in numeric}
-    prepared = derive(prepare(train, medians, categorical), input_columns(train))
-    counted = [*categorical, *INTERACTION_TEXTS]
-    stacked = prepared.select(*[text(c).alias(c) for c in counted]).unpivot([], counted, "column", "value")
+    columns = input_columns(train)
+    candidates = may_be_category(train)
+    filled = derive(categorical_fill(train, candidates), columns)
+    counted = [*candidates, *INTERACTION_TEXTS]
+    stacked = filled.select(*counted).unpivot([], counted, "column", "value")
     counts = stacked.groupBy("column", "value").agg(F.count(F.lit(1)).alias("freq"))
     counts = written(counts, "fit-counts", partition_by=["column"]).select("column", "value", "freq")
-    frequencies = [c for c in FREQUENCY_COLUMNS if c in prepared.columns]
-    features = [*input_columns(train), *derived_names(numeric), *[f"{c}_frequency" for c in frequencies]]
+    sizes = {
+        r["column"]: r
+        for r in counts.groupBy("column")
+        .agg(
+            F.count_if(F.col("value") != MISSING).alias("distinct"),
+            F.count(F.lit(1)).alias("values"),
+            F.sum("freq").alias("rows"),
+        )
+        .collect()
+    }
+    rows = sizes[INTERACTION_TEXTS[0]]["rows"] if sizes else 0
+    categorical = [
+        c for c in candidates if not c.startswith("id_") or not rows or sizes[c]["distinct"] <= ID_CATEGORY_LIMIT
+    ]
+    numeric = [c for c in columns if c not in categorical]
+    fitted = numeric_median_fit(train, numeric, rows=rows, task_rows=task_rows).collect()
+    medians = {r["column"]: float(r["median"]) for r in fitted}
+    frequencies = [c for c in FREQUENCY_COLUMNS if c in categorical]
+    features = [*columns, *derived_names(numeric), *[f"{c}_frequency" for c in frequencies]]
     if len(set(features)) != len(features):
         raise ValueError("The feature set has duplicate names.")
-    return FitState(numeric, categorical, medians, counts, features, train.count())
+    kept = counts.where(F.col("column").isin([*categorical, *INTERACTION_TEXTS]))
+    values = {c: sizes[c]["values"] for c in [*categorical, *INTERACTION_TEXTS] if c in sizes}
+    return FitState(numeric, categorical, {c: medians[c] for c in numeric}, kept, values, features, rows)
+
+
+def _quoted(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def _known(df: DataFrame, state: FitState, columns: list[str]) -> DataFrame:
     """Texts unseen in training -> unknown token; training counts of the frequency columns beside them.
 
-    One lookup per column gives both. The counts table is a file with a folder
-    per column, so each lookup's side has a known size and is broadcast by the
-    planner only when it is small.
+    Most categories have few values: those become literals of one projection (a
+    set for membership, a map for counts), which moves no data and keeps
+    the stage small. Only columns with many values are joined: by broadcast when
+    their fitted values were counted to be few enough, else shuffled with the
+    heaviest values set apart.
     """
-    for c in columns:
-        fitted = state.counts.where(F.col("column") == c).select(
-            F.col("value").alias("_value"), F.col("freq").alias("_freq")
+    listed = state.small_values()
+
+    def inline(c: str) -> bool:
+        return len(listed.get(c, ())) <= (INLINE_COUNTS if c in FREQUENCY_COLUMNS else INLINE_VALUES) and (
+            state.sizes.get(c, 0) <= INLINE_VALUES
         )
-        df = df.join(fitted, F.col(c) == F.col("_value"), "left")
-        token = F.col(c).isin(MISSING, UNKNOWN)
-        updates = {c: F.when(F.col("_freq").isNotNull() | token, F.col(c)).otherwise(UNKNOWN)}
-        if c in FREQUENCY_COLUMNS:
-            updates[f"{c}_frequency"] = F.coalesce(F.col("_freq"), F.lit(FREQUENCY_UNSEEN))
-        df = df.withColumns(updates).drop("_value", "_freq")
-    return df
+
+    names = list(df.columns)
+    for c in columns:
+        if inline(c):
+            continue
+        fitted = state.counts.where(F.col("column") == c)
+        if state.sizes[c] <= BROADCAST_VALUES:
+            side = fitted.select(F.col("value").alias(f"_value_{c}"), F.col("freq").alias(f"_freq_{c}"))
+            df = df.join(F.broadcast(side), F.col(c) == F.col(f"_value_{c}"), "left")
+        else:
+            df = lookup_map(df, F.col(c), fitted, "value", {f"_freq_{c}": ("freq", None)}, rows="freq")
+
+    def known(c: str) -> str:
+        values = sorted({MISSING, UNKNOWN} | set(listed.get(c, ()) if inline(c) else ()))
+        texts = ", ".join(_quoted(v) for v in values)
+        # A literal array is a short loop in the generated code, a long IN list a hash set; an unrolled
+        # comparison per value would make the method too long for the JVM to compile.
+        seen = f"array_contains(array({texts}), `{c}`)" if len(values) <= INLINE_COUNTS else f"`{c}` IN ({texts})"
+        if not inline(c):
+            seen = f"`_freq_{c}` IS NOT NULL OR {seen}"
+        return f"CASE WHEN {seen} THEN `{c}` ELSE {_quoted(UNKNOWN)} END AS `{c}`"
+
+    def count(c: str) -> str:
+        if not inline(c):
+            return f"coalesce(`_freq_{c}`, {FREQUENCY_UNSEEN}L) AS `{c}_frequency`"
+        pairs = ", ".join(f"{_quoted(v)}, {n}L" for v, n in sorted(listed.get(c, {}).items(), key=lambda i: -i[1]))
+        found = f"element_at(map({pairs}), `{c}`)" if pairs else "CAST(NULL AS BIGINT)"
+        return f"coalesce({found}, {FREQUENCY_UNSEEN}L) AS `{c}_frequency`"
+
+    return df.selectExpr(
+        *[known(c) if c in columns else f"`{c}`" for c in names],
+        *[count(c) for c in columns if c in FREQUENCY_COLUMNS],
+    )
 
 
 def transform(df: DataFrame, state: FitState, keep: list[str] | None = None) -> DataFrame:
@@ -205,6 +263,7 @@ def save_state(state: FitState, path: str, metadata: dict | None = None, *, over
         "numeric": state.numeric,
         "categorical": state.categorical,
         "medians": state.medians,
+        "sizes": state.sizes,
         "features": state.features,
         "rows": state.rows,
         "metadata": metadata or {},
@@ -219,5 +278,5 @@ def load_state(spark: SparkSession, path: str) -> FitState:
     document = json.loads(spark.read.text(f"{path}/state").first()[0])
     schema = "value string, freq bigint, column string"
     counts = spark.read.schema(schema).parquet(f"{path}/counts").select("column", "value", "freq")
-    names = ("numeric", "categorical", "medians", "features", "rows", "version")
+    names = ("numeric", "categorical", "medians", "sizes", "features", "rows", "version")
     return FitState(counts=counts, extra=document["metadata"], **{n: document[n] for n in names})

@@ -46,7 +46,12 @@ def model_inputs(features: DataFrame, state: features_v2.FitState) -> list[str]:
 def feature_table(
     labelled: DataFrame, state: features_v2.FitState | None = None
 ) -> tuple[DataFrame, features_v2.FitState]:
-    """Features of all splits with key, label and split, written once for the several models that read it."""
+    """Features of all splits with key, label and split, written once for the several models that read it.
+
+    The labelled rows are written first, a folder per split, so that fitting
+    reads the training rows without repeating the join and the split.
+    """
+    labelled = written(labelled, "labelled", ["split"])
     if state is None:
         train = labelled.where(F.col("split") == "train").drop("split", "score")
         state = features_v2.fit(train)
@@ -198,7 +203,7 @@ def train_pipeline(
 
 def pipeline_dry_run(transactions: DataFrame, identity: DataFrame) -> DataFrame:
     """Join, split and features without training or artifacts: one row per split."""
-    labelled = split_by_time_ratio(enrich_identity(transactions, identity))
+    labelled = written(split_by_time_ratio(enrich_identity(transactions, identity)), "labelled", ["split"])
     train = labelled.where(F.col("split") == "train")
     state = features_v2.fit(train.drop("split", "score"))
     table = features_v2.transform(labelled.drop("score"), state, keep=[ID_COLUMN, TARGET_COLUMN, "split"])
