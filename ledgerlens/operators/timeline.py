@@ -84,7 +84,7 @@ def time_since_previous(
     )
 
 
-def _merge(n1: Column, m1: Column, s1: Column, n2: Column, m2: Column, s2: Column) -> tuple[Column, Column, Column]:
+def merged(n1: Column, m1: Column, s1: Column, n2: Column, m2: Column, s2: Column) -> tuple[Column, Column, Column]:
     """Count, mean and squared deviations of two disjoint parts taken together."""
     n = n1 + n2
     safe = F.when(n == 0, F.lit(1)).otherwise(n).cast("double")
@@ -168,7 +168,7 @@ def past_totals(seconds: DataFrame, *, slice_seconds: int = SLICE_SECONDS) -> Da
         )
     )
     end = F.col("_end")
-    n, mean, m2 = _merge(end["a_n"], end["a_mean"], end["a_m2"], end["n"], end["mean"], end["m2"])
+    n, mean, m2 = merged(end["a_n"], end["a_mean"], end["a_m2"], end["n"], end["mean"], end["m2"])
     per_slice = per_slice.select(
         "_key",
         "_slice",
@@ -184,7 +184,7 @@ def past_totals(seconds: DataFrame, *, slice_seconds: int = SLICE_SECONDS) -> Da
         "_key", "_slice", *[f"b_{c}" for c in ("rows", "n", "mean", "m2", "low", "high", "last")]
     )
     both = inside.join(carried, ["_key", "_slice"], "left")
-    n, mean, m2 = _merge(*[F.col(f"b_{c}") for c in ("n", "mean", "m2")], *[F.col(f"a_{c}") for c in ("n", "mean", "m2")])
+    n, mean, m2 = merged(*[F.col(f"b_{c}") for c in ("n", "mean", "m2")], *[F.col(f"a_{c}") for c in ("n", "mean", "m2")])
     return both.select(
         "_key",
         "_t",

@@ -7,15 +7,17 @@ then needs one carried row per entity: its totals so far.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.timeline import past_totals
+from ledgerlens.operators.timeline import merged, past_totals
 from ledgerlens.session import scratch
 from ledgerlens.sources.files import exists
 from ledgerlens.streaming.sinks import run_each_batch
 
 TOTALS = "_key string, n bigint, rows bigint, mean double, m2 double, low double, high double, last bigint"
+MEASURES = ["rows", "n", "mean", "m2", "low", "high"]
+COMPACT_EVERY = 32  # batches between rewrites of all entities' totals
 
 
 def closed_seconds(stream: DataFrame, key: Column, amount: str, time: str, delay: str) -> DataFrame:
@@ -38,6 +40,28 @@ def closed_seconds(stream: DataFrame, key: Column, amount: str, time: str, delay
     )
 
 
+def _latest(totals: DataFrame) -> DataFrame:
+    """The newest totals of each entity among a base and the deltas after it."""
+    newest = totals.groupBy("_key").agg(F.max_by(F.struct(*MEASURES, "last"), "last").alias("s"))
+    return newest.select("_key", "s.*")
+
+
+def totals_before(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
+    """Totals as they stood before a batch: the last base and the deltas since."""
+    folders = []
+    for earlier in range(batch_id - 1, -1, -1):
+        base = f"{path}/base/batch_id={earlier}"
+        if earlier % COMPACT_EVERY == 0 and exists(spark, base):
+            folders.append(base)
+            break
+        delta = f"{path}/delta/batch_id={earlier}"
+        if exists(spark, delta):
+            folders.append(delta)
+    if not folders:
+        return spark.createDataFrame([], TOTALS)
+    return _latest(spark.read.schema(TOTALS).parquet(*folders))
+
+
 def stream_past_features(
     stream: DataFrame,
     key: Column,
@@ -49,54 +73,46 @@ def stream_past_features(
     """(uid, second): count and mean of earlier amounts and time since the previous second.
 
     The carried totals of an entity enter its batch as one more second at the
-    time they end, so the batch operator itself does the arithmetic. Totals are
-    kept per batch id: a replayed batch starts from the same ones.
+    time they end, so the batch operator itself does the arithmetic. A batch
+    reads and writes the totals of its own entities only, under its batch id: a
+    replayed batch starts from the same totals and replaces its own output.
     """
     spark = stream.sparkSession
     path = path or scratch(spark, "past-features")
 
-    def totals_before(batch_id: int) -> DataFrame:
-        for earlier in range(batch_id - 1, -1, -1):
-            folder = f"{path}/totals/batch_id={earlier}"
-            if exists(spark, folder):
-                return spark.read.schema(TOTALS).parquet(folder)
-        return spark.createDataFrame([], TOTALS)
-
     def handle(batch: DataFrame, batch_id: int) -> None:
-        carried = totals_before(batch_id).select("_key", F.col("last").alias("_t"), *_measures(), F.lit(True).alias("_old"))
+        before = totals_before(spark, path, batch_id)
+        touched = before.join(batch.select("_key").distinct(), "_key", "left_semi")
+        carried = touched.select("_key", F.col("last").alias("_t"), *MEASURES, F.lit(True).alias("_old"))
         seconds = batch.withColumn("_old", F.lit(False)).unionByName(carried)
-        past = past_totals(seconds.drop("_old"))
-        joined = seconds.join(past, ["_key", "_t"])
-        fresh = joined.where(~F.col("_old"))
-        fresh.select(
+        joined = seconds.join(past_totals(seconds.drop("_old")), ["_key", "_t"])
+        joined.where(~F.col("_old")).select(
             F.col("_key").alias("uid"),
             F.col("_t").alias(time),
             "past_rows",
             F.when(F.col("past_n") > 0, F.col("past_mean")).alias("past_mean"),
             (F.col("_t") - F.col("past_last")).alias("seconds_since_previous"),
         ).write.mode("overwrite").parquet(f"{path}/features/batch_id={batch_id}")
-        n = F.col("past_n") + F.col("n")
-        safe = F.when(n == 0, F.lit(1)).otherwise(n)
-        gap = F.col("mean") - F.col("past_mean")
+
+        n, mean, m2 = merged(
+            *[F.col(c) for c in ("past_n", "past_mean", "past_m2")], *[F.col(c) for c in ("n", "mean", "m2")]
+        )
         state = joined.select(
             "_key",
-            "_t",
-            n.alias("n"),
             (F.col("past_rows") + F.col("rows")).alias("rows"),
-            (F.col("past_mean") + gap * F.col("n") / safe).alias("mean"),
-            (F.col("past_m2") + F.col("m2") + gap * gap * F.col("past_n") * F.col("n") / safe).alias("m2"),
+            n.alias("n"),
+            mean.alias("mean"),
+            m2.alias("m2"),
             F.least("low", "past_low").alias("low"),
             F.greatest("high", "past_high").alias("high"),
+            F.col("_t").alias("last"),
         )
-        newest = state.groupBy("_key").agg(F.max_by(F.struct("n", "rows", "mean", "m2", "low", "high", "_t"), "_t").alias("s"))
-        newest.select("_key", "s.n", "s.rows", "s.mean", "s.m2", "s.low", "s.high", F.col("s._t").alias("last")).write.mode(
-            "overwrite"
-        ).parquet(f"{path}/totals/batch_id={batch_id}")
+        order = [f.name for f in before.schema.fields]
+        _latest(state).select(*order).write.mode("overwrite").parquet(f"{path}/delta/batch_id={batch_id}")
+        if batch_id and batch_id % COMPACT_EVERY == 0:
+            base = totals_before(spark, path, batch_id + 1).select(*order)
+            base.write.mode("overwrite").parquet(f"{path}/base/batch_id={batch_id}")
 
     run_each_batch(closed_seconds(stream, key, amount, time, delay), "past-features", handle)
     schema = f"uid string, {time} bigint, past_rows bigint, past_mean double, seconds_since_previous bigint"
     return spark.read.schema(schema).parquet(f"{path}/features/batch_id=*")
-
-
-def _measures() -> list[str]:
-    return ["rows", "n", "mean", "m2", "low", "high"]

@@ -12,18 +12,32 @@ from ledgerlens.session import scratch
 ATTEMPTS = 3
 
 
-def _run(start: Callable, attempts: int = ATTEMPTS) -> None:
-    """Start and await a query; a failed one restarts from its checkpoint."""
+def _run(start: Callable, attempts: int = ATTEMPTS, report: dict | None = None) -> None:
+    """Start and await a query; a failed one restarts from its checkpoint.
+
+    ``report`` receives the number of rows that came after the watermark had
+    passed them and were dropped by the stateful operators.
+    """
     for attempt in range(1, attempts + 1):
+        query = start()
         try:
-            start().awaitTermination()
+            query.awaitTermination()
+            if report is not None:
+                states = [s for p in query.recentProgress for s in p["stateOperators"]]
+                report["late_rows"] = sum(s["numRowsDroppedByWatermark"] for s in states)
             return
         except StreamingQueryException:
             if attempt == attempts:
                 raise
 
 
-def run_to_parquet(stream: DataFrame, name: str, path: str | None = None, checkpoint: str | None = None) -> DataFrame:
+def run_to_parquet(
+    stream: DataFrame,
+    name: str,
+    path: str | None = None,
+    checkpoint: str | None = None,
+    report: dict | None = None,
+) -> DataFrame:
     """Drain the source into an append-mode Parquet table (exactly once by the sink's log) and read it."""
     spark = stream.sparkSession
     path = path or scratch(spark, name)
@@ -33,7 +47,7 @@ def run_to_parquet(stream: DataFrame, name: str, path: str | None = None, checkp
         writer = stream.writeStream.format("parquet").outputMode("append").option("path", path)
         return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
-    _run(start)
+    _run(start, report=report)
     return spark.read.schema(stream.schema).parquet(path)
 
 

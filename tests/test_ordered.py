@@ -7,6 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from ledgerlens.operators import ordered
+from ledgerlens.session import written
 
 
 @pytest.fixture
@@ -62,8 +63,32 @@ def test_running_totals_over_text_ranges(spark):
 def test_values_at_ranks(spark, values, task_rows):
     df = spark.createDataFrame([(v,) for v in values], "v bigint")
     ranks = [0, len(values) // 2, len(values) - 1]
-    found = ordered.values_at_ranks(df, "v", ranks, len(values), task_rows=task_rows)
+    counts = written(ordered.value_counts(df, [], "v"), "counts")
+    found = ordered.values_at_ranks(counts, "v", ranks, task_rows=task_rows)
     expected = sorted(values)
     for rank, (value, below) in zip(ranks, found):
         assert value == expected[rank]
         assert below == sum(v < value for v in values)
+
+
+def test_brackets_that_miss_fall_back_to_all_values(spark, skewed, monkeypatch):
+    df = spark.createDataFrame(skewed[["value"]])
+    good = ordered._brackets(df, ["value"], [0.5])
+    monkeypatch.setattr(ordered, "_brackets", lambda *_: [(c, i, n, -2.0, -1.0) for c, i, n, _, _ in good])
+    found = ordered.column_quantiles(df, ["value"], [0.5], task_rows=50).first()["quantiles"]
+    assert np.allclose(found, skewed["value"].quantile([0.5]))
+
+
+def test_heavy_keys_in_lookups(spark, skewed):
+    from pyspark.sql import functions as F
+
+    from ledgerlens.operators.enrich import lookup_map
+
+    df = spark.createDataFrame(skewed).withColumn("key", F.when(F.col("key") != "k3", F.col("key")))
+    table = df.groupBy("key").agg(F.count(F.lit(1)).alias("freq")).where("NOT (key <=> 'k5')")
+    values = {"n": ("freq", F.lit(0))}
+    plain = lookup_map(df, F.col("key"), table, "key", values)
+    split = lookup_map(df, F.col("key"), table, "key", values, rows="freq", task_rows=60)
+    assert sorted(map(str, plain.collect())) == sorted(map(str, split.collect()))
+    assert plain.where("key = 'k5'").agg(F.max("n")).first()[0] == 0
+    assert plain.where("key IS NULL").agg(F.min("n")).first()[0] > 0

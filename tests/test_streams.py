@@ -51,7 +51,9 @@ def test_bad_messages_are_marked(spark, folder):
     assert table.where("_bad").count() == 18
 
 
-def test_past_features_equal_batch(spark, folder):
+@pytest.mark.parametrize("compact_every", [32, 2])
+def test_past_features_equal_batch(spark, folder, monkeypatch, compact_every):
+    monkeypatch.setattr(history, "COMPACT_EVERY", compact_every)
     good = events.good_events(stream(spark, folder))
     streamed = history.stream_past_features(good, uid(), delay="10 minutes")
     rows = spark.createDataFrame(messages(), events.TRANSACTION_SCHEMA)
@@ -115,3 +117,21 @@ def test_histogram_quantile(spark):
         windows.histogram_quantile(0.5, [1.0], [F.lit(0)], F.lit(0)).alias("empty"),
     ).first()
     assert tuple(row) == (1.5, 2.0, None)
+
+
+def test_late_rows_are_counted(spark, tmp_path):
+    path = tmp_path / "late"
+    path.mkdir()
+    import os
+
+    for i, seconds in enumerate([0, 5000, 5001, 10]):  # the last file comes after the watermark passed it
+        row = {"TransactionID": i, "TransactionDT": 86400 + seconds, "TransactionAmt": 1.0, "card1": 1, "addr1": 1}
+        file = path / f"{i}.txt"
+        file.write_text(json.dumps(row) + "\n")
+        os.utime(file, (1_000_000 + i, 1_000_000 + i))
+    good = events.good_events(stream(spark, str(path))).withColumns(
+        {"ts": F.timestamp_seconds("TransactionDT"), "status": F.lit("success")}
+    )
+    report = {}
+    run_to_parquet(windows.request_rate(good, ["status"]), "late-rate", report=report)
+    assert report["late_rows"] == 1
