@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ledgerlens.catalog import views
 from ledgerlens.catalog.helpers import UID, rounded
 from ledgerlens.catalog.registry import query
-from ledgerlens.operators import encoding, splits, timeline
+from ledgerlens.operators import encoding, median, splits, timeline
 from ledgerlens.operators.policy import best_row
 
 W = f"OVER (PARTITION BY {UID} ORDER BY TransactionDT, TransactionID)"
@@ -69,6 +69,26 @@ def _(spark, sf_dir):
     return rounded(past.select("TransactionID", *[shown.get(c, F.col(c)).alias(c) for c in names]))
 
 
+@query(
+    "past_history_median",
+    "SELECT TransactionID, "
+    + ", ".join(
+        f"round(median(TransactionAmt) OVER (PARTITION BY {k} ORDER BY TransactionDT "
+        f"RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1e-9, 6) AS {p}_past_median"
+        for p, k in KEYS.items()
+    )
+    + " FROM txn",
+    ["txn"],
+)
+def _(spark, sf_dir):
+    rows = views.txn(spark, sf_dir).select("TransactionID", "TransactionDT", "TransactionAmt", "card1", "addr1")
+    for prefix, key in timeline.history_keys().items():
+        rows = median.past_history_median(rows, key, name=f"{prefix}_past_median")
+    names = [f"{p}_past_median" for p in KEYS]
+    # Half a cent lies between two roundings of six places only by chance of its bits: step off the tie.
+    return rounded(rows.select("TransactionID", *[(F.col(c) + 1e-9).alias(c) for c in names]))
+
+
 @query(
     "time_since_previous",
     f"SELECT TransactionID, TransactionDT - lag(TransactionDT) {W} AS time_since_previous_uid_transaction FROM txn",

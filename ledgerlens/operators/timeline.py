@@ -97,6 +97,10 @@ def _text_key(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit("nan"))
 
 
+def history_keys() -> dict[str, Column]:
+    return {"uid": uid(), "card1": _text_key("card1"), "addr1": _text_key("addr1")}
+
+
 def second_totals(df: DataFrame, key: Column, time: str, amount: str) -> DataFrame:
     """(entity, second): rows, known amounts, mean, squared deviations, min, max."""
     return (
@@ -222,7 +226,7 @@ def past_history_features(
     slice_seconds: int = SLICE_SECONDS,
 ) -> DataFrame:
     """Count, mean, std, min, max and deviation of amounts of strictly earlier seconds, per key."""
-    keys = keys or {"uid": uid(), "card1": _text_key("card1"), "addr1": _text_key("addr1")}
+    keys = keys or history_keys()
     result = df
     for prefix, key in keys.items():
         past = past_totals(second_totals(df, key, time, amount), slice_seconds=slice_seconds)

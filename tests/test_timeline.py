@@ -3,8 +3,9 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
-from ledgerlens.operators import timeline
+from ledgerlens.operators import median, timeline
 
 
 @pytest.fixture
@@ -60,3 +61,19 @@ def test_rolling_history_equals_brute_force(spark, frame):
         assert found.loc[row.TransactionID].uid_count_60s == len(inside)
         total = inside.TransactionAmt.sum(min_count=1)
         assert np.isclose(float(found.loc[row.TransactionID].uid_sum_60s), total, equal_nan=True)
+
+
+@pytest.mark.parametrize("small_entity", [50_000, 25, 5])
+def test_past_median_equals_brute_force(spark, frame, small_entity):
+    rows = _spark(spark, frame).withColumn("TransactionDT", F.expr("IF(TransactionID % 9 = 0, 777, TransactionDT)"))
+    rows = rows.withColumn("TransactionAmt", F.expr("IF(TransactionID % 4 = 0, 12.5, TransactionAmt)"))
+    found = median.past_history_median(rows, small_entity=small_entity).toPandas().set_index("TransactionID")
+    frame = frame.assign(
+        TransactionDT=np.where(frame.TransactionID % 9 == 0, 777, frame.TransactionDT),
+        TransactionAmt=np.where(frame.TransactionID % 4 == 0, 12.5, frame.TransactionAmt),
+    )
+    assert len(found) == len(frame)
+    for row in frame.itertuples():
+        same = (frame.card1 == row.card1) & (frame.addr1 == row.addr1)
+        earlier = frame[same & (frame.TransactionDT < row.TransactionDT)].TransactionAmt.median()
+        assert np.isclose(float(found.loc[row.TransactionID].uid_past_median), earlier, equal_nan=True)
