@@ -8,6 +8,7 @@ from ledgerlens.catalog import views
 from ledgerlens.catalog.helpers import JOINED, joined, rounded
 from ledgerlens.catalog.registry import query
 from ledgerlens.operators import curves, missed, policy
+from ledgerlens.session import written
 
 G = ["candidate", "split"]
 
@@ -312,7 +313,7 @@ SUMMARY = ["roc_auc", "pr_auc", "precision", "recall", "f1_score", "alert_rate"]
 
 
 def _halves(spark, sf_dir, threshold, ranking=True):
-    metrics = policy.metrics_at_threshold(_scored(spark, sf_dir), threshold, G, ranking=ranking)
+    metrics = written(policy.metrics_at_threshold(_scored(spark, sf_dir), threshold, G, ranking=ranking), "metrics")
     return [metrics.where(F.col("split") == s).drop("split") for s in ("validation", "test")]
 
 

@@ -63,7 +63,7 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     rows = views.txn(spark, sf_dir)
-    state = encoding.frequency_fit(rows, ["card2", "card4"])
+    state = written(encoding.frequency_fit(rows, ["card2", "card4"]), "frequencies", ["column"])
     return encoding.frequency_encode(rows, state, ["card2", "card4"]).select("TransactionID", "card2_freq", "card4_freq")
 
 

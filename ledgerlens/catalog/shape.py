@@ -12,6 +12,7 @@ from ledgerlens.functions import expressions as E
 from ledgerlens.functions.requests import extract_request_fields, route_counts
 from ledgerlens.operators import encoding, guards, missed
 from ledgerlens.operators.splits import sort_by_time
+from ledgerlens.session import written
 from ledgerlens.sources import events
 from ledgerlens.streaming.sinks import run_to_parquet
 
@@ -199,7 +200,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     rows = views.txn(spark, sf_dir)
     early = rows.where("TransactionDT < 43200 AND NOT (card4 <=> 'discover')")
-    vocabulary = encoding.category_vocab_fit(early, ["card1", "card4"])
+    vocabulary = written(encoding.category_vocab_fit(early, ["card1", "card4"]), "vocabulary", ["column"])
     return encoding.categorical_fill(rows.select("TransactionID", "card1", "card4"), ["card1", "card4"], vocabulary)
 
 

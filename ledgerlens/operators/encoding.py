@@ -10,6 +10,8 @@ from ledgerlens.operators.enrich import lookup_map
 from ledgerlens.operators.ordered import column_quantiles, group_quantiles, largest_group, running_totals
 from ledgerlens.session import TASK_ROWS
 
+BROADCAST_VALUES = 200_000  # fitted values of one column: some 20 MB of text and counts
+
 
 def frequency_fit(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column, value, freq) for every value of every column; null is a value with a count.
@@ -20,11 +22,24 @@ def frequency_fit(df: DataFrame, columns: list[str]) -> DataFrame:
     return stacked.groupBy("column", "value").agg(F.count(F.lit(1)).alias("freq"))
 
 
+def value_sizes(state: DataFrame) -> dict[str, int]:
+    """Fitted values per column of a written state table: one number per column."""
+    return {r["column"]: r["n"] for r in state.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
 def frequency_encode(df: DataFrame, state: DataFrame, columns: list[str], suffix: str = "_freq") -> DataFrame:
-    """Attach ``<column><suffix>`` counts; unseen values get 0."""
+    """Attach ``<column><suffix>`` counts from a written state table; unseen values get 0.
+
+    A column counted to have few values is broadcast; a larger one is shuffled
+    with its heaviest values set apart.
+    """
+    sizes = value_sizes(state)
     for c in columns:
-        fitted = state.where(F.col("column") == c)
-        df = lookup_map(df, F.col(c), fitted, "value", {f"{c}{suffix}": ("freq", F.lit(0))}, rows="freq")
+        fitted = state.where(F.col("column") == c).select("value", "freq")
+        small = sizes.get(c, 0) <= BROADCAST_VALUES
+        fitted, heavy = (F.broadcast(fitted), None) if small else (fitted, "freq")
+        counts = {f"{c}{suffix}": ("freq", F.lit(0))}
+        df = lookup_map(df, F.col(c).cast("string"), fitted, "value", counts, rows=heavy)
     return df
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.expressions import amount_band, hour_band, missing_band, ratio, text
+from ledgerlens.session import written
 
 # The columns rows are grouped by.
 GROUP_COLUMNS = [
@@ -94,7 +95,9 @@ def top_fn_groups(flagged: DataFrame, columns: list[str] | None = None, top_n: i
         )
         .where(F.col("false_negatives") > 0)
     )
-    total = flags.agg(F.sum("_fn")).scalar()
+    # Every row is in one group of each column, so one column's groups hold the total.
+    groups = written(groups, "missed-groups")
+    total = groups.where(F.col("group_column") == present[0]).agg(F.sum("false_negatives")).scalar()
     rated = groups.select(
         "*",
         ratio(F.col("false_negatives"), F.col("fraud_count")).alias("missed_fraud_rate"),

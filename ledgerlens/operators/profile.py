@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.expressions import day, hour, is_numeric, number, ratio
 from ledgerlens.operators.guards import ID_COLUMN, TARGET_COLUMN, TIME_COLUMN, column_groups
 from ledgerlens.operators.ordered import column_quantiles, quantiles_from_counts
-from ledgerlens.session import TASK_ROWS
+from ledgerlens.session import TASK_ROWS, written
 
 NEAR_CONSTANT = 0.99
 MANY_VALUES = 100
@@ -72,11 +72,10 @@ def missing_signal_strength(
 
 
 def _stacked_counts(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(column, value, rows) with null as a value; counted before the shuffle."""
+    """(column, value, rows) with null as a value; counted before the shuffle, written once for its readers."""
     texts = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
-    return texts.unpivot([], columns, "column", "value").groupBy("column", "value").agg(
-        F.count(F.lit(1)).alias("rows")
-    )
+    counts = texts.unpivot([], columns, "column", "value").groupBy("column", "value")
+    return written(counts.agg(F.count(F.lit(1)).alias("rows")), "stacked-counts")
 
 
 def numeric_audit(df: DataFrame, columns: list[str], *, task_rows: int = TASK_ROWS) -> DataFrame:
@@ -251,7 +250,8 @@ def describe(df: DataFrame, column: str, *, task_rows: int = TASK_ROWS) -> DataF
         F.max(column).alias("max"),
     )
     q = [F.try_element_at("quantiles", F.lit(i)) for i in (1, 2, 3)]
-    return basic.join(quartiles, "column").select(
+    one = basic.withColumn("quantiles", quartiles.select("quantiles").scalar())
+    return one.select(
         "column", "count", "mean", "std", "min", q[0].alias("q25"), q[1].alias("q50"), q[2].alias("q75"), "max"
     )
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions.expressions import MISSING, UNKNOWN, day, hour, is_numeric
 from ledgerlens.operators.encoding import (
+    BROADCAST_VALUES,
     FLAGGED_COLUMNS,
     categorical_fill,
     identity_missingness,
@@ -52,7 +53,6 @@ FREQUENCY_COLUMNS = [
 FREQUENCY_UNSEEN = 0
 INLINE_VALUES = 1_000  # values of one column that may stand in a plan as a set
 INLINE_COUNTS = 64  # values of one column that may stand in a plan as a map, most frequent first
-BROADCAST_VALUES = 200_000  # fitted values of one column: some 20 MB of text and counts
 INTERACTION_TEXTS = [
     "ProductCD_DeviceType_missing_interaction",
     "ProductCD_DeviceInfo_missing_interaction",

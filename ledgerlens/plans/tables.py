@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.expressions import day, hour, uid
+from ledgerlens.functions.expressions import day, hour, ratio, uid
 from ledgerlens.operators.drift import dedup_rows
 from ledgerlens.operators.encoding import (
     amount_totals,
@@ -17,7 +17,7 @@ from ledgerlens.operators.encoding import (
 )
 from ledgerlens.operators.enrich import enrich_identity
 from ledgerlens.operators.guards import apply_threshold, drop_all_null_columns
-from ledgerlens.operators.policy import metrics_at_threshold
+from ledgerlens.operators.policy import checked, rate_columns
 from ledgerlens.operators.timeline import uid_time_gaps
 from ledgerlens.session import written
 
@@ -47,12 +47,22 @@ def entity_risk_metrics(
     transactions: DataFrame, identity: DataFrame, threshold: float = 0.20, group: str = "ProductCD"
 ) -> DataFrame:
     """Scan to answer: enrich, fit and attach entity statistics, decide, and rate the decisions per group."""
-    joined = enrich_identity(transactions, identity)
-    stats = uid_stats_fit(joined)
-    mean, std = amount_totals(joined)
-    decided = apply_threshold(uid_stats_apply(joined, stats, mean, std), threshold)
-    rated = metrics_at_threshold(decided, threshold, [group], "isFraud", "score", ranking=False)
-    spread = decided.groupBy(group).agg(
-        F.avg("uid_amt_deviation").alias("mean_deviation"), F.sum("uid_txn_count").alias("entity_rows")
+    # The join keeps the rows, so what is fitted on the transactions alone is the same and cheaper.
+    stats = written(uid_stats_fit(transactions), "uid-stats")
+    mean, std = amount_totals(transactions)
+    enriched = uid_stats_apply(enrich_identity(transactions, identity), stats, mean, std)
+    decided = apply_threshold(checked(enriched, "isFraud", "score"), threshold)
+    hit, fraud = F.col("fraud_prediction") == 1, F.col("isFraud") == 1
+    rated = decided.groupBy(group).agg(
+        F.count_if(~hit & ~fraud).alias("tn"),
+        F.count_if(hit & ~fraud).alias("fp"),
+        F.count_if(~hit & fraud).alias("fn"),
+        F.count_if(hit & fraud).alias("tp"),
+        F.avg("uid_amt_deviation").alias("mean_deviation"),
+        F.sum("uid_txn_count").alias("entity_rows"),
+    )
+    tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
+    accuracy = ratio(tp + tn, tp + tn + fp + fn)
+    return rated.withColumns(
+        {"accuracy": accuracy, **rate_columns(tp, fp, fn, tn), "threshold": F.lit(float(threshold))}
     )
-    return rated.join(spread, group)
