@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ledgerlens.catalog import views
 from ledgerlens.catalog.helpers import JOINED, UID, joined, rounded, train_rows
 from ledgerlens.catalog.registry import query
-from ledgerlens.catalog.sources import MESSAGE_SQL, READABLE, message_stream
+from ledgerlens.catalog.sources import MESSAGE_SQL, READABLE, message_stream, messages
 from ledgerlens.functions import expressions as E
 from ledgerlens.functions.requests import extract_request_fields, route_counts
 from ledgerlens.operators import encoding, guards, missed
@@ -315,11 +315,7 @@ def _(spark, sf_dir):
 
 @query("parse_event_json", f"{MESSAGE_SQL} {READABLE}", ["txn"])
 def _(spark, sf_dir):
-    rows = views.txn(spark, sf_dir).select(*[f.name for f in events.TRANSACTION_SCHEMA.fields])
-    messages = events.to_messages(rows)
-    key = F.get_json_object("value", "$.TransactionID").cast("bigint")
-    broken = F.when(key % 100 == 99, F.concat(F.lit("{oops "), F.col("value"))).when(key % 101 == 100, "null")
-    return events.good_events(events.parse_event_json(messages.select(F.coalesce(broken, F.col("value")).alias("value"))))
+    return events.good_events(events.parse_event_json(messages(views.txn(spark, sf_dir), "null")))
 
 
 @query(

@@ -101,13 +101,15 @@ MESSAGE_SQL = (
 )
 
 
+def messages(rows, empty=""):
+    """Transaction messages; every hundredth one is broken, every 101st empty."""
+    text, key = F.to_json(F.struct(*MESSAGE_COLUMNS)), F.col("TransactionID")
+    broken = F.when(key % 100 == 99, F.concat(F.lit("{oops "), text)).when(key % 101 == 100, F.lit(empty))
+    return rows.select(broken.otherwise(text).alias("value"))
+
+
 def message_stream(spark, sf_dir):
-    """Transaction messages as a stream; every hundredth one is broken, every 101st empty."""
-    rows = views.as_txn(views.event_stream(spark, sf_dir))
-    messages = events.to_messages(rows.select("TransactionID", *MESSAGE_COLUMNS[1:]))
-    key = F.get_json_object("value", "$.TransactionID").cast("bigint")
-    broken = F.when(key % 100 == 99, F.concat(F.lit("{oops "), F.col("value"))).when(key % 101 == 100, "")
-    return messages.select(F.coalesce(broken, F.col("value")).alias("value"))
+    return messages(views.as_txn(views.event_stream(spark, sf_dir)))
 
 
 READABLE = "WHERE TransactionID % 100 <> 99 AND TransactionID % 101 <> 100"

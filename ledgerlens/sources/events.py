@@ -36,8 +36,9 @@ def parse_event_json(
     )
     rest = [c for c in messages.columns if c != value]
     empty = F.col(value).isNull() | (F.trim(F.col(value).cast("string")).isin("", "null"))
+    # A one-element explode keeps later filters above the parse; pushed below it they would parse again.
     return (
-        messages.withColumn("_parsed", parsed)
+        messages.withColumn("_parsed", F.explode(F.array(parsed)))
         .withColumn("_bad", empty | F.col("_parsed").isNull() | F.col("_parsed._corrupt").isNotNull())
         .select(*rest, *[F.col("_parsed")[f.name].alias(f.name) for f in schema.fields], "_bad")
     )
