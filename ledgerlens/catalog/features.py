@@ -50,7 +50,7 @@ def _(spark, sf_dir):
 TAIL_SQL = """, 0 AS uid_time_to_next, 0 AS uid_time_from_prev, coalesce(st.n, 1) AS uid_txn_count,
     round(coalesce(st.m, gm), 6) AS uid_amt_mean, round(coalesce(st.s, gs), 6) AS uid_amt_std,
     round(coalesce(st.d, gm), 6) AS uid_amt_median,
-    round((t.TransactionAmt - coalesce(st.m, gm)) / (coalesce(st.s, gs) + 1e-6), 6) AS uid_amt_deviation"""
+    round((t.TransactionAmt - coalesce(st.m, gm)) / (coalesce(st.s, gs) + 1e-6), 2) AS uid_amt_deviation"""
 
 
 @query(
@@ -62,7 +62,8 @@ TAIL_SQL = """, 0 AS uid_time_to_next, 0 AS uid_time_from_prev, coalesce(st.n, 1
 def _(spark, sf_dir):
     rows = views.txn(spark, sf_dir).drop("score")
     state = features_v1.fit(rows.where(SPARK_TRAIN))
-    return rounded(features_v1.transform(rows.where(LATER), state, state.contract, key="TransactionID"))
+    features = features_v1.transform(rows.where(LATER), state, state.contract, key="TransactionID")
+    return rounded(features, uid_amt_deviation=2)
 
 
 CATEGORIES = [

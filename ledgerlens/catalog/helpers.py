@@ -15,18 +15,24 @@ UID = "coalesce(CAST(card1 AS VARCHAR), 'nan') || '_' || coalesce(CAST(addr1 AS
 JOINED = "SELECT t.*, i.* EXCLUDE (TransactionID) FROM txn t LEFT JOIN ident i USING (TransactionID)"
 
 
-def rounded(df: DataFrame, places: int = 6) -> DataFrame:
-    """All doubles rounded: their last digits depend on the order of summation."""
+def rounded(df: DataFrame, places: int = 6, **other_places: int) -> DataFrame:
+    """All doubles rounded: their last digits depend on the order of summation.
+
+    ``other_places`` is for columns of large numbers, which have fewer digits after the point.
+    """
     return df.select(
         *[
-            F.round(F.col(f"`{f.name}`"), places).alias(f.name) if f.dataType.typeName() in ("double", "float") else F.col(f"`{f.name}`")
+            F.round(F.col(f"`{f.name}`"), other_places.get(f.name, places)).alias(f.name)
+            if f.dataType.typeName() in ("double", "float")
+            else F.col(f"`{f.name}`")
             for f in df.schema.fields
         ]
     )
 
 
-def longs(df: DataFrame, *columns: str) -> DataFrame:
-    return df.withColumns({c: F.col(c).cast("bigint") for c in columns})
+def off_ties(df: DataFrame, *columns: str) -> DataFrame:
+    """A hair added where exact values can lie between two roundings (the SQL does the same)."""
+    return df.withColumns({c: F.col(c) + 1e-9 for c in columns})
 
 
 def joined(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -92,7 +92,7 @@ def _(spark, sf_dir):
     "stream_static_enrich",
     f"""SELECT TransactionID, coalesce(n, 1) AS uid_txn_count, round(coalesce(m, gm), 6) AS uid_amt_mean,
                round(coalesce(s, gs), 6) AS uid_amt_std, round(coalesce(d, gm), 6) AS uid_amt_median,
-               round((TransactionAmt - coalesce(m, gm)) / (coalesce(s, gs) + 1e-6), 6) AS uid_amt_deviation
+               round((TransactionAmt - coalesce(m, gm)) / (coalesce(s, gs) + 1e-6), 2) AS uid_amt_deviation
         FROM (SELECT *, {UID} AS uid FROM txn) t LEFT JOIN st USING (uid) CROSS JOIN g""",
     ["txn"],
     {
@@ -108,6 +108,6 @@ def _(spark, sf_dir):
     mean, std = encoding.amount_totals(train)
     stream = views.as_txn(views.event_stream(spark, sf_dir))
     table = run_to_parquet(stream_static_enrich(stream, stats, mean, std), "enriched")
-    return rounded(table.select("TransactionID", *encoding.UID_STATS, "uid_amt_deviation"))
+    return rounded(table.select("TransactionID", *encoding.UID_STATS, "uid_amt_deviation"), uid_amt_deviation=2)
 
 

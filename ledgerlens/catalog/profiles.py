@@ -82,7 +82,7 @@ def _(spark, sf_dir):
     "uid_stats_apply",
     f"""SELECT TransactionID, coalesce(n, 1) AS uid_txn_count, round(coalesce(m, gm), 6) AS uid_amt_mean,
                round(coalesce(s, gs), 6) AS uid_amt_std, round(coalesce(d, gm), 6) AS uid_amt_median,
-               round((TransactionAmt - coalesce(m, gm)) / (coalesce(s, gs) + 1e-6), 6) AS uid_amt_deviation
+               round((TransactionAmt - coalesce(m, gm)) / (coalesce(s, gs) + 1e-6), 2) AS uid_amt_deviation
         FROM (SELECT *, {UID} AS uid FROM txn) t LEFT JOIN st USING (uid) CROSS JOIN g WHERE NOT ({TRAIN})""",
     ["txn"],
     {
@@ -96,7 +96,8 @@ def _(spark, sf_dir):
     train = train_rows(rows)
     mean, std = encoding.amount_totals(train)
     applied = encoding.uid_stats_apply(later_rows(rows), encoding.uid_stats_fit(train), mean, std)
-    return rounded(applied.select("TransactionID", *encoding.UID_STATS, "uid_amt_deviation"))
+    # An entity with one training row has no spread: its deviations are millions, so 2 places.
+    return rounded(applied.select("TransactionID", *encoding.UID_STATS, "uid_amt_deviation"), uid_amt_deviation=2)
 
 
 @query(
@@ -160,12 +161,12 @@ MERGED = [
 @query(
     "missing_summary",
     'SELECT "column", count(*) FILTER (WHERE value IS NULL) AS missing_count, '
-    "round(count(*) FILTER (WHERE value IS NULL) * 100.0 / count(*), 2) AS missing_percent FROM st GROUP BY 1",
+    "round(count(*) FILTER (WHERE value IS NULL) * 100.0 / count(*), 6) AS missing_percent FROM st GROUP BY 1",
     ["txn", "ident"],
     {"j": JOINED, "st": _stack(MERGED, "j")},
 )
 def _(spark, sf_dir):
-    return profile.missing_summary(joined(spark, sf_dir)).drop("dtype")
+    return profile.missing_summary(joined(spark, sf_dir), digits=6).drop("dtype")
 
 
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
@@ -174,13 +175,13 @@ ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_
 @query(
     "missing_summary_orders",
     'SELECT "column", count(*) FILTER (WHERE value IS NULL) AS missing_count, '
-    "round(count(*) FILTER (WHERE value IS NULL) * 100.0 / count(*), 2) AS missing_percent FROM st GROUP BY 1",
+    "round(count(*) FILTER (WHERE value IS NULL) * 100.0 / count(*), 6) AS missing_percent FROM st GROUP BY 1",
     None,
     {"st": _stack(ORDER_COLUMNS, "orders")},
 )
 def _(spark, sf_dir):
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(*ORDER_COLUMNS)
-    return profile.missing_summary(orders).drop("dtype")
+    return profile.missing_summary(orders, digits=6).drop("dtype")
 
 
 SIGNAL = [c for c in MERGED if c != "isFraud"]

@@ -53,8 +53,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     root = scratch(spark, "lake")
     rows = views.txn(spark, sf_dir).withColumn("day", F.floor(F.col("TransactionDT") / 86400).cast("int"))
-    # One shuffle by day: each day's rows go to few files, however many tasks read the source.
-    files.write_zone(rows.repartition("day"), root, "curated", "transactions", ["day"])
+    files.write_zone(rows, root, "curated", "transactions", ["day"])
     table = files.read_zone(spark, root, "curated", "transactions")
     return table.groupBy("ProductCD", "day").agg(F.count(F.lit(1)).alias("n"))
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.catalog import views
-from ledgerlens.catalog.helpers import UID, rounded
+from ledgerlens.catalog.helpers import UID, off_ties, rounded
 from ledgerlens.catalog.registry import query
 from ledgerlens.catalog.sources import READABLE, message_stream
 from ledgerlens.functions.expressions import uid
@@ -77,7 +77,7 @@ def _quantile_sql(q: float, name: str) -> str:
         f"WHEN {upto} >= {q} * requests THEN {low!r} + {high - low!r} * ({q} * requests - {before}) / ({upto} - {before})"
         for (low, before), (high, upto) in pairwise(steps)
     )
-    return f"round(CASE {cases} ELSE {bounds[-1]!r} END, 6) AS {name}"
+    return f"round(CASE {cases} ELSE {bounds[-1]!r} END + 1e-9, 6) AS {name}"
 
 
 @query(
@@ -90,7 +90,8 @@ def _quantile_sql(q: float, name: str) -> str:
     ["prediction_log"],
 )
 def _(spark, sf_dir):
-    return _plain(run_to_parquet(windows.latency_quantiles(_log(spark, sf_dir)), "latency"))
+    table = run_to_parquet(windows.latency_quantiles(_log(spark, sf_dir)), "latency")
+    return _plain(off_ties(table, "p50", "p95", "p99"))
 
 
 SIZES = {"15 minutes": 900, "1 hour": 3600, "24 hours": 86400}
@@ -173,7 +174,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     stream = views.as_txn(views.event_stream(spark, sf_dir))
     past = history.stream_past_features(stream, uid())
-    return rounded(past.withColumn("past_mean", F.col("past_mean") + 1e-9))
+    return rounded(off_ties(past, "past_mean"))
 
 
 CHECKED = ["TransactionAmt", "card2", "addr1", "ProductCD"]

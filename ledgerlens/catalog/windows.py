@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerlens.catalog import views
-from ledgerlens.catalog.helpers import UID, rounded
+from ledgerlens.catalog.helpers import UID, off_ties, rounded
 from ledgerlens.catalog.registry import query
 from ledgerlens.operators import encoding, median, splits, timeline
 from ledgerlens.operators.policy import best_row
@@ -63,10 +63,9 @@ def _(spark, sf_dir):
     past = timeline.past_history_features(views.txn(spark, sf_dir))
     names = [c for c in past.columns if "_past_" in c]
     # A single earlier amount has no spread: the deviation is the gap times a million, so 2 places.
-    # Means of cents over 2^k rows lie exactly between two roundings: both sides step off the tie.
-    shown = {c: F.round(c, 2) for c in names if c.endswith("deviation")}
-    shown |= {c: F.col(c) + 1e-9 for c in names if c.endswith("mean")}
-    return rounded(past.select("TransactionID", *[shown.get(c, F.col(c)).alias(c) for c in names]))
+    shown = past.select("TransactionID", *names)
+    means = [c for c in names if c.endswith("mean")]
+    return rounded(off_ties(shown, *means), **{c: 2 for c in names if c.endswith("deviation")})
 
 
 @query(
@@ -85,8 +84,7 @@ def _(spark, sf_dir):
     for prefix, key in timeline.history_keys().items():
         rows = median.past_history_median(rows, key, name=f"{prefix}_past_median")
     names = [f"{p}_past_median" for p in KEYS]
-    # Half a cent lies between two roundings of six places only by chance of its bits: step off the tie.
-    return rounded(rows.select("TransactionID", *[(F.col(c) + 1e-9).alias(c) for c in names]))
+    return rounded(off_ties(rows.select("TransactionID", *names), *names))
 
 
 @query(

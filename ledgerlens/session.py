@@ -65,8 +65,9 @@ def written(df: DataFrame, name: str, partition_by: list[str] | None = None) ->
     executors, and gives the planner true file sizes for its broadcast choice.
     """
     path = scratch(df.sparkSession, name)
-    writer = df.write
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+        # AQE gives each folder few files and splits a folder that is too large for one task.
+        df.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

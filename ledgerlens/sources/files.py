@@ -66,9 +66,14 @@ def read_zone(spark: SparkSession, root: str, zone: str, table: str) -> DataFram
 def write_zone(
     df: DataFrame, root: str, zone: str, table: str, partition_by: list[str] | None = None
 ) -> str:
-    """Overwrite a zone table as Parquet; give ``partition_by`` (e.g. the day) for large facts."""
+    """Overwrite a zone table as Parquet; give ``partition_by`` (e.g. the day) for large facts.
+
+    Rows are rebalanced by the partition columns first: few files per folder,
+    and a folder with very many rows is still written by several tasks.
+    """
     path = _zone_path(root, zone, table)
-    writer = df.write.mode("overwrite").option("compression", "snappy")
+    rows = df.hint("rebalance", *partition_by) if partition_by else df
+    writer = rows.write.mode("overwrite").option("compression", "snappy")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

@@ -58,11 +58,22 @@ def run_each_batch(
     mode: str = "append",
     checkpoint: str | None = None,
 ) -> None:
-    """Drain the source through a batch function, which must tolerate seeing a batch id twice."""
+    """Drain the source through a batch function, which must tolerate seeing a batch id twice.
+
+    The batch is kept while the function runs: its several writes would
+    otherwise each read the source and the state again.
+    """
     checkpoint = checkpoint or scratch(stream.sparkSession, f"{name}-checkpoint")
 
+    def keep_and_handle(batch: DataFrame, batch_id: int) -> None:
+        kept = batch.persist()
+        try:
+            handle(kept, batch_id)
+        finally:
+            kept.unpersist()
+
     def start():
-        writer = stream.writeStream.foreachBatch(handle).outputMode(mode)
+        writer = stream.writeStream.foreachBatch(keep_and_handle).outputMode(mode)
         return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
     _run(start)
