@@ -293,8 +293,8 @@ def _(spark, sf_dir):
 
 @query(
     "ordinal_standardize",
-    """SELECT TransactionID, CAST(coalesce(code, 0) AS FLOAT) AS card4,
-              CAST((coalesce(TransactionAmt, m) - m) / s AS FLOAT) AS TransactionAmt
+    """SELECT TransactionID, CAST(coalesce(code, 0) AS DOUBLE) AS card4,
+              round(CAST(CAST((coalesce(TransactionAmt, m) - m) / s AS FLOAT) AS DOUBLE), 4) AS TransactionAmt
        FROM (SELECT *, coalesce(card4, '__MISSING__') AS c FROM txn) t
        LEFT JOIN codes ON c = v CROSS JOIN stats WHERE TransactionDT >= 1728000""",
     ["txn"],
@@ -310,7 +310,7 @@ def _(spark, sf_dir):
     names = ["TransactionID", "card4", "TransactionAmt"]
     train = rows.where("TransactionDT < 1728000 AND NOT (card4 <=> 'discover')").select(*names)
     encoded = encoding.ordinal_standardize(train, rows.where("TransactionDT >= 1728000").select(*names), "TransactionID")
-    return encoded
+    return rounded(encoded.withColumns({c: F.col(c).cast("double") for c in names[1:]}), 4)
 
 
 @query("parse_event_json", f"{MESSAGE_SQL} {READABLE}", ["txn"])

@@ -43,7 +43,7 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local-mode session without that setting gets a fresh temporary
     folder of its own; a cluster without it is refused.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
     if not spark.sparkContext.master.startswith("local"):
