@@ -55,7 +55,7 @@ def _(spark, sf_dir):
     return statuses.join(rows, "candidate", "left")
 
 
-@query("train_pipeline")
+@query("train_end_to_end")
 def _(spark, sf_dir):
     result = training.train_pipeline(views.txn(spark, sf_dir), views.ident(spark, sf_dir), **SMALL)
     return result["metrics"]
@@ -68,7 +68,7 @@ def _(spark, sf_dir):
 
 
 @query(
-    "pipeline_dry_run",
+    "training_dry_run",
     f"""SELECT split, count(*) AS rows, min(TransactionDT) AS min_time, max(TransactionDT) AS max_time,
           count(*) FILTER (WHERE isFraud = 1) AS fraud_rows, CAST(44 AS BIGINT) AS feature_count,
           CAST(20 AS BIGINT) AS categorical_feature_count, CAST(0 AS BIGINT) AS contract_violations,
