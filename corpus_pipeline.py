@@ -29,10 +29,16 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that links hold together: the one with the smallest doc_id, once."""
-    groups = jaccard.similarity_components(docs).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    kept = docs.join(groups, F.col("doc_id") == F.col("_kept"), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    """One document of each group that links hold together: the one with the smallest doc_id, once.
+
+    Documents without words, and rows without a doc_id, are in no group and stay.
+    """
+    groups = written(jaccard.similarity_components(docs), "groups")
+    others = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone"))
+    kept = docs.join(others, F.col("doc_id") == F.col("_gone"), "left_anti")
+    again = written(groups.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_again")), "again")
+    once = kept.join(again, F.col("doc_id") == F.col("_again"), "left_anti")
+    return once.union(kept.join(again, F.col("doc_id") == F.col("_again"), "left_semi").dropDuplicates(["doc_id"]))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

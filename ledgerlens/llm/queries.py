@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import jaccard, language, mixing, packing, secret_scan
+from ledgerlens.llm import jaccard, language, mixing, packing, pq, secret_scan, substrings, topk, toxicity, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,13 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "tokens", "pass_no", "block_order", "doc_order")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), remainder(5) == 0
+    labels = table(spark, sf_dir, "labels").where(~held_out).select("doc_id", F.col("toxic").alias("label"))
+    model = toxicity.fit(docs, labels)
+    return toxicity.scored(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = secret_scan.scan(docs).select("doc_id", "spans")
@@ -43,10 +50,18 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similarity_components(table(spark, sf_dir, "documents"))
 
 
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pq.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = remainder(4) == 2
@@ -56,14 +71,36 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judged(table(spark, sf_dir, "pages"), URL_RULES).drop("url")
+
+
 QUERIES = {
     f.__name__: f
     for f in [
         op1_best_fit_packing,
         op2_source_mixing,
+        op3_toxicity,
         op4_secret_scan,
+        op5_substring_dedup,
         op6_ngram_jaccard,
+        op7_embedding_near_dedup,
         op8_language_id,
+        op9_exact_top_k,
+        op10_url_filter,
     ]
 }
 SQL: dict[str, str] = {}
