@@ -36,13 +36,13 @@ def _(spark, sf_dir):
 @query(
     "lookup_map",
     """SELECT TransactionID, CAST(coalesce(f.freq, 0) AS BIGINT) AS card4_freq FROM txn t
-       LEFT JOIN (SELECT card4, count(*) AS freq FROM txn WHERE TransactionDT < 43200
+       LEFT JOIN (SELECT card4, count(*) AS freq FROM txn WHERE TransactionDT < 1728000
                   AND card4 IS DISTINCT FROM 'visa' GROUP BY card4) f ON t.card4 IS NOT DISTINCT FROM f.card4""",
     ["txn"],
 )
 def _(spark, sf_dir):
     rows = views.txn(spark, sf_dir)
-    early = rows.where("TransactionDT < 43200 AND NOT (card4 <=> 'visa')")
+    early = rows.where("TransactionDT < 1728000 AND NOT (card4 <=> 'visa')")
     table = early.groupBy("card4").agg(F.count(F.lit(1)).alias("freq"))
     looked_up = enrich.lookup_map(rows, F.col("card4"), table, "card4", {"card4_freq": ("freq", F.lit(0))})
     return looked_up.select("TransactionID", "card4_freq")
@@ -50,14 +50,14 @@ def _(spark, sf_dir):
 
 @query(
     "known_category_filter",
-    """SELECT TransactionID, card1, card1 IN (SELECT card1 FROM txn WHERE TransactionDT < 43200) AS seen
-       FROM txn WHERE TransactionDT >= 43200""",
+    """SELECT TransactionID, card1, card1 IN (SELECT card1 FROM txn WHERE TransactionDT < 1728000) AS seen
+       FROM txn WHERE TransactionDT >= 1728000""",
     ["txn"],
 )
 def _(spark, sf_dir):
     rows = views.txn(spark, sf_dir)
-    vocabulary = rows.where("TransactionDT < 43200").select("card1")
-    later = rows.where("TransactionDT >= 43200").select("TransactionID", "card1")
+    vocabulary = rows.where("TransactionDT < 1728000").select("card1")
+    later = rows.where("TransactionDT >= 1728000").select("TransactionID", "card1")
     parts = [
         enrich.known_category_filter(later, F.col("card1"), vocabulary, "card1", seen).withColumn("seen", F.lit(seen))
         for seen in (True, False)

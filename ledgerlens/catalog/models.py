@@ -10,8 +10,6 @@ from ledgerlens.operators.policy import metrics_at_threshold, policy_rows
 from ledgerlens.operators.splits import split_by_time_ratio
 from ledgerlens.plans import training
 
-SMALL = {"maxIter": 8, "maxDepth": 4}
-
 
 def _features(spark, sf_dir):
     table, state = training.feature_table(split_by_time_ratio(joined(spark, sf_dir)))
@@ -21,7 +19,7 @@ def _features(spark, sf_dir):
 @query("batch_score")
 def _(spark, sf_dir):
     table, state, inputs = _features(spark, sf_dir)
-    trained = training.train_model(table, inputs, **SMALL)
+    trained = training.train_model(table, inputs)
     batch = joined(spark, sf_dir).drop("isFraud", "score")
     return training.batch_score(batch, state, trained).select("TransactionID", "fraud_probability")
 
@@ -29,7 +27,7 @@ def _(spark, sf_dir):
 @query("train_gbt")
 def _(spark, sf_dir):
     table, _, inputs = _features(spark, sf_dir)
-    trained = training.train_model(table, inputs, weight=3.0, **SMALL)
+    trained = training.train_model(table, inputs, weight=3.0)
     return metrics_at_threshold(training.scored_candidate(table, trained, "gbt"), 0.2, ["split"])
 
 
@@ -37,7 +35,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     table, _, inputs = _features(spark, sf_dir)
     return metrics_at_threshold(
-        training.weight_search(table, inputs, [1.0, 3.0, 10.0], **SMALL), 0.2, ["candidate", "split"]
+        training.weight_search(table, inputs), 0.2, ["candidate", "split"]
     )
 
 
@@ -45,7 +43,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     table, _, inputs = _features(spark, sf_dir)
     candidates = {
-        "gbt_default": ("gbt", SMALL),
+        "gbt_default": ("gbt", {}),
         "forest_default": ("forest", {}),
         "logistic_default": ("logistic", {}),
         "other_library": ("other", {}),
@@ -55,20 +53,20 @@ def _(spark, sf_dir):
     return statuses.join(rows, "candidate", "left")
 
 
-@query("train_end_to_end")
+@query("train_pipeline")
 def _(spark, sf_dir):
-    result = training.train_pipeline(views.txn(spark, sf_dir), views.ident(spark, sf_dir), **SMALL)
+    result = training.train_pipeline(views.txn(spark, sf_dir), views.ident(spark, sf_dir))
     return result["metrics"]
 
 
 @query("feature_importance")
 def _(spark, sf_dir):
     table, _, inputs = _features(spark, sf_dir)
-    return training.feature_importance(training.train_model(table, inputs, **SMALL), table)
+    return training.feature_importance(training.train_model(table, inputs), table)
 
 
 @query(
-    "training_dry_run",
+    "pipeline_dry_run",
     f"""SELECT split, count(*) AS rows, min(TransactionDT) AS min_time, max(TransactionDT) AS max_time,
           count(*) FILTER (WHERE isFraud = 1) AS fraud_rows, CAST(44 AS BIGINT) AS feature_count,
           CAST(20 AS BIGINT) AS categorical_feature_count, CAST(0 AS BIGINT) AS contract_violations,

@@ -364,11 +364,11 @@ CORRELATED = ["TransactionID", "TransactionDT", "TransactionAmt", "card1", "card
     "label_correlation_topk",
     'SELECT "column", round(r, 6) AS correlation FROM ('
     + " UNION ALL ".join(f"SELECT '{c}' AS \"column\", corr({c}, isFraud) AS r FROM txn" for c in CORRELATED)
-    + ') q WHERE r IS NOT NULL AND NOT isnan(r) ORDER BY r DESC, "column" LIMIT 5',
+    + ') q WHERE r IS NOT NULL AND NOT isnan(r) ORDER BY r DESC, "column" LIMIT 10',
     ["txn"],
 )
 def _(spark, sf_dir):
-    return rounded(profile.label_correlation_topk(views.txn(spark, sf_dir).drop("addr2"), k=5))
+    return rounded(profile.label_correlation_topk(views.txn(spark, sf_dir).drop("addr2")))
 
 
 @query(
@@ -418,7 +418,7 @@ def _psi_sql(c: str, early: str, late: str, bins: int = 10) -> str:
     )
 
 
-EARLY, LATE = "TransactionDT < 864000", "TransactionDT >= 1728000"
+EARLY, LATE = "TransactionDT < 1728000", "TransactionDT >= 1728000"
 DRIFTED = ["TransactionAmt", "score", "card1", "card2", "TransactionDT"]
 
 
@@ -456,11 +456,11 @@ MONITORED = ["card1", "card4", "P_emaildomain", "ProductCD"]
         for c in MONITORED
     ),
     ["txn"],
-    {"fitted": "SELECT * FROM txn WHERE TransactionDT < 43200 AND card4 IS DISTINCT FROM 'discover'"},
+    {"fitted": "SELECT * FROM txn WHERE TransactionDT < 1728000 AND card4 IS DISTINCT FROM 'discover'"},
 )
 def _(spark, sf_dir):
     rows = views.txn(spark, sf_dir)
-    early = rows.where("TransactionDT < 43200 AND NOT (card4 <=> 'discover')")
+    early = rows.where("TransactionDT < 1728000 AND NOT (card4 <=> 'discover')")
     state = encoding.frequency_fit(encoding.categorical_fill(early, MONITORED), MONITORED)
     return rounded(drift.unseen_category_rate(state, early.count(), rows.where(LATE), MONITORED))
 

@@ -195,11 +195,11 @@ def _(spark, sf_dir):
          CASE WHEN card1 IN (SELECT card1 FROM seen) THEN CAST(card1 AS VARCHAR) ELSE '__UNKNOWN__' END AS card1
        FROM txn""",
     ["txn"],
-    {"seen": "SELECT card1, card4 FROM txn WHERE TransactionDT < 43200 AND card4 IS DISTINCT FROM 'discover'"},
+    {"seen": "SELECT card1, card4 FROM txn WHERE TransactionDT < 1728000 AND card4 IS DISTINCT FROM 'discover'"},
 )
 def _(spark, sf_dir):
     rows = views.txn(spark, sf_dir)
-    early = rows.where("TransactionDT < 43200 AND NOT (card4 <=> 'discover')")
+    early = rows.where("TransactionDT < 1728000 AND NOT (card4 <=> 'discover')")
     vocabulary = written(encoding.category_vocab_fit(early, ["card1", "card4"]), "vocabulary", ["column"])
     return encoding.categorical_fill(rows.select("TransactionID", "card1", "card4"), ["card1", "card4"], vocabulary)
 

@@ -101,9 +101,19 @@ MESSAGE_SQL = (
 
 
 def messages(rows, empty=""):
-    """Transaction messages; every hundredth one is broken, every 101st empty."""
-    text, key = F.to_json(F.struct(*MESSAGE_COLUMNS)), F.col("TransactionID")
-    broken = F.when(key % 100 == 99, F.concat(F.lit("{oops "), text)).when(key % 101 == 100, F.lit(empty))
+    """Transaction messages with a field of their own; every hundredth one is broken, every 101st empty or without fields.
+
+    Every seventh one writes its time as 5.0 instead of 5.
+    """
+    key = F.col("TransactionID")
+    whole = F.struct(*MESSAGE_COLUMNS, F.lit("app").alias("channel"))
+    loose = F.struct(
+        *[F.col(c).cast("double").alias(c) if c == "TransactionDT" else F.col(c) for c in MESSAGE_COLUMNS], F.lit("app").alias("channel")
+    )
+    text = F.when(key % 7 == 0, F.to_json(loose)).otherwise(F.to_json(whole))
+    broken = F.when(key % 100 == 99, F.concat(F.lit("{oops "), text)).when(key % 202 == 100, F.lit("{}")).when(
+        key % 101 == 100, F.lit(empty)
+    )
     return rows.select(broken.otherwise(text).alias("value"))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import pairwise
 
 from pyspark.sql import DataFrame
@@ -16,15 +17,15 @@ from ledgerlens.operators import encoding
 from ledgerlens.session import written
 from ledgerlens.sources import events
 from ledgerlens.streaming import history, scoring, windows
-from ledgerlens.streaming.sinks import run_to_parquet
+from ledgerlens.streaming.sinks import closing, run_to_parquet
 
-# A window is in the sink when the watermark (latest event less ten minutes, in milliseconds) passed its end.
 W = "CAST(floor(epoch(ts) / 300) AS BIGINT) * 300"
-MARK = "(SELECT max(epoch_ms(ts)) / 1000.0 - 600 FROM prediction_log {where})"
 
 
-def _log(spark, sf_dir) -> DataFrame:
-    return views.as_log(views.event_stream(spark, sf_dir))
+def _windows(spark, sf_dir, name: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """All windows of the log, those open at its end too."""
+    log, close = closing(views.as_log(views.event_stream(spark, sf_dir)), "ts")
+    return run_to_parquet(build(log), name, close=close)
 
 
 def _plain(table: DataFrame) -> DataFrame:
@@ -38,8 +39,7 @@ def _rate_sql(keys: str, where: str = "") -> str:
     comma = f", {keys}" if keys else ""
     return f"""SELECT window_start, window_start + 300 AS window_end{comma}, count(*) AS requests,
         round(count(*) / 300, 6) AS per_second
-      FROM (SELECT *, {W} AS window_start FROM prediction_log {where}) l
-      WHERE window_start + 300 <= {MARK.format(where=where)} GROUP BY ALL"""
+      FROM (SELECT *, {W} AS window_start FROM prediction_log {where}) l GROUP BY ALL"""
 
 
 LABELS = "endpoint, model_version, model_family, status"
@@ -47,27 +47,26 @@ LABELS = "endpoint, model_version, model_family, status"
 
 @query("stream_request_rate", _rate_sql(LABELS), ["prediction_log"])
 def _(spark, sf_dir):
-    return _plain(run_to_parquet(windows.request_rate(_log(spark, sf_dir)), "request-rate"))
+    return _plain(_windows(spark, sf_dir, "request-rate", windows.request_rate))
 
 
 @query(
     "stream_error_rate", _rate_sql("endpoint, model_version, model_family", "WHERE status = 'error'"), ["prediction_log"]
 )
 def _(spark, sf_dir):
-    return _plain(run_to_parquet(windows.error_rate(_log(spark, sf_dir)), "error-rate"))
+    return _plain(_windows(spark, sf_dir, "error-rate", windows.error_rate))
 
 
 @query(
     "stream_success_volume", _rate_sql("model_version, model_family", "WHERE status = 'success'"), ["prediction_log"]
 )
 def _(spark, sf_dir):
-    return _plain(run_to_parquet(windows.success_volume(_log(spark, sf_dir)), "success"))
+    return _plain(_windows(spark, sf_dir, "success", windows.success_volume))
 
 
 @query("stream_endpoint_status", _rate_sql("status", "WHERE endpoint = '/predict/v2'"), ["prediction_log"])
 def _(spark, sf_dir):
-    one = windows.endpoint_status(_log(spark, sf_dir), "/predict/v2", "v2", "catboost")
-    return _plain(run_to_parquet(one, "endpoint"))
+    return _plain(_windows(spark, sf_dir, "endpoint", lambda log: windows.endpoint_status(log, "/predict/v2", "v2", "catboost")))
 
 
 def _quantile_sql(q: float, name: str) -> str:
@@ -86,11 +85,11 @@ def _quantile_sql(q: float, name: str) -> str:
     + ", ".join(_quantile_sql(q, n) for q, n in ((0.5, "p50"), (0.95, "p95"), (0.99, "p99")))
     + f" FROM (SELECT {W} AS window_start, {LABELS}, count(latency_ms) AS requests, "
     + ", ".join(f"count(*) FILTER (WHERE latency_ms / 1000 <= {b!r}) AS le{i}" for i, b in enumerate(windows.LATENCY_BOUNDS))
-    + f" FROM prediction_log GROUP BY ALL) c WHERE window_start + 300 <= {MARK.format(where='')}",
+    + " FROM prediction_log GROUP BY ALL) c",
     ["prediction_log"],
 )
 def _(spark, sf_dir):
-    table = run_to_parquet(windows.latency_quantiles(_log(spark, sf_dir)), "latency")
+    table = _windows(spark, sf_dir, "latency", windows.latency_quantiles)
     return _plain(off_ties(table, "p50", "p95", "p99"))
 
 
@@ -104,8 +103,7 @@ SIZES = {"15 minutes": 900, "1 hour": 3600, "24 hours": 86400}
     + " UNION ALL ".join(
         f"""SELECT pane - o AS window_start, pane - o + {s} AS window_end, '{name}' AS size, CAST(sum(n) AS BIGINT) AS requests,
               CAST(sum(a) AS BIGINT) AS alerts, round(sum(a) / sum(n), 6) AS alert_rate
-            FROM panes CROSS JOIN generate_series(0, {s - 900}, 900) g(o)
-            WHERE pane - o + {s} <= {MARK.format(where="WHERE status = 'success'")} GROUP BY 1, 2"""
+            FROM panes CROSS JOIN generate_series(0, {s - 900}, 900) g(o) GROUP BY 1, 2"""
         for name, s in SIZES.items()
     )
     + ") r",
@@ -117,7 +115,7 @@ SIZES = {"15 minutes": 900, "1 hour": 3600, "24 hours": 86400}
 )
 def _(spark, sf_dir):
     parts = [
-        run_to_parquet(windows.rolling_alert_rate(_log(spark, sf_dir), size), f"alerts-{i}")
+        _windows(spark, sf_dir, f"alerts-{i}", lambda log, size=size: windows.rolling_alert_rate(log, size))
         for i, size in enumerate(windows.ALERT_WINDOWS)
     ]
     return _plain(parts[0].unionByName(parts[1]).unionByName(parts[2]))
@@ -166,14 +164,13 @@ def _(spark, sf_dir):
     "stream_past_features",
     """SELECT DISTINCT uid, TransactionDT, count(*) OVER w AS past_rows, round(avg(TransactionAmt) OVER w + 1e-9, 6) AS past_mean,
               TransactionDT - max(TransactionDT) OVER w AS seconds_since_previous
-       FROM t WINDOW w AS (PARTITION BY uid ORDER BY TransactionDT RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
-       QUALIFY TransactionDT <= (SELECT max(TransactionDT) - 600 FROM txn)""",
+       FROM t WINDOW w AS (PARTITION BY uid ORDER BY TransactionDT RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""",
     ["txn"],
     {"t": f"SELECT *, {UID} AS uid FROM txn"},
 )
 def _(spark, sf_dir):
-    stream = views.as_txn(views.event_stream(spark, sf_dir))
-    past = history.stream_past_features(stream, uid())
+    stream, close = closing(views.as_txn(views.event_stream(spark, sf_dir)), "TransactionDT")
+    past = history.stream_past_features(stream, uid(), close=close)
     return rounded(off_ties(past, "past_mean"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,6 +59,12 @@ def number(value: Column | str) -> Column:
     return F.when(F.isnan(as_double), None).otherwise(as_double)
 
 
+def normalize_missing(df: DataFrame) -> DataFrame:
+    """NaN becomes null in every float column: there is one kind of missing."""
+    floats = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))]
+    return df.withColumns({c: F.when(~F.isnan(F.col(f"`{c}`")), F.col(f"`{c}`")) for c in floats}) if floats else df
+
+
 def text(value: Column | str) -> Column:
     """Category text with the missing token."""
     return F.coalesce(_as_column(value).cast("string"), F.lit(MISSING))

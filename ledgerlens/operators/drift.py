@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.expressions import MISSING, bucket_of, risk_tier, text
+from ledgerlens.functions.expressions import MISSING, bucket_of, number, risk_tier, text
 from ledgerlens.operators.guards import SchemaError
 from ledgerlens.operators.ordered import column_quantiles
 from ledgerlens.session import TASK_ROWS
@@ -31,6 +31,7 @@ def drift_report(
     values beyond the edges fall in no bin but stay in the denominator. The
     edges, bins + 1 numbers per column, are the only thing brought to the driver.
     """
+    expected, actual = (df.select(*[number(c).alias(c) for c in columns]) for df in (expected, actual))
     probabilities = [i / bins for i in range(bins + 1)]
     edges = {
         r["column"]: list(r["quantiles"])

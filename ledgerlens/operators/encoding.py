@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.expressions import MISSING, UNKNOWN, deviation, is_numeric, number, text, uid
 from ledgerlens.operators.enrich import lookup_map
 from ledgerlens.operators.ordered import column_quantiles, group_quantiles, largest_group, running_totals
-from ledgerlens.session import TASK_ROWS
+from ledgerlens.session import TASK_ROWS, written
 
 BROADCAST_VALUES = 200_000  # fitted values of one column: some 20 MB of text and counts
 
@@ -127,7 +127,7 @@ def uid_window_stats(
 
     Group and join back, not a window: no task ever holds all rows of an entity.
     """
-    stats = uid_stats_fit(df, key, amount, single_row_std=None, task_rows=task_rows)
+    stats = written(uid_stats_fit(df, key, amount, single_row_std=None, task_rows=task_rows), "entity-stats")
     return attach_uid_stats(df, stats, key).withColumn(
         "uid_amt_deviation", deviation(amount, "uid_amt_mean", "uid_amt_std")
     )
@@ -149,14 +149,23 @@ def numeric_coerce_impute(
 
 
 def categorical_fill(df: DataFrame, columns: list[str], vocabulary: DataFrame | None = None) -> DataFrame:
-    """Null -> missing token; with a vocabulary, unseen text -> unknown token."""
+    """Null -> missing token; with a written vocabulary, unseen text -> unknown token.
+
+    A column counted to have few values is looked up by broadcast. The missing token, which may fill most rows, is
+    known without a lookup: its rows go through a shuffled one under spread stand-in keys.
+    """
     df = df.withColumns({c: text(c) if c in df.columns else F.lit(MISSING) for c in columns})
     if vocabulary is None:
         return df
+    sizes = value_sizes(vocabulary)
+    spread = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(4096)))
     for c in columns:
         known = vocabulary.where(F.col("column") == c).select(F.col("value").alias("_value"), F.lit(1).alias("_one"))
-        df = df.join(known, F.col(c) == F.col("_value"), "left")
-        df = df.withColumn(c, F.when(F.col("_one").isNotNull(), F.col(c)).otherwise(UNKNOWN)).drop("_value", "_one")
+        known = F.broadcast(known) if sizes.get(c, 0) <= BROADCAST_VALUES else known
+        df = df.withColumn("_text", F.when(F.col(c) == MISSING, spread).otherwise(F.col(c)))
+        df = df.join(known, F.col("_text") == F.col("_value"), "left")
+        kept = F.col("_one").isNotNull() | (F.col(c) == MISSING)
+        df = df.withColumn(c, F.when(kept, F.col(c)).otherwise(UNKNOWN)).drop("_value", "_one", "_text")
     return df
 
 

@@ -132,8 +132,10 @@ def column_groups(df: DataFrame) -> DataFrame:
     names = df.columns
     id_columns = [c for c in names if c.startswith("id_")]
     if id_columns:
-        wide = df.agg(*[F.count_distinct(c).alias(c) for c in id_columns])
-        distinct = wide.unpivot([], id_columns, "column", "distinct_values")
+        # Stacked pairs collapse in every task; a distinct count per column would copy each row once per column.
+        texts = df.select(*[F.col(c).cast("string").alias(c) for c in id_columns])
+        pairs = texts.unpivot([], id_columns, "column", "value").distinct()
+        distinct = pairs.groupBy("column").agg(F.count("value").alias("distinct_values"))
     else:
         distinct = df.sparkSession.createDataFrame([], "column string, distinct_values bigint")
     rows = [

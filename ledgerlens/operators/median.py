@@ -10,7 +10,7 @@ bins. All pieces are of about the square root of the entity's rows.
 
 from __future__ import annotations
 
-from bisect import insort
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -37,8 +37,8 @@ def _running(times, values, weights, seen: list, below: int, total: int) -> list
             current = t
             middle = (seen[(total - 1) // 2 - below] + seen[total // 2 - below]) / 2 if total else None
             found.append((t, middle))
-        for _ in range(int(w)):
-            insort(seen, x)
+        at = bisect_right(seen, x)
+        seen[at:at] = [x] * int(w)
         total += int(w)
     return found
 

@@ -152,20 +152,25 @@ def column_quantiles(
     """Exact quantiles of many numeric columns -> (column, quantiles); all-null columns give nulls.
 
     A table whose row count (``rows``, else counted) fits one task uses the
-    built-in exact aggregate for all columns at once. A larger one takes three
+    built-in exact aggregate, for as many columns at once as keep the values in
+    one task below ``task_rows``. A larger one takes three
     scans: a sketch brackets every wanted rank, the values below each bracket
     are counted, and the rank is selected among the few values inside it.
     """
     if not columns:
         return df.sparkSession.createDataFrame([], "column string, quantiles array<double>")
     numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    if (numbers.count() if rows is None else rows) <= task_rows:
-        points = F.array(*[F.lit(float(p)) for p in probabilities])
-        wide = numbers.agg(*[F.percentile(F.col(c), points).alias(c) for c in columns])
-        return wide.unpivot([], columns, "column", "quantiles")
-    per_batch = max(1, BRACKETS_PER_SCAN // len(probabilities))
+    rows = numbers.count() if rows is None else rows
+    small = rows <= task_rows
+    per_batch = max(1, task_rows // max(1, rows)) if small else max(1, BRACKETS_PER_SCAN // len(probabilities))
     batches = [columns[i : i + per_batch] for i in range(0, len(columns), per_batch)]
-    parts = [_bracketed_quantiles(numbers, batch, probabilities, task_rows) for batch in batches]
+    points = F.array(*[F.lit(float(p)) for p in probabilities])
+
+    def in_task(batch: list[str]) -> DataFrame:
+        wide = numbers.agg(*[F.percentile(F.col(c), points).alias(c) for c in batch])
+        return wide.unpivot([], batch, "column", "quantiles")
+
+    parts = [in_task(b) if small else _bracketed_quantiles(numbers, b, probabilities, task_rows) for b in batches]
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)

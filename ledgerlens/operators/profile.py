@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.expressions import day, hour, is_numeric, number, ratio
+from ledgerlens.functions.expressions import day, hour, is_numeric, normalize_missing, number, ratio
 from ledgerlens.operators.guards import ID_COLUMN, TARGET_COLUMN, TIME_COLUMN, column_groups
 from ledgerlens.operators.ordered import column_quantiles, quantiles_from_counts
 from ledgerlens.session import TASK_ROWS, written
@@ -36,6 +36,7 @@ def class_balance(df: DataFrame, label: str = TARGET_COLUMN) -> DataFrame:
 
 def missing_summary(df: DataFrame, digits: int = 2) -> DataFrame:
     """(column, dtype, missing_count, missing_percent), one scan for all columns."""
+    df = normalize_missing(df)
     wide = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns], F.count(F.lit(1)).alias("_rows"))
     long = wide.unpivot(["_rows"], df.columns, "column", "missing_count")
     types = df.sparkSession.createDataFrame(list(df.dtypes), "column string, dtype string")
@@ -51,6 +52,7 @@ def missing_signal_strength(
     df: DataFrame, label: str = TARGET_COLUMN, min_missing_percent: float = 99.0
 ) -> DataFrame:
     """abs(label rate where null - where not null) of the columns missing more than the given percent."""
+    df = normalize_missing(df)
     columns = [c for c in df.columns if c != label]
     measures = []
     for c in columns:
@@ -239,7 +241,7 @@ def id_like_audit(df: DataFrame) -> DataFrame:
 
 def describe(df: DataFrame, column: str, *, task_rows: int = TASK_ROWS) -> DataFrame:
     """count, mean, std, min, quartiles and max of one column: one row."""
-    values = df.select(F.col(column).cast("double").alias(column))
+    values = df.select(number(column).alias(column))
     quartiles = column_quantiles(values, [column], [0.25, 0.5, 0.75], task_rows=task_rows)
     basic = values.agg(
         F.lit(column).alias("column"),
@@ -273,7 +275,7 @@ def mean_shift(df: DataFrame, feature: str, split: str = "split", label: str = T
         F.struct(F.lit("class").alias("view"), F.col(label).cast("string").alias("group")),
     )
     return (
-        df.select(F.col(feature).alias("_x"), F.explode(views).alias("_v"))
+        df.select(number(feature).alias("_x"), F.explode(views).alias("_v"))
         .groupBy("_v.view", "_v.group")
         .agg(F.avg("_x").alias("feature_mean"))
     )
@@ -282,7 +284,7 @@ def mean_shift(df: DataFrame, feature: str, split: str = "split", label: str = T
 def label_correlation_topk(df: DataFrame, label: str = TARGET_COLUMN, k: int = 10) -> DataFrame:
     """Pearson correlation of each numeric column with the label (rows where both are known), top k."""
     columns = [f.name for f in df.schema.fields if is_numeric(f.dataType)]
-    wide = df.agg(*[F.corr(F.col(c).cast("double"), F.col(label).cast("double")).alias(c) for c in columns])
+    wide = df.agg(*[F.corr(number(c), number(label)).alias(c) for c in columns])
     return (
         wide.unpivot([], columns, "column", "correlation")
         .where(F.col("correlation").isNotNull() & ~F.isnan("correlation"))

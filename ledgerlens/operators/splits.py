@@ -35,15 +35,17 @@ def split_by_time_ratio(
     *,
     task_rows: int = TASK_ROWS,
 ) -> DataFrame:
-    """Add ``split``: earliest rows train, next validation, latest test.
+    """Add ``split``: earliest rows train, next validation, latest test; rows without a time come last.
 
     One scan counts rows per second; the two boundary rows are selected by rank
     over (time, id) and become literals, so the split itself moves no data.
     """
     require_columns(df, [time, target], "split table")
     check_ratios(train, validation, test)
-    seconds = written(value_counts(df, [], time), "rows-per-second")
-    rows = seconds.agg(F.sum("rows")).first()[0] or 0
+    counts = written(value_counts(df, [], time), "rows-per-second")
+    seconds = counts.where(F.col(time).isNotNull())
+    rows = counts.agg(F.sum("rows")).first()[0] or 0
+    timed = seconds.agg(F.sum("rows")).first()[0] or 0
     if rows < 3:
         raise ValueError("A time-based split needs at least 3 rows.")
     train_end = int(rows * train)
@@ -51,9 +53,12 @@ def split_by_time_ratio(
     if train_end == 0 or validation_end == train_end or validation_end >= rows:
         raise ValueError("The split ratios produce an empty train, validation or test split.")
     ends = [train_end, validation_end]
-    at = values_at_ranks(seconds, time, ends, task_rows=task_rows)
+    found = dict(zip(inner, values_at_ranks(seconds, time, inner, task_rows=task_rows))) if (inner := [e for e in ends if e < timed]) else {}
     in_train, in_validation = (
-        _before_rank(df, end, moment, earlier, time, row_id, task_rows) for end, (moment, earlier) in zip(ends, at)
+        _before_rank(df, end, *found[end], time, row_id, task_rows)
+        if end in found
+        else _before_untimed(df, end - timed, time, row_id, task_rows)
+        for end in ends
     )
     return df.withColumn(
         "split", F.when(in_train, "train").when(in_validation, "validation").otherwise("test")
@@ -71,6 +76,15 @@ def _before_rank(
     return (F.col(time) < F.lit(moment)) | ((F.col(time) == F.lit(moment)) & (F.col(row_id) < F.lit(tied_id)))
 
 
+def _before_untimed(df: DataFrame, rank: int, time: str, row_id: str, task_rows: int) -> Column:
+    """Condition that holds for all rows with a time and the first ``rank`` rows without one, by id."""
+    if rank == 0:
+        return F.col(time).isNotNull()
+    untimed = written(value_counts(df.where(F.col(time).isNull()), [], row_id), "untimed-rows")
+    ((first_out, _),) = values_at_ranks(untimed, row_id, [rank], task_rows=task_rows)
+    return F.col(time).isNotNull() | (F.col(row_id) < F.lit(first_out))
+
+
 def split_by_last_days(df: DataFrame, days: int = 30, time: str = TIME_COLUMN) -> DataFrame:
     """Add ``split``: the last ``days`` days are validation."""
     last = df.agg(F.max(day(time))).first()[0]

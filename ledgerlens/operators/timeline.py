@@ -251,27 +251,42 @@ def rolling_history(
     """Count and sum of the entity's amounts in the ``seconds`` before the row's second.
 
     Each (entity, second) also visits the next slice, so a slice of length
-    ``seconds`` and the one before it hold every frame; at most twice
-    ``seconds`` rows meet in a task.
+    ``seconds`` and the one before it hold every frame; at most three times
+    ``seconds`` rows meet in a task. One running total serves all frames: its
+    value before the second less its value where the frame begins, which a
+    probe row marks, so the work is linear in the rows.
     """
     key = uid() if key is None else key
     totals = (
         df.select(key.alias("_key"), F.col(time).alias("_t"), F.col(amount).alias("_x"))
         .groupBy("_key", "_t")
-        .agg(F.count(F.lit(1)).alias("rows"), F.sum("_x").alias("total"))
+        .agg(F.count(F.lit(1)).alias("rows"), F.count("_x").alias("n"), F.coalesce(F.sum("_x"), F.lit(0.0)).alias("total"))
+        .where("_t IS NOT NULL")
         .withColumn("_home", _slice("_t", seconds))
     )
+    sums = ["rows", "n", "total"]
+
+    def places(at: Column, shift: int, *values: Column) -> Column:
+        """One row of a slice: where it stands, whether it is a row, a probe (0) or a visitor (2), and its sums."""
+        named = [v.alias(c) for v, c in zip(values, sums)]
+        kind = F.lit(0) if at is not whole else F.lit(1 if shift == 0 else 2)
+        return F.struct((F.col("_home") + shift).alias("_slice"), at.alias("_at"), kind.alias("_kind"), *named)
+
+    whole, begin = F.col("_t"), F.col("_t") - seconds
+    own = [F.col(c) for c in sums]
+    none = [F.lit(0).cast("bigint"), F.lit(0).cast("bigint"), F.lit(0.0)]
     visits = totals.select(
-        "*", F.explode(F.array(F.col("_home"), F.col("_home") + 1)).alias("_slice")
-    )
-    frame = Window.partitionBy("_key", "_slice").orderBy("_t").rangeBetween(-seconds, -1)
-    rolled = (
-        visits.withColumns(
-            {"_rows": F.coalesce(F.sum("rows").over(frame), F.lit(0)), "_total": F.sum("total").over(frame)}
-        )
-        .where(F.col("_slice") == F.col("_home"))
-        .select("_key", "_t", "_rows", "_total")
-    )
+        "_key", "_t", F.explode(F.array(places(whole, 0, *own), places(whole, 1, *own), places(begin, 0, *none))).alias("_p")
+    ).select("_key", "_t", "_p.*")
+    # At one second the probe comes first: the frame's first second is inside.
+    before = Window.partitionBy("_key", "_slice").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, -1)
+    summed = visits.withColumns({f"_{c}": F.coalesce(F.sum(c).over(before), F.lit(0)) for c in sums})
+
+    def frame(c: str) -> Column:
+        return F.max(F.when(F.col("_kind") == 1, F.col(f"_{c}"))) - F.max(F.when(F.col("_kind") == 0, F.col(f"_{c}")))
+
+    framed = summed.where("_kind < 2").groupBy("_key", "_slice", "_t").agg(*[frame(c).alias(f"_{c}") for c in sums])
+    rolled = framed.select("_key", "_t", "_rows", F.when(F.col("_n") > 0, F.col("_total")).alias("_total"))
     same = F.col("_join_key").eqNullSafe(F.col("_key")) & F.col(time).eqNullSafe(F.col("_t"))
     return (
         df.withColumn("_join_key", key)

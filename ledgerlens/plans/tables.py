@@ -35,7 +35,7 @@ def foundation_table(transactions: DataFrame, identity: DataFrame) -> DataFrame:
 def behavioral_table(transactions: DataFrame) -> DataFrame:
     """Entity key, time gaps and entity statistics of the table itself."""
     gaps = uid_time_gaps(transactions.withColumn("uid", uid()))
-    return uid_window_stats(gaps)
+    return uid_window_stats(written(gaps, "gaps"))
 
 
 def batch_prepare(transactions: DataFrame, identity: DataFrame) -> DataFrame:

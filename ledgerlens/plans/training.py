@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.expressions import is_numeric
 from ledgerlens.operators.curves import threshold_for_recall
 from ledgerlens.operators.enrich import enrich_identity
-from ledgerlens.operators.guards import ID_COLUMN, TARGET_COLUMN, check_feature_contract
+from ledgerlens.operators.guards import ID_COLUMN, TARGET_COLUMN, check_feature_contract, fail_on_violations
 from ledgerlens.operators.policy import (
     best_policy,
     metrics_at_threshold,
@@ -105,8 +105,9 @@ def score(table: DataFrame, trained: Trained, name: str = "fraud_probability") -
 
 
 def batch_score(raw: DataFrame, state: features_v2.FitState, trained: Trained) -> DataFrame:
-    """Transform with the saved state, check the contract shape, attach the probability."""
-    features = features_v2.transform(raw, state, keep=[ID_COLUMN])
+    """Transform with the saved state, check the feature contract (any violation is an error), attach the probability."""
+    features = written(features_v2.transform(raw, state, keep=[ID_COLUMN]), "batch-features")
+    fail_on_violations(features.drop(ID_COLUMN), state.features)
     return score(features, trained)
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,22 +28,55 @@ def to_messages(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct(*df.columns)).alias("value"))
 
 
+REQUIRED = ["TransactionID", "TransactionDT"]
+
+
+def _typed(raw: Column, dtype: T.DataType) -> Column:
+    """A message's value as the field's type; a whole number may be written as 5, 5.0 or "5"."""
+    if isinstance(dtype, T.StringType):
+        return raw
+    if isinstance(dtype, T.IntegralType):
+        as_double = raw.try_cast("double")
+        whole = F.when(as_double == F.floor(as_double), as_double.try_cast(dtype))
+        return F.coalesce(raw.try_cast(dtype), whole)
+    return raw.try_cast(dtype)
+
+
 def parse_event_json(
-    messages: DataFrame, schema: T.StructType = TRANSACTION_SCHEMA, value: str = "value"
+    messages: DataFrame,
+    schema: T.StructType = TRANSACTION_SCHEMA,
+    value: str = "value",
+    *,
+    required: Sequence[str] | None = None,
+    extra: str | None = None,
 ) -> DataFrame:
-    """JSON text -> typed columns plus ``_bad``: true for empty or unreadable messages."""
-    keep_bad = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
-    parsed = F.from_json(
-        F.col(value).cast("string"), keep_bad, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
-    )
+    """JSON objects -> typed columns plus ``_bad``: true for empty or unreadable messages, or without a required field.
+
+    A message is an open object. With ``extra``, a map column of that name holds what ``schema`` doesn't take: other
+    fields, and values that can't be read as their field's type (those are null in the field). ``required`` defaults to
+    the id and the time, as far as ``schema`` has them.
+    """
+    names = [f.name for f in schema.fields]
+    required = [c for c in REQUIRED if c in names] if required is None else list(required)
+    parsed = F.from_json(F.col(value).cast("string"), T.MapType(T.StringType(), T.StringType()))
     rest = [c for c in messages.columns if c != value]
-    empty = F.col(value).isNull() | (F.trim(F.col(value).cast("string")).isin("", "null"))
     # A one-element explode keeps later filters above the parse; pushed below it they would parse again.
-    return (
-        messages.withColumn("_parsed", F.explode(F.array(parsed)))
-        .withColumn("_bad", empty | F.col("_parsed").isNull() | F.col("_parsed._corrupt").isNotNull())
-        .select(*rest, *[F.col("_parsed")[f.name].alias(f.name) for f in schema.fields], "_bad")
-    )
+    rows = messages.withColumn("_parsed", F.explode(F.array(parsed)))
+    fields = {f.name: _typed(F.try_element_at("_parsed", F.lit(f.name)), f.dataType) for f in schema.fields}
+    bad = F.col("_parsed").isNull()
+    for c in required:
+        bad = bad | F.coalesce(fields[c].isNull(), F.lit(True))
+    columns = [*rest, *[v.alias(c) for c, v in fields.items()], bad.alias("_bad")]
+    if extra is not None:
+
+        def left_over(k: Column, v: Column) -> Column:
+            unread = F.lit(False)
+            for f in schema.fields:
+                unread = unread | ((k == f.name) & v.isNotNull() & _typed(v, f.dataType).isNull())
+            return ~k.isin(names) | unread
+
+        columns.append(F.map_filter("_parsed", left_over).alias(extra))
+    return rows.select(*columns)
 
 
 def good_events(parsed: DataFrame) -> DataFrame:

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlens.functions.expressions import normalize_missing
+
 ZONES = ["raw", "external", "processed", "curated", "splits"]
 
 
@@ -25,10 +27,11 @@ def load_dataset(spark: SparkSession, path: str, schema: T.StructType | str | No
         raise ValueError(f"Unsupported dataset file type: {suffix!r}. Expected .parquet or .csv.")
     if not exists(spark, path):
         raise FileNotFoundError(f"Dataset path does not exist: {path}")
+    reader = spark.read.schema(schema) if schema else spark.read
     if suffix == ".parquet":
-        return spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
-    reader = spark.read.option("header", True)
-    return reader.schema(schema).csv(path) if schema else reader.option("inferSchema", True).csv(path)
+        return normalize_missing(reader.parquet(path))
+    reader = reader.option("header", True)
+    return normalize_missing(reader.csv(path) if schema else reader.option("inferSchema", True).csv(path))
 
 
 def csv_to_parquet(
@@ -58,7 +61,7 @@ def _zone_path(root: str, zone: str, table: str) -> str:
 def read_zone(spark: SparkSession, root: str, zone: str, table: str) -> DataFrame:
     path = _zone_path(root, zone, table)
     try:
-        return spark.read.parquet(path)
+        return normalize_missing(spark.read.parquet(path))
     except AnalysisException as error:
         raise FileNotFoundError(f"Zone table not found: {path}") from error
 

@@ -7,13 +7,14 @@ then needs one carried row per entity: its totals so far.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.timeline import merged, past_totals
-from ledgerlens.session import scratch
 from ledgerlens.sources.files import exists
-from ledgerlens.streaming.sinks import run_each_batch
+from ledgerlens.streaming.sinks import places, run_each_batch
 
 TOTALS = "_key string, n bigint, rows bigint, mean double, m2 double, low double, high double, last bigint"
 MEASURES = ["rows", "n", "mean", "m2", "low", "high"]
@@ -46,8 +47,8 @@ def _latest(totals: DataFrame) -> DataFrame:
     return newest.select("_key", "s.*")
 
 
-def totals_before(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
-    """Totals as they stood before a batch: the last base and the deltas since."""
+def totals_before(spark: SparkSession, path: str, batch_id: int, only: DataFrame | None = None) -> DataFrame:
+    """Totals as they stood before a batch, of the entities in ``only``: the last base and the deltas since."""
     folders = []
     for earlier in range(batch_id - 1, -1, -1):
         base = f"{path}/base/batch_id={earlier}"
@@ -59,7 +60,8 @@ def totals_before(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
             folders.append(delta)
     if not folders:
         return spark.createDataFrame([], TOTALS)
-    return _latest(spark.read.schema(TOTALS).parquet(*folders))
+    rows = spark.read.schema(TOTALS).parquet(*folders)
+    return _latest(rows if only is None else rows.join(only, "_key", "left_semi"))
 
 
 def stream_past_features(
@@ -69,21 +71,23 @@ def stream_past_features(
     time: str = "TransactionDT",
     delay: str = "10 minutes",
     path: str | None = None,
+    checkpoint: str | None = None,
+    close: Callable[[], None] | None = None,
 ) -> DataFrame:
     """(uid, second): count and mean of earlier amounts and time since the previous second.
 
     The carried totals of an entity enter its batch as one more second at the
     time they end, so the batch operator itself does the arithmetic. A batch
     reads and writes the totals of its own entities only, under its batch id: a
-    replayed batch starts from the same totals and replaces its own output.
+    replayed batch starts from the same totals and replaces its own output. A
+    run on a ``path`` of an earlier one continues it.
     """
     spark = stream.sparkSession
-    path = path or scratch(spark, "past-features")
+    path, checkpoint = places(spark, "past-features", path, checkpoint)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        before = totals_before(spark, path, batch_id)
-        touched = before.join(batch.select("_key").distinct(), "_key", "left_semi")
-        carried = touched.select("_key", F.col("last").alias("_t"), *MEASURES, F.lit(True).alias("_old"))
+        before = totals_before(spark, path, batch_id, batch.select("_key").distinct())
+        carried = before.select("_key", F.col("last").alias("_t"), *MEASURES, F.lit(True).alias("_old"))
         seconds = batch.withColumn("_old", F.lit(False)).unionByName(carried)
         joined = seconds.join(past_totals(seconds.drop("_old")), ["_key", "_t"])
         joined.where(~F.col("_old")).select(
@@ -113,6 +117,6 @@ def stream_past_features(
             base = totals_before(spark, path, batch_id + 1).select(*order)
             base.write.mode("overwrite").parquet(f"{path}/base/batch_id={batch_id}")
 
-    run_each_batch(closed_seconds(stream, key, amount, time, delay), "past-features", handle)
+    run_each_batch(closed_seconds(stream, key, amount, time, delay), handle, checkpoint, close=close)
     schema = f"uid string, {time} bigint, past_rows bigint, past_mean double, seconds_since_previous bigint"
     return spark.read.schema(schema).parquet(f"{path}/features/batch_id=*")

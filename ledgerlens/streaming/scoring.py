@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from ledgerlens.operators.encoding import uid_stats_apply
 from ledgerlens.operators.guards import apply_threshold, check_feature_contract
-from ledgerlens.session import scratch
 from ledgerlens.sources.events import good_events, parse_event_json
-from ledgerlens.streaming.sinks import batch_writer, run_each_batch
+from ledgerlens.streaming.sinks import batch_writer, places, run_each_batch
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -34,15 +33,17 @@ def stream_score(
     threshold: float,
     path: str | None = None,
     quarantine: str | None = None,
+    checkpoint: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Score JSON messages to a table; unreadable ones go to a quarantine table.
 
     Each batch is written under its id, so a batch replayed after a failure
-    replaces itself: at-least-once input, exactly-once output.
+    replaces itself: at-least-once input, exactly-once output. A run on a
+    ``path`` of an earlier one continues it (``quarantine`` lies beside it).
     """
     spark = messages.sparkSession
-    path = path or scratch(spark, "scored")
-    quarantine = quarantine or scratch(spark, "quarantine")
+    path, checkpoint = places(spark, "scored", path, checkpoint)
+    quarantine = quarantine or f"{path.rstrip('/')}-quarantine"
     parsed = parse_event_json(messages.withColumn("_message", F.col("value")))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -51,18 +52,20 @@ def stream_score(
         batch_writer(path)(decided, batch_id)
         batch_writer(quarantine)(batch.where("_bad").select(F.col("_message").alias("value")), batch_id)
 
-    run_each_batch(parsed, "stream-score", handle)
+    run_each_batch(parsed, handle, checkpoint)
     return spark.read.parquet(path), spark.read.schema("value string").parquet(quarantine)
 
 
-def stream_quality_counters(stream: DataFrame, features: list[str], path: str | None = None) -> DataFrame:
+def stream_quality_counters(
+    stream: DataFrame, features: list[str], path: str | None = None, checkpoint: str | None = None
+) -> DataFrame:
     """Contract violations per batch -> (batch_id, check, column, violations) as a table.
 
     ``stream`` carries ``_bad`` for unreadable input; good rows are checked
     against the feature contract, one scan per batch.
     """
     spark = stream.sparkSession
-    path = path or scratch(spark, "quality")
+    path, checkpoint = places(spark, "quality", path, checkpoint)
     schema = "check string, column string, violations bigint"
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -73,5 +76,5 @@ def stream_quality_counters(stream: DataFrame, features: list[str], path: str |
         broken = check_feature_contract(good_events(batch), features)
         batch_writer(path)(totals.unionByName(broken), batch_id)
 
-    run_each_batch(stream, "quality", handle)
+    run_each_batch(stream, handle, checkpoint)
     return spark.read.schema(f"{schema}, batch_id int").parquet(path)

@@ -1,7 +1,8 @@
 """Windowed monitoring of the prediction log.
 
 All aggregations are watermarked and append-only: a window appears once, after
-the watermark has passed its end; rows later than that are dropped by Spark.
+the watermark has passed its end; rows later than that are dropped by Spark and
+counted beside the checkpoint. ``sinks.closing`` brings out what is open at the end.
 """
 
 from __future__ import annotations
@@ -12,8 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.expressions import risk_tier
-from ledgerlens.session import scratch
-from ledgerlens.streaming.sinks import batch_writer, run_each_batch
+from ledgerlens.streaming.sinks import FAR, batch_writer, places, run_each_batch
 
 LABELS = ["endpoint", "model_version", "model_family", "status"]
 RATE_WINDOW = "5 minutes"
@@ -32,12 +32,17 @@ def _edges(df: DataFrame, rest: list[Column | str]) -> DataFrame:
     return df.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *rest)
 
 
+def _last(time: str) -> Column:
+    """The row that closes a stream: it must reach the watermark whatever the filter."""
+    return F.col(time) >= F.lit(FAR).cast("timestamp")
+
+
 def request_rate(
     log: DataFrame, keys: list[str] | None = None, where: Column | None = None, delay: str = DELAY, time: str = "ts"
 ) -> DataFrame:
     """Requests per second in five-minute windows, by label."""
     keys = LABELS if keys is None else keys
-    rows = log if where is None else log.where(where)
+    rows = log if where is None else log.where(where | _last(time))
     windows = rows.withWatermark(time, delay).groupBy(F.window(time, RATE_WINDOW), *keys)
     counted = windows.agg(F.count(F.lit(1)).alias("requests"))
     return _edges(counted, [*keys, "requests", (F.col("requests") / RATE_SECONDS).alias("per_second")])
@@ -127,7 +132,7 @@ def rolling_alert_rate(
     parameters; the defaults start from the two reference rates.
     """
     panes = (
-        log.where(F.col("status") == "success")
+        log.where((F.col("status") == "success") | _last(time))
         .withWatermark(time, delay)
         .groupBy(F.window(time, pane))
         .agg(F.count(F.lit(1)).alias("_n"), F.sum("fraud_prediction").alias("_alerts"))
@@ -141,16 +146,14 @@ def rolling_alert_rate(
     return _edges(summed, [F.lit(size).alias("size"), *measures])
 
 
-def stream_risk_tiers(scored: DataFrame, score: str = "score", path: str | None = None) -> DataFrame:
-    """Running count per tier (three rows of state); the table holds the latest totals."""
+def stream_risk_tiers(
+    scored: DataFrame, score: str = "score", path: str | None = None, checkpoint: str | None = None
+) -> DataFrame:
+    """Running count per tier (three rows of state); the newest batch of the table holds the totals."""
     spark = scored.sparkSession
-    path = path or scratch(spark, "risk-tiers")
+    path, checkpoint = places(spark, "risk-tiers", path, checkpoint)
     tiers = scored.groupBy(risk_tier(score).alias("tier")).agg(F.count(F.lit(1)).alias("rows"))
-    latest = {"batch": None}
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        batch_writer(path)(batch, batch_id)
-        latest["batch"] = batch_id
-
-    run_each_batch(tiers, "risk-tiers", handle, mode="complete")
-    return spark.read.schema("tier string, rows bigint").parquet(f"{path}/batch_id={latest['batch']}")
+    run_each_batch(tiers, batch_writer(path), checkpoint, mode="complete")
+    table = spark.read.schema("tier string, rows bigint, batch_id bigint").parquet(path)
+    newest = table.agg(F.max("batch_id")).first()[0]
+    return table.where(F.col("batch_id") == F.lit(newest)).drop("batch_id")

@@ -28,7 +28,7 @@ def test_the_others_are_few():
         "train_gbt",
         "weight_search",
         "model_family_compare",
-        "train_end_to_end",
+        "train_pipeline",
         "feature_importance",
     }
 

@@ -10,7 +10,7 @@ from ledgerlens.functions.expressions import uid
 from ledgerlens.operators.timeline import past_totals, second_totals
 from ledgerlens.sources import events
 from ledgerlens.streaming import history, scoring, windows
-from ledgerlens.streaming.sinks import batch_writer, run_to_parquet
+from ledgerlens.streaming.sinks import batch_writer, closing, late_rows, run_to_parquet
 
 
 def messages(n=600):
@@ -88,6 +88,68 @@ def test_windows_equal_batch(spark, folder):
     assert sorted(r["requests"] for r in table) == sorted(expected.values()) and len(table) == len(expected)
 
 
+def test_closing_brings_out_open_windows(spark, folder):
+    good = events.good_events(stream(spark, folder)).withColumns(
+        {"ts": F.timestamp_seconds("TransactionDT"), "status": F.lit("success")}
+    )
+    log, close = closing(good, "ts")
+    table = run_to_parquet(windows.request_rate(log, ["status"], F.col("status") == "success"), "rate", close=close).collect()
+    assert sum(r["requests"] for r in table) == 600
+    past, close = closing(events.good_events(stream(spark, folder)), "TransactionDT")
+    seconds = history.stream_past_features(past, uid(), close=close)
+    assert seconds.count() == len({(r["card1"], r["TransactionDT"]) for r in messages()})
+
+
+def test_a_later_run_continues(spark, tmp_path):
+    """New files, another batch size: every id once, in each of the sinks."""
+    rows, source = messages(), tmp_path / "source"
+    source.mkdir()
+
+    def add(part):
+        (source / f"{part}.txt").write_text("\n".join(json.dumps(r) for r in rows[part * 100 : (part + 1) * 100]) + "\n")
+
+    def run(size):
+        text = events.read_message_files(spark, str(source), files_per_trigger=size)
+        scored, _ = scoring.stream_score(
+            text, lambda d: d.withColumn("uid_amt_deviation", F.lit(0.0)), scoring.deviation_scorer, 0.5, str(tmp_path / "scored")
+        )
+        parsed = events.parse_event_json(text)
+        quality = scoring.stream_quality_counters(parsed, ["TransactionAmt"], str(tmp_path / "quality"))
+        tiers = windows.stream_risk_tiers(
+            events.good_events(parsed).withColumn("score", F.lit(0.9)), path=str(tmp_path / "tiers")
+        )
+        past = history.stream_past_features(events.good_events(parsed), uid(), path=str(tmp_path / "past"))
+        return scored, quality, tiers, past
+
+    for part in range(3):
+        add(part)
+    run(1)
+    for part in range(3, 6):
+        add(part)
+    run(2)
+    scored, quality, tiers, past = run(2)  # nothing new
+    assert sorted(r["TransactionID"] for r in scored.collect()) == list(range(600))
+    assert quality.where("check = 'rows'").agg(F.sum("violations")).first()[0] == 600
+    assert [r["rows"] for r in tiers.collect()] == [600]
+    assert past.count() == past.select("uid", "TransactionDT").distinct().count()
+    with pytest.raises(ValueError, match="holds the output"):
+        windows.stream_risk_tiers(spark.readStream.schema("score double").parquet(str(source)), path=str(tmp_path / "scored"), checkpoint=str(tmp_path / "new"))
+
+
+def test_loose_messages_keep_their_data(spark):
+    lines = [
+        '{"TransactionID": 1, "TransactionDT": 5.0, "card1": "12", "card4": "visa", "device": {"os": "x"}}',
+        '{"TransactionID": 2, "TransactionDT": 5.5}',
+        '{"TransactionID": 3, "TransactionDT": 7, "card1": "no number", "TransactionAmt": 1}',
+        "{}",
+        "{broken",
+    ]
+    parsed = events.parse_event_json(spark.createDataFrame([(x,) for x in lines], "value string"), extra="rest").collect()
+    assert [r["_bad"] for r in parsed] == [False, True, False, True, True]
+    assert (parsed[0]["TransactionDT"], parsed[0]["card1"]) == (5, 12) and json.loads(parsed[0]["rest"]["device"]) == {"os": "x"}
+    assert parsed[2]["card1"] is None and parsed[2]["rest"] == {"card1": "no number"} and parsed[2]["TransactionAmt"] == 1.0
+
+
 def test_scoring_quarantines_and_replaces_replayed_batches(spark, folder):
     text = events.read_message_files(spark, folder, files_per_trigger=2)
     scored, bad = scoring.stream_score(text, lambda d: d.withColumn("uid_amt_deviation", F.lit(0.0)), scoring.deviation_scorer, 0.5)
@@ -134,3 +196,19 @@ def test_late_rows_are_counted(spark, tmp_path):
     report = {}
     run_to_parquet(windows.request_rate(good, ["status"]), "late-rate", report=report)
     assert report["late_rows"] == 1
+
+
+def test_late_rows_have_a_table(spark, tmp_path):
+    import os
+
+    path, out = tmp_path / "late", str(tmp_path / "out")
+    path.mkdir()
+    for i, seconds in enumerate([0, 5000, 5001, 10, 20]):
+        row = {"TransactionID": i, "TransactionDT": 86400 + seconds, "TransactionAmt": 1.0, "card1": 1, "addr1": 1}
+        (path / f"{i}.txt").write_text(json.dumps(row) + "\n")
+        os.utime(path / f"{i}.txt", (1_000_000 + i, 1_000_000 + i))
+    good = events.good_events(stream(spark, str(path))).withColumns(
+        {"ts": F.timestamp_seconds("TransactionDT"), "status": F.lit("success")}
+    )
+    run_to_parquet(windows.request_rate(good, ["status"]), "late-rate", out)
+    assert late_rows(spark, f"{out}/_checkpoint").agg(F.sum("late_rows")).first()[0] == 2
