@@ -13,10 +13,11 @@ candidates all are returned; an empty table gives no rows. Extra columns are ign
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.session import written
@@ -25,6 +26,18 @@ BLOCK = 512
 QUERIES = 256
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """While a table of blocks is written: a row is a whole block, so few of them go to Python at a time."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def finite(vector: Column) -> Column:
     bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) == float("inf")))
     return vector.isNotNull() & ~F.coalesce(bad, F.lit(True))
@@ -115,6 +128,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256) ->
         columns = list(zip(*out, strict=True)) or [(), (), ()]
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["query_id", "score", "vec_id"])
 
-    found = pairs.mapInArrow(run, "query_id long, score long, vec_id long")
+    with small_batches(vectors.sparkSession, 64):
+        found = written(pairs.mapInArrow(run, "query_id long, score long, vec_id long"), "found")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

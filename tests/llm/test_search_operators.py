@@ -182,12 +182,21 @@ def vectors():
 def test_near_vectors(spark):
     rows = vectors()
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").withColumn("v", F.lit("clash")).withColumn("home", F.lit(1))
-    got = pq.near_duplicates(df.repartition(4)).collect()
+    got = pq.near_duplicates(df.repartition(4), deviations=None).collect()
     assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in got} == plain_near(rows)
     assert len(got) == len(rows)
     assert pq.near_duplicates(df.where("false")).collect() == []
 
 
+def test_recall_of_near_vectors(spark):
+    """The production search against brute force on all vectors of a table."""
+    rows = [(r.vec_id, list(r.embedding), r.label) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
+    want = plain_near(rows)
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in queries.op7_embedding_near_dedup(spark, SF).collect()}
+    found, there = (sum(v[0] for v in x.values()) for x in (got, want))
+    assert 0.99 * there <= found <= there and set(got) == set(want)
+
+
 def plain_top(rows, k=5):
     ok = [(i, [int(np.floor(256.0 * np.float64(np.float32(x)))) for x in v]) for i, v, _ in rows if v is not None and all(x is not None and np.isfinite(x) for x in v)]
     out = []
