@@ -200,15 +200,18 @@ def fit(labelled: DataFrame, vocabulary_path: str, docs_per_language: int = 1500
     spread = F.pmod(F.xxhash64("text"), F.lit(1_000_003)) / F.lit(1_000_003.0)
     sample = rows.where(spread < share[F.col("lang")]).select("text", index[F.col("lang")].alias("l"))
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            by: dict[int, Counter] = {}
-            for text, l in zip(rows["text"], rows["l"], strict=True):
-                by.setdefault(l, Counter()).update(word_counts(text))
-            for l, words in by.items():
-                yield pd.DataFrame({"word": list(words.keys()), "l": l, "n": list(words.values())})
-
-    words = sample.mapInPandas(count, "word string, l int, n long").groupBy("word", "l").agg(F.sum("n").cast("double").alias("n"))
+            by: Counter = Counter()
+            for text, l in zip(rows.column("text").to_pylist(), rows.column("l").to_pylist(), strict=True):
+                for word, n in word_counts(text).items():
+                    by[word, l] += n
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([w for w, _ in by], pa.string()), pa.array([l for _, l in by], pa.int32()), pa.array(list(by.values()), pa.int64())],
+                names=["word", "l", "n"],
+            )
+
+    words = sample.mapInArrow(count, "word string, l int, n long").groupBy("word", "l").agg(F.sum("n").cast("double").alias("n"))
     words = written(words, "words")
     p = np.full((len(pieces.texts), len(languages)), 1.0 / len(pieces.texts))
     for _ in range(rounds):

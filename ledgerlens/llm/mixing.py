@@ -124,13 +124,14 @@ def mixed(
         step = run.groupBy("_s").agg(
             F.min(F.when(over, F.col("part"))).alias("_cut"),
             F.max(F.when(~over, F.col("upto"))).alias("_taken"),
+            F.lit(True).alias("_seen"),
         ).withColumnRenamed("_s", "_t")
         end = F.col("cut") + F.lit(1 << (60 - BITS * (level - 1)))
         plan = plan.join(step, F.col("_s").eqNullSafe(F.col("_t")), "left").select(
             "_s",
             "passes",
             (F.col("rest") - F.coalesce("_taken", F.lit(0))).alias("rest"),
-            F.when(F.col("_t").isNull(), F.col("cut")).otherwise(F.coalesce("_cut", end)).alias("cut"),
+            F.when(F.col("_seen").isNull(), F.col("cut")).otherwise(F.coalesce("_cut", end)).alias("cut"),
         )
         plan = written(plan, "mix-plan")
     plan = plan.select("_s", "passes", "cut")

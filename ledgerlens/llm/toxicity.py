@@ -21,7 +21,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -40,7 +39,7 @@ BEGINNINGS = (4, 5, 6)  # letters
 NEAR = 5  # words between an address and a lexicon word
 
 LETTER_RUN = re.compile(r"[^\W\d_]+")
-MARKS_INSIDE = re.compile(r"[^\W_][@$*#!0134578]+[^\W_]|[^\W\d_]\*+")
+MARKS_INSIDE = re.compile(r"[^\W_][@$*#!0134578]+[^\W_]|[^\W\d_]\*+|(?<!\w)[@$01345]+[^\W\d_]{2,}")
 STRETCHED = re.compile(r"([^\W\d_])\1{2,}")
 # Stand-ins for letters.
 STAND_INS = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"})
@@ -72,21 +71,24 @@ def stems(word: str) -> set[str]:
 def learn_lexicon(rows: DataFrame) -> dict[str, float]:
     """Entries with their log odds from (text, label); at most LEXICON of them reach the driver."""
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts: Counter = Counter()
             toxic: Counter = Counter()
-            for text, label in zip(batch["text"], batch["label"], strict=True):
+            for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
                 entries: set[str] = set()
                 for word in set(LETTER_RUN.findall((text or "").lower())):
                     entries |= stems(word)
                 texts.update(entries)
                 if label == 1:
                     toxic.update(entries)
-            yield pd.DataFrame({"entry": list(texts), "texts": list(texts.values()), "toxic": [toxic[e] for e in texts]})
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(texts), pa.string()), pa.array(list(texts.values()), pa.int64()), pa.array([toxic[e] for e in texts], pa.int64())],
+                names=["entry", "texts", "toxic"],
+            )
 
     n = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("toxic")).first()
-    counts = rows.select("text", "label").mapInPandas(count, "entry string, texts long, toxic long")
+    counts = rows.select("text", "label").mapInArrow(count, "entry string, texts long, toxic long")
     sums = counts.groupBy("entry").agg(F.sum("texts").alias("texts"), F.sum("toxic").alias("toxic"))
     odds = F.log((F.col("toxic") + 0.5) / (n["toxic"] + 1.0)) - F.log((F.col("texts") - F.col("toxic") + 0.5) / (n["n"] - n["toxic"] + 1.0))
     best = sums.withColumn("odds", odds).where((F.col("toxic") >= LEAST_TEXTS) & (F.col("odds") >= LEAST_ODDS))
