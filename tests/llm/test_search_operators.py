@@ -104,11 +104,13 @@ def test_overlap_bound_never_drops_a_link(spark):
     rng = random.Random(9)
     base = words(rng, 900, 10**6)
     a = np.unique(np.array([hash(w) & (2**63 - 1) for w in base], dtype=np.uint64))
-    for share in (0.0, 0.05, 0.14, 0.3):
-        b = np.unique(np.concatenate([a[int(share * len(a)) :], np.arange(1, int(share * len(a)) + 1, dtype=np.uint64)]))
+    for share in (0.0, 0.05, 0.14, 0.3, 0.9):
+        b = a[: int((1 - share) * len(a))] if share > 0.5 else np.unique(np.concatenate([a[int(share * len(a)) :], np.arange(1, int(share * len(a)) + 1, dtype=np.uint64)]))
         (x, hx), (y, hy) = jaccard.bitmap_of(a), jaccard.bitmap_of(b)
-        shared = int(np.bitwise_count(np.frombuffer(x, np.uint8) & np.frombuffer(y, np.uint8)).sum())
-        assert shared + min(hx, hy) >= len(np.intersect1d(a, b))
+        size = min(len(x), len(y))
+        u, v = (jaccard._folded(np.frombuffer(z, np.uint64)[None], size) for z in (x, y))
+        shared = int(np.bitwise_count(u & v).sum())
+        assert shared + min(h for h, z in ((hx, x), (hy, y)) if len(z) == size) >= len(np.intersect1d(a, b))
 
 
 # Repeated substrings
