@@ -6,12 +6,13 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from ledgerlens.catalog import registry  # noqa: E402
-from ledgerlens.session import build_session  # noqa: E402
+from ledgerlens.session import build_session, discard  # noqa: E402
 
 HEADLINE = [
     "entity_risk_metrics",
@@ -56,6 +57,7 @@ def main() -> None:
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": os.environ.get("BENCH_MEMORY", "8g"),
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-"),
     }
     spark = build_session("bench", f"local[{cpus}]", **settings)
     spark.sparkContext.setLogLevel("ERROR")
@@ -68,6 +70,7 @@ def main() -> None:
             known[key].run(spark, sf_dir).write.format("noop").mode("overwrite").save()
             times.append(time.perf_counter() - start)
         seconds[key] = round(statistics.median(times[1:]), 3)
+        discard(spark)
     total = round(sum(seconds.values()), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     line = {"metric": "headline_queries_total", "value": total, "unit": "sec", "queries": seconds, "sf": sf}

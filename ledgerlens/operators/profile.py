@@ -284,7 +284,14 @@ def mean_shift(df: DataFrame, feature: str, split: str = "split", label: str = T
 def label_correlation_topk(df: DataFrame, label: str = TARGET_COLUMN, k: int = 10) -> DataFrame:
     """Pearson correlation of each numeric column with the label (rows where both are known), top k."""
     columns = [f.name for f in df.schema.fields if is_numeric(f.dataType)]
-    wide = df.agg(*[F.corr(number(c), number(label)).alias(c) for c in columns])
+
+    def correlation(c: str) -> Column:
+        both = number(c).isNotNull() & number(label).isNotNull()
+        x, y = F.when(both, number(c)), F.when(both, number(label))
+        # A constant column has none (the built-in corr divides by zero there).
+        return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+    wide = df.agg(*[correlation(c).alias(c) for c in columns])
     return (
         wide.unpivot([], columns, "column", "correlation")
         .where(F.col("correlation").isNotNull() & ~F.isnan("correlation"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,9 +55,28 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return os.path.join(shared_folder(spark), "ledgerlens", spark.sparkContext.applicationId)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new, unused path below the shared folder."""
-    return os.path.join(shared_folder(spark), "ledgerlens", f"{name}-{uuid.uuid4().hex[:12]}")
+    """A new, unused path below the shared folder, in the part that belongs to this application."""
+    return os.path.join(_own_folder(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def discard(spark: SparkSession) -> None:
+    """Delete all that ``written`` and ``scratch`` made in this application; what was read from them is gone then."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """For one job after another in a long session: what the job wrote to the shared folder goes when it ends."""
+    try:
+        yield
+    finally:
+        discard(spark)
 
 
 def written(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlens.operators import enrich, guards, missed, profile, splits
+from ledgerlens.operators import drift, enrich, guards, missed, profile, splits
 from ledgerlens.operators.encoding import ordinal_standardize
 from ledgerlens.sources import files
 
@@ -59,6 +59,43 @@ def test_time_split_cuts_inside_ties(spark, task_rows):
     assert [rows[i] for i in range(40)] == ["train"] * 28 + ["validation"] * 6 + ["test"] * 6
 
 
+@pytest.mark.parametrize("task_rows", [1_000_000, 3])
+@pytest.mark.parametrize("untimed", [4, 12])
+def test_rows_without_a_time_come_last(spark, task_rows, untimed):
+    rows = [(i, None if i <= untimed else 100 * i, 0) for i in range(1, 21)]
+    df = spark.createDataFrame(rows, "TransactionID bigint, TransactionDT bigint, isFraud int")
+    got = {r["TransactionID"]: r["split"] for r in splits.split_by_time_ratio(df, task_rows=task_rows).collect()}
+    ordered = sorted(rows, key=lambda r: (r[1] is None, r[1] or 0, r[0]))
+    assert [got[r[0]] for r in ordered] == ["train"] * 14 + ["validation"] * 3 + ["test"] * 3
+
+
+def test_nan_is_missing(spark):
+    rows = [(float(i % 7), float("nan") if i % 3 == 0 else 1.0, i % 2) for i in range(60)]
+    df = spark.createDataFrame(rows, "x double, y double, isFraud int")
+    clean = df.withColumn("y", F.when(~F.isnan("y"), F.col("y")))
+    for f in (
+        profile.missing_summary,
+        lambda d: profile.missing_signal_strength(d, min_missing_percent=10),
+        lambda d: profile.describe(d, "y"),
+        profile.label_correlation_topk,
+        lambda d: profile.mean_shift(d.withColumn("split", F.lit("a")), "y"),
+        lambda d: drift.drift_report(clean, d, ["x", "y"]),
+        lambda d: drift.drift_report(d, clean, ["x", "y"]),
+    ):
+        assert sorted(map(str, f(df).collect())) == sorted(map(str, f(clean).collect()))
+    assert {r["column"]: r["missing_count"] for r in profile.missing_summary(df).collect()}["y"] == 20
+
+
+def test_scratch_is_deleted(spark):
+    from ledgerlens.session import scope, written
+
+    with scope(spark):
+        kept = written(spark.range(5).toDF("x"), "gone")
+        path = kept.inputFiles()[0]
+        assert files.exists(spark, path)
+    assert not files.exists(spark, path)
+
+
 def test_time_split_refusals(split_frame):
     with pytest.raises(ValueError, match="sum to 1.0"):
         splits.split_by_time_ratio(split_frame, 0.7, 0.2, 0.2)

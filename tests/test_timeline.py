@@ -77,3 +77,23 @@ def test_past_median_equals_brute_force(spark, frame, small_entity):
         same = (frame.card1 == row.card1) & (frame.addr1 == row.addr1)
         earlier = frame[same & (frame.TransactionDT < row.TransactionDT)].TransactionAmt.median()
         assert np.isclose(float(found.loc[row.TransactionID].uid_past_median), earlier, equal_nan=True)
+
+
+@pytest.mark.parametrize("seconds", [1, 40, 700, 10_000])
+def test_rolling_sums(spark, frame, seconds):
+    rolled = timeline.rolling_history(_spark(spark, frame), seconds).collect()
+    assert len(rolled) == len(frame)
+    for r in rolled[::3]:
+        near = frame[(frame.card1 == r.card1) & (frame.addr1 == r.addr1)]
+        near = near[(near.TransactionDT >= r.TransactionDT - seconds) & (near.TransactionDT < r.TransactionDT)]
+        assert r[f"uid_count_{seconds}s"] == len(near)
+        known = near.TransactionAmt.dropna()
+        total = r[f"uid_sum_{seconds}s"]
+        assert (total is None) if known.empty else total == pytest.approx(known.sum(), abs=1e-6)
+
+
+def test_rolling_sums_of_one_long_entity(spark):
+    """A day's frame over one row a second: linear, so this ends in seconds."""
+    rows = spark.range(86_400).selectExpr("id AS TransactionID", "id AS TransactionDT", "1.0D AS TransactionAmt", "1L AS card1", "1L AS addr1")
+    rolled = timeline.rolling_history(rows, 86_400)
+    assert rolled.agg(F.max("uid_count_86400s"), F.sum("uid_sum_86400s")).first()[:] == (86_399, 86_399 * 86_400 / 2)
