@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import jaccard, language, mixing, packing, pq, secret_scan, substrings, topk, toxicity, urls
+from ledgerlens.llm import jaccard, language, mixing, oracles, packing, pq, secret_scan, substrings, topk, toxicity, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -103,4 +103,4 @@ QUERIES = {
         op10_url_filter,
     ]
 }
-SQL: dict[str, str] = {}
+SQL = oracles.SQL
