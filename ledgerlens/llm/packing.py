@@ -13,10 +13,11 @@ Defined cases: a null text counts as empty and still has its end id; a table wit
 from __future__ import annotations
 
 import re
+import sys
 import zlib
-from array import array
 from collections.abc import Iterator
 from itertools import chain
+from types import ModuleType
 
 import numpy as np
 import pandas as pd
@@ -29,67 +30,116 @@ from pyspark.sql import types as T
 from ledgerlens.session import written
 
 GROUP_PIECES = 30_000
-KEPT_WORDS = 400_000  # that a task remembers
+KEPT_WORDS = 1_000_000  # that a Python worker remembers: some 200 MB
 
-# A letter run that no normaliser changes but for case, with closing marks: its ids are those of the two parts.
-PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+# Characters that no normaliser changes but for case. Among them the tokenizer cuts texts into letter runs, single
+# digits and runs of marks (an apostrophe may begin a suffix, so it isn't one of them), which PART finds likewise.
+NOT_PLAIN = re.compile(r"""[^A-Za-zÀ-ÖØ-öø-ÿ0-9 \t\n\r\x0b\x0c!"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~]""")
+PART = re.compile(r"""[a-zß-öø-ÿ]+|[0-9]|[!"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~]+""")
 ODD_SPACE = re.compile("[\x1c-\x1f]")  # split() parts at these, the tokenizer doesn't
 
 
+class Grown:
+    """A numpy array that grows at its end."""
+
+    def __init__(self, kind: str):
+        self.data, self.size = np.zeros(1024, kind), 0
+
+    def extend(self, values: np.ndarray) -> None:
+        if self.size + len(values) > len(self.data):
+            self.data = np.concatenate([self.data[: self.size], np.zeros(max(len(values), len(self.data)), self.data.dtype)])
+        self.data[self.size : self.size + len(values)] = values
+        self.size += len(values)
+
+
 class Encoder:
-    """Token ids of whole texts by a tokenizer that drops white space: runs between spaces are encoded once and kept."""
+    """Token ids of whole texts by a tokenizer that drops white space and marks the ends of words.
+
+    Parts that the tokenizer never joins with others are encoded once and looked up from then on.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.forget()
 
     def forget(self) -> None:
-        self.parts: dict[str, list[int]] = {}
         self.index: dict[str, int] = {}
-        self.ids = array("I")
-        self.ends = array("q", [0])
-
-    def learn(self, runs: set[str]) -> None:
-        cut = {}
-        for run in runs:
-            m = PLAIN.fullmatch(run)
-            cut[run] = (m[1].lower(), m[2]) if m else (run, "")
-        new = list({p for two in cut.values() for p in two if p not in self.parts})
-        encoded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        self.parts.update((p, e.ids) for p, e in zip(new, encoded, strict=True))
-        for run, (body, marks) in cut.items():
-            self.ids.extend(self.parts[body])
-            if marks:
-                self.ids.extend(self.parts[marks])
-            self.index[run] = len(self.ends) - 1
-            self.ends.append(len(self.ids))
+        self.ids, self.ends = Grown("<u4"), Grown("i8")
+        self.ends.extend(np.zeros(1, "i8"))
+
+    def parts(self, text: str) -> list[str] | None:
+        """Parts to look up, or None for a text that has to be encoded as a whole."""
+        if NOT_PLAIN.search(text) is None:
+            return PART.findall(text.lower())
+        if ODD_SPACE.search(text):
+            return None
+        out: list[str] = []
+        for run in text.split():
+            if NOT_PLAIN.search(run) is None:
+                out += PART.findall(run.lower())
+            else:
+                out.append(run)
+        return out
+
+    def learn(self, new: list[str]) -> None:
+        plain = [p for p in new if NOT_PLAIN.search(p) is None]
+        odd = [p for p in new if NOT_PLAIN.search(p) is not None]
+        for at in range(0, len(plain), 20_000):
+            some = plain[at : at + 20_000]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, dtype="<u4")
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) != len(some):  # a tokenizer that marks ends otherwise
+                odd += some
+                continue
+            self.add(some, ids, ends)
+        encoded = self.tokenizer.encode_batch(odd, add_special_tokens=False)
+        lists = [np.array(e.ids, dtype="<u4") for e in encoded]
+        self.add(odd, np.concatenate([np.zeros(0, "<u4"), *lists]), np.cumsum([len(x) for x in lists]))
+
+    def add(self, new: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
+        first = self.ends.size - 1
+        self.ends.extend(self.ids.size + np.asarray(ends, dtype="i8"))
+        self.ids.extend(ids)
+        self.index.update(zip(new, range(first, first + len(new)), strict=True))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.index) > KEPT_WORDS:
             self.forget()
-        runs = [None if ODD_SPACE.search(t) else t.split() for t in texts]
-        self.learn({r for r in chain.from_iterable(x for x in runs if x) if r not in self.index})
-        ids, ends = np.array(self.ids, dtype="<u4"), np.array(self.ends, dtype=np.int64)
+        parts = [self.parts(t) for t in texts]
+        known = self.index
+        self.learn(list(set(chain.from_iterable(x for x in parts if x)).difference(known)))
         out = []
-        for t, x in zip(texts, runs, strict=True):
+        for t, x in zip(texts, parts, strict=True):
             if x is None:
                 out.append(np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, dtype="<u4"))
                 continue
-            which = np.fromiter(map(self.index.__getitem__, x), np.int64, len(x))
-            sizes = ends[which + 1] - ends[which]
+            which = np.array(list(map(known.__getitem__, x)), dtype=np.int64)
+            begins = self.ends.data[which]
+            sizes = self.ends.data[which + 1] - begins
             before = np.cumsum(sizes) - sizes
-            out.append(ids[np.repeat(ends[which] - before, sizes) + np.arange(int(sizes.sum()))])
+            out.append(self.ids.data[np.repeat(begins - before, sizes) + np.arange(int(sizes.sum()))])
         return out
 
 
+def kept_encoder(path: str) -> Encoder:
+    """The encoder of this Python worker: workers serve one task after another, so what one learnt serves the next."""
+    kept = sys.modules.setdefault("_ledgerlens_kept", ModuleType("_ledgerlens_kept")).__dict__.setdefault("encoders", {})
+    if path not in kept:
+        kept[path] = Encoder(path)
+    return kept[path]
+
+
 def pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 1, size: int = 4096) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 and a number ``item`` of its own, for each piece of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer_path)
+        encoder = kept_encoder(tokenizer_path)
         item = TaskContext.get().partitionId() << 33
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
