@@ -11,50 +11,13 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.expressions import bucket_of, is_numeric
 from ledgerlens.session import TASK_ROWS, written
 
-SAMPLES_PER_RANGE = 20
 SKETCH_ACCURACY = 2_000
 BRACKETS_PER_SCAN = 128
-MAX_TEXT_RANGES = 256
-MAX_NUMBER_RANGES = 20_000
-
-
-def cut_points(df: DataFrame, value: str, rows: int, task_rows: int = TASK_ROWS) -> list:
-    """Values that cut ``df`` into ranges of about ``task_rows`` distinct values.
-
-    Read from a hash sample of the values (same input, same cuts), whose size
-    is bounded by SAMPLES_PER_RANGE times the number of ranges.
-    """
-    limit = MAX_NUMBER_RANGES if is_numeric(df.schema[value].dataType) else MAX_TEXT_RANGES
-    pieces = min(limit, math.ceil(rows / task_rows))
-    if pieces <= 1:
-        return []
-    one_in = max(1, rows // (pieces * SAMPLES_PER_RANGE))
-    sample = (
-        df.where(F.col(value).isNotNull() & (F.pmod(F.xxhash64(F.col(value)), F.lit(one_in)) == 0))
-        .select(value)
-        .distinct()
-    )
-    values = sorted(row[0] for row in sample.collect())
-    step = max(1, len(values) // pieces)
-    return values[step::step]
-
-
-def add_range(df: DataFrame, value: str, cuts: Sequence, name: str = "_range") -> DataFrame:
-    """Number the range of ``value``: a binary search in the JVM for numbers, a CASE tree for text."""
-    if is_numeric(df.schema[value].dataType):
-        splits = [-math.inf, *[float(cut) for cut in cuts], math.inf]
-        exact = df.withColumn("_as_double", F.col(value).cast("double"))
-        return Bucketizer(splits=splits, inputCol="_as_double", outputCol=name, handleInvalid="keep").transform(
-            exact
-        ).drop("_as_double")
-    return df.withColumn(name, bucket_of(F.col(value), cuts).cast("double"))
 
 
 def running_totals(
@@ -81,8 +44,10 @@ def running_totals(
         window = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
         return table.withColumns({f"{c}_upto": F.sum(c).over(window) for c in sums})
 
-    cuts = cut_points(table, value, rows, task_rows)
-    ranged = add_range(table, value, cuts)
+    # Ranges of about ``task_rows`` rows, as many as it takes; written, so that both readers see the same ranges.
+    pieces = math.ceil(rows / task_rows)
+    ranged = table.repartitionByRange(pieces, value, *group).withColumn("_range", F.spark_partition_id())
+    ranged = written(ranged, "ranges")
     totals = ranged.groupBy(*group, "_range").agg(*[F.sum(c).alias(f"_{c}_total") for c in sums])
     # One row per group and range: at most the number of ranges per group, whatever the rows.
     range_order = F.col("_range").desc() if descending else F.col("_range").asc()
