@@ -145,7 +145,7 @@ def _(spark, sf_dir):
     return files.run_manifest("batch", "batch_scoring", inputs, {"transactions": views.txn(spark, sf_dir)})
 
 
-@query("sample_rows")
+@query("sample_rows", "SELECT * FROM txn ORDER BY md5('42:' || CAST(TransactionID AS VARCHAR)), TransactionID LIMIT 20", ["txn"])
 def _(spark, sf_dir):
     return files.sample_rows(views.txn(spark, sf_dir), "TransactionID", 20)
 

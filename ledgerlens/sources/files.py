@@ -125,8 +125,8 @@ def run_manifest(
 
 
 def sample_rows(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """``n`` rows, the same for the same seed: smallest seeded hashes of the key.
+    """``n`` rows, the same for the same seed: smallest seeded hashes (md5 of ``seed:key``) of the key.
 
     Runs as a per-task top-n, so only n rows per task move.
     """
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key)).limit(n)
+    return df.orderBy(F.md5(F.concat_ws(":", F.lit(seed).cast("string"), F.col(key).cast("string"))), F.col(key)).limit(n)

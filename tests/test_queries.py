@@ -23,7 +23,6 @@ def test_query_equals_sql(spark, duck, key):
 def test_the_others_are_few():
     assert {k for k, q in QUERIES.items() if q.sql is None} == {
         "dataset_fingerprint",
-        "sample_rows",
         "batch_score",
         "train_gbt",
         "weight_search",
