@@ -22,6 +22,7 @@ from ledgerlens.operators.ordered import running_totals
 from ledgerlens.session import written
 
 SMALL_ENTITY = 50_000  # amounts of one entity that one task sorts as they come
+SPREAD = 64  # parts of a bin that many segments ask for
 RESULT = "_key string, _t bigint, median double"
 
 
@@ -108,6 +109,7 @@ def _large_entities(points: DataFrame, sizes: DataFrame) -> DataFrame:
     # Every (segment, bin) of an entity: as many cells as it has rows, at most.
     last = F.floor(F.col("size") / F.col("piece")).cast("int")
     grid = sizes.select("_key", "piece", F.explode(F.sequence(F.lit(0), last)).alias("segment"), last.alias("last"))
+    grid = grid.repartition("_key", "segment")  # else one task lays out all cells of an entity
     grid = grid.select("_key", "piece", "segment", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("bin"))
     dense = grid.join(cells, ["_key", "segment", "bin"], "left").fillna(0, ["n", "points"])
     earlier = Window.partitionBy("_key", "bin").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
@@ -126,10 +128,13 @@ def _large_entities(points: DataFrame, sizes: DataFrame) -> DataFrame:
     )
     offsets = wanted.groupBy("_key", "segment").agg(F.min("start").alias("below"), F.max("total").alias("total"))
 
+    # While the median is stable all segments ask for one bin: its values are spread, the requests repeated.
+    requests = wanted.select("_key", "bin", "segment", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("salt"))
+    salt = F.pmod(F.xxhash64("x", "segment"), F.lit(SPREAD)).cast("int")
     middle = (
         placed.where(F.col("w") > 0)
-        .select("_key", "bin", F.col("segment").alias("from_segment"), "x", "w")
-        .join(wanted.select("_key", "bin", "segment"), ["_key", "bin"])
+        .select("_key", "bin", salt.alias("salt"), F.col("segment").alias("from_segment"), "x", "w")
+        .join(requests, ["_key", "bin", "salt"])
         .where(F.col("from_segment") < F.col("segment"))
         .groupBy("_key", "segment", "x")
         .agg(F.sum("w").alias("w"))
