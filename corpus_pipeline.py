@@ -17,15 +17,23 @@ MIN_LANGUAGE_SCORE = 0.5  # least probability of the best language
 MAX_REPEATS = 2.0  # passes over the smallest source
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that the documents don't have."""
+    while name in docs.columns:
+        name = f"_{name}"
+    return name
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with letters, in one of the languages that the labelled ones have.
 
     Rejected: no letter at all (null and empty texts too), or no language with a probability over one half.
     """
     model = language.fit(docs, public_tokenizers.path("piece_bpe_32k.model"))
-    with_names = docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"), F.col("text").alias("text"))
-    known = language.identify(with_names, model).where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE))
-    return known.select("row.*")
+    names = [_free(docs, n) for n in ("lang_pred", "score", "n_letters")]
+    known = language.identify(docs, model, names=names)
+    known = known.where((F.col(names[0]) != language.UNKNOWN) & (F.col(names[1]) >= MIN_LANGUAGE_SCORE))
+    return known.select(*[f"`{c}`" for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,15 +51,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents; every secret is replaced by its kind in brackets, and n_chars follows the text."""
-    rows = docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"), F.col("text").alias("text"))
-    clean = secret_scan.scan(rows, redact=True)
-    fields = {"text": F.col("text"), "n_chars": F.coalesce(F.length("text"), F.lit(0)).cast("bigint")}
-    return clean.select(
-        *[
-            F.when(F.size("spans") > 0, fields[c]).otherwise(F.col("row")[c]).alias(c) if c in fields else F.col("row")[c].alias(c)
-            for c in docs.columns
-        ]
-    )
+    spans = _free(docs, "spans")
+    clean = secret_scan.scan(docs, redact=True, name=spans)
+    if "n_chars" in docs.columns:
+        chars = F.when(F.size(spans) > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
+        clean = clean.withColumn("n_chars", chars)
+    return clean.select(*[f"`{c}`" for c in docs.columns])
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,6 +33,7 @@ WORD_START = "▁"
 LONG_WORD = 40
 FLOOR = 1e-9  # of a character that no piece covers
 KEPT_WORDS = 300_000  # that a task remembers
+SLICE_ROWS = 500  # of a batch that are worked on and passed on at a time
 
 
 def vocabulary(path: str) -> list[str]:
@@ -223,10 +224,11 @@ def fit(labelled: DataFrame, vocabulary_path: str, docs_per_language: int = 1500
     return Model(pieces, languages, p)
 
 
-def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+def identify(
+    docs: DataFrame, model: Model, text: str = "text", names: Sequence[str] = ("lang_pred", "score", "n_letters")
+) -> DataFrame:
     """``docs`` with lang_pred, score (probability of lang_pred among the languages) and n_letters."""
-    added = [pa.field("lang_pred", pa.string()), pa.field("score", pa.float64()), pa.field("n_letters", pa.int64())]
-    names = {f.name for f in added}
+    added = [pa.field(n, kind) for n, kind in zip(names, (pa.string(), pa.float64(), pa.int64()), strict=True)]
     kept = [c for c in docs.columns if c not in names]
     schema = docs.select(*[f"`{c}`" for c in kept]).schema
     for f, kind in zip(added, (T.StringType(), T.DoubleType(), T.LongType()), strict=True):
@@ -235,7 +237,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, int] = {}
         table = np.zeros((0, len(model.languages)))
-        for batch in batches:
+        for batch in (whole.slice(at, SLICE_ROWS) for whole in batches for at in range(0, whole.num_rows, SLICE_ROWS)):
             counts = [word_counts(t) for t in batch.column(text).to_pylist()]
             if len(seen) > KEPT_WORDS:
                 seen, table = {}, table[:0]

@@ -39,6 +39,7 @@ LITERAL = re.compile(r"""[ \t]*(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|`(
 JOIN = re.compile(r"""[ \t]*\+(?=[ \t]*["'`])""")
 NAME_PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 LONGEST_NAME = 200
+SLICE_ROWS = 500  # of a batch that are worked on and passed on at a time
 
 # Words of names and how much they tell by themselves.
 SENSITIVE = {
@@ -136,20 +137,20 @@ def redacted(text: str, spans: list[tuple[int, int, str]]) -> str:
     return "".join([*out, text[at:]])
 
 
-def scan(docs: DataFrame, text: str = "text", redact: bool = False) -> DataFrame:
-    """``docs`` with ``spans``: array of (start, end, kind). ``redact``: the text without them."""
-    kept = [c for c in docs.columns if c != "spans"]
-    schema = docs.select(*[f"`{c}`" for c in kept]).schema.add("spans", SPANS)
+def scan(docs: DataFrame, text: str = "text", redact: bool = False, name: str = "spans") -> DataFrame:
+    """``docs`` with the spans, an array of (start, end, kind), as column ``name``. ``redact``: the text without them."""
+    kept = [c for c in docs.columns if c != name]
+    schema = docs.select(*[f"`{c}`" for c in kept]).schema.add(name, SPANS)
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(at, SLICE_ROWS) for whole in batches for at in range(0, whole.num_rows, SLICE_ROWS)):
             texts = batch.column(text).to_pylist()
             found = [spans_of(t) for t in texts]
             columns = {c: batch.column(c) for c in kept}
             if redact:
                 columns[text] = pa.array([redacted(t, s) if s else t for t, s in zip(texts, found, strict=True)], columns[text].type)
-            columns["spans"] = pa.array([[dict(zip(("start", "end", "kind"), s, strict=True)) for s in x] for x in found], kind)
+            columns[name] = pa.array([[dict(zip(("start", "end", "kind"), s, strict=True)) for s in x] for x in found], kind)
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     return docs.mapInArrow(run, schema)

@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 from ledgerlens.session import written
 
 FIT_ROWS = 10_000
+SLICE_ROWS = 500  # of a batch that are worked on and passed on at a time
 LEXICON = 400  # entries at most
 LEAST_TEXTS = 5  # toxic texts that an entry must be in
 LEAST_ODDS = 2.0  # log odds of an entry
@@ -159,7 +160,7 @@ def with_features(docs: DataFrame, lexicon: dict[str, float]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, float] = {}
-        for batch in batches:
+        for batch in (whole.slice(at, SLICE_ROWS) for whole in batches for at in range(0, whole.num_rows, SLICE_ROWS)):
             values = []
             for text in batch.column("text").to_pylist():
                 if len(known) > KEPT_WORDS:
