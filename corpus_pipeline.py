@@ -45,6 +45,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     others = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone"))
     kept = docs.join(others, F.col("doc_id") == F.col("_gone"), "left_anti")
     again = written(groups.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_again")), "again")
+    if again.isEmpty():
+        return kept
     once = kept.join(again, F.col("doc_id") == F.col("_again"), "left_anti")
     return once.union(kept.join(again, F.col("doc_id") == F.col("_again"), "left_semi").dropDuplicates(["doc_id"]))
 
