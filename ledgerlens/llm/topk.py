@@ -6,8 +6,9 @@ sum(q+ * max + q- * min). A task takes the blocks it is given in order of that b
 lies below the k-th score that every query of the group already has there. Queries and rows meet in blocks of both.
 
 Defined cases: vectors that are null, or hold null or non-finite components, take no part; components that a shorter
-vector lacks count as 0; ties go to the smaller id; rows that share an id are each a candidate; with fewer than k
-candidates all are returned; an empty table gives no rows. Extra columns are ignored.
+vector lacks count as 0; ties go to the smaller id; rows that share an id are each a candidate, save for that id's own
+query, which equal rows ask once; with fewer than k candidates all are returned; an empty table gives no rows. Extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -116,14 +117,16 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256) ->
                 if not open_:
                     continue
                 scores = _products(q[open_], m)
-                n = min(k + 1, len(ids))
                 for row, j in enumerate(open_):
-                    floor = np.partition(scores[row], len(ids) - n)[len(ids) - n]
+                    others = np.flatnonzero(ids != q_ids[j])  # rows of the query's own id, however many, take no place
+                    if not len(others):
+                        continue
+                    theirs, n = scores[row, others], min(k, len(others))
+                    floor = np.partition(theirs, len(others) - n)[len(others) - n]
                     if len(tops[j]) == k:
                         floor = max(floor, tops[j][-1][0])
-                    found = np.flatnonzero(scores[row] >= floor)
-                    own = [(int(scores[row, c]), -int(ids[c])) for c in found if ids[c] != q_ids[j]]
-                    tops[j] = sorted(tops[j] + own, reverse=True)[:k]
+                    found = [(int(theirs[c]), -int(ids[others[c]])) for c in np.flatnonzero(theirs >= floor)]
+                    tops[j] = sorted(tops[j] + found, reverse=True)[:k]
         out = [(q, s, -v) for q_ids, tops in best.items() for q, top in zip(q_ids, tops, strict=True) for s, v in top]
         columns = list(zip(*out, strict=True)) or [(), (), ()]
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["query_id", "score", "vec_id"])

@@ -228,6 +228,23 @@ def test_top_k_in_small_blocks(spark, monkeypatch):
     assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == plain_top(rows)
 
 
+def test_top_k_of_repeated_query_ids(spark):
+    """Ten rows of a query's own id lie side by side and score highest; they take no other row's place."""
+    rng = np.random.default_rng(11)
+    once = [(i, rng.normal(size=6).astype("float32").astype(float).tolist(), 0) for i in range(1, 120)]
+    hot = [(0, [9.0] * 6, 0), (0, [8.0] * 6, 0), (150, [-7.0] * 6, 0)]
+    rows = once + [r for r in hot for _ in range(10)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(3)
+    whole = [(i, np.floor(256 * np.array(v)).astype(int)) for i, v, _ in rows]
+    want = []
+    for q in (0, 50, 100, 150):
+        vectors_of = {tuple(v) for i, v in whole if i == q}
+        scores = sorted((-int(np.dot(a, v)), i) for a in vectors_of for i, v in whole if i != q)[:5]
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scores)]
+    got = topk.top_k(df, F.col("vec_id") % 50 == 0).collect()
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == sorted(want)
+
+
 # URLs
 
 
