@@ -6,8 +6,8 @@ reaches a sensitive name marks the literal itself. A literal counts when the wor
 score at least SCORE together.
 
 Defined cases: null and empty texts have no spans; repeated rows are scanned each for itself; spans are code points,
-end exclusive; a lexed literal that overlaps a pattern's span is not listed again. Output columns replace input columns
-of the same name.
+end exclusive; a lexed literal is not listed again where a pattern's span holds all of it. Output columns replace input
+columns of the same name.
 """
 
 from __future__ import annotations
@@ -123,12 +123,12 @@ def spans_of(text: str | None) -> list[tuple[int, int, str]]:
         return []
     base = base_spans(text)
     more = lexed_spans(text) if "=" in text or ":" in text else []
-    base += [s for s in more if not any(s[0] < b[1] and b[0] < s[1] for b in base)]
+    base += [s for s in more if not any(b[0] <= s[0] and s[1] <= b[1] for b in base)]
     return sorted(base, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
 def redacted(text: str, spans: list[tuple[int, int, str]]) -> str:
-    """The text with each covered stretch replaced by the kind of the span that opens it."""
+    """The text with each stretch that overlapping spans cover replaced by the kind of the span that opens it."""
     out, at = [], 0
     for start, end, kind in spans:
         if start >= at:
