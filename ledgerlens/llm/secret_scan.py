@@ -1,8 +1,9 @@
 """Secrets in text: three fixed patterns, and literals that source or configuration syntax assigns to sensitive names.
 
-The lexer reads ``name = literal`` pairs of the usual syntaxes (``=``, ``:``, ``:=``, ``=>``; quoted or bare literals;
-literals joined by ``+``). A name given as a value stands for the literal it was last assigned, so a constant that later
-reaches a sensitive name marks the literal itself. A literal counts when the words of its name and its own make-up
+The lexer reads ``name = literal`` pairs of the usual syntaxes (``=``, ``:``, ``:=``, ``=>``; a type beside the name;
+quoted literals with or without a prefix and bare ones, also on the next line; literals and names joined by ``+``). A name
+given as a value stands for the literal it was last assigned, so a constant that later reaches a sensitive name marks the
+literal itself. A literal counts when the words of its name and its own make-up
 score at least SCORE together.
 
 Defined cases: null and empty texts have no spans; repeated rows are scanned each for itself; spans are code points,
@@ -35,8 +36,21 @@ LEAST = {"assign": 8, "access": 16}
 
 OPERATOR = re.compile(r"=>|:=|(?<![=!<>:])=(?![=~])|(?<!:):(?![:/=])")
 NAME = re.compile(r"""([A-Za-z_$][\w$.\-]*)["'\]]?[ \t]*\Z""")
-LITERAL = re.compile(r"""[ \t]*(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`|([^\s"'`,;(){}\[\]<>#]+))""")
-JOIN = re.compile(r"""[ \t]*\+(?=[ \t]*["'`])""")
+# A type between name and operator: ``name: type =`` of most languages, ``name string =`` and ``name As String =``.
+ATOM = r"""[&*]?(?:'\w+[ \t]+)?(?:mut[ \t]+)?[A-Za-z_][\w.]*(?:::\w+)*(?>[\[<](?:[^\n=;:]|::)*[\]>])?[?!*]?(?:\[\])?"""
+TYPED = re.compile(rf"""(?<![A-Za-z_$])([A-Za-z_$][\w$.\-]*+)(?:["'\]]?[?!]?[ \t]*:[ \t]*{ATOM}(?:[ \t]*\|[ \t]*{ATOM})*|[ \t]+(?:As[ \t]+)?[Ss]tring)[ \t]*\Z""")
+# Groups: prefix; contents in each kind of quotes; a bare literal. One line break may stand before it.
+LITERAL = re.compile(
+    r"""[ \t]*+(?:(?:\([ \t]*+)?\\?\r?\n[ \t]*+)?"""
+    r"""(?:(b?r\#+|u8|[bBrRuUfFL]{1,2}|[@$]{1,2})?(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)')|`([^`\n]*)`|([^\s"'`,;(){}\[\]<>#]+))"""
+)
+BARE = 5
+HOLE = re.compile(r"\{[^{}]*\}")  # of an interpolated literal; what it holds is not part of the literal
+KEY = re.compile(r"[ \t]*(?:=>|[:=])")
+LINE_END = re.compile(r"[ \t]*(?:\r?\n|\Z)")
+JOIN = re.compile(r"""[ \t]*(?:\\?\r?\n[ \t]+)?\+(?![+=])""")
+TYPE_NAMES = {"str", "string", "String", "bytes", "char", "text", "Text", "any", "Any", "object", "Object"}
+ONLY_NAME = re.compile(r"[A-Za-z_$][\w$.\-]*")
 NAME_PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 LONGEST_NAME = 200
 SLICE_ROWS = 500  # of a batch that are worked on and passed on at a time
@@ -90,30 +104,82 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
+def literals(value: tuple) -> list[tuple[int, int, str, bool]]:
+    """The literals (start, end, text, quoted) that a value is joined from, in order, each once.
+
+    A value is a tuple of literals and of earlier values, which are shared and not copied.
+    """
+    out: dict[tuple, None] = {}
+    seen, todo = set(), [value]
+    while todo:
+        part = todo.pop()
+        if part and isinstance(part[0], int):
+            out[part] = None
+        elif id(part) not in seen:
+            seen.add(id(part))
+            todo.extend(reversed(part))
+    return list(out)
+
+
+def values_at(text: str, at: int, operator: str, constants: dict[str, tuple]) -> list[tuple]:
+    """What may stand after an operator, likeliest first: literals and names joined by ``+``, or one bare literal.
+
+    Names that have no literal add nothing. A literal on the next line is none if it is the key of that line; a bare one
+    there must follow a colon and fill the line.
+    """
+    parts: list[tuple] = []
+    alone: tuple = ()  # a bare literal at the start, which before a ``+`` may be a name without a literal
+    while (m := LITERAL.match(text, at)) is not None:
+        group, first, at = m.lastindex, not parts and not alone, m.end()
+        start, end, own = m.start(group), m.end(group), m[group]
+        lines = "\n" in text[m.start() : start]
+        opens = False
+        if group != BARE:
+            if lines and KEY.match(text, at):
+                break
+            interpolated = any(c in "fF$" for c in m[1] or "")
+            parts.append((start, end, HOLE.sub("", own) if interpolated else own, True))
+        else:
+            opens = own.endswith("+") and text[end : end + 1] in {'"', "'", "`"}
+            names = (own[:-1] if opens else own).split("+")
+            if all(n in constants for n in names):
+                parts += [constants[n] for n in names]
+            else:
+                fills = operator == ":" and LINE_END.match(text, end) and not OPERATOR.search(text, start, end - 1) and own[-1] != ":"
+                if first and (not lines or fills):
+                    alone = (start, end, own, False)
+                if not all(ONLY_NAME.fullmatch(n) for n in names):
+                    break
+                parts += [constants[n] for n in names if n in constants and (opens or len(names) == 1)]
+        if not opens:
+            joined = JOIN.match(text, at)
+            if joined is None:
+                break
+            at = joined.end()
+    return [v for v in (tuple(parts), (alone,)) if v and v[0]]
+
+
 def lexed_spans(text: str) -> list[tuple[int, int, str]]:
     """Literals that reach a sensitive name, directly or through constants."""
-    constants: dict[str, list[tuple[int, int, str, bool]]] = {}
+    constants: dict[str, tuple] = {}
     found: set[tuple[int, int]] = set()
     for op in OPERATOR.finditer(text):
         left = max(0, op.start() - LONGEST_NAME)
         name = NAME.search(text, left, op.start()) if op.start() else None
-        m = LITERAL.match(text, op.end())
-        if name is None or m is None:
+        if name is None and text[op.start() - 1 : op.start()] not in {" ", "\t", ">", "]", "?", "!", "*"}:
             continue
-        value, at = [], op.end()
-        while m is not None:
-            group = m.lastindex
-            if group == 4 and m[4] in constants:
-                value += constants[m[4]]
-            else:
-                value.append((m.start(group), m.end(group), m[group], group != 4))
-            at = m.end()
-            joined = JOIN.match(text, at) if group != 4 else None
-            m = LITERAL.match(text, joined.end()) if joined else None
-        constants[name[1]] = value
-        whole = "".join(v[2] for v in value)
-        if name_score(name[1]) * literal_score(whole, all(v[3] for v in value)) >= SCORE:
-            found.update((v[0], v[1]) for v in value if v[1] > v[0])
+        names = [name[1]] if name else []
+        if op[0] == "=":
+            typed = TYPED.search(text, max(left, text.rfind("\n", left, op.start()) + 1), op.start())
+            names = [typed[1], *[n for n in names if n not in TYPE_NAMES]] if typed else names
+        values = values_at(text, op.end(), op[0], constants) if names else []
+        if values:
+            constants.update(dict.fromkeys(names, values[0]))
+        sensitive = max(map(name_score, names), default=0.0)
+        for parts in map(literals, values if sensitive else []):
+            if sensitive * literal_score("".join(v[2] for v in parts), all(v[3] for v in parts)) >= SCORE:
+                found.update((v[0], v[1]) for v in parts if v[1] > v[0])
+                break
     return [(a, b, "lexed") for a, b in found]
 
 

@@ -208,6 +208,41 @@ def test_base_spans_of_all_documents(spark):
         ("credential = changeme123", []),
         ("The pass: everybody went home early", []),
         ("auth: reasons", []),
+        ('apiKey: string = "Zx81kq99Lm2"', ["Zx81kq99Lm2"]),
+        ('private readonly dbPass?: string | null = "Zx81kq99Lm2";', ["Zx81kq99Lm2"]),
+        ('password: str = "Zx81kq99Lm2"', ["Zx81kq99Lm2"]),
+        ('passphrase: Optional[str] = "Zx81kq99Lm2"', ["Zx81kq99Lm2"]),
+        ('static AUTH_TOKEN: &\'static str = "Zx81kq99Lm2";', ["Zx81kq99Lm2"]),
+        ('var credential string = "Zx81kq99Lm2"', ["Zx81kq99Lm2"]),
+        ('def f(user: str = "Zx81kq99Lm2", pwd: str = "kq99Lm2Zx81"):', ["kq99Lm2Zx81"]),
+        ('settings: pwd = "Zx81kq99Lm2"', ["Zx81kq99Lm2"]),
+        ('user: string = "Zx81kq99Lm2"\ntype C = { pwd: string }', []),
+        ('pwd = b"Zx81kq99Lm2"', ["Zx81kq99Lm2"]),
+        ("pwd = r'Zx81kq99Lm2'", ["Zx81kq99Lm2"]),
+        ('pwd = f"Zx81kq99Lm2{host}"', ["Zx81kq99Lm2{host}"]),
+        ('pwd = f"{user_name}:{host_name1}"', []),
+        ('pwd = r#"Zx81kq99Lm2"#', ["Zx81kq99Lm2"]),
+        ('pwd =\n    "Zx81kq99Lm2"', ["Zx81kq99Lm2"]),
+        ('pwd = (\n    "Zx81kq99Lm2"\n)', ["Zx81kq99Lm2"]),
+        ("pwd = \\\r\n  'Zx81kq99Lm2'", ["Zx81kq99Lm2"]),
+        ("pwd:\n  Zx81kq99Lm2\nhost: a", ["Zx81kq99Lm2"]),
+        ('pwd:\n"address_line2": "Zx81kq99Lm2"', []),
+        ("PWD=\nADDRESS_LINE_2=\nUSER=x", []),
+        ("pwd:\naddress_line2: x", []),
+        ('PREFIX + "x"; pwd = PREFIX + "Zx81kq99Lm2"', ["Zx81kq99Lm2"]),
+        ('P = "Zx81"\npwd = P + "kq99Lm2"', ["Zx81", "kq99Lm2"]),
+        ('P = "Zx81"\npwd = "kq99Lm2" + P', ["Zx81", "kq99Lm2"]),
+        ('P = "Zx81"\npwd = "kq99"+P+"Lm2"', ["Zx81", "kq99", "Lm2"]),
+        ('P = "Zx81"\nQ = "kq99Lm2"\npwd = P + Q', ["Zx81", "kq99Lm2"]),
+        ('P = "Zx81"\nQ = "kq99Lm2"\npwd = P+Q', ["Zx81", "kq99Lm2"]),
+        ('pwd = "Zx81" +\n  "kq99"\n  + "Lm2"', ["Zx81", "kq99", "Lm2"]),
+        ('+pwd = "Zx81kq99"\n+host = "Lm2"', ["Zx81kq99"]),
+        ("a = x1\npwd: a+Zx81kq99/Lm2==", ["a+Zx81kq99/Lm2=="]),
+        ("pwd: Zx81kq99Lm2 + other", ["Zx81kq99Lm2"]),
+        ('"pwd:Zx81kq99Lm2+" and "so on"', ["Zx81kq99Lm2+"]),
+        ('else: k = "Zx81kq99Lm2"\nauth_token = k', ["Zx81kq99Lm2"]),
+        ('def f(a: List[int], pwd: List[str] = "Zx81kq99Lm2"):', ["Zx81kq99Lm2"]),
+        ('a = "Zx81kq99Lm2"\n' + "".join(f"b{i} = {'a' if not i else f'b{i - 1}'} + {'a' if not i else f'b{i - 1}'}\n" for i in range(60)) + "pwd = b59", ["Zx81kq99Lm2"]),
     ],
 )
 def test_lexed_literals(text, found):
