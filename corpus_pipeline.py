@@ -37,18 +37,25 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that links hold together: the one with the smallest doc_id, once.
+    """One row of each group of texts that links hold together: the one with the smallest doc_id.
 
-    Documents without words, and rows without a doc_id, are in no group and stay.
+    Documents without words, and rows without a doc_id, are in no group and stay. Where rows share a doc_id, each text
+    counts for itself.
     """
-    groups = written(jaccard.similarity_components(docs), "groups")
-    others = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone"))
-    kept = docs.join(others, F.col("doc_id") == F.col("_gone"), "left_anti")
-    again = written(groups.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_again")), "again")
-    if again.isEmpty():
-        return kept
-    once = kept.join(again, F.col("doc_id") == F.col("_again"), "left_anti")
-    return once.union(kept.join(again, F.col("doc_id") == F.col("_again"), "left_semi").dropDuplicates(["doc_id"]))
+    repeated = docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
+    if repeated.isEmpty():
+        groups = written(jaccard.similarity_components(docs), "groups")
+        others = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone"))
+        return docs.join(others, F.col("doc_id") == F.col("_gone"), "left_anti")
+    row = _free(docs, "row")
+    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    texts = numbered.where("doc_id IS NOT NULL")
+    groups = jaccard.similarity_components(texts.select(F.col(row).alias("doc_id"), "text"))
+    groups = groups.select(F.col("doc_id").alias("_member"), F.col("component_id").alias("_group"))
+    named = texts.select("doc_id", row).join(groups, F.col(row) == F.col("_member"))
+    first = named.groupBy("_group").agg(F.min(F.struct("doc_id", "_member"))["_member"].alias(row))
+    kept = numbered.join(written(first.select(row), "first"), row, "left_semi").select(*[f"`{c}`" for c in numbered.columns])
+    return kept.union(numbered.where("doc_id IS NULL")).drop(row)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

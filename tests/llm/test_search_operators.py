@@ -352,6 +352,18 @@ def test_pipeline_of_odd_rows(spark):
         assert stage(spark, spark.createDataFrame([], schema), "").collect() == []
 
 
+def test_rows_that_share_an_id_are_kept_unless_their_texts_link(spark):
+    import corpus_pipeline
+
+    schema = "doc_id long, text string, row string"
+    texts = [(2, "a b c d e f"), (2, "u v w x y z"), (1, "u v w x y z"), (3, "k l m n o p"), (3, "k l m n o p"), (4, ""), (None, "a b c d e f")]
+    kept = corpus_pipeline.near_duplicates(spark, spark.createDataFrame([(*t, "r") for t in texts], schema).repartition(3), "")
+    want = [(1, "u v w x y z"), (2, "a b c d e f"), (3, "k l m n o p"), (4, "")]
+    rows = [(r.doc_id, r.text) for r in kept.collect()]
+    assert kept.columns == ["doc_id", "text", "row"]
+    assert sorted(r for r in rows if r[0]) == want and len(rows) == len(want) + 1
+
+
 def test_functions_travel_without_the_package():
     from pyspark import cloudpickle
 
