@@ -184,22 +184,32 @@ def _expected(pieces: Pieces, p: np.ndarray):
     return run
 
 
+def sampled(labelled: DataFrame, docs_per_language: int = 1500) -> tuple[list[str], DataFrame]:
+    """The languages, and (text, lang) of about ``docs_per_language`` different texts of each, chosen by a hash of the text.
+
+    Copies of a text count once, so this bound holds whatever the table's size. Rows without either are left out.
+    """
+    rows = labelled.select("text", F.col("lang").cast("string").alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
+    different = rows.select("lang", F.xxhash64("text").alias("h")).distinct()
+    sizes = {r["lang"]: r["n"] for r in different.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not sizes:
+        return [], rows
+    share = F.create_map(*[F.lit(x) for l in sorted(sizes) for x in (l, min(1.0, docs_per_language / sizes[l]))])
+    spread = F.pmod(F.xxhash64("text"), F.lit(1_000_003)) / F.lit(1_000_003.0)
+    return sorted(sizes), rows.where(spread < share[F.col("lang")]).distinct()
+
+
 def fit(labelled: DataFrame, vocabulary_path: str, docs_per_language: int = 1500, rounds: int = 3) -> Model:
-    """Fit piece probabilities per language on columns (text, lang); rows without either are left out.
+    """Fit piece probabilities per language on the sampled texts of columns (text, lang).
 
-    Learns from about ``docs_per_language`` documents of each language, chosen by a hash of the text: this bound holds
-    whatever the table's size. What reaches the driver is at most vocabulary x languages numbers.
+    What reaches the driver is at most vocabulary x languages numbers.
     """
     pieces = Pieces(vocabulary(vocabulary_path))
-    rows = labelled.select("text", F.col("lang").cast("string").alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    languages = sorted(sizes)
+    languages, sample = sampled(labelled, docs_per_language)
     if not languages:
         return Model(pieces, [], np.zeros((len(pieces.texts), 0)))
-    share = F.create_map(*[F.lit(x) for l in languages for x in (l, min(1.0, docs_per_language / sizes[l]))])
     index = F.create_map(*[F.lit(x) for i, l in enumerate(languages) for x in (l, i)])
-    spread = F.pmod(F.xxhash64("text"), F.lit(1_000_003)) / F.lit(1_000_003.0)
-    sample = rows.where(spread < share[F.col("lang")]).select("text", index[F.col("lang")].alias("l"))
+    sample = sample.select("text", index[F.col("lang")].alias("l"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:

@@ -353,3 +353,11 @@ def test_language_of_odd_rows(spark):
     assert all(0.0 <= r.score <= 1.0 for r in rows.values()) and rows[5].lang_pred in ("en", "fr")
     none = language.fit(docs.where("false"), public_tokenizers.path("piece_bpe_32k.model"))
     assert {r.lang_pred for r in language.identify(docs, none).collect()} == {"und"}
+
+
+def test_copies_of_a_text_are_learned_once(spark):
+    texts = [f"the {w} sat on a mat" for w in ("cat", "dog", "owl")] + ["le chat et le chien"]
+    once = documents(spark, texts, lang=["en", "en", "en", "fr"])
+    often = documents(spark, [*texts, *texts[:1] * 300], lang=["en", "en", "en", "fr", *["en"] * 300])
+    a, b = (language.fit(d, public_tokenizers.path("piece_bpe_32k.model")).p for d in (once, often))
+    assert np.allclose(a, b)
