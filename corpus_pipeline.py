@@ -27,12 +27,15 @@ def _free(docs: DataFrame, name: str) -> str:
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with letters, in one of the languages that the labelled ones have.
 
-    Rejected: no letter at all (null and empty texts too), or no language with a probability over one half.
+    Rejected: no letter at all (null and empty texts too), no language with a probability over one half, or letters that
+    fit the likeliest language far worse than labelled texts do (other languages and scripts, noise).
     """
-    model = language.fit(docs, public_tokenizers.path("piece_bpe_32k.model"))
-    names = [_free(docs, n) for n in ("lang_pred", "score", "n_letters")]
+    labelled = written(language.sampled(docs)[1], "labelled")
+    model = language.fit(labelled, public_tokenizers.path("piece_bpe_32k.model"))
+    names = [_free(docs, n) for n in ("lang_pred", "score", "n_letters", "fit")]
     known = language.identify(docs, model, names=names)
     known = known.where((F.col(names[0]) != language.UNKNOWN) & (F.col(names[1]) >= MIN_LANGUAGE_SCORE))
+    known = known.where(F.col(names[3]) >= language.least_fit(labelled, model))
     return known.select(*[f"`{c}`" for c in docs.columns])
 
 

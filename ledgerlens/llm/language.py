@@ -234,14 +234,25 @@ def fit(labelled: DataFrame, vocabulary_path: str, docs_per_language: int = 1500
     return Model(pieces, languages, p)
 
 
+def least_fit(labelled: DataFrame, model: Model, share: float = 0.01, margin: float = 3.0) -> float:
+    """What a text of the model's languages reaches per letter: ``margin`` below what all but a ``share`` of the texts have."""
+    names = ("lang_pred", "score", "n_letters", "fit")
+    low = identify(labelled.select("text"), model, names=names).agg(F.percentile_approx("fit", share, 10_000)).first()[0]
+    return -math.inf if low is None else low - margin
+
+
 def identify(
     docs: DataFrame, model: Model, text: str = "text", names: Sequence[str] = ("lang_pred", "score", "n_letters")
 ) -> DataFrame:
-    """``docs`` with lang_pred, score (probability of lang_pred among the languages) and n_letters."""
-    added = [pa.field(n, kind) for n, kind in zip(names, (pa.string(), pa.float64(), pa.int64()), strict=True)]
+    """``docs`` with lang_pred, score (probability of lang_pred among the languages) and n_letters.
+
+    With a fourth name also the fit: log P(text | lang_pred) per letter, null for ``und``.
+    """
+    kinds = ((pa.string(), T.StringType()), (pa.float64(), T.DoubleType()), (pa.int64(), T.LongType()), (pa.float64(), T.DoubleType()))
+    added = [(pa.field(n, kind), spark_kind) for n, (kind, spark_kind) in zip(names, kinds, strict=False)]
     kept = [c for c in docs.columns if c not in names]
     schema = docs.select(*[f"`{c}`" for c in kept]).schema
-    for f, kind in zip(added, (T.StringType(), T.DoubleType(), T.LongType()), strict=True):
+    for f, kind in added:
         schema = schema.add(f.name, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,17 +266,17 @@ def identify(
             parts = [score_words(new[i : i + 2000], model) for i in range(0, len(new), 2000)]
             seen.update(zip(new, range(len(table), len(table) + len(new)), strict=True))
             table = np.vstack([table, *parts])
-            labels, scores, letters = [], [], []
+            labels, scores, letters, fits = [], [], [], []
             for c in counts:
                 letters.append(sum(len(w) * n for w, n in c.items()))
                 if not c or not model.languages:
-                    labels.append(UNKNOWN), scores.append(0.0)
+                    labels.append(UNKNOWN), scores.append(0.0), fits.append(None)
                     continue
                 ll = np.fromiter(c.values(), np.float64, len(c)) @ table[np.fromiter(map(seen.get, c), np.int64, len(c))]
                 best = int(ll.argmax())
-                labels.append(model.languages[best])
+                labels.append(model.languages[best]), fits.append(ll[best] / letters[-1])
                 scores.append(1.0 / sum(math.exp(max(-700.0, x - ll[best])) for x in ll))
-            columns = [batch.column(c) for c in kept] + [pa.array(labels, pa.string()), pa.array(scores, pa.float64()), pa.array(letters, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*kept, *[f.name for f in added]])
+            new_columns = [pa.array(x, f.type) for x, (f, _) in zip((labels, scores, letters, fits), added, strict=False)]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *new_columns], names=[*kept, *[f.name for f, _ in added]])
 
     return docs.mapInArrow(run, schema)

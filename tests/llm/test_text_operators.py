@@ -361,3 +361,16 @@ def test_copies_of_a_text_are_learned_once(spark):
     often = documents(spark, [*texts, *texts[:1] * 300], lang=["en", "en", "en", "fr", *["en"] * 300])
     a, b = (language.fit(d, public_tokenizers.path("piece_bpe_32k.model")).p for d in (once, often))
     assert np.allclose(a, b)
+
+
+def test_texts_of_no_known_language_are_rejected(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rng = np.random.default_rng(2)
+    noise = " ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 7)) for _ in range(50))
+    strange = ["敏捷的棕色狐狸跳过懒狗", "Η γρήγορη αλεπού πηδάει πάνω από το σκυλί", "Быстрая коричневая лиса прыгает через ленивую собаку", noise]
+    more = documents(spark, [*strange, "the cat sat on the mat"]).withColumn("doc_id", F.col("doc_id") - 10).withColumn("lang", F.lit(None).cast("string"))
+    kept = {r.doc_id for r in corpus_pipeline.language_id(spark, docs.unionByName(more.select(docs.columns)), SF).select("doc_id").collect()}
+    assert {i for i in kept if i < 0} == {-6}
+    assert len(kept) > 0.99 * docs.where("text RLIKE '[a-z]'").count()
