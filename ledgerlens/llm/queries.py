@@ -6,7 +6,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import jaccard, language, mixing, oracles, packing, pq, secret_scan, substrings, topk, toxicity, urls
+from ledgerlens.llm import (
+    jaccard,
+    language,
+    mixing,
+    oracles,
+    packing,
+    pq,
+    resampling,
+    runs,
+    secret_scan,
+    sharding,
+    substrings,
+    topk,
+    toxicity,
+    urls,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -88,6 +103,44 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judged(table(spark, sf_dir, "pages"), URL_RULES).drop("url")
 
 
+def op11_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sharding.interleaved(table(spark, sf_dir, "documents"), shards=24)
+    return rows.withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """The contract's texts: where h % 10 = 0, word i from a on becomes word a + (i - a) % p."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.expr("_h DIV 10")
+    n, a = F.size("_w"), F.col("_a")
+    period = F.expr("1 + (size(_w) - _a) DIV (3 + (_h DIV 10) % 8)")
+    places = F.sequence(F.lit(0), n - 1)
+    word = F.transform(places, lambda i: F.get("_w", F.when(i < a, i).otherwise(a + (i - a) % F.col("_p")).cast("int")))
+    planted = (F.col("_h") % 10 == 0) & (n > 0)
+    words = F.when(F.col("_h") % 10 == 0, F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(f"({runs.WORDS})")))
+    rows = docs.select("doc_id", "text", h.alias("_h")).withColumn("_w", words)
+    rows = rows.withColumn("_a", F.when(planted, g % n)).withColumn("_p", F.when(planted, period))
+    return rows.select("doc_id", F.when(planted, F.array_join(word, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.collapsed(with_periods(table(spark, sf_dir, "documents")))
+    best = runs.longest_run(F.col("runs"))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.sha2(runs.run_lines(F.col("runs")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    ).withColumn("exponent_milli", F.expr("(1000 * length) DIV period"))
+
+
 QUERIES = {
     f.__name__: f
     for f in [
@@ -101,6 +154,9 @@ QUERIES = {
         op8_language_id,
         op9_exact_top_k,
         op10_url_filter,
+        op11_interleaved_shards,
+        op12_importance_resampling,
+        op13_periodic_runs,
     ]
 }
 SQL = oracles.SQL
