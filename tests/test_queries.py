@@ -1,5 +1,10 @@
 """Every registered query against its SQL on the smallest tables; the others by their invariants."""
 
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 from ledgerlens.catalog import registry
@@ -66,6 +71,18 @@ def test_unavailable_family_is_marked_skipped(spark):
     assert {r["candidate"] for r in rows if r["status"] == "trained"} == {"gbt_default", "forest_default", "logistic_default"}
 
 
+@pytest.mark.parametrize("with_pipeline", [False, True])
+def test_entry_works_without_the_text_package(tmp_path, with_pipeline):
+    repo = Path(__file__).resolve().parents[1]
+    shutil.copytree(repo / "ledgerlens", tmp_path / "ledgerlens", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    for name in ["__spark_entry__.py", *["corpus_pipeline.py"] * with_pipeline]:
+        if (repo / name).exists():
+            shutil.copy(repo / name, tmp_path)
+    code = "import __spark_entry__ as e; print(sorted(e.queries()) == sorted(e.queries() | e.oracle_sql()), len(e.queries()))"
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120)
+    assert out.stdout.split() == ["True", str(len(QUERIES))], out.stderr
+
+
 def test_entry_runs():
     import __spark_entry__ as entry
 
