@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerlens.catalog import views
-from ledgerlens.catalog.helpers import JOINED, UID, joined, later_rows, rounded, train_rows
+from ledgerlens.catalog.helpers import JOINED, UID, joined, later_rows, off_ties, rounded, train_rows
 from ledgerlens.catalog.registry import query
 from ledgerlens.operators import drift, encoding, profile
 from ledgerlens.operators.splits import split_by_last_days, split_by_time_ratio, split_summary
@@ -211,7 +211,7 @@ AUDIT_SQL = " UNION ALL ".join(
           count({c}) - count(x_{c}) AS coercion_failure_count,
           round(CASE WHEN count({c}) = 0 THEN 0 ELSE (count({c}) - count(x_{c})) / count({c}) END, 6)
             AS coercion_failure_rate,
-          round(min(x_{c}), 6) AS "min", round(max(x_{c}), 6) AS "max", round(avg(x_{c}), 6) AS mean,
+          round(min(x_{c}), 6) AS "min", round(max(x_{c}), 6) AS "max", round(avg(x_{c}) + 1e-9, 6) AS mean,
           round(quantile_cont(x_{c}, 0.5), 6) AS median,
           count(*) FILTER (WHERE x_{c} < 0) AS negative_count, round(quantile_cont(x_{c}, 0.01), 6) AS q01,
           round(quantile_cont(x_{c}, 0.99), 6) AS q99,
@@ -233,7 +233,7 @@ AUDIT_VIEWS = {
 
 @query("numeric_audit", AUDIT_SQL, ["txn", "ident"], AUDIT_VIEWS)
 def _(spark, sf_dir):
-    return rounded(profile.numeric_audit(joined(spark, sf_dir), AUDITED).drop("dtype"))
+    return rounded(off_ties(profile.numeric_audit(joined(spark, sf_dir), AUDITED).drop("dtype"), "mean"))
 
 
 @query(

@@ -163,6 +163,8 @@ def _(spark, sf_dir):
 @query(
     "stream_past_features",
     """SELECT DISTINCT uid, TransactionDT, count(*) OVER w AS past_rows, round(avg(TransactionAmt) OVER w + 1e-9, 6) AS past_mean,
+              round(stddev_samp(TransactionAmt) OVER w, 6) AS past_std, min(TransactionAmt) OVER w AS past_min,
+              max(TransactionAmt) OVER w AS past_max, round(median(TransactionAmt) OVER w + 1e-9, 6) AS past_median,
               TransactionDT - max(TransactionDT) OVER w AS seconds_since_previous
        FROM t WINDOW w AS (PARTITION BY uid ORDER BY TransactionDT RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""",
     ["txn"],
@@ -171,7 +173,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     stream, close = closing(views.as_txn(views.event_stream(spark, sf_dir)), "TransactionDT")
     past = history.stream_past_features(stream, uid(), close=close)
-    return rounded(off_ties(past, "past_mean"))
+    return rounded(off_ties(past, "past_mean", "past_median"))
 
 
 CHECKED = ["TransactionAmt", "card2", "addr1", "ProductCD"]

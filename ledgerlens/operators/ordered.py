@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from ledgerlens.session import TASK_ROWS, written
 
 SKETCH_ACCURACY = 2_000
-BRACKETS_PER_SCAN = 128
 
 
 def running_totals(
@@ -46,7 +45,7 @@ def running_totals(
 
     # Ranges of about ``task_rows`` rows, as many as it takes; written, so that both readers see the same ranges.
     pieces = math.ceil(rows / task_rows)
-    ranged = table.repartitionByRange(pieces, value, *group).withColumn("_range", F.spark_partition_id())
+    ranged = table.repartitionByRange(pieces, *group, value).withColumn("_range", F.spark_partition_id())
     ranged = written(ranged, "ranges")
     totals = ranged.groupBy(*group, "_range").agg(*[F.sum(c).alias(f"_{c}_total") for c in sums])
     # One row per group and range: at most the number of ranges per group, whatever the rows.
@@ -116,58 +115,51 @@ def column_quantiles(
 ) -> DataFrame:
     """Exact quantiles of many numeric columns -> (column, quantiles); all-null columns give nulls.
 
-    A table whose row count (``rows``, else counted) fits one task uses the
-    built-in exact aggregate, for as many columns at once as keep the values in
-    one task below ``task_rows``. A larger one takes three
-    scans: a sketch brackets every wanted rank, the values below each bracket
-    are counted, and the rank is selected among the few values inside it.
+    While all values of all columns fit one task (``rows``, else counted, times columns), the built-in exact aggregate
+    serves. Beyond, it takes two scans, however many columns there are: sketches bracket every wanted rank, then values
+    inside a bracket are counted one by one and those between brackets in bulk, and the ranks are selected among them.
     """
     if not columns:
         return df.sparkSession.createDataFrame([], "column string, quantiles array<double>")
     numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     rows = numbers.count() if rows is None else rows
-    small = rows <= task_rows
-    per_batch = max(1, task_rows // max(1, rows)) if small else max(1, BRACKETS_PER_SCAN // len(probabilities))
-    batches = [columns[i : i + per_batch] for i in range(0, len(columns), per_batch)]
+    if rows * len(columns) > task_rows:
+        return _bracketed_quantiles(numbers, columns, probabilities, task_rows)
     points = F.array(*[F.lit(float(p)) for p in probabilities])
+    wide = numbers.agg(*[F.percentile(F.col(c), points).alias(c) for c in columns])
+    return wide.unpivot([], columns, "column", "quantiles")
 
-    def in_task(batch: list[str]) -> DataFrame:
-        wide = numbers.agg(*[F.percentile(F.col(c), points).alias(c) for c in batch])
-        return wide.unpivot([], batch, "column", "quantiles")
 
-    parts = [in_task(b) if small else _bracketed_quantiles(numbers, b, probabilities, task_rows) for b in batches]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+def _cells(numbers: DataFrame, columns: list[str]) -> DataFrame:
+    return numbers.unpivot([], columns, "column", "x").where(F.col("x").isNotNull())
 
 
-def _brackets(numbers: DataFrame, columns: list[str], probabilities: Sequence[float]) -> list[tuple]:
-    """(column, probability, count, low, high): values that should enclose the wanted ranks."""
+def _brackets(cells: DataFrame, probabilities: Sequence[float]) -> dict[str, tuple[int, list[float], list[float]]]:
+    """column -> (values, starts, ends) of disjoint intervals in order that should hold the wanted ranks."""
     slack = 2.0 / SKETCH_ACCURACY
-    measures = []
-    for c in columns:
-        lows = F.array(*[F.lit(max(0.0, p - slack)) for p in probabilities])
-        highs = F.array(*[F.lit(min(1.0, p + slack)) for p in probabilities])
-        measures.append(
-            F.struct(
-                F.count(c).alias("n"),
-                F.min(c).alias("min"),
-                F.max(c).alias("max"),
-                F.percentile_approx(c, lows, SKETCH_ACCURACY).alias("lows"),
-                F.percentile_approx(c, highs, SKETCH_ACCURACY).alias("highs"),
-            ).alias(c)
-        )
-    row = numbers.agg(*measures).first()
-    found = []
-    for c in columns:
-        for i, p in enumerate(probabilities):
-            if row[c]["n"]:
-                low = row[c]["min"] if p <= slack else row[c]["lows"][i]
-                high = row[c]["max"] if p >= 1 - slack else row[c]["highs"][i]
-                found.append((c, i, row[c]["n"], low, high))
+    low = [max(0.0, p - slack) for p in probabilities]
+    high = [min(1.0, p + slack) for p in probabilities]
+    points = F.array(*[F.lit(float(p)) for p in low + high])
+    sketches = cells.groupBy("column").agg(
+        F.count("x").alias("n"),
+        F.min("x").alias("min"),
+        F.max("x").alias("max"),
+        F.percentile_approx("x", points, SKETCH_ACCURACY).alias("at"),
+    )
+    found = {}
+    for row in sketches.collect():  # one row of 2 * len(probabilities) numbers per column
+        k = len(low)
+        ends = [
+            (row["min"] if p <= slack else row["at"][i], row["max"] if p >= 1 - slack else row["at"][k + i])
+            for i, p in enumerate(probabilities)
+        ]
+        merged: list[list[float]] = []
+        for a, b in sorted(ends):
+            if merged and a <= merged[-1][1]:
+                merged[-1][1] = max(b, merged[-1][1])
             else:
-                found.append((c, i, 0, None, None))
+                merged.append([a, b])
+        found[row["column"]] = (row["n"], [a for a, _ in merged], [b for _, b in merged])
     return found
 
 
@@ -175,48 +167,50 @@ def _bracketed_quantiles(
     numbers: DataFrame, columns: list[str], probabilities: Sequence[float], task_rows: int
 ) -> DataFrame:
     spark = numbers.sparkSession
-    brackets = _brackets(numbers, columns, probabilities)
-    live = [(k, *b) for k, b in enumerate(brackets) if b[2]]
-    below = numbers.agg(*[F.count_if(F.col(c) < low).alias(str(k)) for k, c, _, _, low, _ in live]).first()
-    marks = F.array(
-        *[
-            F.when(F.col(c).between(low, high), F.struct(F.lit(k).alias("k"), F.col(c).alias("x")))
-            for k, c, _, _, low, high in live
-        ]
-    )
-    inside = numbers.select(F.explode(F.filter(marks, lambda m: m.isNotNull())).alias("m")).select("m.k", "m.x")
-    counts = written(inside.groupBy("k", "x").agg(F.count(F.lit(1)).alias("rows")), "brackets")
-    upto = running_totals(counts, ["k"], "x", ["rows"], stored=True, task_rows=task_rows)
-    wanted = spark.createDataFrame(
-        [(k, c, i, float(probabilities[i]) * (n - 1), below[str(k)]) for k, c, i, n, _, _ in live],
-        "k int, column string, i int, position double, below bigint",
+    cells = _cells(numbers, columns)
+    brackets = _brackets(cells, probabilities)
+    edges = spark.createDataFrame(
+        [(c, starts, ends) for c, (_, starts, ends) in brackets.items()],
+        "_c string, _starts array<double>, _ends array<double>",
     )
-    end = F.col("below") + F.col("rows_upto")
-    start = end - F.col("rows")
-    low_rank, high_rank = F.floor("position"), F.ceil("position")
+    # A value stands inside the last interval that begins at or before it, or in the gap behind that interval. A gap's
+    # values are counted in bulk, under the end of the interval before it.
+    placed = cells.join(F.broadcast(edges), F.col("column") == F.col("_c"))
+    last = F.size(F.filter("_starts", lambda s: s <= F.col("x")))
+    end = F.when(last > 0, F.get("_ends", last - 1))
+    inside = F.coalesce(F.col("x") <= end, F.lit(False))
+    place = F.struct(F.when(inside, F.col("x")).otherwise(end).alias("x"), F.when(inside, 0).otherwise(1).alias("gap"))
+    counts = written(placed.groupBy("column", place.alias("at")).agg(F.count(F.lit(1)).alias("rows")), "brackets")
+    upto = running_totals(counts, ["column"], "at", ["rows"], stored=True, task_rows=task_rows)
+    ranks = [(c, i, float(p) * (n - 1)) for c, (n, _, _) in brackets.items() for i, p in enumerate(probabilities)]
+    wanted = spark.createDataFrame(ranks, "column string, i int, position double")
+    start = F.col("rows_upto") - F.col("rows")
+
+    def at(rank: Column) -> Column:
+        here = (start <= rank) & (rank < F.col("rows_upto")) & (F.col("at.gap") == 0)
+        return F.max(F.when(here, F.col("at.x")))
+
+    # Of the counted values a rank meets those of its own column; most are left out before the aggregate.
+    near = (F.floor("position") < F.col("rows_upto")) & (F.ceil("position") >= start)
     found = (
-        upto.join(F.broadcast(wanted), "k")
+        upto.join(F.broadcast(wanted), "column")
+        .where(near)
         .groupBy("column", "i", "position")
-        .agg(
-            F.max(F.when((start <= low_rank) & (low_rank < end), F.col("x"))).alias("low"),
-            F.max(F.when((start <= high_rank) & (high_rank < end), F.col("x"))).alias("high"),
-        )
+        .agg(at(F.floor("position")).alias("low"), at(F.ceil("position")).alias("high"))
         .withColumn("q", _between("low", "high", F.col("position")))
         .collect()
     )
-    values = {(r["column"], r["i"]): r["q"] for r in found}
-    missed = {c for c, i, n, _, _ in brackets if n and values.get((c, i)) is None}
+    values = {(r["column"], r["i"]): r["q"] for r in found if r["q"] is not None}
+    every = range(len(probabilities))
+    missed = [c for c in brackets if any((c, i) not in values for i in every)]
     result = [
-        (c, [values[(c, i)] for i in range(len(probabilities))] if (c, 0) in values else None)
-        for c in columns
-        if c not in missed
+        (c, [values[c, i] for i in every] if c in brackets else None) for c in columns if c not in missed
     ]
     table = spark.createDataFrame(result, "column string, quantiles array<double>")
     if missed:
         # A sketch that did not enclose its rank: count all values of those columns instead.
-        long = numbers.unpivot([], sorted(missed), "column", "value").where(F.col("value").isNotNull())
-        counted = value_counts(long, ["column"], "value")
-        exact = quantiles_from_counts(counted, ["column"], "value", "rows", probabilities, task_rows=task_rows)
+        counted = value_counts(cells.where(F.col("column").isin(missed)), ["column"], "x")
+        exact = quantiles_from_counts(counted, ["column"], "x", "rows", probabilities, task_rows=task_rows)
         table = table.unionByName(exact)
     return table
 

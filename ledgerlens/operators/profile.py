@@ -106,8 +106,11 @@ def numeric_audit(df: DataFrame, columns: list[str], *, task_rows: int = TASK_RO
         F.count_if(known).alias("unique_count"),
         F.max(F.when(known, F.col("rows"))).alias("_top"),
     )
-    numeric_view = df.select(*[number(c).alias(c) for c in columns])
-    points = column_quantiles(numeric_view, columns, [0.01, 0.25, 0.5, 0.75, 0.99], task_rows=task_rows)
+    # No further scan: the quantiles are ranked among the counted values, all columns at once.
+    numbers = counts.where(F.col("number").isNotNull())
+    points = quantiles_from_counts(
+        numbers, ["column"], "number", "rows", [0.01, 0.25, 0.5, 0.75, 0.99], task_rows=task_rows
+    )
     q = [F.try_element_at("quantiles", F.lit(i + 1)) for i in range(5)]
     spread = (q[3] - q[1]) * 3
     fences = points.select(
@@ -129,7 +132,7 @@ def numeric_audit(df: DataFrame, columns: list[str], *, task_rows: int = TASK_RO
     top_rate = F.when(present > 0, F.col("_top") / present)
     return (
         names.join(measures, "column")
-        .join(fences, "column")
+        .join(fences, "column", "left")
         .join(outliers, "column", "left")
         .select(
             "column",

@@ -1,67 +1,189 @@
 """Past-only entity features on a stream, equal to the batch form on the same rows.
 
-Seconds of an entity leave the watermarked aggregation once, when no earlier
-row can still arrive, and later batches hold later seconds only. Each batch
-then needs one carried row per entity: its totals so far.
+Seconds of an entity leave the watermarked aggregation once, when no earlier row can still arrive, and later batches hold
+later seconds only. What an entity has seen so far lies under its key in the state store (RocksDB, checkpointed): totals,
+and all known amounts as a sorted list cut into blocks. A batch reads the state of its own entities, and of their amounts
+the blocks that it adds to or that hold a median.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import math
+from bisect import bisect_left, bisect_right
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from itertools import groupby
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from ledgerlens.operators.timeline import merged, past_totals
-from ledgerlens.sources.files import exists
-from ledgerlens.streaming.sinks import places, run_each_batch
+from ledgerlens.streaming.sinks import places, run_to_parquet
 
-TOTALS = "_key string, n bigint, rows bigint, mean double, m2 double, low double, high double, last bigint"
-MEASURES = ["rows", "n", "mean", "m2", "low", "high"]
-COMPACT_EVERY = 32  # batches between rewrites of all entities' totals
+BLOCK = 512  # different amounts of one entity that are read and written together, up to twice as many
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+TOTALS = (
+    "rows bigint, n bigint, mean double, m2 double, low double, high double, last bigint, "
+    "firsts array<double>, sizes array<bigint>, ids array<bigint>"
+)
 
 
-def closed_seconds(stream: DataFrame, key: Column, amount: str, time: str, delay: str) -> DataFrame:
-    """(entity, second) totals, emitted when the watermark has passed the second."""
+class SortedAmounts:
+    """A multiset of numbers in sorted blocks: (number, copies) lists that ``load`` fetches by id when needed.
+
+    ``firsts``, ``sizes`` and ``ids`` list the blocks in order: least number, copies in all, id.
+    """
+
+    def __init__(
+        self,
+        firsts: list[float],
+        sizes: list[int],
+        ids: list[int],
+        load: Callable[[int], tuple[list[float], list[int]]],
+        block: int = BLOCK,
+    ):
+        self.firsts, self.sizes, self.ids, self.load, self.block = list(firsts), list(sizes), list(ids), load, block
+        self.held: dict[int, tuple[list[float], list[int]]] = {}
+        self.changed: set[int] = set()
+
+    def _block(self, at: int) -> tuple[list[float], list[int]]:
+        name = self.ids[at]
+        if name not in self.held:
+            values, copies = self.load(name)
+            self.held[name] = (list(values), list(copies))
+        return self.held[name]
+
+    def add(self, x: float, copies: int) -> None:
+        if not self.ids:
+            self.firsts, self.sizes, self.ids = [x], [0], [0]
+            self.held[0] = ([], [])
+        at = max(0, bisect_right(self.firsts, x) - 1)
+        values, counts = self._block(at)
+        i = bisect_left(values, x)
+        if i < len(values) and values[i] == x:
+            counts[i] += copies
+        else:
+            values.insert(i, x)
+            counts.insert(i, copies)
+        self.firsts[at] = values[0]
+        self.sizes[at] += copies
+        self.changed.add(self.ids[at])
+        if len(values) > 2 * self.block:
+            self._split(at)
+
+    def _split(self, at: int) -> None:
+        values, counts = self._block(at)
+        name, half = max(self.ids) + 1, len(values) // 2
+        self.held[name] = (values[half:], counts[half:])
+        self.firsts.insert(at + 1, values[half])
+        self.sizes.insert(at + 1, sum(counts[half:]))
+        self.ids.insert(at + 1, name)
+        self.sizes[at] -= self.sizes[at + 1]
+        del values[half:], counts[half:]
+        self.changed.add(name)
+
+    def at_rank(self, rank: int) -> float:
+        """The number with ``rank`` smaller or equal ones before it."""
+        at = 0
+        while rank >= self.sizes[at]:
+            rank -= self.sizes[at]
+            at += 1
+        values, counts = self._block(at)
+        i = 0
+        while rank >= counts[i]:
+            rank -= counts[i]
+            i += 1
+        return values[i]
+
+    def median(self, total: int) -> float | None:
+        if not total:
+            return None
+        low = self.at_rank((total - 1) // 2)
+        return low if total % 2 else (low + self.at_rank(total // 2)) / 2
+
+
+class PastOfEntity(StatefulProcessor):
+    """Rows (second, amount, copies) of an entity to one row per second, about the seconds before it."""
+
+    def __init__(self, names: list[str], block: int = BLOCK):
+        self.names, self.block = names, block
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.totals = handle.getValueState("totals", TOTALS)
+        self.blocks = handle.getMapState("amounts", "id bigint", "numbers array<double>, copies array<bigint>")
+
+    def _load(self, name: int) -> tuple[list[float], list[int]]:
+        return self.blocks.getValue((name,))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        seen, n, mean, m2, low, high, last, firsts, sizes, ids = self.totals.get() or (0, 0, 0.0, 0.0, None, None, None, [], [], [])
+        amounts = SortedAmounts(firsts, sizes, ids, self._load, self.block)
+        named = Row(*self.names)
+        # The key's rows of one batch: as many as the source delivers at once, or fewer.
+        ordered = sorted(((r["_t"], r["x"], r["copies"]) for r in rows), key=lambda r: r[0])
+        for second, group in groupby(ordered, key=lambda r: r[0]):
+            std = math.sqrt(m2 / (n - 1)) if n > 1 else None
+            gap = None if last is None else second - last
+            yield named(key[0], second, seen, mean if n else None, std, low, high, amounts.median(n), gap)
+            for _, x, copies in group:
+                seen += copies
+                if x is None:
+                    continue
+                shift = x - mean
+                m2 += shift * shift * n * copies / (n + copies)
+                n += copies
+                mean += shift * copies / n
+                low, high = (x, x) if low is None else (min(low, x), max(high, x))
+                amounts.add(x, copies)
+            last = second
+        for name in amounts.changed:
+            self.blocks.updateValue((name,), amounts.held[name])
+        self.totals.update((seen, n, mean, m2, low, high, last, amounts.firsts, amounts.sizes, amounts.ids))
+
+    def close(self) -> None:
+        pass
+
+
+def closed_amounts(stream: DataFrame, key: Column, amount: str, time: str, delay: str) -> DataFrame:
+    """(entity, second, amount, copies), emitted when the watermark has passed the second; NaN is no amount."""
+    number = F.col(amount).cast("double")
     moments = stream.select(
-        key.alias("_key"), F.timestamp_seconds(F.col(time)).alias("_at"), F.col(amount).alias("_x")
-    )
-    return (
-        moments.withWatermark("_at", delay)
-        .groupBy("_key", "_at")
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.count("_x").alias("n"),
-            F.coalesce(F.avg("_x"), F.lit(0.0)).alias("mean"),
-            (F.coalesce(F.var_pop("_x"), F.lit(0.0)) * F.count("_x")).alias("m2"),
-            F.min("_x").alias("low"),
-            F.max("_x").alias("high"),
-        )
-        .select("_key", F.unix_seconds("_at").alias("_t"), "rows", "n", "mean", "m2", "low", "high")
+        key.alias("_key"), F.timestamp_seconds(F.col(time)).alias("_at"), F.when(~F.isnan(number), number).alias("x")
     )
+    counted = moments.withWatermark("_at", delay).groupBy("_key", "_at", "x").agg(F.count(F.lit(1)).alias("copies"))
+    return counted.select("_key", F.unix_seconds("_at").alias("_t"), "x", "copies")
 
 
-def _latest(totals: DataFrame) -> DataFrame:
-    """The newest totals of each entity among a base and the deltas after it."""
-    newest = totals.groupBy("_key").agg(F.max_by(F.struct(*MEASURES, "last"), "last").alias("s"))
-    return newest.select("_key", "s.*")
+@contextmanager
+def rocksdb(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside keep their state in RocksDB; those with a checkpoint keep the store they began with."""
+    before = spark.conf.get(PROVIDER, None)
+    spark.conf.set(PROVIDER, ROCKSDB)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(PROVIDER)
+        else:
+            spark.conf.set(PROVIDER, before)
 
 
-def totals_before(spark: SparkSession, path: str, batch_id: int, only: DataFrame | None = None) -> DataFrame:
-    """Totals as they stood before a batch, of the entities in ``only``: the last base and the deltas since."""
-    folders = []
-    for earlier in range(batch_id - 1, -1, -1):
-        base = f"{path}/base/batch_id={earlier}"
-        if earlier % COMPACT_EVERY == 0 and exists(spark, base):
-            folders.append(base)
-            break
-        delta = f"{path}/delta/batch_id={earlier}"
-        if exists(spark, delta):
-            folders.append(delta)
-    if not folders:
-        return spark.createDataFrame([], TOTALS)
-    rows = spark.read.schema(TOTALS).parquet(*folders)
-    return _latest(rows if only is None else rows.join(only, "_key", "left_semi"))
+def past_features(
+    stream: DataFrame,
+    key: Column,
+    amount: str = "TransactionAmt",
+    time: str = "TransactionDT",
+    delay: str = "10 minutes",
+    *,
+    block: int = BLOCK,
+) -> DataFrame:
+    """The streaming plan of ``stream_past_features``, to be started with the state in RocksDB."""
+    kinds = {"uid": "string", time: "bigint", "past_rows": "bigint"}
+    kinds |= {f"past_{c}": "double" for c in ("mean", "std", "min", "max", "median")} | {"seconds_since_previous": "bigint"}
+    schema = ", ".join(f"`{name}` {kind}" for name, kind in kinds.items())
+    seconds = closed_amounts(stream, key, amount, time, delay)
+    return seconds.groupBy("_key").transformWithState(PastOfEntity(list(kinds), block), schema, "Append", "None")
 
 
 def stream_past_features(
@@ -73,50 +195,18 @@ def stream_past_features(
     path: str | None = None,
     checkpoint: str | None = None,
     close: Callable[[], None] | None = None,
+    *,
+    block: int = BLOCK,
 ) -> DataFrame:
-    """(uid, second): count and mean of earlier amounts and time since the previous second.
+    """(uid, second): rows, mean, std, min, max and median of earlier seconds and the time since the previous one.
 
-    The carried totals of an entity enter its batch as one more second at the
-    time they end, so the batch operator itself does the arithmetic. A batch
-    reads and writes the totals of its own entities only, under its batch id: a
-    replayed batch starts from the same totals and replaces its own output. A
-    run on a ``path`` of an earlier one continues it.
+    The sink takes each batch once, and a replayed batch starts from the state before it. A run on a ``path`` of an
+    earlier one continues it. The rows of one entity in one batch are worked through by one task, so the source's batch
+    size (``maxFilesPerTrigger``) bounds them.
     """
     spark = stream.sparkSession
     path, checkpoint = places(spark, "past-features", path, checkpoint)
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        before = totals_before(spark, path, batch_id, batch.select("_key").distinct())
-        carried = before.select("_key", F.col("last").alias("_t"), *MEASURES, F.lit(True).alias("_old"))
-        seconds = batch.withColumn("_old", F.lit(False)).unionByName(carried)
-        joined = seconds.join(past_totals(seconds.drop("_old")), ["_key", "_t"])
-        joined.where(~F.col("_old")).select(
-            F.col("_key").alias("uid"),
-            F.col("_t").alias(time),
-            "past_rows",
-            F.when(F.col("past_n") > 0, F.col("past_mean")).alias("past_mean"),
-            (F.col("_t") - F.col("past_last")).alias("seconds_since_previous"),
-        ).write.mode("overwrite").parquet(f"{path}/features/batch_id={batch_id}")
-
-        n, mean, m2 = merged(
-            *[F.col(c) for c in ("past_n", "past_mean", "past_m2")], *[F.col(c) for c in ("n", "mean", "m2")]
-        )
-        state = joined.select(
-            "_key",
-            (F.col("past_rows") + F.col("rows")).alias("rows"),
-            n.alias("n"),
-            mean.alias("mean"),
-            m2.alias("m2"),
-            F.least("low", "past_low").alias("low"),
-            F.greatest("high", "past_high").alias("high"),
-            F.col("_t").alias("last"),
+    with rocksdb(spark):
+        return run_to_parquet(
+            past_features(stream, key, amount, time, delay, block=block), "past-features", path, checkpoint, close=close
         )
-        order = [f.name for f in before.schema.fields]
-        _latest(state).select(*order).write.mode("overwrite").parquet(f"{path}/delta/batch_id={batch_id}")
-        if batch_id and batch_id % COMPACT_EVERY == 0:
-            base = totals_before(spark, path, batch_id + 1).select(*order)
-            base.write.mode("overwrite").parquet(f"{path}/base/batch_id={batch_id}")
-
-    run_each_batch(closed_seconds(stream, key, amount, time, delay), handle, checkpoint, close=close)
-    schema = f"uid string, {time} bigint, past_rows bigint, past_mean double, seconds_since_previous bigint"
-    return spark.read.schema(schema).parquet(f"{path}/features/batch_id=*")

@@ -6,7 +6,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from ledgerlens.operators import ordered
+from ledgerlens.operators import encoding, ordered
 from ledgerlens.session import written
 
 
@@ -73,8 +73,8 @@ def test_values_at_ranks(spark, values, task_rows):
 
 def test_brackets_that_miss_fall_back_to_all_values(spark, skewed, monkeypatch):
     df = spark.createDataFrame(skewed[["value"]])
-    good = ordered._brackets(df, ["value"], [0.5])
-    monkeypatch.setattr(ordered, "_brackets", lambda *_: [(c, i, n, -2.0, -1.0) for c, i, n, _, _ in good])
+    good = ordered._brackets(ordered._cells(df, ["value"]), [0.5])
+    monkeypatch.setattr(ordered, "_brackets", lambda *_: {c: (n, [-2.0], [-1.0]) for c, (n, _, _) in good.items()})
     found = ordered.column_quantiles(df, ["value"], [0.5], task_rows=50).first()["quantiles"]
     assert np.allclose(found, skewed["value"].quantile([0.5]))
 
@@ -92,3 +92,34 @@ def test_heavy_keys_in_lookups(spark, skewed):
     assert sorted(map(str, plain.collect())) == sorted(map(str, split.collect()))
     assert plain.where("key = 'k5'").agg(F.max("n")).first()[0] == 0
     assert plain.where("key IS NULL").agg(F.min("n")).first()[0] > 0
+
+
+def test_many_columns_take_as_many_jobs_as_few(spark):
+    """Both above what one task holds: the scans don't grow with the columns."""
+    rng = np.random.default_rng(3)
+    wide = pd.DataFrame({f"c{i}": np.round(rng.exponential(10 + i, 4000), 1) for i in range(40)})
+    wide.iloc[::3, 5] = np.nan
+    df = spark.createDataFrame(wide.astype(object).where(wide.notna(), None), ", ".join(f"{c} double" for c in wide)).cache()
+    df.count()
+    jobs = {}
+    for n in (2, 40):
+        spark.sparkContext.setJobGroup(f"columns-{n}", "")
+        probabilities = [0, 0.1, 0.25, 0.5, 0.9, 1]
+        found = ordered.column_quantiles(df, list(wide)[:n], probabilities, rows=10_000_000).collect()
+        jobs[n] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"columns-{n}"))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert len(found) == n
+        for r in found:
+            assert np.allclose(r["quantiles"], wide[r["column"]].quantile(probabilities)), r["column"]
+    assert jobs[2] == jobs[40]
+
+
+def test_medians_on_both_sides_of_the_limit(spark):
+    rng = np.random.default_rng(4)
+    wide = pd.DataFrame({f"c{i}": np.round(rng.normal(0, 1 + i, 500), 2) for i in range(6)})
+    df = spark.createDataFrame(wide)
+    results = [
+        {r["column"]: r["median"] for r in encoding.numeric_median_fit(df, list(wide), task_rows=limit).collect()}
+        for limit in (499, 500, 2999, 3000, 1_000_000)
+    ]
+    assert all(r == results[0] for r in results) and np.allclose(list(results[0].values()), wide[list(results[0])].median())

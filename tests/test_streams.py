@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.expressions import uid
-from ledgerlens.operators.timeline import past_totals, second_totals
+from ledgerlens.operators.median import past_history_median
+from ledgerlens.operators.timeline import past_history_features, past_totals, second_totals
 from ledgerlens.sources import events
 from ledgerlens.streaming import history, scoring, windows
 from ledgerlens.streaming.sinks import batch_writer, closing, late_rows, run_to_parquet
@@ -51,27 +52,62 @@ def test_bad_messages_are_marked(spark, folder):
     assert table.where("_bad").count() == 18
 
 
-@pytest.mark.parametrize("compact_every", [32, 2])
-def test_past_features_equal_batch(spark, folder, monkeypatch, compact_every):
-    monkeypatch.setattr(history, "COMPACT_EVERY", compact_every)
+@pytest.mark.parametrize("block", [512, 2])
+def test_past_features_equal_batch(spark, folder, block):
     good = events.good_events(stream(spark, folder))
-    streamed = history.stream_past_features(good, uid(), delay="10 minutes")
+    streamed = history.stream_past_features(good, uid(), delay="10 minutes", block=block)
     rows = spark.createDataFrame(messages(), events.TRANSACTION_SCHEMA)
-    batch = past_totals(second_totals(rows, uid(), "TransactionDT", "TransactionAmt"))
     closed = max(r["TransactionDT"] for r in messages()) - 600
-    expected = {
-        (r["_key"], r["_t"]): (r["past_rows"], r["past_mean"] if r["past_n"] else None, r["past_last"])
-        for r in batch.where(F.col("_t") <= closed).collect()
-    }
-    got = {
-        (r["uid"], r["TransactionDT"]): (r["past_rows"], r["past_mean"], r["seconds_since_previous"])
-        for r in streamed.collect()
-    }
-    assert got.keys() == expected.keys()
-    for key, (count, mean, last) in expected.items():
-        assert got[key][0] == count
-        assert got[key][1] == pytest.approx(mean)
-        assert got[key][2] == (None if last is None else key[1] - last)
+    batch = past_history_median(past_history_features(rows, {"uid": uid()}), uid()).withColumn("uid", uid())
+    batch = batch.where(F.col("TransactionDT") <= closed)
+    names = ["past_count", "past_mean", "past_std", "past_min", "past_max", "past_median"]
+    expected = {(r["uid"], r["TransactionDT"]): [r[f"uid_{n}"] for n in names] for r in batch.collect()}
+    last = past_totals(second_totals(rows, uid(), "TransactionDT", "TransactionAmt"))
+    last = {(r["_key"], r["_t"]): r["past_last"] for r in last.collect()}
+    got = {(r["uid"], r["TransactionDT"]): r for r in streamed.collect()}
+    assert got.keys() == expected.keys() and len(got) == streamed.count()
+    for key, values in expected.items():
+        row = got[key]
+        assert row["past_rows"] == values[0]
+        for name, value in zip(names[1:], values[1:], strict=True):
+            assert row[name] == (None if value is None else pytest.approx(value)), name
+        assert row["seconds_since_previous"] == (None if last[key] is None else key[1] - last[key])
+
+
+def test_past_features_read_no_other_state(spark, folder, tmp_path):
+    """A batch's plan reads the source alone; the state of an entity is fetched by its key."""
+    good = events.good_events(stream(spark, folder))
+    with history.rocksdb(spark):
+        plan = history.past_features(good, uid())
+        query = plan.writeStream.format("memory").queryName("past").option("checkpointLocation", str(tmp_path / "c"))
+        query = query.trigger(availableNow=True).start()
+        query.awaitTermination()
+        text = query._jsq.explainInternal(True)
+        progress = [p for p in query.recentProgress if p["stateOperators"]]
+    physical = text[text.index("== Physical Plan ==") :]
+    assert "TransformWithState" in physical and physical.count("Scan") + physical.count("FileStreamSource") <= 2
+    assert physical.count("Join") == 0 and len(progress) >= 6
+
+
+def test_sorted_amounts():
+    rng = random.Random(2)
+    stored = {}
+    firsts = sizes = ids = ()
+    every = []
+    for _ in range(60):
+        amounts = history.SortedAmounts(firsts, sizes, ids, stored.__getitem__, block=3)
+        for _ in range(rng.randrange(1, 12)):
+            x, copies = float(rng.randrange(40)), rng.randrange(1, 4)
+            amounts.add(x, copies)
+            every = sorted(every + [x] * copies)
+        assert amounts.median(len(every)) == (every[(len(every) - 1) // 2] + every[len(every) // 2]) / 2
+        assert [amounts.at_rank(i) for i in range(len(every))] == every
+        assert all(len(v) <= 6 for v, _ in amounts.held.values())
+        stored |= {name: amounts.held[name] for name in amounts.changed}
+        firsts, sizes, ids = amounts.firsts, amounts.sizes, amounts.ids
+    fresh = history.SortedAmounts(firsts, sizes, ids, stored.__getitem__, block=3)
+    fresh.median(len(every))
+    assert len(fresh.held) <= 2 < len(fresh.ids)
 
 
 def test_windows_equal_batch(spark, folder):
