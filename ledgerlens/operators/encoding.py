@@ -7,11 +7,10 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions.expressions import MISSING, UNKNOWN, deviation, is_numeric, number, text, uid
 from ledgerlens.operators.enrich import lookup_map
+from ledgerlens.operators.lookups import looked_up
 from ledgerlens.operators.ordered import column_quantiles, group_quantiles, largest_group, running_totals
 from ledgerlens.session import TASK_ROWS, written
 
-BROADCAST_VALUES = 200_000  # fitted values of one column: some 20 MB of text and counts
-
 
 def frequency_fit(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column, value, freq) for every value of every column; null is a value with a count.
@@ -22,25 +21,13 @@ def frequency_fit(df: DataFrame, columns: list[str]) -> DataFrame:
     return stacked.groupBy("column", "value").agg(F.count(F.lit(1)).alias("freq"))
 
 
-def value_sizes(state: DataFrame) -> dict[str, int]:
-    """Fitted values per column of a written state table: one number per column."""
-    return {r["column"]: r["n"] for r in state.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
-
-
-def frequency_encode(df: DataFrame, state: DataFrame, columns: list[str], suffix: str = "_freq") -> DataFrame:
-    """Attach ``<column><suffix>`` counts from a written state table; unseen values get 0.
-
-    A column counted to have few values is broadcast; a larger one is shuffled
-    with its heaviest values set apart.
-    """
-    sizes = value_sizes(state)
-    for c in columns:
-        fitted = state.where(F.col("column") == c).select("value", "freq")
-        small = sizes.get(c, 0) <= BROADCAST_VALUES
-        fitted, heavy = (F.broadcast(fitted), None) if small else (fitted, "freq")
-        counts = {f"{c}{suffix}": ("freq", F.lit(0))}
-        df = lookup_map(df, F.col(c).cast("string"), fitted, "value", counts, rows=heavy)
-    return df
+def frequency_encode(
+    df: DataFrame, state: DataFrame, columns: list[str], suffix: str = "_freq", *, task_rows: int = TASK_ROWS
+) -> DataFrame:
+    """Attach ``<column><suffix>`` counts from a written state table; unseen values get 0."""
+    found = looked_up(df, {c: F.col(c) for c in columns}, state, "freq", prefix="_freq_", task_rows=task_rows)
+    counts = {f"{c}{suffix}": F.coalesce(F.col(f"_freq_{c}"), F.lit(0)) for c in columns}
+    return found.withColumns(counts).drop(*[f"_freq_{c}" for c in columns])
 
 
 def numeric_median_fit(
@@ -148,25 +135,20 @@ def numeric_coerce_impute(
     return df.withColumns({**filled, **flags} if indicators else filled)
 
 
-def categorical_fill(df: DataFrame, columns: list[str], vocabulary: DataFrame | None = None) -> DataFrame:
+def categorical_fill(
+    df: DataFrame, columns: list[str], vocabulary: DataFrame | None = None, *, task_rows: int = TASK_ROWS
+) -> DataFrame:
     """Null -> missing token; with a written vocabulary, unseen text -> unknown token.
 
-    A column counted to have few values is looked up by broadcast. The missing token, which may fill most rows, is
-    known without a lookup: its rows go through a shuffled one under spread stand-in keys.
+    The missing token, which may fill most rows, is known without a lookup.
     """
     df = df.withColumns({c: text(c) if c in df.columns else F.lit(MISSING) for c in columns})
     if vocabulary is None:
         return df
-    sizes = value_sizes(vocabulary)
-    spread = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(4096)))
-    for c in columns:
-        known = vocabulary.where(F.col("column") == c).select(F.col("value").alias("_value"), F.lit(1).alias("_one"))
-        known = F.broadcast(known) if sizes.get(c, 0) <= BROADCAST_VALUES else known
-        df = df.withColumn("_text", F.when(F.col(c) == MISSING, spread).otherwise(F.col(c)))
-        df = df.join(known, F.col("_text") == F.col("_value"), "left")
-        kept = F.col("_one").isNotNull() | (F.col(c) == MISSING)
-        df = df.withColumn(c, F.when(kept, F.col(c)).otherwise(UNKNOWN)).drop("_value", "_one", "_text")
-    return df
+    keys = {c: F.when(F.col(c) != MISSING, F.col(c)) for c in columns}
+    known = looked_up(df, keys, vocabulary.withColumn("_one", F.lit(1)), "_one", prefix="_known_", task_rows=task_rows)
+    kept = {c: F.when((F.col(c) == MISSING) | F.col(f"_known_{c}").isNotNull(), F.col(c)).otherwise(UNKNOWN) for c in columns}
+    return known.withColumns(kept).drop(*[f"_known_{c}" for c in columns])
 
 
 # The columns whose absence is a signal of its own.
@@ -257,13 +239,10 @@ def ordinal_standardize(train: DataFrame, other: DataFrame, key: str, *, task_ro
     result = other
     if texts:
         filled = train.select(*[text(c).alias(c) for c in texts])
-        codes = category_union([filled], texts, task_rows=task_rows)
-        for c in texts:
-            code = codes.where(F.col("column") == c).select(
-                F.col("value").alias("_value"), (F.col("index") + 1).alias("_code")
-            )
-            result = result.join(code, text(c) == F.col("_value"), "left")
-            result = result.withColumn(c, F.coalesce(F.col("_code"), F.lit(0)).cast("float")).drop("_value", "_code")
+        codes = written(category_union([filled], texts, task_rows=task_rows), "codes")
+        result = looked_up(other, {c: text(c) for c in texts}, codes, "index", prefix="_code_", task_rows=task_rows)
+        coded = {c: F.coalesce(F.col(f"_code_{c}") + 1, F.lit(0)).cast("float") for c in texts}
+        result = result.withColumns(coded).drop(*[f"_code_{c}" for c in texts])
     if numbers:
         stats = train.agg(
             *[F.avg(number(c)).alias(f"m_{c}") for c in numbers],

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.expressions import DAY_SECONDS, STD_EPSILON, uid
 
 SLICE_SECONDS = 30 * DAY_SECONDS
+NO_KEY = "\u0000"  # stands for a null key
+NO_TIME = -(1 << 60)  # stands for a null time
 
 
 def _slice(time: str, seconds: int) -> Column:
@@ -202,17 +204,17 @@ def past_totals(seconds: DataFrame, *, slice_seconds: int = SLICE_SECONDS) -> Da
     )
 
 
-def history_columns(amount: Column, prefix: str) -> dict[str, Column]:
-    """Feature columns from the joined past totals; null where there is no past amount."""
-    n = F.col("past_n")
-    mean = F.when(n > 0, F.col("past_mean"))
-    std = F.when(n > 1, F.sqrt(F.col("past_m2") / (n - 1)))
+def history_columns(amount: Column, prefix: str, past: Column) -> dict[str, Column]:
+    """Feature columns from a row's past totals (a struct); null where there is no past amount."""
+    n = past["n"]
+    mean = F.when(n > 0, past["mean"])
+    std = F.when(n > 1, F.sqrt(past["m2"] / (n - 1)))
     return {
-        f"{prefix}_past_count": F.coalesce(F.col("past_rows"), F.lit(0)),
+        f"{prefix}_past_count": F.coalesce(past["rows"], F.lit(0)),
         f"{prefix}_past_mean": mean,
         f"{prefix}_past_std": std,
-        f"{prefix}_past_min": F.col("past_low"),
-        f"{prefix}_past_max": F.col("past_high"),
+        f"{prefix}_past_min": past["low"],
+        f"{prefix}_past_max": past["high"],
         f"{prefix}_past_deviation": (amount - mean) / (F.coalesce(std, F.lit(0.0)) + F.lit(STD_EPSILON)),
     }
 
@@ -225,19 +227,34 @@ def past_history_features(
     *,
     slice_seconds: int = SLICE_SECONDS,
 ) -> DataFrame:
-    """Count, mean, std, min, max and deviation of amounts of strictly earlier seconds, per key."""
+    """Count, mean, std, min, max and deviation of amounts of strictly earlier seconds, per key.
+
+    All keys are worked through together, as (key kind and key, second) rows; the table itself is shuffled once, to meet
+    what was found for its combination of keys and second. Null keys are one entity, null times one second before all others.
+    """
     keys = keys or history_keys()
-    result = df
-    for prefix, key in keys.items():
-        past = past_totals(second_totals(df, key, time, amount), slice_seconds=slice_seconds)
-        keyed = result.withColumn("_join_key", key)
-        same = F.col("_join_key").eqNullSafe(F.col("_key")) & F.col(time).eqNullSafe(F.col("_t"))
-        joined = keyed.join(past, same, "left")
-        result = joined.select(
-            *[F.col(c) for c in result.columns],
-            *[c.alias(n) for n, c in history_columns(F.col(amount), prefix).items()],
-        )
-    return result
+    kinds = list(keys)
+    named = {f"_key_{i}": F.coalesce(keys[k].cast("string"), F.lit(NO_KEY)) for i, k in enumerate(kinds)}
+    at = F.coalesce(F.col(time), F.lit(NO_TIME)).alias("_t")
+    # Everything below but the last join moves these narrow rows only.
+    narrow = df.select(*[c.alias(n) for n, c in named.items()], at, F.col(amount).alias("_x"))
+    entities = F.array(*[F.concat(F.lit(f"{i}:"), F.col(n)) for i, n in enumerate(named)])
+    seconds = second_totals(narrow.withColumn("_entity", F.explode(entities)), F.col("_entity"), "_t", "_x")
+    past = past_totals(seconds, slice_seconds=slice_seconds)
+    measures = ["rows", "n", "mean", "m2", "low", "high"]
+    past = past.select("_key", "_t", F.struct(*[F.col(f"past_{m}").alias(m) for m in measures]).alias("_past"))
+    # One row for each combination of keys in a second collects the pasts of its entities.
+    together = [*named, "_t"]
+    wanted = narrow.select(*together).distinct().select("*", F.posexplode(entities).alias("_kind", "_key"))
+    per_kind = [F.max(F.when(F.col("_kind") == i, F.col("_past"))).alias(f"_past_{i}") for i in range(len(kinds))]
+    found = wanted.join(past, ["_key", "_t"], "left").groupBy(*together).agg(*per_kind)
+    joined = df.withColumns({**named, "_t": at}).join(found, together, "left")
+    features = [
+        column.alias(name)
+        for i, prefix in enumerate(kinds)
+        for name, column in history_columns(F.col(amount), prefix, F.col(f"_past_{i}")).items()
+    ]
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], *features)
 
 
 def rolling_history(

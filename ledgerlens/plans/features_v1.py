@@ -17,6 +17,7 @@ from ledgerlens.operators.guards import (
     align_feature_schema,
     require_columns,
 )
+from ledgerlens.operators.lookups import looked_up
 from ledgerlens.session import written
 
 # Fixed values.
@@ -86,10 +87,11 @@ def transform(df: DataFrame, state: FitStateV1, features: list[str] | None = Non
     coded = frequency_encode(timed, state.frequencies, FREQUENCY_COLUMNS)
     if any(c in features for c in CONTRACT_TAIL[2:]):
         coded = uid_stats_apply(coded, state.uid_stats, state.amount_mean, state.amount_std)
-    for c in state.texts:
-        if c in coded.columns:
-            level = state.levels.where(F.col("column") == c).select(F.col("value").alias("_level"))
-            coded = coded.join(level, F.col(c) == F.col("_level"), "left").withColumn(c, F.col("_level")).drop("_level")
+    texts = [c for c in state.texts if c in coded.columns]
+    if texts:
+        levels = state.levels.withColumn("_level", F.col("value"))
+        coded = looked_up(coded, {c: F.col(c) for c in texts}, levels, "_level", prefix="_level_")
+        coded = coded.withColumns({c: F.col(f"_level_{c}") for c in texts}).drop(*[f"_level_{c}" for c in texts])
     if key is None:
         return align_feature_schema(coded, features)
     return align_feature_schema(coded, [key, *features])

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions.expressions import MISSING, UNKNOWN, day, hour, is_numeric
 from ledgerlens.operators.encoding import (
-    BROADCAST_VALUES,
     FLAGGED_COLUMNS,
     categorical_fill,
     identity_missingness,
@@ -23,7 +22,6 @@ from ledgerlens.operators.encoding import (
     numeric_coerce_impute,
     numeric_median_fit,
 )
-from ledgerlens.operators.enrich import lookup_map
 from ledgerlens.operators.guards import (
     ID_CATEGORY_LIMIT,
     ID_COLUMN,
@@ -33,6 +31,7 @@ from ledgerlens.operators.guards import (
     align_feature_schema,
     require_columns,
 )
+from ledgerlens.operators.lookups import looked_up, quoted
 from ledgerlens.session import TASK_ROWS, written
 from ledgerlens.sources.files import exists
 
@@ -172,18 +171,12 @@ def fit(train: DataFrame, *, task_rows: int = TASK_ROWS) -> FitState:
     return FitState(numeric, categorical, {c: medians[c] for c in numeric}, kept, values, features, rows)
 
 
-def _quoted(value: str) -> str:
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def _known(df: DataFrame, state: FitState, columns: list[str]) -> DataFrame:
     """Texts unseen in training -> unknown token; training counts of the frequency columns beside them.
 
     Most categories have few values: those become literals of one projection (a
     set for membership, a map for counts), which moves no data and keeps
-    the stage small. Only columns with many values are joined: by broadcast when
-    their fitted values were counted to be few enough, else shuffled with the
-    heaviest values set apart.
+    the stage small. Columns with many values are looked up together.
     """
     listed = state.small_values()
 
@@ -193,30 +186,24 @@ def _known(df: DataFrame, state: FitState, columns: list[str]) -> DataFrame:
         )
 
     names = list(df.columns)
-    for c in columns:
-        if inline(c):
-            continue
-        fitted = state.counts.where(F.col("column") == c)
-        if state.sizes[c] <= BROADCAST_VALUES:
-            side = fitted.select(F.col("value").alias(f"_value_{c}"), F.col("freq").alias(f"_freq_{c}"))
-            df = df.join(F.broadcast(side), F.col(c) == F.col(f"_value_{c}"), "left")
-        else:
-            df = lookup_map(df, F.col(c), fitted, "value", {f"_freq_{c}": ("freq", None)}, rows="freq")
+    many = {c: F.col(c) for c in columns if not inline(c)}
+    if many:
+        df = looked_up(df, many, state.counts, "freq", prefix="_freq_", sizes=state.sizes, inline=0)
 
     def known(c: str) -> str:
         values = sorted({MISSING, UNKNOWN} | set(listed.get(c, ()) if inline(c) else ()))
-        texts = ", ".join(_quoted(v) for v in values)
+        texts = ", ".join(quoted(v) for v in values)
         # A literal array is a short loop in the generated code, a long IN list a hash set; an unrolled
         # comparison per value would make the method too long for the JVM to compile.
         seen = f"array_contains(array({texts}), `{c}`)" if len(values) <= INLINE_COUNTS else f"`{c}` IN ({texts})"
         if not inline(c):
             seen = f"`_freq_{c}` IS NOT NULL OR {seen}"
-        return f"CASE WHEN {seen} THEN `{c}` ELSE {_quoted(UNKNOWN)} END AS `{c}`"
+        return f"CASE WHEN {seen} THEN `{c}` ELSE {quoted(UNKNOWN)} END AS `{c}`"
 
     def count(c: str) -> str:
         if not inline(c):
             return f"coalesce(`_freq_{c}`, {FREQUENCY_UNSEEN}L) AS `{c}_frequency`"
-        pairs = ", ".join(f"{_quoted(v)}, {n}L" for v, n in sorted(listed.get(c, {}).items(), key=lambda i: -i[1]))
+        pairs = ", ".join(f"{quoted(v)}, {n}L" for v, n in sorted(listed.get(c, {}).items(), key=lambda i: -i[1]))
         found = f"element_at(map({pairs}), `{c}`)" if pairs else "CAST(NULL AS BIGINT)"
         return f"coalesce({found}, {FREQUENCY_UNSEEN}L) AS `{c}_frequency`"
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import median, timeline
+from ledgerlens.session import written
 
 
 @pytest.fixture
@@ -97,3 +98,30 @@ def test_rolling_sums_of_one_long_entity(spark):
     rows = spark.range(86_400).selectExpr("id AS TransactionID", "id AS TransactionDT", "1.0D AS TransactionAmt", "1L AS card1", "1L AS addr1")
     rolled = timeline.rolling_history(rows, 86_400)
     assert rolled.agg(F.max("uid_count_86400s"), F.sum("uid_sum_86400s")).first()[:] == (86_399, 86_399 * 86_400 / 2)
+
+
+def test_past_history_shuffles_the_table_once(spark, frame):
+    """Three keys: the wide column passes one exchange, and rows without a key or a time are kept."""
+    wide = _spark(spark, frame).withColumn("wide", F.col("card1").cast("string"))
+    odd = wide.limit(4).withColumns({"TransactionDT": F.lit(None).cast("bigint"), "card1": F.lit(None).cast("bigint")})
+    rows = timeline.past_history_features(wide.unionByName(odd)).collect()
+    assert len(rows) == len(frame) + 4
+    assert all(r["uid_past_count"] == 0 for r in rows if r["TransactionDT"] is None)
+
+    def listed(items):
+        return [items.apply(i) for i in range(items.size())]
+
+    def exchanges(node):
+        """Exchanges that the wide column passes, in any branch of the plan."""
+        if node.nodeName() == "AdaptiveSparkPlan":
+            return exchanges(node.executedPlan())
+        here = "Exchange" in node.nodeName() and "wide" in [a.name() for a in listed(node.output())]
+        return here + sum(map(exchanges, listed(node.children())))
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = timeline.past_history_features(written(wide, "wide"))._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert exchanges(plan) == 1
