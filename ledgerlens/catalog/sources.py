@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from ledgerlens.catalog import views
@@ -139,10 +141,47 @@ def _(spark, sf_dir):
     return events.good_events(back)
 
 
-@query("dataset_fingerprint")
+# The columns in name order, as texts that both engines write alike: numbers with a point as decimals, times in microseconds.
+PRINTED = {
+    "events": "event_id, event_type, props, epoch_us(ts) AS ts, user_id, CAST(value AS DECIMAL(18, 6)) AS value",
+    "orders": "o_custkey, epoch_us(o_orderdate) AS o_orderdate, o_orderkey, o_orderpriority, o_orderstatus, "
+    "CAST(o_totalprice AS DECIMAL(18, 6)) AS o_totalprice",
+    "customer": "CAST(c_acctbal AS DECIMAL(18, 6)) AS c_acctbal, c_custkey, c_mktsegment, c_name, c_nationkey",
+    "txn": "P_emaildomain, ProductCD, CAST(TransactionAmt AS DECIMAL(18, 6)) AS TransactionAmt, TransactionDT, TransactionID, card1",
+}
+
+
+def _fingerprint_sql(table: str, name: str, role: str, columns: str) -> str:
+    names = [c.split(" AS ")[-1] for c in re.split(r", (?![^(]*\))", columns)]
+    text = " || ".join(f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in names)
+    halves = ", ".join(
+        f"CAST(sum(CAST(CAST('0x' || substr(h, {at}, 16) AS UBIGINT) AS HUGEINT)) AS VARCHAR) AS {half}_hash"
+        for half, at in (("high", 1), ("low", 17))
+    )
+    return (
+        f"SELECT '{name}' AS \"table\", CAST({len(names)} AS INTEGER) AS columns, count(*) AS rows, {halves}, '{role}' AS role, "
+        f"'batch' AS run_id, 'batch_scoring' AS stage FROM (SELECT md5({text}) AS h FROM (SELECT {columns} FROM {table}) p) q"
+    )
+
+
+@query(
+    "dataset_fingerprint",
+    " UNION ALL ".join(
+        _fingerprint_sql(t, n, r, PRINTED[t])
+        for t, n, r in [("events", "events", "input"), ("orders", "orders", "input"), ("customer", "customer", "input"), ("txn", "transactions", "output")]
+    ),
+    ["txn"],
+)
 def _(spark, sf_dir):
-    inputs = {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in ("events", "orders", "customer")}
-    return files.run_manifest("batch", "batch_scoring", inputs, {"transactions": views.txn(spark, sf_dir)})
+    def printed(df, table):
+        return df.selectExpr(*[c.replace("epoch_us(", "unix_micros(") for c in re.split(r", (?![^(]*\))", PRINTED[table])])
+
+    tables = {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in ("events", "orders", "customer")}
+    times = {"events": "ts", "orders": "o_orderdate"}
+    tables = {n: df.withColumn(times[n], F.col(times[n]).cast("timestamp")) if n in times else df for n, df in tables.items()}
+    outputs = {"transactions": printed(views.txn(spark, sf_dir), "txn")}
+    manifest = files.run_manifest("batch", "batch_scoring", {n: printed(df, n) for n, df in tables.items()}, outputs)
+    return manifest.drop("created_utc")
 
 
 @query("sample_rows", "SELECT * FROM txn ORDER BY md5('42:' || CAST(TransactionID AS VARCHAR)), TransactionID LIMIT 20", ["txn"])

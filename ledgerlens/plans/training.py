@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
 
-from pyspark.ml import Model, Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark import inheritable_thread_target
+from pyspark.ml import Model, PipelineModel
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.expressions import is_numeric
-from ledgerlens.operators.curves import threshold_for_recall
+from ledgerlens.operators.curves import roc_auc, threshold_for_recall
 from ledgerlens.operators.enrich import enrich_identity
 from ledgerlens.operators.guards import ID_COLUMN, TARGET_COLUMN, check_feature_contract, fail_on_violations
 from ledgerlens.operators.policy import (
@@ -28,12 +31,23 @@ from ledgerlens.plans import features_v2
 from ledgerlens.session import written
 
 SPLITS = ["train", "validation", "test"]
+ROUNDS = 20  # boosting rounds at most
+PATIENCE = 10  # rounds without a better validation AUC after which boosting stops
+AT_ONCE = 4  # candidates that are fitted at the same time
+FEATURES = "features"
 
 
 @dataclass
 class Trained:
+    """A fitted model; of boosted trees also the validation AUC after each round, of which the best one's trees are kept."""
+
     model: PipelineModel
     inputs: list[str]
+    auc_by_round: list[float] = field(default_factory=list)
+
+    @property
+    def best_round(self) -> int | None:
+        return best_round(self.auc_by_round) if self.auc_by_round else None
 
 
 def model_inputs(features: DataFrame, state: features_v2.FitState) -> list[str]:
@@ -59,14 +73,12 @@ def feature_table(
     return written(table, "feature-table", ["split"]), state
 
 
-def classifier(family: str, weight_column: str | None = None, validation_column: str | None = None, **params):
-    common = {"featuresCol": "features", "labelCol": TARGET_COLUMN}
+def classifier(family: str, weight_column: str | None = None, **params):
+    common = {"featuresCol": FEATURES, "labelCol": TARGET_COLUMN}
     if weight_column:
         common["weightCol"] = weight_column
     if family == "gbt":
-        if validation_column:
-            common["validationIndicatorCol"] = validation_column
-        return GBTClassifier(**{"maxIter": 20, "stepSize": 0.1, "maxDepth": 5, "seed": 42, **common, **params})
+        return GBTClassifier(**{"maxIter": ROUNDS, "stepSize": 0.1, "maxDepth": 5, "seed": 42, **common, **params})
     if family == "forest":
         return RandomForestClassifier(**{"numTrees": 20, "maxDepth": 6, "seed": 42, **common, **params})
     if family == "logistic":
@@ -74,31 +86,124 @@ def classifier(family: str, weight_column: str | None = None, validation_column:
     raise KeyError(family)
 
 
-def train_model(
-    table: DataFrame, inputs: list[str], family: str = "gbt", weight: float | None = None, **params
+def assembled(table: DataFrame, inputs: list[str]) -> DataFrame:
+    """The table with its input vectors, written once for all the fits and scores that read them."""
+    kept = [c for c in table.columns if c not in inputs]
+    vectors = VectorAssembler(inputCols=inputs, outputCol=FEATURES).transform(table)
+    return written(vectors.select(*kept, FEATURES), "vectors", ["split"])
+
+
+def staged_aucs(rows: DataFrame, model: GBTClassificationModel) -> list[float]:
+    """Exact AUC of the model's first 1, 2, ... trees on ``rows``, all rounds ranked in one job.
+
+    The margin after a round is the sum of its trees' weighted answers; the probability rises with it.
+    """
+    answers = rows.select(FEATURES, F.col(TARGET_COLUMN).alias("y"))
+    for i, tree in enumerate(model.trees):
+        answers = tree.setFeaturesCol(FEATURES).setPredictionCol(f"_tree_{i}").transform(answers)
+    # Each margin is the one before and a tree: running sums in one array, not ever longer expressions.
+    trees = F.array(*[F.col(f"_tree_{i}") * F.lit(float(w)) for i, w in enumerate(model.treeWeights)])
+    running = F.aggregate(
+        trees,
+        F.array().cast("array<double>"),
+        lambda done, x: F.concat(done, F.array(F.coalesce(F.try_element_at(done, F.lit(-1)), F.lit(0.0)) + x)),
+    )
+    long = answers.select("y", F.posexplode(running).alias("round", "p"))
+    found = {r["round"]: r["roc_auc"] for r in roc_auc(long, ["round"]).collect()}
+    return [found.get(i) if found.get(i) is not None else 0.5 for i in range(len(model.trees))]
+
+
+def best_round(aucs: list[float], patience: int | None = None) -> int | None:
+    """The first round (from 1) with the highest AUC, looking no further than ``patience`` rounds after the best so far.
+
+    With ``patience``, None if the rounds at hand don't show yet that boosting stops.
+    """
+    best = 0
+    for i, value in enumerate(aucs):
+        if value > aucs[best]:
+            best = i
+        if patience is not None and i - best >= patience:
+            return best + 1
+    return None if patience is not None else best + 1
+
+
+def first_trees(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """The model as it was after ``rounds`` rounds."""
+    jvm, java = SparkSession.active()._jvm, model._java_obj
+    trees = SparkSession.active().sparkContext._gateway.new_array(
+        jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds
+    )
+    weights = SparkSession.active().sparkContext._gateway.new_array(jvm.double, rounds)
+    for i in range(rounds):
+        trees[i], weights[i] = java.trees()[i], float(model.treeWeights[i])
+    cut = jvm.org.apache.spark.ml.classification.GBTClassificationModel(java.uid(), trees, weights, model.numFeatures, 2)
+    return GBTClassificationModel(java.copyValues(cut, java.extractParamMap()))
+
+
+def boosted(rows: DataFrame, weight_column: str | None, patience: int, **params) -> tuple[GBTClassificationModel, list[float]]:
+    """Boosted trees that stop when the validation AUC has not risen for ``patience`` rounds, cut to the best round.
+
+    Trees are grown in doubling numbers of rounds, then all rounds are ranked: a longer fit begins with the same trees, so
+    at most twice the rounds needed are grown.
+    """
+    most = params.pop("maxIter", ROUNDS)
+    train, validation = rows.where("split = 'train'"), rows.where("split = 'validation'")
+    rounds = min(most, 2 * patience)
+    while True:
+        model = classifier("gbt", weight_column, maxIter=rounds, **params).fit(train)
+        aucs = staged_aucs(validation, model)
+        stop = best_round(aucs, patience)
+        if stop is not None:
+            aucs = aucs[: stop + patience]
+        if stop is not None or rounds == most:
+            return first_trees(model, best_round(aucs)), aucs
+        rounds = min(most, 2 * rounds)
+
+
+def fit_vectors(
+    vectors: DataFrame, inputs: list[str], family: str = "gbt", weight: float | None = None, patience: int = PATIENCE, **params
 ) -> Trained:
-    """Fit one classifier on the training split; boosted trees stop early on the validation split."""
-    rows = table.where(F.col("split").isin("train", "validation") if family == "gbt" else F.col("split") == "train")
-    if rows.isEmpty():
-        raise ValueError("Training feature set is empty.")
+    """Fit one classifier on assembled rows of the training split; boosted trees stop on the AUC of the validation split."""
+    if vectors.where("split = 'train'").isEmpty() or (family == "gbt" and vectors.where("split = 'validation'").isEmpty()):
+        raise ValueError("Training or validation feature set is empty.")
     weight_column = None
     if weight is not None:
         weight_column = "_weight"
-        rows = rows.withColumn("_weight", F.when(F.col(TARGET_COLUMN) == 1, float(weight)).otherwise(1.0))
-    validation = None
+        vectors = vectors.withColumn("_weight", F.when(F.col(TARGET_COLUMN) == 1, float(weight)).otherwise(1.0))
+    aucs: list[float] = []
     if family == "gbt":
-        validation = "_validation"
-        rows = rows.withColumn("_validation", F.col("split") == "validation")
-    stages = [
-        VectorAssembler(inputCols=inputs, outputCol="features"),
-        classifier(family, weight_column, validation, **params),
-    ]
-    return Trained(Pipeline(stages=stages).fit(rows), inputs)
+        model, aucs = boosted(vectors, weight_column, patience, **params)
+    else:
+        model = classifier(family, weight_column, **params).fit(vectors.where("split = 'train'"))
+    return Trained(PipelineModel([VectorAssembler(inputCols=inputs, outputCol=FEATURES), model]), inputs, aucs)
+
+
+def train_model(
+    table: DataFrame, inputs: list[str], family: str = "gbt", weight: float | None = None, patience: int = PATIENCE, **params
+) -> Trained:
+    """``fit_vectors`` on a feature table."""
+    return fit_vectors(assembled(table, inputs), inputs, family, weight, patience, **params)
+
+
+def fitted_together(spark: SparkSession, fits: dict[str, Callable[[], Trained]], at_once: int = AT_ONCE) -> dict[str, Trained]:
+    """Run the fits at the same time, each in a scheduler pool of its own (fair where the session schedules fairly)."""
+
+    def pooled(name: str, fit: Callable[[], Trained]) -> Callable[[], Trained]:
+        def run() -> Trained:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+            return fit()
+
+        return inheritable_thread_target(spark)(run)
+
+    with ThreadPoolExecutor(at_once) as pool:
+        running = {name: pool.submit(pooled(name, fit)) for name, fit in fits.items()}
+        return {name: task.result() for name, task in running.items()}
 
 
 def score(table: DataFrame, trained: Trained, name: str = "fraud_probability") -> DataFrame:
-    """Probability of the positive class beside the input columns."""
-    scored = trained.model.transform(table)
+    """Probability of the positive class beside the input columns, from a feature table or from assembled rows."""
+    model = trained.model.stages[-1] if FEATURES in table.columns else trained.model
+    scored = model.transform(table)
     return scored.withColumn(name, vector_to_array("probability")[1]).drop(
         "features", "rawPrediction", "probability", "prediction"
     )
@@ -127,11 +232,12 @@ def weight_search(table: DataFrame, inputs: list[str], weights: list[float] | No
     if weights is None:
         row = scale_pos_weight(table.where(F.col("split") == "train")).first()
         weights = list(row["candidate_weights"])
-    held_out = table.where(F.col("split") != "train")
+    vectors = assembled(table, inputs)
+    held_out = vectors.where(F.col("split") != "train")
+    fits = {f"weight_{w:g}": (lambda w=w: fit_vectors(vectors, inputs, "gbt", w, **params)) for w in weights}
+    models = fitted_together(table.sparkSession, fits)
     parts = [
-        scored_candidate(held_out, train_model(table, inputs, "gbt", w, **params), f"weight_{w:g}").withColumn(
-            "scale_pos_weight", F.lit(float(w))
-        )
+        scored_candidate(held_out, models[f"weight_{w:g}"], f"weight_{w:g}").withColumn("scale_pos_weight", F.lit(float(w)))
         for w in weights
     ]
     result = parts[0]
@@ -150,15 +256,18 @@ def model_family_compare(
         "forest_default": ("forest", {}),
         "logistic_default": ("logistic", {}),
     }
-    held_out = table.where(F.col("split") != "train")
-    scored, statuses = None, []
+    scored, statuses, fits = None, [], {}
+    vectors = assembled(table, inputs)
+    held_out = vectors.where(F.col("split") != "train")
     for name, (family, params) in candidates.items():
         try:
-            trained = train_model(table, inputs, family, **params)
+            classifier(family)
         except KeyError as unavailable:
             statuses.append((name, family, "skipped", f"family not available: {unavailable}"))
             continue
         statuses.append((name, family, "trained", "available"))
+        fits[name] = lambda family=family, params=params: fit_vectors(vectors, inputs, family, **params)
+    for name, trained in fitted_together(table.sparkSession, fits).items():
         part = scored_candidate(held_out, trained, name)
         scored = part if scored is None else scored.unionByName(part)
     schema = "candidate string, model_family string, status string, reason string"

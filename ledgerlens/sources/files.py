@@ -84,22 +84,27 @@ def write_zone(
 
 
 def row_hash(df: DataFrame) -> Column:
-    """One hash per row over all columns in name order."""
-    return F.xxhash64(*[F.col(f"`{c}`") for c in sorted(df.columns)])
+    """md5 of a row: each column in name order as its bytes' number, a colon and its text, or a dash for null."""
+    texts = [F.col(f"`{c}`").cast("string") for c in sorted(df.columns)]
+    return F.md5(F.concat(*[F.coalesce(F.concat(F.octet_length(t), F.lit(":"), t), F.lit("-")) for t in texts]))
 
 
 def dataset_fingerprint(df: DataFrame, name: str) -> DataFrame:
     """Row count and an order-free content hash of a table, in one scan.
 
-    The two bit_xor words cover different hashes of each row, so that equal
-    rows in pairs do not cancel from both the xor and the count.
+    The halves of all row hashes are summed as decimals, which any engine with md5 can repeat; equal rows count each.
     """
+
+    def total(half: Column) -> Column:
+        number = F.conv(half, 16, 10).cast("decimal(28,0)")
+        return F.coalesce(F.sum(number), F.lit(0).cast("decimal(38,0)")).cast("string")
+
     return df.select(row_hash(df).alias("h")).agg(
         F.lit(name).alias("table"),
         F.lit(len(df.columns)).alias("columns"),
         F.count(F.lit(1)).alias("rows"),
-        F.lower(F.hex(F.coalesce(F.bit_xor("h"), F.lit(0)))).alias("xor_hash"),
-        F.lower(F.hex(F.coalesce(F.sum(F.shiftrightunsigned("h", 40)), F.lit(0)))).alias("sum_hash"),
+        total(F.substring("h", 1, 16)).alias("high_hash"),
+        total(F.substring("h", 17, 16)).alias("low_hash"),
     )
 
 

@@ -26,14 +26,14 @@ def test_query_equals_sql(spark, duck, key):
 
 
 def test_the_others_are_few():
+    """Measures of trained models; the parts of these that don't depend on the trainer have SQL under the key itself."""
     assert {k for k, q in QUERIES.items() if q.sql is None} == {
-        "dataset_fingerprint",
-        "batch_score",
-        "train_gbt",
-        "weight_search",
-        "model_family_compare",
-        "train_pipeline",
-        "feature_importance",
+        "batch_score_probabilities",
+        "train_gbt_metrics",
+        "weight_search_metrics",
+        "model_family_policies",
+        "train_pipeline_metrics",
+        "feature_importance_values",
     }
 
 
@@ -54,19 +54,19 @@ def test_fingerprint_ignores_order_and_sees_changes(spark):
 
 
 def test_batch_scores_are_probabilities(spark):
-    scored = QUERIES["batch_score"].run(spark, SMALL).collect()
+    scored = QUERIES["batch_score_probabilities"].run(spark, SMALL).collect()
     assert len(scored) == 1000
     assert all(0.0 <= r["fraud_probability"] <= 1.0 for r in scored)
 
 
 def test_trained_model_ranks_better_than_chance(spark):
-    metrics = {r["split"]: r for r in QUERIES["train_gbt"].run(spark, SMALL).collect()}
+    metrics = {r["split"]: r for r in QUERIES["train_gbt_metrics"].run(spark, SMALL).collect()}
     assert set(metrics) == {"train", "validation", "test"}
     assert metrics["train"]["roc_auc"] > 0.6
 
 
 def test_unavailable_family_is_marked_skipped(spark):
-    rows = QUERIES["model_family_compare"].run(spark, SMALL).collect()
+    rows = QUERIES["model_family_policies"].run(spark, SMALL).collect()
     assert {r["status"] for r in rows if r["candidate"] == "other_library"} == {"skipped"}
     assert {r["candidate"] for r in rows if r["status"] == "trained"} == {"gbt_default", "forest_default", "logistic_default"}
 
