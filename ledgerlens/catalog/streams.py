@@ -17,7 +17,7 @@ from ledgerlens.operators import encoding
 from ledgerlens.session import written
 from ledgerlens.sources import events
 from ledgerlens.streaming import history, scoring, windows
-from ledgerlens.streaming.sinks import closing, run_to_parquet
+from ledgerlens.streaming.sinks import closing, rocksdb, run_to_parquet
 
 W = "CAST(floor(epoch(ts) / 300) AS BIGINT) * 300"
 
@@ -93,7 +93,7 @@ def _(spark, sf_dir):
     return _plain(off_ties(table, "p50", "p95", "p99"))
 
 
-SIZES = {"15 minutes": 900, "1 hour": 3600, "24 hours": 86400}
+SIZES = windows.ALERT_SIZES
 
 
 @query(
@@ -114,11 +114,8 @@ SIZES = {"15 minutes": 900, "1 hour": 3600, "24 hours": 86400}
     },
 )
 def _(spark, sf_dir):
-    parts = [
-        _windows(spark, sf_dir, f"alerts-{i}", lambda log, size=size: windows.rolling_alert_rate(log, size))
-        for i, size in enumerate(windows.ALERT_WINDOWS)
-    ]
-    return _plain(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+    with rocksdb(spark):
+        return _plain(_windows(spark, sf_dir, "alerts", windows.rolling_alert_rates))
 
 
 @query(

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamWriter
 
 TRANSACTION_SCHEMA = T.StructType(
     [
@@ -23,9 +24,10 @@ TRANSACTION_SCHEMA = T.StructType(
 )
 
 
-def to_messages(df: DataFrame) -> DataFrame:
-    """One JSON message per row in a ``value`` column (the shape a Kafka sink takes)."""
-    return df.select(F.to_json(F.struct(*df.columns)).alias("value"))
+def to_messages(df: DataFrame, key: str | None = None) -> DataFrame:
+    """One JSON message per row in a ``value`` column (the shape a Kafka sink takes), and ``key`` as text beside it."""
+    keys = [] if key is None else [F.col(key).cast("string").alias("key")]
+    return df.select(*keys, F.to_json(F.struct(*df.columns)).alias("value"))
 
 
 REQUIRED = ["TransactionID", "TransactionDT"]
@@ -109,6 +111,26 @@ def write_topic(df: DataFrame, servers: str, topic: str) -> None:
     to_messages(df).write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
 
 
+def topic_options(servers: str, topic: str, checkpoint: str, **kafka: str) -> dict[str, str]:
+    """Options of a streaming Kafka sink; ``kafka`` are settings of the producer, such as ``acks``."""
+    if not (servers and topic and checkpoint):
+        raise ValueError("A streaming topic needs servers, a topic and a checkpoint")
+    fixed = {"kafka.bootstrap.servers": servers, "topic": topic, "checkpointLocation": checkpoint}
+    return {f"kafka.{name.replace('_', '.')}": value for name, value in kafka.items()} | fixed
+
+
+def stream_to_topic(
+    stream: DataFrame, servers: str, topic: str, checkpoint: str, key: str | None = None, **kafka: str
+) -> DataStreamWriter:
+    """A writer that publishes stream rows as JSON messages; ``.start()`` runs it, from where its checkpoint ended.
+
+    ``key``: the column whose text is the message key, so that an entity's messages keep their order in one partition.
+    Kafka may see a batch twice after a failure: readers tell repeats by the message's id. Needs the Kafka package.
+    """
+    writer = to_messages(stream, key).writeStream.format("kafka").outputMode("append").queryName(f"to-{topic}")
+    return writer.options(**topic_options(servers, topic, checkpoint, **kafka))
+
+
 def append_prediction_log(df: DataFrame, path: str) -> None:
     """Append scored rows with a UTC write time as JSON lines."""
     stamped = df.withColumn("ts_utc", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"))

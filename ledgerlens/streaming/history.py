@@ -11,18 +11,15 @@ from __future__ import annotations
 import math
 from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
 from itertools import groupby
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from ledgerlens.streaming.sinks import places, run_to_parquet
+from ledgerlens.streaming.sinks import places, rocksdb, run_to_parquet
 
 BLOCK = 512  # different amounts of one entity that are read and written together, up to twice as many
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 TOTALS = (
     "rows bigint, n bigint, mean double, m2 double, low double, high double, last bigint, "
     "firsts array<double>, sizes array<bigint>, ids array<bigint>"
@@ -155,20 +152,6 @@ def closed_amounts(stream: DataFrame, key: Column, amount: str, time: str, delay
     return counted.select("_key", F.unix_seconds("_at").alias("_t"), "x", "copies")
 
 
-@contextmanager
-def rocksdb(spark: SparkSession) -> Iterator[None]:
-    """Queries started inside keep their state in RocksDB; those with a checkpoint keep the store they began with."""
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(PROVIDER)
-        else:
-            spark.conf.set(PROVIDER, before)
-
-
 def past_features(
     stream: DataFrame,
     key: Column,

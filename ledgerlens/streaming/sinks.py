@@ -6,7 +6,8 @@ in this process or another one. A folder that holds rows of some other run is re
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,22 @@ ATTEMPTS = 3
 POLL_SECONDS = 1
 FAR = 221_845_392_000  # the year 9000: the time of the row that closes a stream
 LATE = "batch_id bigint, late_rows bigint"
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def rocksdb(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside keep their state in RocksDB; those with a checkpoint keep the store they began with."""
+    before = spark.conf.get(PROVIDER, None)
+    spark.conf.set(PROVIDER, ROCKSDB)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(PROVIDER)
+        else:
+            spark.conf.set(PROVIDER, before)
 
 
 def places(spark: SparkSession, name: str, path: str | None, checkpoint: str | None) -> tuple[str, str]:

@@ -7,10 +7,12 @@ counted beside the checkpoint. ``sinks.closing`` brings out what is open at the
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import pairwise
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ledgerlens.functions.expressions import risk_tier
 from ledgerlens.streaming.sinks import FAR, batch_writer, places, run_each_batch
@@ -24,6 +26,8 @@ DELAY = "10 minutes"
 LATENCY_BOUNDS = [0.005, 0.01, 0.025, 0.05, 0.075, 0.1, 0.25, 0.5, 0.75, 1.0, 2.5, 5.0, 7.5, 10.0]
 ALERT_WINDOWS = ["15 minutes", "1 hour", "24 hours"]
 ALERT_PANE = "15 minutes"
+ALERT_PANE_SECONDS = 900
+ALERT_SIZES = {"15 minutes": 900, "1 hour": 3600, "24 hours": 86400}
 ALERT_REFERENCE_LOW = 0.0415
 ALERT_REFERENCE_HIGH = 0.0495
 
@@ -146,6 +150,91 @@ def rolling_alert_rate(
     return _edges(summed, [F.lit(size).alias("size"), *measures])
 
 
+class AlertWindows(StatefulProcessor):
+    """Panes (start, requests, alerts) of one window size to the windows that hold them, each when its end has passed.
+
+    State of a size: its open windows, as many as it has panes and those of one batch.
+    """
+
+    def __init__(self, pane_seconds: int):
+        self.pane = pane_seconds
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("open", "starts array<bigint>, requests array<bigint>, alerts array<bigint>")
+
+    def _closed(self, key, open_windows: dict[int, tuple[int, int]], watermark_ms: int) -> Iterator[Row]:
+        """Rows of the windows that have ended; the others are kept, with a timer for the next end."""
+        size, seconds = key
+        ended = sorted(s for s in open_windows if (s + seconds) * 1000 <= watermark_ms)
+        rows = [Row(size=size, start=s, end=s + seconds, requests=open_windows[s][0], alerts=open_windows[s][1]) for s in ended]
+        for s in ended:
+            del open_windows[s]
+        starts = sorted(open_windows)
+        self.state.update((starts, [open_windows[s][0] for s in starts], [open_windows[s][1] for s in starts]))
+        if starts:
+            self.handle.registerTimer((starts[0] + seconds) * 1000)
+        return iter(rows)
+
+    def _open(self) -> dict[int, tuple[int, int]]:
+        starts, requests, alerts = self.state.get() or ((), (), ())
+        return {s: (n, a) for s, n, a in zip(starts, requests, alerts, strict=True)}
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        windows = self._open()
+        for row in rows:
+            for start in range(row["pane"] + self.pane - key[1], row["pane"] + self.pane, self.pane):
+                requests, alerts = windows.get(start, (0, 0))
+                windows[start] = (requests + row["requests"], alerts + (row["alerts"] or 0))
+        return self._closed(key, windows, timerValues.getCurrentWatermarkInMs())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        return self._closed(key, self._open(), timerValues.getCurrentWatermarkInMs())
+
+    def close(self) -> None:
+        pass
+
+
+def rolling_alert_rates(
+    log: DataFrame,
+    sizes: dict[str, int] | None = None,
+    pane_seconds: int = ALERT_PANE_SECONDS,
+    delay: str = DELAY,
+    time: str = "ts",
+    *,
+    warn_above: float = ALERT_REFERENCE_HIGH,
+    critical_above: float = 2 * ALERT_REFERENCE_HIGH,
+    low_below: float = ALERT_REFERENCE_LOW / 2,
+) -> DataFrame:
+    """``rolling_alert_rate`` of all sizes (name -> seconds, each a multiple of the pane) in one pass over the log.
+
+    The panes of the one aggregation go to every size's open windows, which lie in keyed state until the watermark has
+    passed their end. To be started with the state in RocksDB (``sinks.rocksdb``).
+    """
+    sizes = sizes or ALERT_SIZES
+    panes = (
+        log.where((F.col("status") == "success") | _last(time))
+        .withWatermark(time, delay)
+        .groupBy(F.window(time, f"{pane_seconds} seconds"))
+        .agg(F.count(F.lit(1)).alias("requests"), F.sum("fraud_prediction").cast("bigint").alias("alerts"))
+    )
+    named = F.array(*[F.struct(F.lit(n).alias("size"), F.lit(s).cast("bigint").alias("seconds")) for n, s in sizes.items()])
+    each = panes.select("window", F.unix_seconds("window.start").alias("pane"), "requests", "alerts", F.explode(named).alias("s"))
+    keyed = each.select("window", "pane", "requests", "alerts", "s.size", "s.seconds").groupBy("size", "seconds")
+    schema = "size string, start bigint, end bigint, requests bigint, alerts bigint"
+    windows = keyed.transformWithState(AlertWindows(pane_seconds), schema, "Append", "EventTime")
+    rate = F.col("alerts") / F.col("requests")
+    return windows.select(
+        F.timestamp_seconds("start").alias("window_start"),
+        F.timestamp_seconds("end").alias("window_end"),
+        "size",
+        "requests",
+        "alerts",
+        rate.alias("alert_rate"),
+        alert_level(rate, warn_above, critical_above, low_below).alias("level"),
+    )
+
+
 def stream_risk_tiers(
     scored: DataFrame, score: str = "score", path: str | None = None, checkpoint: str | None = None
 ) -> DataFrame:

@@ -11,7 +11,7 @@ from ledgerlens.operators.median import past_history_median
 from ledgerlens.operators.timeline import past_history_features, past_totals, second_totals
 from ledgerlens.sources import events
 from ledgerlens.streaming import history, scoring, windows
-from ledgerlens.streaming.sinks import batch_writer, closing, late_rows, run_to_parquet
+from ledgerlens.streaming.sinks import batch_writer, closing, late_rows, rocksdb, run_to_parquet
 
 
 def messages(n=600):
@@ -77,7 +77,7 @@ def test_past_features_equal_batch(spark, folder, block):
 def test_past_features_read_no_other_state(spark, folder, tmp_path):
     """A batch's plan reads the source alone; the state of an entity is fetched by its key."""
     good = events.good_events(stream(spark, folder))
-    with history.rocksdb(spark):
+    with rocksdb(spark):
         plan = history.past_features(good, uid())
         query = plan.writeStream.format("memory").queryName("past").option("checkpointLocation", str(tmp_path / "c"))
         query = query.trigger(availableNow=True).start()
@@ -248,3 +248,47 @@ def test_late_rows_have_a_table(spark, tmp_path):
     )
     run_to_parquet(windows.request_rate(good, ["status"]), "late-rate", out)
     assert late_rows(spark, f"{out}/_checkpoint").agg(F.sum("late_rows")).first()[0] == 2
+
+
+def test_alert_windows_of_all_sizes_in_one_pass(spark, folder):
+    good = events.good_events(stream(spark, folder)).withColumns(
+        {
+            "ts": F.timestamp_seconds("TransactionDT"),
+            "status": F.when(F.col("TransactionID") % 7 == 0, "error").otherwise("success"),
+            "fraud_prediction": (F.col("TransactionID") % 5 == 0).cast("int"),
+        }
+    )
+    sizes = {"five": 300, "half": 1800}
+    log, close = closing(good, "ts")
+    with rocksdb(spark):
+        table = run_to_parquet(windows.rolling_alert_rates(log, sizes, 300), "alerts", close=close).collect()
+    got = {(r["size"], int(r["window_start"].timestamp())): (r["requests"], r["alerts"]) for r in table}
+    expected = {}
+    for r in messages():
+        if r["TransactionID"] % 7:
+            pane = r["TransactionDT"] // 300 * 300
+            for name, seconds in sizes.items():
+                for start in range(pane + 300 - seconds, pane + 300, 300):
+                    n, a = expected.get((name, start), (0, 0))
+                    expected[name, start] = (n + 1, a + (r["TransactionID"] % 5 == 0))
+    assert {k: v for k, v in got.items()} == expected and len(table) == len(expected)
+    for r in table:
+        assert r["alert_rate"] == pytest.approx(r["alerts"] / r["requests"])
+        assert r["window_end"].timestamp() - r["window_start"].timestamp() == sizes[r["size"]]
+
+
+def test_topic_sink_has_a_checkpoint_and_keys(spark, folder):
+    options = events.topic_options("a:9092,b:9092", "transactions", "/shared/c", acks="all", compression_type="zstd")
+    assert options == {
+        "kafka.bootstrap.servers": "a:9092,b:9092",
+        "topic": "transactions",
+        "checkpointLocation": "/shared/c",
+        "kafka.acks": "all",
+        "kafka.compression.type": "zstd",
+    }
+    with pytest.raises(ValueError, match="checkpoint"):
+        events.topic_options("a:9092", "transactions", "")
+    good = events.good_events(stream(spark, folder))
+    assert events.to_messages(good, "TransactionID").columns == ["key", "value"]
+    writer = events.stream_to_topic(good, "a:9092", "transactions", "/shared/c", "TransactionID")
+    assert hasattr(writer, "start")  # no broker and no connector here: the sink is built, not started
