@@ -32,7 +32,7 @@ LETTERS = re.compile(r"[^\W\d_]+")
 WORD_START = "▁"
 LONG_WORD = 40
 FLOOR = 1e-9  # of a character that no piece covers
-KEPT_WORDS = 300_000  # that a task remembers
+KEPT_WORDS = 150_000  # that a task remembers
 SLICE_ROWS = 500  # of a batch that are worked on and passed on at a time
 
 
@@ -264,8 +264,12 @@ def identify(
                 seen, table = {}, table[:0]
             new = sorted({w for c in counts for w in c if w not in seen}, key=len) if model.languages else []
             parts = [score_words(new[i : i + 2000], model) for i in range(0, len(new), 2000)]
-            seen.update(zip(new, range(len(table), len(table) + len(new)), strict=True))
-            table = np.vstack([table, *parts])
+            size = len(seen)
+            if size + len(new) > len(table):  # doubled, not copied for each slice
+                table = np.concatenate([table[:size], np.zeros((max(size, len(new)), table.shape[1]))])
+            for at, part in zip(range(size, size + len(new), 2000), parts, strict=True):
+                table[at : at + len(part)] = part
+            seen.update(zip(new, range(size, size + len(new)), strict=True))
             labels, scores, letters, fits = [], [], [], []
             for c in counts:
                 letters.append(sum(len(w) * n for w, n in c.items()))

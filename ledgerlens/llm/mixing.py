@@ -76,6 +76,18 @@ def _place(seed: int) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.lit("cut"), F.col("doc_id")), 4)
 
 
+def _free(taken: list[str], *names: str) -> list[str]:
+    """The names, each lengthened until no column has it."""
+    low = {c.lower() for c in taken}
+    out = []
+    for name in names:
+        while name.lower() in low:
+            name = f"_{name}"
+        low.add(name.lower())
+        out.append(name)
+    return out
+
+
 def mixed(
     docs: DataFrame,
     budget: float | None = None,
@@ -134,11 +146,12 @@ def mixed(
             F.when(F.col("_seen").isNull(), F.col("cut")).otherwise(F.coalesce("_cut", end)).alias("cut"),
         )
         plan = written(plan, "mix-plan")
-    plan = plan.select("_s", "passes", "cut")
-    last = F.when(_place(seed) < F.col("cut"), F.lit(1)).otherwise(F.lit(0))
-    rows = docs.select(*[f"`{c}`" for c in kept]).join(plan, F.col(f"`{source}`").eqNullSafe(F.col("_s")))
-    rows = rows.withColumn("_n", F.col("passes") + last).where("_n > 0")
-    rows = rows.withColumn("pass_no", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+    of, passes, cut, n = _free(docs.columns, "_s", "passes", "cut", "_n")
+    plan = plan.select(F.col("_s").alias(of), F.col("passes").alias(passes), F.col("cut").alias(cut))
+    last = F.when(_place(seed) < F.col(cut), F.lit(1)).otherwise(F.lit(0))
+    rows = docs.select(*[f"`{c}`" for c in kept]).join(plan, F.col(f"`{source}`").eqNullSafe(F.col(of)))
+    rows = rows.withColumn(n, F.col(passes) + last).where(F.col(n) > 0)
+    rows = rows.withColumn("pass_no", F.explode(F.sequence(F.lit(0), F.col(n) - 1)))
     block = F.shiftright(_place(seed), 60 - BITS)
     rows = rows.withColumn("block_order", F.xxhash64(F.lit(seed), F.col("pass_no"), F.col(f"`{source}`"), block))
     rows = rows.withColumn("doc_order", F.xxhash64(F.lit(seed), F.col("pass_no"), F.col("doc_id"), F.lit("doc")))

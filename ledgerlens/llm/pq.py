@@ -43,8 +43,11 @@ SLACK = 1e-6  # for rounding in bounds; the final check is exact
 
 @dataclass(frozen=True)
 class Index:
+    """``directions``: how many directions the vectors really spread in around their centroids."""
+
     centroids: np.ndarray
     codebooks: list[np.ndarray]
+    directions: float
 
 
 def _means(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
@@ -80,14 +83,21 @@ def fit(vectors: DataFrame, width: int) -> Index:
     x = unit(np.array(rows["v"].tolist(), dtype=np.float64).reshape(-1, width))
     centroids = _means(x, max(1, len(x) // ROWS_PER_LIST))
     rest = x - centroids[_distances(x, centroids).argmin(axis=1)]
-    return Index(centroids, [_means(rest[:, s], min(CODES, len(rest))) for s in _split(width)])
+    return Index(centroids, [_means(rest[:, s], min(CODES, len(rest))) for s in _split(width)], _directions(rest))
+
+
+def _directions(rest: np.ndarray) -> float:
+    """(sum of variances)**2 / sum of squared variances along the axes: the width for even spread, the rank at most."""
+    variances = np.linalg.eigvalsh(rest.T @ rest) if len(rest) else np.zeros(1)
+    squares = float((variances**2).sum())
+    return max(1.0, float(variances.sum()) ** 2 / squares) if squares > 0 else 1.0
 
 
 def assign(vectors: DataFrame, index: Index, threshold: float, deviations: float | None = DEVIATIONS) -> DataFrame:
     """vec_id, label, v, its list, code and what the code misses; and the lists that its neighbours may be in."""
     radius = np.sqrt(2.0 - 2.0 * threshold) + SLACK
-    width = index.centroids.shape[1]
-    reach = radius if deviations is None else radius * min(1.0, deviations / np.sqrt(width))
+    # A neighbour's step has a part along the line to another centroid; even steps in d directions have 1 / sqrt(d) of it.
+    reach = radius if deviations is None else radius * min(1.0, deviations / np.sqrt(index.directions))
     between = np.sqrt(_distances(index.centroids, index.centroids))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

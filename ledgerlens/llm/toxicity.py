@@ -123,8 +123,10 @@ def features_of(text: str | None, lexicon: dict[str, float], known: dict[str, fl
     near = 0
     if hits and addressed:
         at = np.array([i for i, w in enumerate(plain) if w in ADDRESS])
-        for i in (i for i, w in enumerate(plain) if w in words):
-            near += bool(np.abs(at - i).min() <= NEAR)
+        weighty = np.array([i for i, w in enumerate(plain) if w in words])
+        after = np.searchsorted(at, weighty)  # the word of address at or after each; the other neighbour is the one before
+        gaps = np.minimum(np.abs(at[np.minimum(after, len(at) - 1)] - weighty), np.abs(at[np.maximum(after - 1, 0)] - weighty))
+        near = int((gaps <= NEAR).sum())
     letters = sum(map(len, runs)) or 1
     capitals = sum(c.isupper() for c in text) if not text.isascii() else len(text) - len(text.translate(_NO_CAPITALS))
     shouted = len(SHOUTED.findall(text))

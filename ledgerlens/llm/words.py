@@ -15,7 +15,7 @@ import pyarrow as pa
 U = np.uint64
 BYTE_BASE = 0x9E3779B97F4A7C15
 WORD_BASE = 0xD1342543DE82EF95
-SLICE_BYTES = 4 << 20  # of text that is worked on at a time; one longer text is a slice of its own
+SLICE_BYTES = 1 << 20  # of text that is worked on at a time; one longer text is a slice of its own
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True

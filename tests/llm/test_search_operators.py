@@ -209,6 +209,20 @@ def plain_top(rows, k=5):
     return sorted(out)
 
 
+@pytest.mark.parametrize("rank", [3, 6, 256])
+def test_recall_of_vectors_that_fill_few_directions(spark, rank):
+    rng = np.random.default_rng(rank)
+    x = rng.normal(size=(2500, rank)) @ (rng.normal(size=(rank, 256)) if rank < 256 else np.eye(256))
+    if rank == 256:
+        x = x[rng.integers(0, 200, 2500)] + 0.25 * x
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    docs = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r.n_links for r in pq.near_duplicates(docs).collect()}
+    links = (x @ x.T >= 0.93).sum(axis=1) - 1
+    assert all(got[i] <= n for i, n in enumerate(links.tolist()))
+    assert links.sum() > 500 and sum(got.values()) >= 0.99 * links.sum()
+
+
 def test_top_k(spark):
     rows = vectors()
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").withColumn("score", F.lit("clash")).repartition(4)

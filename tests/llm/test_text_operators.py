@@ -142,6 +142,16 @@ def test_mixing_equals_the_plain_form(spark):
     assert set(got[0].asDict()) == {*DOCS.replace(" long", "").replace(" string", "").split(", "), "tokens", "pass_no", "block_order", "doc_order"}
 
 
+def test_mixing_keeps_columns_that_are_named_like_its_own(spark):
+    docs = documents(spark, ["a b", "c", "d e f"], source=["x", "x", "y"])
+    names = ["passes", "CUT", "_s", "_n", "rest"]
+    clash = docs.withColumns({c: F.concat(F.lit(f"{c}:"), F.col("doc_id").cast("string")) for c in names})
+    got = mixing.mixed(clash, max_repeats=2.0).collect()
+    assert got and all(r[c] == f"{c}:{r.doc_id}" for r in got for c in names)
+    plain = mixing.mixed(docs, max_repeats=2.0).collect()
+    assert sorted((r.doc_id, r.pass_no, r.block_order) for r in got) == sorted((r.doc_id, r.pass_no, r.block_order) for r in plain)
+
+
 def test_mixing_meets_a_target_entropy(spark):
     shares = spark.createDataFrame([(0.7,), (0.2,), (0.1,)], "share double")
     a = mixing.find_exponent(shares, 1.0, entropy=1.0)
@@ -298,6 +308,27 @@ def test_toxicity_on_held_out_rows(spark):
     assert auc(pairs) > 0.9
 
 
+def test_weighty_words_near_an_address():
+    rng = np.random.default_rng(1)
+    address = sorted(toxicity.ADDRESS)[0]
+    for _ in range(50):
+        words = [["plain", "awful", address][k] for k in rng.choice(3, rng.integers(1, 60), p=[0.8, 0.12, 0.08])]
+        at = [i for i, w in enumerate(words) if w == address]
+        near = sum(any(abs(i - j) <= toxicity.NEAR for j in at) for i, w in enumerate(words) if w == "awful")
+        values = dict(zip(toxicity.FEATURES, toxicity.features_of(" ".join(words), {"awful": 1.0}, {}), strict=True))
+        assert near / len(words) in values.values()
+        assert toxicity.features_of(" ".join(words), {"awful": 1.0}, {})[5] == near / len(words)
+
+
+def test_long_toxic_texts_take_linear_time():
+    import time
+
+    text = f"awful {sorted(toxicity.ADDRESS)[0]} " * 60_000
+    begun = time.time()
+    toxicity.features_of(text, {"awful": 1.0}, {})
+    assert time.time() - begun < 5
+
+
 def test_toxicity_of_odd_rows_and_without_labels(spark):
     docs = documents(spark, ODD).withColumn("score", F.lit("clash")).select("doc_id", "text")
     none = spark.createDataFrame([], "doc_id long, label int")
