@@ -48,8 +48,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     repeated = docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
     if repeated.isEmpty():
         groups = written(jaccard.similarity_components(docs), "groups")
-        others = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone"))
-        return docs.join(others, F.col("doc_id") == F.col("_gone"), "left_anti")
+        gone = _free(docs, "gone")
+        others = groups.where("doc_id <> component_id").select(F.col("doc_id").alias(gone))
+        return docs.join(others, F.col("doc_id") == F.col(gone), "left_anti")
     row = _free(docs, "row")
     numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
     texts = numbered.where("doc_id IS NOT NULL")
