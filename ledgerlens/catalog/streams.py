@@ -14,8 +14,7 @@ from ledgerlens.catalog.registry import query
 from ledgerlens.catalog.sources import READABLE, message_stream
 from ledgerlens.functions.expressions import uid
 from ledgerlens.operators import encoding
-from ledgerlens.session import written
-from ledgerlens.sources import events
+from ledgerlens.sources import events, files
 from ledgerlens.streaming import history, scoring, windows
 from ledgerlens.streaming.sinks import closing, rocksdb, run_to_parquet
 
@@ -146,7 +145,7 @@ FIT = {
 )
 def _(spark, sf_dir):
     train = views.txn(spark, sf_dir).where("TransactionDT < 1728000")
-    stats = written(encoding.uid_stats_fit(train), "uid-stats")
+    stats = files.bucketed(encoding.uid_stats_fit(train), "uid", "uid_stats")
     mean, std = encoding.amount_totals(train)
     scored, _ = scoring.stream_score(
         message_stream(spark, sf_dir),

@@ -86,8 +86,10 @@ def attach_uid_stats(
 ) -> DataFrame:
     """Left join of the entity statistics that no heavy entity can skew."""
     values = {n: (n, None) for n in UID_STATS}
+    # The built-in key is never null; another one may be.
+    own = uid() if key is None else key
     return lookup_map(
-        df, uid() if key is None else key, stats, "uid", values, rows="uid_txn_count", task_rows=task_rows
+        df, own, stats, "uid", values, rows="uid_txn_count", null_keys=key is not None, task_rows=task_rows
     )
 
 

@@ -50,10 +50,14 @@ def lookup_map(
     values: dict[str, tuple[str, Column | None]],
     *,
     rows: str | None = None,
+    null_keys: bool = True,
     task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """Attach fitted values by key; null keys match null keys.
 
+    With ``null_keys=False`` no key is null: plain equality then lets a bucketed ``table`` (``files.bucketed``) be joined
+    where it lies.
+
     ``values`` maps the output name to (column of ``table``, value when unseen).
     The planner broadcasts a table whose size is known to be small. With
     ``rows``, the column of ``table`` that counts each key's rows, a large table
@@ -63,6 +67,9 @@ def lookup_map(
     """
     inner = {name: f"_lookup_{i}" for i, name in enumerate(values)}
 
+    def same(left: str, right: str) -> Column:
+        return F.col(left).eqNullSafe(F.col(right)) if null_keys else F.col(left) == F.col(right)
+
     def side(part: DataFrame, prefix: str) -> DataFrame:
         return part.select(
             F.col(table_key).alias(f"{prefix}key"),
@@ -72,16 +79,16 @@ def lookup_map(
 
     if rows is None:
         keyed = df.withColumn("_key", key)
-        joined = keyed.join(side(table, "_l"), F.col("_key").eqNullSafe(F.col("_lkey")), "left")
+        joined = keyed.join(side(table, "_l"), same("_key", "_lkey"), "left")
         found = {n: F.col(f"_l{inner[n]}") for n in values}
     else:
         spread = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(4096)))
         keyed = df.withColumn("_key", key.cast("string"))
         heavy = side(table.where(F.col(rows) > task_rows), "_h")
         light = side(table.where(F.col(rows) <= task_rows), "_l")
-        marked = keyed.join(F.broadcast(heavy), F.col("_key").eqNullSafe(F.col("_hkey")), "left")
+        marked = keyed.join(F.broadcast(heavy), same("_key", "_hkey"), "left")
         marked = marked.withColumn("_key", F.when(F.col("_hfound"), spread).otherwise(F.col("_key")))
-        joined = marked.join(light, F.col("_key").eqNullSafe(F.col("_lkey")), "left")
+        joined = marked.join(light, same("_key", "_lkey"), "left")
         found = {n: F.coalesce(F.col(f"_h{inner[n]}"), F.col(f"_l{inner[n]}")) for n in values}
     filled = {n: c if values[n][1] is None else F.coalesce(c, values[n][1]) for n, c in found.items()}
     return joined.select(

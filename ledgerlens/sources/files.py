@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.functions.expressions import normalize_missing
+from ledgerlens.session import scratch
 
 ZONES = ["raw", "external", "processed", "curated", "splits"]
 
@@ -83,6 +85,20 @@ def write_zone(
     return path
 
 
+def bucketed(df: DataFrame, key: str, name: str = "fitted", buckets: int | None = None) -> DataFrame:
+    """``df`` as a table in the shared folder, cut into buckets of ``key``, each sorted.
+
+    For fitted tables that many jobs or micro-batches look keys up in: a join on ``key`` shuffles the other side only.
+    There are at least as many buckets as shuffle partitions, else the planner would shuffle both sides again.
+    """
+    spark = df.sparkSession
+    count = buckets or max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    table = f"{name}_{uuid.uuid4().hex[:12]}"
+    writer = df.repartition(count, key).write.format("parquet").option("path", scratch(spark, name))
+    writer.bucketBy(count, key).sortBy(key).saveAsTable(table)
+    return spark.table(table)
+
+
 def row_hash(df: DataFrame) -> Column:
     """md5 of a row: each column in name order as its bytes' number, a colon and its text, or a dash for null."""
     texts = [F.col(f"`{c}`").cast("string") for c in sorted(df.columns)]

@@ -16,7 +16,11 @@ Scorer = Callable[[DataFrame], DataFrame]
 
 
 def stream_static_enrich(stream: DataFrame, stats: DataFrame, mean: float, std: float) -> DataFrame:
-    """Attach fitted entity statistics to stream rows (stream-static left join)."""
+    """Attach fitted entity statistics to stream rows (stream-static left join).
+
+    ``stats`` as ``files.bucketed`` writes them are not moved: a micro-batch is shuffled to their buckets, or, where they
+    are known to be small, they are broadcast.
+    """
     return uid_stats_apply(stream, stats, mean, std)
 
 

@@ -7,9 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.expressions import uid
+from ledgerlens.operators import encoding
 from ledgerlens.operators.median import past_history_median
 from ledgerlens.operators.timeline import past_history_features, past_totals, second_totals
-from ledgerlens.sources import events
+from ledgerlens.session import written
+from ledgerlens.sources import events, files
 from ledgerlens.streaming import history, scoring, windows
 from ledgerlens.streaming.sinks import batch_writer, closing, late_rows, rocksdb, run_to_parquet
 
@@ -292,3 +294,19 @@ def test_topic_sink_has_a_checkpoint_and_keys(spark, folder):
     assert events.to_messages(good, "TransactionID").columns == ["key", "value"]
     writer = events.stream_to_topic(good, "a:9092", "transactions", "/shared/c", "TransactionID")
     assert hasattr(writer, "start")  # no broker and no connector here: the sink is built, not started
+
+
+def test_bucketed_state_is_not_moved(spark):
+    """A micro-batch is shuffled to the buckets of fitted statistics that are too large to broadcast."""
+    rows = spark.createDataFrame(messages(), events.TRANSACTION_SCHEMA)
+    stats = encoding.uid_stats_fit(rows.where("TransactionID < 300"))
+    moved = encoding.uid_stats_apply(rows, written(stats, "stats"), 50.0, 10.0)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lying = scoring.stream_static_enrich(rows, files.bucketed(stats, "uid"), 50.0, 10.0)
+        plan = lying._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+    assert sorted(map(str, lying.collect())) == sorted(map(str, moved.collect()))
