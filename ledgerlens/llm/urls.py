@@ -22,8 +22,9 @@ from ledgerlens.session import written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)(?:\?([^#]*))?"
-CANONICAL = r"""(?is)<link\b(?=[^>]*\brel\s*=\s*["']?canonical\b)[^>]*?\bhref\s*=\s*["']?([^"'\s>]+)"""
-REFRESH = r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*?\burl\s*=\s*["']?([^"'\s>;]+)"""
+# A tag ends at the next angle bracket of either kind, so unclosed tags are read once.
+CANONICAL = r"""(?is)<link\b(?=[^<>]*\brel\s*=\s*["']?canonical\b)[^<>]*?\bhref\s*=\s*["']?([^"'\s>]+)"""
+REFRESH = r"""(?is)<meta\b(?=[^<>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^<>]*?\burl\s*=\s*["']?([^"'\s>;]+)"""
 TARGET = r"(?i)[?&](?:url|redirect|redirect_url|redirect_uri|next|target|goto|dest)=(https?(?::|%3a)(?:/|%2f)(?:/|%2f)[^&#]+)"
 TRACKING = r"(?i)(^|&)(?:utm_[a-z]+|ref|fbclid|gclid)=[^&]*"
 

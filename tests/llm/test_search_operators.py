@@ -321,6 +321,17 @@ def test_blocks_reach_aliases(spark):
     assert {k: v[3] for k, v in got.items()} == {1: "block", 2: "block", 3: "block", 4: "allow", 5: "allow", 6: "block"}
 
 
+def test_unclosed_tags_take_linear_time(spark):
+    import time
+
+    pages = [(i, "http://a.example/", tag * (1_000_000 // len(tag))) for i, tag in enumerate(["<link ", "<meta ", "<link rel=canonical "])]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    urls.links_of(df.limit(0)).collect()
+    begun = time.time()
+    assert urls.links_of(df).collect() == []
+    assert time.time() - begun < 20
+
+
 def test_urls_of_no_rows(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert urls.judged(pages, queries.URL_RULES).collect() == []
