@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from ledgerlens.session import written
 
 GROUP_PIECES = 30_000
-KEPT_WORDS = 300_000  # that a Python worker remembers: some 60 MB
+KEPT_WORDS = 500_000  # that a Python worker remembers: some 100 MB
 
 # Characters that no normaliser changes but for case. Among them the tokenizer cuts texts into letter runs, single
 # digits and runs of marks (an apostrophe may begin a suffix, so it isn't one of them), which PART finds likewise.
