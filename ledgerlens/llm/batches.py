@@ -1,8 +1,11 @@
-"""Arrow batches cut by their text, so that a task's memory doesn't grow with the batch."""
+"""Bounds on a Python worker's memory: batches cut by their text, and one operator's tables kept at a time."""
 
 from __future__ import annotations
 
+import gc
+import sys
 from collections.abc import Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -17,3 +20,16 @@ def by_bytes(batch: pa.RecordBatch, column: str, size: int) -> Iterator[pa.Recor
     for begin, end in zip(cuts, cuts[1:], strict=False):
         if end > begin:
             yield batch.slice(begin, end - begin)
+
+
+def kept(operator: str) -> dict:
+    """What this Python worker keeps between tasks for ``operator``; what it kept for another one is let go.
+
+    Workers serve tasks of all operators in turn and would otherwise hold the tables of each that ran before.
+    """
+    tables = sys.modules.setdefault("_ledgerlens_kept", ModuleType("_ledgerlens_kept")).__dict__.setdefault("tables", {})
+    if tables.keys() - {operator}:
+        tables.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+    return tables.setdefault(operator, {})

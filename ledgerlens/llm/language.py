@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlens.llm.batches import kept as kept_tables
 from ledgerlens.session import written
 
 UNKNOWN = "und"
@@ -256,6 +257,7 @@ def identify(
         schema = schema.add(f.name, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept_tables("language")
         seen: dict[str, int] = {}
         table = np.zeros((0, len(model.languages)))
         for batch in (whole.slice(at, SLICE_ROWS) for whole in batches for at in range(0, whole.num_rows, SLICE_ROWS)):

@@ -13,11 +13,9 @@ Defined cases: a null text counts as empty and still has its end id; a table wit
 from __future__ import annotations
 
 import re
-import sys
 import zlib
 from collections.abc import Iterator
 from itertools import chain
-from types import ModuleType
 
 import numpy as np
 import pandas as pd
@@ -27,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlens.llm.batches import kept
 from ledgerlens.session import written
 
 GROUP_PIECES = 30_000
@@ -129,10 +128,10 @@ class Encoder:
 
 def kept_encoder(path: str) -> Encoder:
     """The encoder of this Python worker: workers serve one task after another, so what one learnt serves the next."""
-    kept = sys.modules.setdefault("_ledgerlens_kept", ModuleType("_ledgerlens_kept")).__dict__.setdefault("encoders", {})
-    if path not in kept:
-        kept[path] = Encoder(path)
-    return kept[path]
+    encoders = kept("packing")
+    if path not in encoders:
+        encoders[path] = Encoder(path)
+    return encoders[path]
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 1, size: int = 4096) -> DataFrame:

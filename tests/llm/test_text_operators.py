@@ -405,3 +405,12 @@ def test_texts_of_no_known_language_are_rejected(spark):
     kept = {r.doc_id for r in corpus_pipeline.language_id(spark, docs.unionByName(more.select(docs.columns)), SF).select("doc_id").collect()}
     assert {i for i in kept if i < 0} == {-6}
     assert len(kept) > 0.99 * docs.where("text RLIKE '[a-z]'").count()
+
+
+def test_a_worker_keeps_the_tables_of_one_operator():
+    from ledgerlens.llm.batches import kept
+
+    kept("packing")["a"] = 1
+    assert kept("packing") == {"a": 1}
+    assert kept("language") == {}
+    assert kept("packing") == {}
