@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import sys
 from collections.abc import Iterator
@@ -22,6 +23,14 @@ def by_bytes(batch: pa.RecordBatch, column: str, size: int) -> Iterator[pa.Recor
             yield batch.slice(begin, end - begin)
 
 
+def trim() -> None:
+    """Gives freed memory of this Python worker back, at a task's end; workers live on between tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):  # glibc keeps what lies below its newest block
+        libc.malloc_trim(0)
+
+
 def kept(operator: str) -> dict:
     """What this Python worker keeps between tasks for ``operator``; what it kept for another one is let go.
 
@@ -30,6 +39,5 @@ def kept(operator: str) -> dict:
     tables = sys.modules.setdefault("_ledgerlens_kept", ModuleType("_ledgerlens_kept")).__dict__.setdefault("tables", {})
     if tables.keys() - {operator}:
         tables.clear()
-        gc.collect()
-        pa.default_memory_pool().release_unused()
+        trim()
     return tables.setdefault(operator, {})

@@ -3,18 +3,20 @@
 A document is the set of its distinct k-word runs. Two documents link when 100 * |A & B| >= percent * |A | B|.
 
 1. Equal sets meet by their 128-bit fingerprint and are linked to the smallest doc_id among them.
-2. Tokens are ordered by hash, common ones last (a bitmap of fixed size marks them; any order that is the same
-   everywhere gives the same links). Linked sets share a token among the first n - ceil(t n) + 1 of each: a bucket.
+2. Tokens are ordered by how many documents have them, rare ones first, then by hash (all tokens of all documents are
+   counted; any order that is the same everywhere gives the same links). Linked sets share a token among the first
+   n - ceil(t n) + 1 of each: a bucket.
 3. In every bucket each document is compared with a first one; these links give components. A bucket
    whose documents are all in one component is finished: its further links change nothing.
 4. In the other buckets leaves (no nodes stand above them) hold up to LEAF documents of one component and near size,
    with the OR of their token bitmaps, their range of sizes and the most tokens any of them hides in shared bits. Pairs of leaves of
    different components are dropped when their sizes, the number of buckets that they share (sets that link share at
    least as many first tokens as these exceed what a link may miss) or the greatest possible overlap rule a link out:
-   |a & b| <= |a| - popcount(a) + popcount(a AND OR(b)). What is left is opened into pairs of documents, pruned by
-   their own bitmaps likewise, and checked on the full sets.
+   |a & b| <= |a| - popcount(a) + popcount(a AND OR(b)). The documents of two leaves that are left are compared by
+   their own bitmaps likewise, within the task that has both leaves; pairs that pass are checked on the full sets.
 
-So no group is expanded into all pairs, and no link between components is missed.
+So no link between components is missed. Texts that are near each other without a link (a document beside a large group
+of near copies) are still compared with each of the group, 100 bytes or so at a time.
 
 Defined cases: null and empty texts have an empty set and link with nothing; fewer than k words are one shingle, the
 whole sequence; rows that share a doc_id are one document; a null doc_id takes no part (null component); an empty table
@@ -31,14 +33,17 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.batches import kept
+from ledgerlens.llm.batches import kept, trim
 from ledgerlens.llm.graph import components
 from ledgerlens.llm.words import U, mix, shingle_sets, slices
 from ledgerlens.session import written
 
-CELL_BITS = 24  # of the bitmap of common tokens: 2 MB at any size of the corpus
-SAMPLES = 8_000_000  # token occurrences that are counted for it, spread over all documents
-COMMON = 4  # sampled occurrences from which a cell counts as common
+CELL_BITS = 24  # of the bitmap of wanted documents: 2 MB at any size of the corpus
+COMMON = 4  # documents from which a token counts as common: the first of the LEVELS
+LEVELS = 15  # of common tokens, each of twice as many documents as the one before
+LEVEL_BITS = 25  # of the table of levels, four bits a place: 16 MB at most
+COUNTED = 2_000_000  # tokens that a task counts at a time
+BITS = 4  # of a bitmap, to a token: at least this many
 KEPT_SETS = 200_000  # that a task remembers; a set that comes again after that is only looked at again
 LEAF = 32
 SIZE_BANDS = 8  # leaves per doubling of the size
@@ -57,7 +62,7 @@ def bitmap_of(tokens: np.ndarray) -> tuple[bytes, int]:
 
     A bitmap has the next power of two as its size, so that a larger one folds onto a smaller one.
     """
-    size = max(64, 1 << len(tokens).bit_length())
+    size = max(64, BITS << len(tokens).bit_length())
     own = np.zeros(size, np.uint8)
     own[(mix(tokens, 4) & U(size - 1)).astype(np.int64)] = 1
     return np.packbits(own).tobytes(), len(tokens) - int(own.sum())
@@ -86,6 +91,7 @@ def set_prints(docs: DataFrame, k: int) -> DataFrame:
                 ],
                 names=["doc_id", "n", "f1", "f2", "bits", "hidden"],
             )
+        trim()
 
     return docs.mapInArrow(run, "doc_id long, n long, f1 long, f2 long, bits binary, hidden long")
 
@@ -99,38 +105,140 @@ def _bitmap(cells: DataFrame) -> np.ndarray:
     return np.unpackbits(bitmap.view(np.uint8), bitorder="little")
 
 
-def common_cells(docs: DataFrame, tokens: int, k: int) -> np.ndarray:
-    """Bitmap (2**CELL_BITS) of the cells whose tokens are common, from about SAMPLES occurrences over all documents.
+def _packed(x: np.ndarray) -> bytes:
+    """32-bit numbers, most of them small."""
+    return pa.compress(x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), codec="zstd", asbytes=True)
 
-    It decides only the order of tokens, and so which buckets are large; never which pairs link.
-    """
-    limit = U(min(1.0, SAMPLES / max(1, tokens)) * float(2**64 - 2**12))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in slices(whole)):
-            out = [np.zeros(0, np.int64)]
-            for doc, shingles in _sets(batch, k):
-                taken = mix(shingles ^ U((doc or 0) & 0xFFFFFFFFFFFFFFFF), 3) <= limit
-                out.append(_signed(shingles[taken] >> U(64 - CELL_BITS)))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out))], names=["cell"])
+def _unpacked(raw: bytes, n: int) -> np.ndarray:
+    planes = pa.decompress(raw, decompressed_size=4 * n, codec="zstd", asbytes=True)
+    return np.frombuffer(planes, np.uint8).reshape(4, n).T.copy().view("<u4").ravel()
+
 
-    cells = docs.mapInArrow(run, "cell long").groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= COMMON)
-    return _bitmap(cells)
+def token_counts(docs: DataFrame, tokens: int, k: int) -> tuple[DataFrame, int]:
+    """(cell, n) of the tokens that at least COMMON documents have, n how many, and the bits of a cell.
 
+    A cell is the first bits of a token, with 32 cells or more to each token occurrence; tokens that share one count
+    together. Tasks send sorted cells of a range, as differences, to the task that adds up that range.
+    """
+    size = max(1, tokens - 1).bit_length()
+    bits, range_bits = min(58, max(24, size + 5)), max(0, size + 1 - COUNTED.bit_length())
+    shift = U(bits - range_bits)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, total = np.zeros(COUNTED, U), 0
+
+        def told() -> pa.RecordBatch:
+            held[:total].sort()
+            cuts = np.flatnonzero(np.append(True, np.diff(held[:total] >> shift) > 0))
+            out: list[tuple] = []
+            for i, j in zip(cuts.tolist(), [*cuts[1:].tolist(), total], strict=True):
+                own, at = held[i:j], int(held[i] >> shift)
+                begins = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+                steps = np.diff(own[begins], prepend=U(at << int(shift)))
+                out.append((at, len(begins), _packed(steps), _packed(np.diff(begins, append=j - i))))
+            names = ["range", "cells", "steps", "n"]
+            kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
+
+        for batch in (part for whole in batches for part in slices(whole)):
+            for _, shingles in _sets(batch, k):
+                for at in range(0, len(shingles), COUNTED):
+                    some = shingles[at : at + COUNTED]
+                    if total + len(some) > COUNTED:
+                        yield told()
+                        total = 0
+                    held[total : total + len(some)] = some >> U(64 - bits)
+                    total += len(some)
+        if total:
+            yield told()
+        del held
+        trim()
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        at = None
+
+        def told() -> pa.RecordBatch:
+            cells, n = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
+            order = np.argsort(cells, kind="stable")
+            cells, n = cells[order], n[order]
+            begins = np.flatnonzero(np.append(True, cells[1:] != cells[:-1]))
+            n = np.add.reduceat(n, begins, dtype=np.int64)
+            keep = n >= COMMON
+            found = cells[begins][keep].astype(np.int64) + (at << int(shift))
+            return pa.RecordBatch.from_arrays([pa.array(found), pa.array(n[keep])], names=["cell", "n"])
+
+        for row in (r for batch in batches for i in range(batch.num_rows) for r in batch.slice(i, 1).to_pylist()):
+            if held and row["range"] != at:
+                yield told()
+            at = row["range"]
+            held.append((np.cumsum(_unpacked(row["steps"], row["cells"]), dtype="<u4"), _unpacked(row["n"], row["cells"])))
+        if held:
+            yield told()
+        trim()
+
+    parts = docs.where("doc_id IS NOT NULL").mapInArrow(count, "range long, cells long, steps binary, n binary")
+    dealt = parts.repartition("range").sortWithinPartitions("range")
+    return dealt.mapInArrow(add, "cell long, n long"), bits
+
+
+def _slots(cells: np.ndarray) -> np.ndarray:
+    return (mix(cells.astype(U), 3) & U((1 << LEVEL_BITS) - 1)).astype(np.int64)
+
+
+def token_levels(docs: DataFrame, tokens: int, k: int) -> tuple[np.ndarray, int]:
+    """A table of levels (0: rare), two places a byte, and the bits of a cell; see ``levels_of``.
+
+    It decides only the order of tokens, and so which buckets are large; never which pairs link. If there are more common
+    tokens than the table has room for, it holds those of the most documents.
+    """
+    counts, bits = token_counts(docs, tokens, k)
 
-def postings(docs: DataFrame, common: np.ndarray, percent: int, k: int) -> DataFrame:
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            level = np.minimum(LEVELS, 1 + np.log2(batch.column("n").to_numpy() / COMMON).astype(np.int64))
+            slots = _slots(batch.column("cell").to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(level)], names=["slot", "level"])
+
+    placed = written(counts.mapInArrow(place, "slot long, level long"), "levels")
+    sizes = {r["level"]: r["n"] for r in placed.groupBy("level").agg(F.count(F.lit(1)).alias("n")).collect()}
+    least, room = LEVELS + 1, 1 << (LEVEL_BITS - 3)
+    while least > 1 and (room := room - sizes.get(least - 1, 0)) >= 0:
+        least -= 1
+    held = sum(n for level, n in sizes.items() if level >= least)
+    size = 1 << min(LEVEL_BITS, max(10, held.bit_length() + 4))
+    slots = placed.where(F.col("level") >= least).groupBy((F.col("slot") % size).alias("slot")).agg(F.max("level").alias("level"))
+    words = slots.groupBy(F.shiftright("slot", 4).alias("at")).agg(F.bit_or(F.expr("shiftleft(level, CAST(4 * (slot & 15) AS INT))")).alias("bits"))
+    table = np.zeros(size >> 4, np.int64)
+    for batch in words.toArrow().to_batches():
+        table[batch.column("at").to_numpy()] = batch.column("bits").to_numpy()
+    return table.view(np.uint8), bits
+
+
+def levels_of(shingles: np.ndarray, table: np.ndarray, bits: int) -> np.ndarray:
+    """The level of each token."""
+    slots = _slots(shingles >> U(64 - bits)) & (2 * len(table) - 1)
+    return (table[slots >> 1] >> (4 * (slots & 1)).astype(np.uint8)) & 15
+
+
+def postings(docs: DataFrame, levels: np.ndarray, bits: int, percent: int, k: int) -> DataFrame:
     """(token, doc_id, n) for the first tokens of every document of n tokens.
 
     Within a task a set that was met before is left out: step 1 has linked it already.
     """
-    packed = docs.sparkSession.sparkContext.broadcast(np.packbits(common))
+    shared = docs.sparkSession.sparkContext.broadcast(levels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flags = np.unpackbits(packed.value)
+        table = shared.value
         met: set[tuple[int, int]] = set()
         for batch in (part for whole in batches for part in slices(whole)):
             tokens, ids, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
-            for doc, shingles in _sets(batch, k):
+            rows = list(_sets(batch, k))
+            ends = np.cumsum([len(x) for _, x in rows])
+            ranks = np.split(levels_of(np.concatenate([np.zeros(0, U), *[x for _, x in rows]]), table, bits), ends)
+            for (doc, shingles), rank in zip(rows, ranks, strict=False):
                 n = len(shingles)
                 seen = (int(mix(shingles, 1).sum(dtype=U)), int(mix(shingles, 2).sum(dtype=U)))
                 if not n or doc is None or seen in met:
@@ -138,7 +246,7 @@ def postings(docs: DataFrame, common: np.ndarray, percent: int, k: int) -> DataF
                 if len(met) >= KEPT_SETS:
                     met.clear()
                 met.add(seen)
-                ordered = np.concatenate([shingles[(late := flags[(shingles >> U(64 - CELL_BITS)).astype(np.int64)] > 0) == 0], shingles[late]])
+                ordered = shingles[np.argsort(rank, kind="stable")]
                 first = n + (-percent * n) // 100 + 1
                 tokens.append(_signed(ordered[:first]))
                 ids.append(np.full(first, doc))
@@ -146,6 +254,8 @@ def postings(docs: DataFrame, common: np.ndarray, percent: int, k: int) -> DataF
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(x)) for x in (tokens, ids, sizes)], names=["token", "doc_id", "n"]
             )
+        del met
+        trim()
 
     return docs.mapInArrow(run, "token long, doc_id long, n int")
 
@@ -230,13 +340,14 @@ def linked(pairs: DataFrame, docs: DataFrame, percent: int, k: int) -> DataFrame
 
 
 def leaves(placed: DataFrame, own: DataFrame) -> DataFrame:
-    """(leaf, OR of bitmaps, least and greatest size, most hidden tokens) for the documents of each leaf.
+    """(leaf, OR of bitmaps, least and greatest size, most hidden tokens) and the documents of each leaf.
 
     A leaf's rows stand side by side in one task; there are about LEAF of them, so at most a leaf is carried over.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.RecordBatch | None = None
+        inner = ("doc_id", "n", "hidden", "bits")
 
         def told(rows: pa.RecordBatch) -> pa.RecordBatch:
             leaf, n, hidden = (rows.column(c).to_numpy() for c in ("leaf", "n", "hidden"))
@@ -257,8 +368,9 @@ def leaves(placed: DataFrame, own: DataFrame) -> DataFrame:
                     pa.array(np.maximum.reduceat(n, begins)),
                     pa.array(most),
                     pa.array(together, pa.binary()),
+                    *[pa.ListArray.from_arrays(pa.array(np.append(begins, len(leaf)), pa.int32()), rows.column(c)) for c in inner],
                 ],
-                names=["leaf", "lo", "hi", "hidden", "bits"],
+                names=["leaf", "lo", "hi", "hidden", "bits", *[f"{c}s" for c in inner]],
             )
 
         for batch in batches:
@@ -274,9 +386,10 @@ def leaves(placed: DataFrame, own: DataFrame) -> DataFrame:
         if held is not None:
             yield told(held)
 
-    rows = placed.join(own.select("doc_id", "n", "hidden", "bits"), "doc_id").select("leaf", "n", "hidden", "bits")
+    rows = placed.join(own.select("doc_id", "n", "hidden", "bits"), "doc_id").select("leaf", "doc_id", "n", "hidden", "bits")
     rows = rows.repartition("leaf").sortWithinPartitions("leaf")
-    return rows.mapInArrow(run, "leaf long, lo long, hi long, hidden long, bits binary")
+    documents = "doc_ids array<long>, ns array<long>, hiddens array<long>, bitss array<binary>"
+    return rows.mapInArrow(run, f"leaf long, lo long, hi long, hidden long, bits binary, {documents}")
 
 
 def _folded(bits: np.ndarray, size: int) -> np.ndarray:
@@ -284,6 +397,26 @@ def _folded(bits: np.ndarray, size: int) -> np.ndarray:
     return np.bitwise_or.reduce(bits.reshape(len(bits), -1, size // 8), axis=1)
 
 
+def _may_link(batch: pa.RecordBatch, percent: int) -> pa.RecordBatch:
+    """The rows (x, y) of ``may_link`` whose bitmaps allow a link."""
+    col = {c: batch.column(c) for c in batch.schema.names}
+    num = {c: col[c].to_numpy() for c in ("lox", "loy", "hiddenx", "hiddeny")}
+    sizes = [pc.binary_length(col[c]).to_numpy() for c in ("bitsx", "bitsy")]
+    most = np.zeros(batch.num_rows, np.int64)
+    for a, b in set(zip(*[s.tolist() for s in sizes], strict=True)):
+        at = np.flatnonzero((sizes[0] == a) & (sizes[1] == b))
+        x, y = (
+            np.frombuffer(b"".join(col[c].take(pa.array(at)).to_pylist()), np.uint64).reshape(len(at), -1)
+            for c in ("bitsx", "bitsy")
+        )
+        shared = np.bitwise_count(_folded(x, min(a, b)) & _folded(y, min(a, b))).sum(axis=1, dtype=np.int64)
+        # What a side hides is known for its own size of bitmap only.
+        sides = [num[c][at] for c, s in (("hiddenx", a), ("hiddeny", b)) if s == min(a, b)]
+        most[at] = shared + np.minimum.reduce(sides)
+    keep = (100 + percent) * most >= percent * (num["lox"] + num["loy"])
+    return pa.RecordBatch.from_arrays([col["x"], col["y"]], names=["x", "y"]).filter(pa.array(keep))
+
+
 def may_link(pairs: DataFrame, percent: int) -> DataFrame:
     """Pairs (x, y) whose sizes and bitmaps allow a link; columns lox, hix, hiddenx, bitsx and the same for y.
 
@@ -292,28 +425,42 @@ def may_link(pairs: DataFrame, percent: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (b for b in batches if b.num_rows):
-            col = {c: batch.column(c) for c in batch.schema.names}
-            num = {c: col[c].to_numpy() for c in ("lox", "loy", "hiddenx", "hiddeny")}
-            sizes = [pc.binary_length(col[c]).to_numpy() for c in ("bitsx", "bitsy")]
-            most = np.zeros(batch.num_rows, np.int64)
-            for a, b in set(zip(*[s.tolist() for s in sizes], strict=True)):
-                at = np.flatnonzero((sizes[0] == a) & (sizes[1] == b))
-                x, y = (
-                    np.frombuffer(b"".join(col[c].take(pa.array(at)).to_pylist()), np.uint64).reshape(len(at), -1)
-                    for c in ("bitsx", "bitsy")
-                )
-                shared = np.bitwise_count(_folded(x, min(a, b)) & _folded(y, min(a, b))).sum(axis=1, dtype=np.int64)
-                # What a side hides is known for its own size of bitmap only.
-                sides = [num[c][at] for c, s in (("hiddenx", a), ("hiddeny", b)) if s == min(a, b)]
-                most[at] = shared + np.minimum.reduce(sides)
-            keep = (100 + percent) * most >= percent * (num["lox"] + num["loy"])
-            yield pa.RecordBatch.from_arrays([col["x"], col["y"]], names=["x", "y"]).filter(pa.array(keep))
+        for batch in (whole.slice(i, 2000) for whole in batches for i in range(0, whole.num_rows, 2000)):
+            yield _may_link(batch, percent)
 
     sized = pairs.where((F.col("hix") * 100 >= F.col("loy") * percent) & (F.col("hiy") * 100 >= F.col("lox") * percent))
     return sized.mapInArrow(run, "x long, y long")
 
 
+def documents_of(leaf_pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (x, y) of documents, one of each leaf of a pair, whose sizes and bitmaps allow a link."""
+    names = ("doc_id", "n", "hidden", "bits")
+    both = leaf_pairs
+    for side in "xy":
+        both = both.join(nodes.select(F.col("leaf").alias(side), *[F.col(f"{c}s").alias(c + side) for c in names]), side)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (whole.slice(i, 64) for whole in batches for i in range(0, whole.num_rows, 64)):
+            first, count = {}, {}
+            for side in "xy":
+                count[side] = pc.list_value_length(batch.column(f"doc_id{side}")).to_numpy().astype(np.int64)
+                first[side] = np.cumsum(count[side]) - count[side]
+            pairs = count["x"] * count["y"]
+            row = np.repeat(np.arange(batch.num_rows), pairs)
+            nth = np.arange(len(row)) - np.repeat(np.cumsum(pairs) - pairs, pairs)
+            at = {"x": first["x"][row] + nth // count["y"][row], "y": first["y"][row] + nth % count["y"][row]}
+            flat = {c + side: batch.column(c + side).flatten() for c in names for side in "xy"}
+            n = {side: flat[f"n{side}"].to_numpy()[at[side]] for side in "xy"}
+            near = np.flatnonzero((100 * n["x"] >= percent * n["y"]) & (100 * n["y"] >= percent * n["x"]))
+            for i in range(0, len(near), 2000):
+                one = {side: pa.array(at[side][near[i : i + 2000]]) for side in "xy"}
+                columns = {c + side: flat[c + side].take(one[side]) for c in names for side in "xy"}
+                renamed = {"doc_idx": "x", "doc_idy": "y", "nx": "lox", "ny": "loy"}
+                yield _may_link(pa.RecordBatch.from_pydict({renamed.get(c, c): v for c, v in columns.items()}), percent)
+
+    return both.drop("x", "y").mapInArrow(run, "x long, y long")
+
+
 def _with_sides(pairs: DataFrame, table: DataFrame, key: str) -> DataFrame:
     out = pairs
     for side in ("x", "y"):
@@ -329,7 +476,7 @@ def similarity_components(docs: DataFrame, percent: int = 75, k: int = 5) -> Dat
     least = own.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("most")).where("b < most")
     equal = own.join(least.drop("most"), ["n", "f1", "f2"]).where("doc_id > b").select(F.col("doc_id").alias("a"), "b")
     tokens = own.agg(F.sum("n")).first()[0] or 0
-    members = written(buckets(postings(docs, common_cells(docs, tokens, k), percent, k)), "buckets")
+    members = written(buckets(postings(docs, *token_levels(docs, tokens, k), percent, k)), "buckets")
     bits = own.select("doc_id", F.col("n").alias("lo"), F.col("n").alias("hi"), "hidden", "bits")
 
     stars = members.select("center", "doc_id").union(
@@ -365,11 +512,8 @@ def similarity_components(docs: DataFrame, percent: int = 75, k: int = 5) -> Dat
     # First tokens of a set of n: n - ceil(t n) + 1. With o shared in all, n - o are missed at most.
     overlap = F.ceil(percent * (F.col("lox") + F.col("loy")) / F.lit(100 + percent))
     leaf_pairs = near.where(F.col("shared") >= overlap - F.ceil(percent * F.col("hi") / F.lit(100)) + 1).select("x", "y")
-    leaf_pairs = may_link(_with_sides(leaf_pairs, nodes, "leaf"), percent)
-    inner = placed.select("leaf", "doc_id")
-    doc_pairs = leaf_pairs.join(inner.toDF("x", "dx"), "x").join(inner.toDF("y", "dy"), "y")
-    doc_pairs = doc_pairs.select(F.col("dx").alias("x"), F.col("dy").alias("y"))
-    doc_pairs = written(may_link(_with_sides(doc_pairs, bits, "doc_id"), percent).toDF("a", "b"), "document-pairs")
+    leaf_pairs = written(may_link(_with_sides(leaf_pairs, nodes, "leaf"), percent), "leaf-pairs")
+    doc_pairs = written(documents_of(leaf_pairs, nodes, percent).toDF("a", "b"), "document-pairs")
     second = linked(doc_pairs, docs, percent, k)
     named = components(first.union(second)).toDF("doc_id", "component_id")
     out = prints.select("doc_id", F.col("n").alias("n_shingles")).join(named, "doc_id", "left")

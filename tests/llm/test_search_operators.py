@@ -6,6 +6,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,6 +101,57 @@ def test_jaccard_of_no_rows_and_null_ids(spark):
     assert got == [(-1, -1), (3, 3), (3, 3)]
 
 
+def test_tokens_are_ordered_by_counts_over_all_documents(spark, monkeypatch):
+    # Before, counts came from SAMPLES token occurrences.
+    monkeypatch.setattr(jaccard, "SAMPLES", 1, raising=False)
+    monkeypatch.setattr(jaccard, "COUNTED", 64)
+    rng = random.Random(4)
+    lines = [words(rng, 5, 10**6) for _ in range(40)]
+    texts = [" ".join(w for line in rng.sample(lines, 1 + i % 20) for w in line) for i in range(300)]
+    sets = jaccard.shingle_sets(pa.array(texts), 5)
+    count = Counter(t for x in sets for t in x.tolist())
+    levels, bits = jaccard.token_levels(table(spark, texts), sum(map(len, sets)), 5)
+    tokens = np.array(list(count), np.uint64)
+    want = [max(0, int(np.log2(n / jaccard.COMMON)) + 1) if n >= jaccard.COMMON else 0 for n in count.values()]
+    got = jaccard.levels_of(tokens, levels, bits)
+    assert np.mean(got == want) > 0.9 and (got >= want).all()  # places are shared by a few
+    assert max(want) >= 5
+    counted, bits = jaccard.token_counts(table(spark, texts), sum(map(len, sets)), 5)
+    cells = Counter()
+    for token, n in count.items():
+        cells[token >> (64 - bits)] += n
+    rows = counted.collect()
+    assert {r.cell: r.n for r in rows} == {c: n for c, n in cells.items() if n >= jaccard.COMMON} and len(rows) > 30
+
+
+def test_near_copies_are_pruned_within_a_group(spark, monkeypatch):
+    # Before, a document beside a group of near copies met each of them as a row of its own.
+    base = [f"w{i}" for i in range(150)]
+
+    def changed(seed, edits):
+        rng = random.Random(seed)
+        out = list(base)
+        for i in rng.sample(range(150), edits):
+            out[i] = f"e{seed}-{i}"
+        return " ".join(out)
+
+    texts = [changed(i, 1) for i in range(60)] + [changed(1000 + i, 12) for i in range(20)]
+    rows, named = [], jaccard.written
+
+    def written(df, name, *more):
+        out = named(df, name, *more)
+        if name == "document-pairs":
+            rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "written", written)
+    got = {r.doc_id: r.component_id for r in jaccard.similarity_components(table(spark, texts)).collect()}
+    sets = [shingles(t) for t in texts]
+    links = [(i, j) for i in range(80) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])]
+    assert got == plain_components(range(80), links)
+    assert rows[0] < 60 * 20 / 4
+
+
 def test_overlap_bound_never_drops_a_link(spark):
     rng = random.Random(9)
     base = words(rng, 900, 10**6)
