@@ -30,12 +30,14 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rejected: no letter at all (null and empty texts too), no language with a probability over one half, or letters that
     fit the likeliest language far worse than labelled texts do (other languages and scripts, noise).
     """
-    labelled = written(language.sampled(docs)[1], "labelled")
-    model = language.fit(labelled, public_tokenizers.path("piece_bpe_32k.model"))
+    labelled = written(language.different(docs), "labelled")
+    model = language.fit(labelled, public_tokenizers.path("piece_bpe_32k.model"), docs_per_language=None)
     names = [_free(docs, n) for n in ("lang_pred", "score", "n_letters", "fit")]
-    known = language.identify(docs, model, names=names)
+    known = written(language.identify(docs, model, names=names), "identified")
+    fits = known.where("text IS NOT NULL AND lang IS NOT NULL").groupBy(F.xxhash64("text"), "lang").agg(F.first(names[3]).alias("fit"))
+    least = language.least_fit(written(fits.select("fit"), "fits"))
     known = known.where((F.col(names[0]) != language.UNKNOWN) & (F.col(names[1]) >= MIN_LANGUAGE_SCORE))
-    known = known.where(F.col(names[3]) >= language.least_fit(labelled, model))
+    known = known.where(F.col(names[3]) >= least)
     return known.select(*[f"`{c}`" for c in docs.columns])
 
 

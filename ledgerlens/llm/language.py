@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.llm.batches import kept as kept_tables
+from ledgerlens.llm.batches import trim
+from ledgerlens.operators.ordered import column_quantiles
 from ledgerlens.session import written
 
 UNKNOWN = "und"
@@ -34,6 +36,7 @@ WORD_START = "▁"
 LONG_WORD = 40
 FLOOR = 1e-9  # of a character that no piece covers
 KEPT_WORDS = 150_000  # that a task remembers
+COUNTED_WORDS = 100_000  # different words that a task counts before it passes them on
 SLICE_ROWS = 500  # of a batch that are worked on and passed on at a time
 
 
@@ -185,6 +188,12 @@ def _expected(pieces: Pieces, p: np.ndarray):
     return run
 
 
+def different(labelled: DataFrame) -> DataFrame:
+    """(text, lang) of all different labelled texts."""
+    rows = labelled.select("text", F.col("lang").cast("string").alias("lang"))
+    return rows.where("text IS NOT NULL AND lang IS NOT NULL").distinct()
+
+
 def sampled(labelled: DataFrame, docs_per_language: int = 1500) -> tuple[list[str], DataFrame]:
     """The languages, and (text, lang) of about ``docs_per_language`` different texts of each, chosen by a hash of the text.
 
@@ -200,28 +209,37 @@ def sampled(labelled: DataFrame, docs_per_language: int = 1500) -> tuple[list[st
     return sorted(sizes), rows.where(spread < share[F.col("lang")]).distinct()
 
 
-def fit(labelled: DataFrame, vocabulary_path: str, docs_per_language: int = 1500, rounds: int = 3) -> Model:
-    """Fit piece probabilities per language on the sampled texts of columns (text, lang).
+def fit(labelled: DataFrame, vocabulary_path: str, docs_per_language: int | None = 1500, rounds: int = 3) -> Model:
+    """Fit piece probabilities per language on the sampled texts of columns (text, lang); None: on each row of ``different``.
 
     What reaches the driver is at most vocabulary x languages numbers.
     """
     pieces = Pieces(vocabulary(vocabulary_path))
-    languages, sample = sampled(labelled, docs_per_language)
+    if docs_per_language is None:
+        languages, sample = sorted(r["lang"] for r in labelled.select("lang").distinct().collect()), labelled
+    else:
+        languages, sample = sampled(labelled, docs_per_language)
     if not languages:
         return Model(pieces, [], np.zeros((len(pieces.texts), 0)))
     index = F.create_map(*[F.lit(x) for i, l in enumerate(languages) for x in (l, i)])
     sample = sample.select("text", index[F.col("lang")].alias("l"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
-            by: Counter = Counter()
+        by: Counter = Counter()
+
+        def told() -> pa.RecordBatch:
+            columns = [pa.array([w for w, _ in by], pa.string()), pa.array([l for _, l in by], pa.int32()), pa.array(list(by.values()), pa.int64())]
+            by.clear()
+            return pa.RecordBatch.from_arrays(columns, names=["word", "l", "n"])
+
+        for rows in (whole.slice(at, SLICE_ROWS) for whole in batches for at in range(0, whole.num_rows, SLICE_ROWS)):
             for text, l in zip(rows.column("text").to_pylist(), rows.column("l").to_pylist(), strict=True):
                 for word, n in word_counts(text).items():
                     by[word, l] += n
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([w for w, _ in by], pa.string()), pa.array([l for _, l in by], pa.int32()), pa.array(list(by.values()), pa.int64())],
-                names=["word", "l", "n"],
-            )
+                if len(by) > COUNTED_WORDS:
+                    yield told()
+        yield told()
+        trim()
 
     words = sample.mapInArrow(count, "word string, l int, n long").groupBy("word", "l").agg(F.sum("n").cast("double").alias("n"))
     words = written(words, "words")
@@ -235,10 +253,13 @@ def fit(labelled: DataFrame, vocabulary_path: str, docs_per_language: int = 1500
     return Model(pieces, languages, p)
 
 
-def least_fit(labelled: DataFrame, model: Model, share: float = 0.01, margin: float = 3.0) -> float:
-    """What a text of the model's languages reaches per letter: ``margin`` below what all but a ``share`` of the texts have."""
-    names = ("lang_pred", "score", "n_letters", "fit")
-    low = identify(labelled.select("text"), model, names=names).agg(F.percentile_approx("fit", share, 10_000)).first()[0]
+def least_fit(fits: DataFrame, share: float = 0.01, margin: float = 3.0) -> float:
+    """What a text of the model's languages reaches per letter: ``margin`` below what all but a ``share`` of the texts have.
+
+    ``fits``: a column ``fit`` of all labelled texts; the quantile is exact.
+    """
+    quantiles = column_quantiles(fits, ["fit"], [share]).first()["quantiles"]
+    low = quantiles[0] if quantiles else None
     return -math.inf if low is None else low - margin
 
 
@@ -284,5 +305,7 @@ def identify(
                 scores.append(1.0 / sum(math.exp(max(-700.0, x - ll[best])) for x in ll))
             new_columns = [pa.array(x, f.type) for x, (f, _) in zip((labels, scores, letters, fits), added, strict=False)]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *new_columns], names=[*kept, *[f.name for f, _ in added]])
+        del seen, table
+        trim()
 
     return docs.mapInArrow(run, schema)

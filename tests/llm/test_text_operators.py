@@ -394,6 +394,31 @@ def test_copies_of_a_text_are_learned_once(spark):
     assert np.allclose(a, b)
 
 
+def test_the_pipeline_learns_languages_from_all_texts(spark, monkeypatch):
+    import corpus_pipeline
+
+    # Before, the model and the least fit came from about 1,500 texts of a language.
+    texts = [(i, f"alpha beta {'abcdefghij'[i % 10]}{'abcdefghij'[i // 10 % 10]}{'abcdefghij'[i // 100 % 10]}{'xy'[i // 1000]}", "x") for i in range(2000)]
+    docs = spark.createDataFrame([*texts, (2000, texts[0][1], "x"), (2001, "gamma delta", "y"), (2002, None, "y")], "doc_id long, text string, lang string")
+    seen, fits, plain, least = [], [], language.written, language.least_fit
+
+    def written(df, name, *more):
+        out = plain(df, name, *more)
+        if name == "words":
+            seen.append({(r.word, r.l): r.n for r in out.collect()})
+        return out
+
+    def least_fit(rows, *more):
+        fits.append(rows.count())
+        return least(rows, *more)
+
+    monkeypatch.setattr(language, "written", written)
+    monkeypatch.setattr(language, "least_fit", least_fit)
+    corpus_pipeline.language_id(spark, docs, SF)
+    assert seen[0]["alpha", 0] == seen[0]["beta", 0] == 2000 and len(seen[0]) == 2004 and seen[0]["gamma", 1] == 1
+    assert fits == [2001]
+
+
 def test_texts_of_no_known_language_are_rejected(spark):
     import corpus_pipeline
 
