@@ -20,9 +20,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.llm.batches import trim
 from ledgerlens.llm.words import U, WORD_BASE, run_hashes, slices, words_of
 from ledgerlens.session import written
 
@@ -75,6 +77,7 @@ def stretches(rows: DataFrame, k: int) -> DataFrame:
                     ],
                     names=["minimizer", "whole", "key", "start", "n"],
                 )
+        trim()
 
     return rows.mapInArrow(run, "minimizer long, whole long, key long, start long, n long")
 
@@ -156,6 +159,7 @@ def windows(rows: DataFrame, opened: DataFrame, k: int) -> DataFrame:
                         ],
                         names=["h", "check", "key", "place"],
                     )
+        trim()
 
     return rows.join(lists, "key").select("key", "text", "spans").mapInArrow(run, "h long, check int, key long, place int")
 
@@ -193,19 +197,22 @@ def remove_repeats(docs: DataFrame, k: int = 35) -> DataFrame:
         for batch in batches:
             for part in slices(batch):
                 words = words_of(part.column("text"))
-                texts, lists = part.column("text").to_pylist(), part.column("spans").to_pylist()
+                texts, spans = part.column("text").to_pylist(), part.column("spans")
+                begins = np.append(0, np.cumsum(pc.fill_null(pc.list_value_length(spans), 0).to_numpy()))
+                span_starts, span_sizes = (spans.flatten().field(c).to_numpy() for c in ("start", "n"))
                 n = len(words.hashes)
                 at = np.flatnonzero(_windows(words.row, n, k))
                 own = _runs(words.hashes, at, at + k)
                 removed_count, kept_texts, digests = [], [], []
-                for r, (text, spans) in enumerate(zip(texts, lists, strict=True)):
+                for r, text in enumerate(texts):
+                    mine = slice(begins[r], begins[r + 1])
                     a, b = int(words.first[r]), int(words.first[r + 1])
                     cover = np.zeros(b - a + 1, np.int64)
                     lo, hi = np.searchsorted(at, [a, b])
                     _, which, count = np.unique(own[lo:hi], return_inverse=True, return_counts=True)
                     inner = at[lo:hi][count[which] > 1] - a if hi > lo else np.zeros(0, np.int64)
-                    starts = np.concatenate([inner, np.array([s["start"] for s in spans or []], np.int64)])
-                    sizes = np.concatenate([np.ones(len(inner), np.int64), np.array([s["n"] for s in spans or []], np.int64)])
+                    starts = np.concatenate([inner, span_starts[mine]])
+                    sizes = np.concatenate([np.ones(len(inner), np.int64), span_sizes[mine]])
                     np.add.at(cover, starts, 1)
                     np.add.at(cover, starts + sizes + k - 1, -1)
                     gone = np.cumsum(cover)[: b - a] > 0
@@ -225,6 +232,7 @@ def remove_repeats(docs: DataFrame, k: int = 35) -> DataFrame:
                     ],
                     names=["doc_id", "n_words", "n_removed", "kept_text", "kept_sha256"],
                 )
+        trim()
 
     together = rows.join(spans, "key", "left").select("doc_id", "text", "spans")
     return together.mapInArrow(

@@ -419,6 +419,20 @@ def test_the_pipeline_learns_languages_from_all_texts(spark, monkeypatch):
     assert fits == [2001]
 
 
+def test_freed_memory_of_a_worker_goes_back():
+    from ledgerlens.llm.batches import trim
+
+    def held():
+        return int(next(line for line in open("/proc/self/status") if line.startswith("VmRSS")).split()[1]) / 1024
+
+    blocks = [b"x" * 100_000 for _ in range(2000)]
+    top = b"x" * 100_000 + bytes([len(blocks) % 7])  # keeps the heap's end in use
+    before = held()
+    del blocks
+    trim()
+    assert held() < before - 150 and top
+
+
 def test_texts_of_no_known_language_are_rejected(spark):
     import corpus_pipeline
 
