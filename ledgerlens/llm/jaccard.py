@@ -290,6 +290,7 @@ def buckets(posts: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=[*names, "center"]).filter(pa.array(np.repeat(keep, sizes)))
         if held is not None:
             yield held.append_column("center", held.column("doc_id"))
+        trim()
 
     dealt = posts.repartitionByRange("token", "doc_id").sortWithinPartitions("token", "doc_id")
     return dealt.mapInArrow(run, "token long, doc_id long, n int, center long")
@@ -314,6 +315,7 @@ def shingles_of(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
                 ends = np.cumsum([0, *[len(x) for _, x in part]])
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(_signed(values)))
                 yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in part], pa.int64()), lists], names=["doc_id", "shingles"])
+        trim()
 
     rows = docs.where("doc_id IS NOT NULL").withColumn("cell", cell)
     return rows.mapInArrow(run, "doc_id long, shingles array<long>")
@@ -335,6 +337,7 @@ def linked(pairs: DataFrame, docs: DataFrame, percent: int, k: int) -> DataFrame
                 shared = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        trim()
 
     return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
@@ -385,6 +388,7 @@ def leaves(placed: DataFrame, own: DataFrame) -> DataFrame:
                 yield told(batch.slice(0, last))
         if held is not None:
             yield told(held)
+        trim()
 
     rows = placed.join(own.select("doc_id", "n", "hidden", "bits"), "doc_id").select("leaf", "doc_id", "n", "hidden", "bits")
     rows = rows.repartition("leaf").sortWithinPartitions("leaf")
@@ -427,6 +431,7 @@ def may_link(pairs: DataFrame, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (whole.slice(i, 2000) for whole in batches for i in range(0, whole.num_rows, 2000)):
             yield _may_link(batch, percent)
+        trim()
 
     sized = pairs.where((F.col("hix") * 100 >= F.col("loy") * percent) & (F.col("hiy") * 100 >= F.col("lox") * percent))
     return sized.mapInArrow(run, "x long, y long")
@@ -457,6 +462,7 @@ def documents_of(leaf_pairs: DataFrame, nodes: DataFrame, percent: int) -> DataF
                 columns = {c + side: flat[c + side].take(one[side]) for c in names for side in "xy"}
                 renamed = {"doc_idx": "x", "doc_idy": "y", "nx": "lox", "ny": "loy"}
                 yield _may_link(pa.RecordBatch.from_pydict({renamed.get(c, c): v for c, v in columns.items()}), percent)
+        trim()
 
     return both.drop("x", "y").mapInArrow(run, "x long, y long")
 
