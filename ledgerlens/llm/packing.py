@@ -12,7 +12,6 @@ Defined cases: a null text counts as empty and still has its end id; a table wit
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -20,22 +19,34 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlens.llm.batches import kept
+from ledgerlens.llm.batches import kept, trim
+from ledgerlens.llm.words import slices
 from ledgerlens.session import written
 
 GROUP_PIECES = 30_000
-KEPT_WORDS = 500_000  # that a Python worker remembers: some 100 MB
-
-# Characters that no normaliser changes but for case. Among them the tokenizer cuts texts into letter runs, single
-# digits and runs of marks (an apostrophe may begin a suffix, so it isn't one of them), which PART finds likewise.
-NOT_PLAIN = re.compile(r"""[^A-Za-zÀ-ÖØ-öø-ÿ0-9 \t\n\r\x0b\x0c!"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~]""")
-PART = re.compile(r"""[a-zß-öø-ÿ]+|[0-9]|[!"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~]+""")
-ODD_SPACE = re.compile("[\x1c-\x1f]")  # split() parts at these, the tokenizer doesn't
+KEPT_WORDS = 500_000  # that a Python worker remembers: some 40 MB
+CHUNK_BYTES = 1 << 20  # of text that is cut into parts at a time, up to a white space
+SHORT = 16  # bytes of a part that is looked up in the table; longer ones are few
+
+# Kinds of UTF-8 bytes. The tokenizer cuts texts into letter runs, single digits and runs of marks; an apostrophe may
+# begin a suffix, and no normaliser changes the letters of ASCII and Latin-1 but for case. What else is in a run of other
+# bytes than white space makes that run one part (WHOLE), which the tokenizer cuts.
+SPACE, LETTER, DIGIT, MARK, WHOLE = range(5)
+KIND = np.full(256, WHOLE, np.uint8)
+KIND[[0x20, *range(0x09, 0x0E)]] = SPACE
+KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0xC0), 0xC3]] = LETTER  # C3 80 to C3 BF: Latin-1 letters
+KIND[0x30:0x3A] = DIGIT
+KIND[list(b"""!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~""")] = MARK
+NO_LETTER = (0x97, 0xB7)  # after C3: the signs of times and division
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[0x41:0x5B] += 32
+LOWER[0x80:0x9F] += 32  # after C3
 
 
 class Grown:
@@ -51,6 +62,49 @@ class Grown:
         self.size += len(values)
 
 
+class Table:
+    """Numbers of keys of two 64-bit words each, by open addressing in arrays: no Python object for a key."""
+
+    def __init__(self, places: int = 1 << 16):
+        self.low, self.high = np.zeros(places, np.uint64), np.zeros(places, np.uint64)
+        self.number = np.full(places, -1, np.int32)
+        self.size = 0
+
+    def _place(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        bits = np.uint64(65 - len(self.number).bit_length())
+        mixed = (low ^ (high * np.uint64(0xD1342543DE82EF95))) * np.uint64(0x9E3779B97F4A7C15)
+        return (((mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)) >> bits).astype(np.int64)
+
+    def find(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """The number of each key, -1 where there is none."""
+        at, out = self._place(low, high), np.full(len(low), -1, np.int64)
+        left = np.arange(len(low))
+        while len(left):
+            there = self.number[at]
+            same = (self.low[at] == low[left]) & (self.high[at] == high[left])
+            out[left[same]] = there[same]  # -1 at an empty place
+            more = ~same & (there >= 0)
+            left, at = left[more], (at[more] + 1) & (len(self.number) - 1)
+        return out
+
+    def add(self, low: np.ndarray, high: np.ndarray, number: np.ndarray) -> None:
+        """Different new keys; the table doubles before it is half full."""
+        if 2 * (self.size + len(low)) > len(self.number):
+            old, used = self, self.number >= 0
+            low, high, number = (np.concatenate(x) for x in ((old.low[used], low), (old.high[used], high), (old.number[used], number)))
+            self.__init__(1 << (4 * len(low)).bit_length())
+        self.size += len(low)
+        number = number.astype(np.int32)
+        at = self._place(low, high)
+        while len(at):
+            free = np.flatnonzero(self.number[at] < 0)
+            self.number[at[free]] = number[free]
+            put = np.zeros(len(at), bool)
+            put[free] = self.number[at[free]] == number[free]  # of several for one place the last
+            self.low[at[put]], self.high[at[put]] = low[put], high[put]
+            low, high, number, at = low[~put], high[~put], number[~put], (at[~put] + 1) & (len(self.number) - 1)
+
+
 class Encoder:
     """Token ids of whole texts by a tokenizer that drops white space and marks the ends of words.
 
@@ -68,63 +122,114 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.index: dict[str, int] = {}
+        self.table, self.long = Table(), {}
         self.ids, self.ends = Grown("<u4"), Grown("i8")
         self.ends.extend(np.zeros(1, "i8"))
 
-    def parts(self, text: str) -> list[str] | None:
-        """Parts to look up, or None for a text that has to be encoded as a whole."""
-        if NOT_PLAIN.search(text) is None:
-            return PART.findall(text.lower())
-        if ODD_SPACE.search(text):
-            return None
-        out: list[str] = []
-        for run in text.split():
-            if NOT_PLAIN.search(run) is None:
-                out += PART.findall(run.lower())
-            else:
-                out.append(run)
-        return out
-
-    def learn(self, new: list[str]) -> None:
-        plain = [p for p in new if NOT_PLAIN.search(p) is None]
-        odd = [p for p in new if NOT_PLAIN.search(p) is not None]
+    def learn(self, plain: list[str], whole: list[str]) -> np.ndarray:
+        """Numbers for new parts: those of ``plain``, then those of ``whole``."""
+        first = self.ends.size - 1
         for at in range(0, len(plain), 20_000):
             some = plain[at : at + 20_000]
             ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, dtype="<u4")
             ends = np.flatnonzero(self.closes[ids]) + 1
-            if len(ends) != len(some):  # a tokenizer that marks ends otherwise
-                odd += some
-                continue
-            self.add(some, ids, ends)
-        encoded = self.tokenizer.encode_batch(odd, add_special_tokens=False)
-        lists = [np.array(e.ids, dtype="<u4") for e in encoded]
-        self.add(odd, np.concatenate([np.zeros(0, "<u4"), *lists]), np.cumsum([len(x) for x in lists]))
-
-    def add(self, new: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
-        first = self.ends.size - 1
+            if len(ends) == len(some):
+                self.add(ids, ends)
+            else:  # a tokenizer that marks ends otherwise
+                self.learn([], some)
+        for at in range(0, len(whole), 2000):
+            lists = [e.ids for e in self.tokenizer.encode_batch(whole[at : at + 2000], add_special_tokens=False)]
+            self.add(np.fromiter(chain.from_iterable(lists), "<u4"), np.cumsum([len(x) for x in lists]))
+        return np.arange(first, self.ends.size - 1)
+
+    def add(self, ids: np.ndarray, ends: np.ndarray) -> None:
         self.ends.extend(self.ids.size + np.asarray(ends, dtype="i8"))
         self.ids.extend(ids)
-        self.index.update(zip(new, range(first, first + len(new)), strict=True))
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.index) > KEPT_WORDS:
-            self.forget()
-        parts = [self.parts(t) for t in texts]
-        known = self.index
-        self.learn(list(set(chain.from_iterable(x for x in parts if x)).difference(known)))
-        out = []
-        for t, x in zip(texts, parts, strict=True):
-            if x is None:
-                out.append(np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, dtype="<u4"))
-                continue
-            which = np.array(list(map(known.__getitem__, x)), dtype=np.int64)
-            begins = self.ends.data[which]
-            sizes = self.ends.data[which + 1] - begins
-            before = np.cumsum(sizes) - sizes
-            out.append(self.ids.data[np.repeat(begins - before, sizes) + np.arange(int(sizes.sum()))])
+
+    @staticmethod
+    def parts(raw: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Starts, ends and kinds of the parts of some bytes; texts begin at ``first``."""
+        kind = KIND[raw]
+        begins = np.zeros(len(raw) + 1, bool)
+        begins[[0, *first.tolist(), len(raw)]] = True
+        for sign in NO_LETTER:
+            at = np.flatnonzero(raw[1:] == sign) + 1
+            kind[at[raw[at - 1] == 0xC3]] = WHOLE
+        if (at := np.flatnonzero(kind == WHOLE)).size:
+            run = np.cumsum(begins[:-1] | (kind == SPACE))  # a white space and the run behind it
+            odd = np.zeros(run[-1] + 1, bool)
+            odd[run[at]] = True
+            kind[odd[run] & (kind != SPACE)] = WHOLE
+        begins[1:-1] |= (kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)
+        edges = np.flatnonzero(begins)
+        inside = kind[edges[:-1]] != SPACE
+        return edges[:-1][inside], edges[1:][inside], kind[edges[:-1][inside]]
+
+    def numbers(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+        """The number of each part; new ones are learnt."""
+        lower = np.concatenate([LOWER[raw], np.zeros(SHORT, np.uint8)])
+        out, sizes = np.zeros(len(starts), np.int64), ends - starts
+        short = (sizes <= SHORT) & (kinds != WHOLE)
+        at, n = starts[short], sizes[short]
+        words = np.ndarray((len(lower) - 7,), "<u8", lower, strides=(1,))  # eight bytes from each place on
+        low, high = words[at] & BYTES[np.minimum(n, 8)], words[at + 8] & BYTES[np.maximum(n - 8, 0)]
+        known = self.table.find(low, high)
+        if (new := np.flatnonzero(known < 0)).size:
+            new = new[np.lexsort((low[new], high[new]))]
+            change = (low[new[1:]] != low[new[:-1]]) | (high[new[1:]] != high[new[:-1]])
+            one = new[np.flatnonzero(np.append(True, change))]
+            text = lower.tobytes()
+            numbers = self.learn([text[i:j].decode() for i, j in zip(at[one].tolist(), (at[one] + n[one]).tolist(), strict=True)], [])
+            self.table.add(low[one], high[one], numbers)
+            known[new] = np.repeat(numbers, np.diff(np.append(np.flatnonzero(np.append(True, change)), len(new))))
+        out[short] = known
+        rest = np.flatnonzero(~short)
+        if len(rest):
+            cased = np.where(np.repeat(kinds[rest] == WHOLE, sizes[rest]), *(x[_spans(starts[rest], sizes[rest])] for x in (raw, lower))).tobytes()
+            cuts = np.cumsum(sizes[rest]).tolist()
+            keys = [cased[i:j] for i, j in zip([0, *cuts], cuts, strict=False)]
+            if fresh := [k for k in dict.fromkeys(keys) if k not in self.long]:
+                self.long.update(zip(fresh, self.learn([], [k.decode() for k in fresh]).tolist(), strict=True))
+            out[rest] = [self.long[k] for k in keys]
         return out
 
+    def encode(self, texts: list[str] | pa.Array) -> list[np.ndarray]:
+        texts = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
+        texts = pc.fill_null(texts, "")
+        bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+        data = texts.buffers()[2]
+        raw = np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]] if data is not None else np.zeros(0, np.uint8)
+        bounds = bounds - bounds[0]
+        out, counts = [np.zeros(0, "<u4")], np.zeros(len(raw) and len(texts), np.int64)
+        begin = 0
+        while begin < len(raw):
+            end = begin + CHUNK_BYTES
+            while end < len(raw) and not (space := np.flatnonzero(KIND[raw[end : end + CHUNK_BYTES]] == SPACE)[:1]).size:
+                end += CHUNK_BYTES
+            end = min(len(raw), end + int(space[0])) if end < len(raw) else len(raw)
+            if self.table.size + len(self.long) > KEPT_WORDS:
+                self.forget()
+            inner = np.searchsorted(bounds, [begin, end], "right")
+            starts, ends, kinds = self.parts(raw[begin:end], bounds[inner[0] : inner[1]][bounds[inner[0] : inner[1]] < end] - begin)
+            which = self.numbers(raw[begin:end], starts, ends, kinds)
+            sizes = self.ends.data[which + 1] - self.ends.data[which]
+            out.append(self.ids.data[_spans(self.ends.data[which], sizes)])
+            row = np.searchsorted(bounds, starts + begin, "right") - 1
+            counts += np.bincount(row, sizes, len(texts)).astype(np.int64)
+            begin = end
+        if not len(raw):
+            return [np.zeros(0, "<u4")] * len(texts)
+        return np.split(np.concatenate(out), np.cumsum(counts)[:-1])
+
+
+BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)  # the first n of eight bytes
+
+
+def _spans(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places begin, begin + 1, ... of each span, one span after another."""
+    before = np.cumsum(sizes) - sizes
+    return np.repeat(begins - before, sizes) + np.arange(int(sizes.sum()))
+
 
 def kept_encoder(path: str) -> Encoder:
     """The encoder of this Python worker: workers serve one task after another, so what one learnt serves the next."""
@@ -141,11 +246,9 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 1, size: int = 40
         encoder = kept_encoder(tokenizer_path)
         item = TaskContext.get().partitionId() << 33
         for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
+            for batch in slices(whole):
                 out: list[tuple] = []
-                texts = [t or "" for t in batch.column(1).to_pylist()]
-                for doc, ids in zip(batch.column(0).to_pylist(), encoder.encode(texts), strict=True):
+                for doc, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1)), strict=True):
                     ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                     for k, start in enumerate(range(0, len(ids), size)):
                         part = ids[start : start + size]
@@ -157,6 +260,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 1, size: int = 40
                     [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
                     names=["doc_id", "piece", "start", "length", "ids_crc32", "item"],
                 )
+        trim()
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long, item long")

@@ -2,11 +2,13 @@
 
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -38,6 +40,32 @@ def test_ids_are_the_tokenizers():
             assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("chunk,words", [(1 << 20, 500_000), (7, 20)])
+def test_ids_in_chunks_and_after_forgetting(monkeypatch, chunk, words):
+    monkeypatch.setattr(packing, "CHUNK_BYTES", chunk)
+    monkeypatch.setattr(packing, "KEPT_WORDS", words)
+    rng = np.random.default_rng(5)
+    signs = list("aB é×÷ß Àÿ \x1c\x85'.,-!1 2\n\t\x0bŁ日🙂\u0301 s tx\x00Þþ_~\x7f\x97ö")
+    texts = ["".join(rng.choice(signs, n)) for n in rng.integers(0, 60, 300)] + [f"{'x' * n}, {'É' * n} don't" for n in range(6, 19)]
+    encoder, plain = packing.Encoder(WORD_BPE), Tokenizer.from_file(WORD_BPE)
+    for _ in range(2):
+        got = encoder.encode(pa.array(["cut off", *texts, None])[1:])
+        want = [plain.encode(t, add_special_tokens=False).ids for t in [*texts, ""]]
+        assert [x.tolist() for x in got] == want
+
+
+def test_parts_are_no_python_objects():
+    """700,000 words of one text took 86 MB besides their ids as strings; the parts of a megabyte are looked up at a time."""
+    text = " ".join(f"{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}xyz" for i in range(700_000))
+    encoder = packing.Encoder(WORD_BPE)
+    encoder.encode([text[:6000]])
+    tracemalloc.start()
+    ids = encoder.encode([text])[0]
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(ids) >= 700_000 and most - ids.nbytes < 50e6
+
+
 def test_packing_keeps_every_piece_once(spark):
     docs = documents(spark, ODD).withColumn("piece", F.lit("clash")).withColumn("item", F.lit(1))
     rows = packing.pack_documents(docs, WORD_BPE).collect()
