@@ -116,7 +116,7 @@ def _unpacked(raw: bytes, n: int) -> np.ndarray:
 
 
 def token_counts(docs: DataFrame, tokens: int, k: int) -> tuple[DataFrame, int]:
-    """(cell, n) of the tokens that at least COMMON documents have, n how many, and the bits of a cell.
+    """(cell, n, slot, level) of the tokens that at least COMMON documents have, n how many, and the bits of a cell.
 
     A cell is the first bits of a token, with 32 cells or more to each token occurrence; tokens that share one count
     together. Tasks send sorted cells of a range, as differences, to the task that adds up that range.
@@ -168,7 +168,9 @@ def token_counts(docs: DataFrame, tokens: int, k: int) -> tuple[DataFrame, int]:
             n = np.add.reduceat(n, begins, dtype=np.int64)
             keep = n >= COMMON
             found = cells[begins][keep].astype(np.int64) + (at << int(shift))
-            return pa.RecordBatch.from_arrays([pa.array(found), pa.array(n[keep])], names=["cell", "n"])
+            level = np.minimum(LEVELS, 1 + np.log2(n[keep] / COMMON).astype(np.int64))
+            columns = [pa.array(x) for x in (found, n[keep], _slots(found), level)]
+            return pa.RecordBatch.from_arrays(columns, names=["cell", "n", "slot", "level"])
 
         for row in (r for batch in batches for i in range(batch.num_rows) for r in batch.slice(i, 1).to_pylist()):
             if held and row["range"] != at:
@@ -181,7 +183,7 @@ def token_counts(docs: DataFrame, tokens: int, k: int) -> tuple[DataFrame, int]:
 
     parts = docs.where("doc_id IS NOT NULL").mapInArrow(count, "range long, cells long, steps binary, n binary")
     dealt = parts.repartition("range").sortWithinPartitions("range")
-    return dealt.mapInArrow(add, "cell long, n long"), bits
+    return dealt.mapInArrow(add, "cell long, n long, slot long, level long"), bits
 
 
 def _slots(cells: np.ndarray) -> np.ndarray:
@@ -195,14 +197,7 @@ def token_levels(docs: DataFrame, tokens: int, k: int) -> tuple[np.ndarray, int]
     tokens than the table has room for, it holds those of the most documents.
     """
     counts, bits = token_counts(docs, tokens, k)
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            level = np.minimum(LEVELS, 1 + np.log2(batch.column("n").to_numpy() / COMMON).astype(np.int64))
-            slots = _slots(batch.column("cell").to_numpy())
-            yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(level)], names=["slot", "level"])
-
-    placed = written(counts.mapInArrow(place, "slot long, level long"), "levels")
+    placed = written(counts.select("slot", "level"), "levels")
     sizes = {r["level"]: r["n"] for r in placed.groupBy("level").agg(F.count(F.lit(1)).alias("n")).collect()}
     least, room = LEVELS + 1, 1 << (LEVEL_BITS - 3)
     while least > 1 and (room := room - sizes.get(least - 1, 0)) >= 0:
@@ -322,11 +317,15 @@ def shingles_of(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
 
 
 def linked(pairs: DataFrame, docs: DataFrame, percent: int, k: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets link; ``pairs`` is a written table."""
+    """The pairs (a, b) whose whole sets link; ``pairs`` is a written table.
+
+    The last join is by a shuffle at any size: a task that made sets and compared them would keep two Python workers busy,
+    and an executor holds on to as many as it ever had at once.
+    """
     sets = shingles_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), k)
     a = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
     b = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
-    both = pairs.select("a", "b").join(b, "b").join(a, "a")
+    both = pairs.select("a", "b").join(b, "b").join(a.hint("merge"), "a")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

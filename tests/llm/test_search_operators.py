@@ -94,6 +94,32 @@ def test_jaccard_components(spark, monkeypatch, common):
     assert len(rows) == len(texts)
 
 
+def python_nodes_of_a_task(df):
+    """The most Python nodes one above the other without an exchange between them."""
+    most, path = 0, []
+    for line in df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1].splitlines():
+        node = line.lstrip(" :+-*")
+        depth, name = len(line) - len(node), node.split(" ")[0]
+        path = [(d, n) for d, n in path if d < depth]
+        above = path[-1][1] if path else 0
+        path.append((depth, 0 if "Exchange" in name else above + ("MapInArrow" in line)))
+        most = max(most, path[-1][1])
+    return most
+
+
+def test_jaccard_tasks_have_one_python_worker(spark, monkeypatch):
+    """An executor keeps as many workers as its tasks ever had at once: two to a task took 4 x 60 to 180 MB of it."""
+    docs = table(spark, ["a b c d e f g"] * 9 + ["a b c d e f h", "x y z"])
+    pairs = spark.createDataFrame([(0, 1), (0, 9)], "a long, b long")
+    both = jaccard.linked(pairs, docs, 50, 5)
+    assert python_nodes_of_a_task(both) == 1
+    assert sorted(tuple(r) for r in both.collect()) == [(0, 1), (0, 9)]
+    frames, named = [], jaccard.written
+    monkeypatch.setattr(jaccard, "written", lambda df, name, *a: frames.append(df) or named(df, name, *a))
+    jaccard.similarity_components(docs).collect()
+    assert len(frames) > 8 and max(map(python_nodes_of_a_task, frames)) == 1
+
+
 def test_jaccard_of_no_rows_and_null_ids(spark):
     assert jaccard.similarity_components(table(spark, ["a"]).where("false")).collect() == []
     rows = spark.createDataFrame([(None, "a b c d e f"), (3, "a b c d e f"), (3, "a b c d e f")], "doc_id long, text string")
