@@ -9,9 +9,10 @@ A document is the set of its distinct k-word runs. Two documents link when 100 *
 3. In every bucket each document is compared with a first one; these links give components. A bucket
    whose documents are all in one component is finished: its further links change nothing.
 4. In the other buckets leaves (no nodes stand above them) hold up to LEAF documents of one component and near size,
-   with the OR of their token bitmaps, their range of sizes and the most tokens any of them hides in shared bits. Pairs of leaves of
-   different components are dropped when their sizes, the number of buckets that they share (sets that link share at
-   least as many first tokens as these exceed what a link may miss) or the greatest possible overlap rule a link out:
+   with the OR of their token bitmaps, their range of sizes and the most tokens any of them hides in shared bits. Leaves of
+   different components meet in a bucket only if its token may be the first that a linked pair shares (all that it shares
+   comes from there on, so each side must have as many tokens left as the link needs; see ``leaf_candidates``). They are
+   dropped when their sizes or the greatest possible overlap rule a link out:
    |a & b| <= |a| - popcount(a) + popcount(a AND OR(b)). The documents of two leaves that are left are compared by
    their own bitmaps likewise, within the task that has both leaves; pairs that pass are checked on the full sets.
 
@@ -219,7 +220,7 @@ def levels_of(shingles: np.ndarray, table: np.ndarray, bits: int) -> np.ndarray:
 
 
 def postings(docs: DataFrame, levels: np.ndarray, bits: int, percent: int, k: int) -> DataFrame:
-    """(token, doc_id, n) for the first tokens of every document of n tokens.
+    """(token, doc_id, n, rest) for the first tokens of every document of n tokens; ``rest`` are left from the token on.
 
     Within a task a set that was met before is left out: step 1 has linked it already.
     """
@@ -229,7 +230,8 @@ def postings(docs: DataFrame, levels: np.ndarray, bits: int, percent: int, k: in
         table = shared.value
         met: set[tuple[int, int]] = set()
         for batch in (part for whole in batches for part in slices(whole)):
-            tokens, ids, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+            tokens, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            sizes, rests = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
             rows = list(_sets(batch, k))
             ends = np.cumsum([len(x) for _, x in rows])
             ranks = np.split(levels_of(np.concatenate([np.zeros(0, U), *[x for _, x in rows]]), table, bits), ends)
@@ -246,17 +248,18 @@ def postings(docs: DataFrame, levels: np.ndarray, bits: int, percent: int, k: in
                 tokens.append(_signed(ordered[:first]))
                 ids.append(np.full(first, doc))
                 sizes.append(np.full(first, n, np.int32))
+                rests.append(np.arange(n, n - first, -1, dtype=np.int32))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(x)) for x in (tokens, ids, sizes)], names=["token", "doc_id", "n"]
+                [pa.array(np.concatenate(x)) for x in (tokens, ids, sizes, rests)], names=["token", "doc_id", "n", "rest"]
             )
         del met
         trim()
 
-    return docs.mapInArrow(run, "token long, doc_id long, n int")
+    return docs.mapInArrow(run, "token long, doc_id long, n int, rest int")
 
 
 def buckets(posts: DataFrame) -> DataFrame:
-    """(token, doc_id, n, center) of the tokens that several postings have.
+    """(token, doc_id, n, rest, center) of the tokens that several postings have.
 
     Postings are dealt out by ranges of (token, doc_id), so that a token of any number of documents is spread over as
     many tasks as it needs. ``center`` is the token's first document in the task; a task's first and last token are
@@ -264,7 +267,7 @@ def buckets(posts: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["token", "doc_id", "n"]
+        names = ["token", "doc_id", "n", "rest"]
         held: pa.RecordBatch | None = None  # a last row whose token may have no other
         open_token = center = None  # of a last token that is kept and may go on
         for i, batch in enumerate(batches):
@@ -288,7 +291,7 @@ def buckets(posts: DataFrame) -> DataFrame:
         trim()
 
     dealt = posts.repartitionByRange("token", "doc_id").sortWithinPartitions("token", "doc_id")
-    return dealt.mapInArrow(run, "token long, doc_id long, n int, center long")
+    return dealt.mapInArrow(run, "token long, doc_id long, n int, rest int, center long")
 
 
 def shingles_of(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
@@ -466,6 +469,24 @@ def documents_of(leaf_pairs: DataFrame, nodes: DataFrame, percent: int) -> DataF
     return both.drop("x", "y").mapInArrow(run, "x long, y long")
 
 
+def leaf_candidates(entries: DataFrame, percent: int) -> DataFrame:
+    """Pairs (x, y) of leaves of different components whose sizes and token places allow a link; each pair once.
+
+    ``entries`` has, for each token of a leaf, the leaf's component c, the sizes lo to hi of its documents with that token,
+    and the most tokens (rest) that one of them has from that token on. A link of sizes a and b needs an overlap of
+    percent / (100 + percent) of a + b, and all of it lies from the first shared token on, on both sides. So the smaller
+    document has 2 percent / (100 + percent) of its own size left there: one side of the join is those entries alone,
+    and a token that stands late in nearly all documents, as frequent ones do, pairs few of them.
+    """
+    early = F.col("rest") * (100 + percent) >= F.col("lo") * (2 * percent)
+    entries = entries.withColumn("early", early)
+    x, y = (entries.select("token", *[F.col(c).alias(c + s) for c in ("leaf", "c", "lo", "hi", "rest", "early")]) for s in "xy")
+    near = x.where("earlyx").drop("earlyx").join(y, "token").where("cx <> cy AND (leafx < leafy OR NOT earlyy)")
+    near = near.where((F.col("hix") * 100 >= F.col("loy") * percent) & (F.col("hiy") * 100 >= F.col("lox") * percent))
+    near = near.where(F.least("restx", "resty") * (100 + percent) >= (F.col("lox") + F.col("loy")) * percent)
+    return near.select(F.least("leafx", "leafy").alias("x"), F.greatest("leafx", "leafy").alias("y")).distinct()
+
+
 def _with_sides(pairs: DataFrame, table: DataFrame, key: str) -> DataFrame:
     out = pairs
     for side in ("x", "y"):
@@ -493,7 +514,7 @@ def similarity_components(docs: DataFrame, percent: int = 75, k: int = 5) -> Dat
     named = written(components(first).toDF("doc_id", "component"), "components")
 
     # Buckets that still hold several components, as leaves.
-    parts = members.select("token", "doc_id", "n").join(named, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    parts = members.select("token", "doc_id", "n", "rest").join(named, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     mixed = parts.groupBy("token").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most")
     parts = written(parts.join(mixed.select("token"), "token"), "mixed-buckets")
     placed = parts.groupBy("doc_id").agg(F.first("component").alias("component"), F.first("n").alias("n"))
@@ -503,20 +524,11 @@ def similarity_components(docs: DataFrame, percent: int = 75, k: int = 5) -> Dat
     share = F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("docs") / LEAF))
     placed = written(placed.select("doc_id", "component", F.xxhash64("component", "band", share).alias("leaf")), "placed")
     nodes = written(leaves(placed, own), "leaves")
-    entries = parts.select("token", "doc_id", "n").join(placed, "doc_id")
-    entries = entries.groupBy("token", "leaf").agg(F.first("component").alias("c"), F.min("n").alias("lo"), F.max("n").alias("hi"))
+    entries = parts.select("token", "doc_id", "n", "rest").join(placed, "doc_id")
+    ranges = [f("n" if c != "rest" else c).cast("bigint").alias(c) for f, c in ((F.min, "lo"), (F.max, "hi"), (F.max, "rest"))]
+    entries = entries.groupBy("token", "leaf").agg(F.first("component").alias("c"), *ranges)
     entries = written(entries, "tree-entries")
-    x, y = (entries.select("token", *[F.col(c).alias(c + s) for c in ("leaf", "c", "lo", "hi")]) for s in "xy")
-    near = x.join(y, "token").where("leafx < leafy AND cx <> cy")
-    near = near.where((F.col("hix") * 100 >= F.col("loy") * percent) & (F.col("hiy") * 100 >= F.col("lox") * percent))
-    near = near.groupBy(F.col("leafx").alias("x"), F.col("leafy").alias("y")).agg(
-        F.count(F.lit(1)).alias("shared"),
-        *[F.min(c).alias(c) for c in ("lox", "loy")],
-        F.greatest(F.max("hix"), F.max("hiy")).alias("hi"),
-    )
-    # First tokens of a set of n: n - ceil(t n) + 1. With o shared in all, n - o are missed at most.
-    overlap = F.ceil(percent * (F.col("lox") + F.col("loy")) / F.lit(100 + percent))
-    leaf_pairs = near.where(F.col("shared") >= overlap - F.ceil(percent * F.col("hi") / F.lit(100)) + 1).select("x", "y")
+    leaf_pairs = leaf_candidates(entries, percent)
     leaf_pairs = written(may_link(_with_sides(leaf_pairs, nodes, "leaf"), percent), "leaf-pairs")
     doc_pairs = written(documents_of(leaf_pairs, nodes, percent).toDF("a", "b"), "document-pairs")
     second = linked(doc_pairs, docs, percent, k)

@@ -120,6 +120,54 @@ def test_jaccard_tasks_have_one_python_worker(spark, monkeypatch):
     assert len(frames) > 8 and max(map(python_nodes_of_a_task, frames)) == 1
 
 
+def rows_of_joins(df):
+    """The most rows that a join of a plan puts out."""
+    df.collect()
+    most, left = 0, [df._jdf.queryExecution().executedPlan()]
+    while left:
+        node = left.pop()
+        name = node.nodeName()
+        children = node.children()
+        left += [children.apply(i) for i in range(children.size())]
+        left += [node.executedPlan()] if name.startswith("AdaptiveSparkPlan") else [node.plan()] if "QueryStage" in name else []
+        if "Join" in name:
+            most = max(most, node.metrics().apply("numOutputRows").value())
+    return most
+
+
+def test_jaccard_frequent_passage_pairs_few_leaves(spark, monkeypatch):
+    """Documents that share a passage, but too little of themselves to link, are not paired once for each of its tokens."""
+    passage = " ".join(f"p{i}" for i in range(86))
+    texts = [passage + "".join(f" d{i}w{j}" for j in range(18)) for i in range(60)]
+    frames, named = {}, jaccard.written
+    monkeypatch.setattr(jaccard, "written", lambda df, name, *a: frames.setdefault(name, df) and named(df, name, *a))
+    rows = jaccard.similarity_components(table(spark, texts)).collect()
+    assert sorted((r.doc_id, r.component_id) for r in rows) == [(i, i) for i in range(60)]
+    assert rows_of_joins(frames["leaf-pairs"]) < 60 * 59 / 2
+
+
+@pytest.mark.parametrize("percent", [50, 75, 90])
+def test_leaf_candidates_lose_no_link(spark, percent):
+    rng = random.Random(percent)
+    base = [rng.sample(range(200), 60) for _ in range(4)]
+    docs = [sorted({t if rng.random() > (100 - percent) / 300 else rng.randrange(200) for t in rng.choice(base)}) for _ in range(120)]
+    docs = [d[rng.randrange(12) :] for d in docs]  # sorted: the order of tokens
+    leaf = [i // 2 if i < 40 else i for i in range(120)]
+    entries, want = {}, set()
+    for i, d in enumerate(docs):
+        for at, t in enumerate(d[: len(d) + -percent * len(d) // 100 + 1]):
+            lo, hi, rest = entries.get((t, leaf[i]), (len(d), len(d), 0))
+            entries[t, leaf[i]] = min(lo, len(d)), max(hi, len(d)), max(rest, len(d) - at)
+        for j in range(i):
+            shared = len(set(d) & set(docs[j]))
+            if leaf[i] % 10 != leaf[j] % 10 and 100 * shared >= percent * (len(d) + len(docs[j]) - shared):
+                want.add((leaf[j], leaf[i]))
+    rows = [(t, x, x % 10, *v) for (t, x), v in entries.items()]
+    table_of = spark.createDataFrame(rows, "token long, leaf long, c long, lo long, hi long, rest long")
+    got = [tuple(r) for r in jaccard.leaf_candidates(table_of, percent).collect()]
+    assert len(want) > 20 and want <= set(got) and len(got) == len(set(got))
+
+
 def test_jaccard_of_no_rows_and_null_ids(spark):
     assert jaccard.similarity_components(table(spark, ["a"]).where("false")).collect() == []
     rows = spark.createDataFrame([(None, "a b c d e f"), (3, "a b c d e f"), (3, "a b c d e f")], "doc_id long, text string")
