@@ -164,6 +164,7 @@ def _expected(pieces: Pieces, p: np.ndarray):
     """For a table (word, l, n): expected uses of each piece per language, of each batch."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept_tables("language")
         table = _table(p)
         languages = p.shape[1]
         total = np.zeros(table.size)
@@ -184,6 +185,7 @@ def _expected(pieces: Pieces, p: np.ndarray):
         total = total.reshape(table.shape)[: len(p)]
         piece, l = np.nonzero(total)
         yield pd.DataFrame({"piece": piece, "l": l, "uses": total[piece, l]})
+        trim()
 
     return run
 
@@ -225,6 +227,7 @@ def fit(labelled: DataFrame, vocabulary_path: str, docs_per_language: int | None
     sample = sample.select("text", index[F.col("lang")].alias("l"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept_tables("language")
         by: Counter = Counter()
 
         def told() -> pa.RecordBatch:

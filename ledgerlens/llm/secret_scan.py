@@ -23,6 +23,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlens.llm.batches import kept as kept_tables
+from ledgerlens.llm.batches import trim
+
 SPANS = T.ArrayType(
     T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("kind", T.StringType())])
 )
@@ -210,6 +213,7 @@ def scan(docs: DataFrame, text: str = "text", redact: bool = False, name: str =
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept_tables("secrets")
         for batch in (whole.slice(at, SLICE_ROWS) for whole in batches for at in range(0, whole.num_rows, SLICE_ROWS)):
             texts = batch.column(text).to_pylist()
             found = [spans_of(t) for t in texts]
@@ -218,6 +222,7 @@ def scan(docs: DataFrame, text: str = "text", redact: bool = False, name: str =
                 columns[text] = pa.array([redacted(t, s) if s else t for t, s in zip(texts, found, strict=True)], columns[text].type)
             columns[name] = pa.array([[dict(zip(("start", "end", "kind"), s, strict=True)) for s in x] for x in found], kind)
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+        trim()
 
     return docs.mapInArrow(run, schema)
 

@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from ledgerlens.llm import language, mixing, packing, queries, secret_scan, toxicity
+from ledgerlens.llm import batches, language, mixing, packing, queries, secret_scan, toxicity
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 SF = "/root/testdata/sf0.01"
@@ -481,3 +481,21 @@ def test_a_worker_keeps_the_tables_of_one_operator():
     assert kept("packing") == {"a": 1}
     assert kept("language") == {}
     assert kept("packing") == {}
+
+
+def test_text_tasks_let_go_of_other_tables_and_trim(spark, monkeypatch):
+    """A Python worker serves one stage after another: each task lets go of another operator's tables and gives memory back."""
+    docs = spark.createDataFrame([(1, "token = abcdefgh12")], "doc_id long, text string")
+    runs, trimmed = [], []
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, schema: runs.append(run) or docs)
+    secret_scan.scan(docs)
+    language.identify(docs, language.Model(language.Pieces([]), [], np.zeros((0, 0))))
+    batch = pa.RecordBatch.from_pylist([{"doc_id": 1, "text": "token = abcdefgh12"}])
+    expected = language._expected(language.Pieces([]), np.zeros((0, 1)))
+    for module, run, rows in ((secret_scan, runs[0], [batch]), (language, runs[1], [batch]), (language, expected, [])):
+        batches.kept("other")["table"] = 1
+        monkeypatch.setattr(module, "trim", lambda: trimmed.append(1))
+        before = len(trimmed)
+        list(run(iter(rows)))
+        assert len(trimmed) == before + 1
+        assert "table" not in batches.kept("other")
