@@ -13,6 +13,10 @@ tables of its own (asymmetric distances) and reranks exactly what may be near en
 Centroids and codebooks are fitted on FIT_ROWS vectors at most, chosen by a hash; all vectors are indexed. Equal vectors
 are one entry with a weight. Lists are cut into blocks and their queries into groups, so that a task holds one of each.
 
+The driver holds the fitted rows and the index. The planner takes a vector for one component, an exploded row for one row
+and a file for its compressed size, so what grows with the vectors meets by merging, never by a broadcast. Blocks and
+queries stay where the count of their list met them: the probed rows are shuffled once.
+
 Defined cases: vectors that are null, zero, or hold null or non-finite components, and rows without a label, link with
 nothing; vectors of different lengths don't link; rows that share a vec_id count once and link with themselves never; an
 empty table gives no rows. Extra columns are ignored.
@@ -79,7 +83,9 @@ def unit(rows: np.ndarray) -> np.ndarray:
 def fit(vectors: DataFrame, width: int) -> Index:
     """Centroids and codebooks for unit vectors of ``width`` components, from FIT_ROWS rows at most."""
     own = vectors.where(F.size("v") == width)
-    rows = own.orderBy(F.xxhash64("vec_id"), "vec_id").limit(FIT_ROWS).select("v").toPandas()
+    chosen = own.select(F.xxhash64("vec_id").alias("h"), "vec_id", "v").orderBy("h", "vec_id").limit(FIT_ROWS)
+    # Written first: collected as it is, each task would send the driver as many rows.
+    rows = written(chosen, "fitted").toPandas().sort_values(["h", "vec_id"])
     x = unit(np.array(rows["v"].tolist(), dtype=np.float64).reshape(-1, width))
     centroids = _means(x, max(1, len(x) // ROWS_PER_LIST))
     rest = x - centroids[_distances(x, centroids).argmin(axis=1)]
@@ -137,7 +143,7 @@ def assign(vectors: DataFrame, index: Index, threshold: float, deviations: float
 def _blocks(rows: DataFrame, size: int, *columns: str) -> DataFrame:
     """Rows of each (label, home) as blocks of about ``size``."""
     count = rows.groupBy("label", "home").agg(F.ceil(F.count(F.lit(1)) / size).alias("n"))
-    keyed = rows.join(count, ["label", "home"]).withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("n")))
+    keyed = rows.join(count.hint("merge"), ["label", "home"]).withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("n")))
     return keyed.groupBy("label", "home", "block").agg(F.collect_list(F.struct(*columns)).alias("rows")).drop("block")
 
 
@@ -147,7 +153,7 @@ def near_pairs(entries: DataFrame, index: Index, threshold: float) -> DataFrame:
     lists = _blocks(entries, BLOCK, "vec_id", "v", "code", "missed")
     asked = entries.select("vec_id", "label", "v", F.explode("probes").alias("home"))
     asked = _blocks(asked, BLOCK, "vec_id", "v").withColumnRenamed("rows", "queries")
-    together = lists.join(asked, ["label", "home"]).select("home", "rows", "queries")
+    together = asked.join(lists.hint("merge"), ["label", "home"]).select("home", "rows", "queries")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -197,16 +203,16 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, deviations: flo
     links = written(found, "vector-links")
     both = links.union(links.select("b", "a")).toDF("vec_id", "other")
     weight = entries.select(F.col("vec_id").alias("other"), "copies")
-    near = both.join(weight, "other").groupBy("vec_id").agg(F.sum("copies").alias("near"))
+    near = both.join(weight.hint("merge"), "other").groupBy("vec_id").agg(F.sum("copies").alias("near"))
     named = components(links).toDF("vec_id", "component")
-    known = entries.join(near, "vec_id", "left").join(named, "vec_id", "left").select(
+    known = entries.join(near.hint("merge"), "vec_id", "left").join(named.hint("merge"), "vec_id", "left").select(
         "label",
         "v",
         (F.col("copies") - 1 + F.coalesce("near", F.lit(0))).alias("n_links"),
         F.coalesce("component", "vec_id").alias("component_id"),
         F.lit(True).alias("usable"),
     )
-    out = rows.join(known, ["label", "v", "usable"], "left")
+    out = rows.join(known.hint("merge"), ["label", "v", "usable"], "left")
     component = F.coalesce("component_id", "vec_id")
     return out.select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), component.alias("component_id"), (F.col("vec_id") == component).alias("kept")

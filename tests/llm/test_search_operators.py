@@ -325,6 +325,32 @@ def test_recall_of_near_vectors(spark):
     assert 0.99 * there <= found <= there and set(got) == set(want)
 
 
+def test_vectors_are_not_broadcast(spark, monkeypatch):
+    """The planner takes blocks of vectors, and what was exploded, for small, and links for as small as their file."""
+    plans, write = {}, pq.written
+
+    def planned(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name)
+
+    monkeypatch.setattr(pq, "written", planned)
+    df = spark.createDataFrame(vectors(), "vec_id long, embedding array<float>, label int")
+    plans["out"] = pq.near_duplicates(df)._jdf.queryExecution().executedPlan().toString()
+    assert [plans[x].count("SortMergeJoin") for x in ("near", "out")] == [3, 4]
+    assert not [x for x, plan in plans.items() if "Broadcast" in plan]
+    assert plans["near"].count("Generate explode") == 2  # once for the rows and once for their count
+    assert plans["near"].count("Exchange") == 4  # of the rows and counts of lists and of queries, and of nothing again
+    assert "TakeOrderedAndProject" in plans["fitted"]  # in tasks: the driver gets the chosen rows only
+
+
+def test_near_vectors_in_small_blocks(spark, monkeypatch):
+    monkeypatch.setattr(pq, "BLOCK", 7)
+    rows = vectors()
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = pq.near_duplicates(df.repartition(4), deviations=None).collect()
+    assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in got} == plain_near(rows)
+
+
 def plain_top(rows, k=5):
     ok = [(i, [int(np.floor(256.0 * np.float64(np.float32(x)))) for x in v]) for i, v, _ in rows if v is not None and all(x is not None and np.isfinite(x) for x in v)]
     out = []
